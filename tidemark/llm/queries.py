@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from .packing import op2_packing
 from .token_counts import op7_token_counts
+from .token_store import op3_token_store
 
 
 def queries() -> dict:
-    return {"op7_token_counts": op7_token_counts}
+    return {f.__name__: f for f in (op2_packing, op3_token_store, op7_token_counts)}
 
 
 def oracle_sql() -> dict:
