@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from .fingerprints import op6_fingerprints
 from .packing import op2_packing
+from .pii import op9_pii
 from .token_counts import op7_token_counts
 from .token_store import op3_token_store
 
+QUERIES = (op2_packing, op3_token_store, op6_fingerprints, op7_token_counts, op9_pii)
+
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_packing, op3_token_store, op7_token_counts)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict:
