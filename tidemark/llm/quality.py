@@ -83,7 +83,7 @@ class Scorer:
             try:
                 rows = np.fromiter(map(at.__getitem__, part), np.int64, len(part))
             except KeyError:
-                for word in set(part) - at.keys():
+                for word in [w for w in set(part) if w not in at]:
                     k = at[word] = len(at)
                     features = word_features(word)
                     self.hashes[k], self.sums[k], self.counts[k] = xxhash.xxh3_64_intdigest(word), self.model.weights[features].sum(), len(features)
