@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from .fingerprints import op6_fingerprints
+from .licenses import op10_licenses
 from .packing import op2_packing
 from .pii import op9_pii
 from .quality import op5_quality
 from .token_counts import op7_token_counts
 from .token_store import op3_token_store
 
-QUERIES = (op2_packing, op3_token_store, op5_quality, op6_fingerprints, op7_token_counts, op9_pii)
+QUERIES = (op2_packing, op3_token_store, op5_quality, op6_fingerprints, op7_token_counts, op9_pii, op10_licenses)
 
 
 def queries() -> dict:
