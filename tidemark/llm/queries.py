@@ -5,13 +5,14 @@ from __future__ import annotations
 from .fingerprints import op6_fingerprints
 from .licenses import op10_licenses
 from .near_duplicates import op4_ngram_join
+from .nearest import op8_nearest
 from .packing import op2_packing
 from .pii import op9_pii
 from .quality import op5_quality
 from .token_counts import op7_token_counts
 from .token_store import op3_token_store
 
-QUERIES = (op2_packing, op3_token_store, op4_ngram_join, op5_quality, op6_fingerprints, op7_token_counts, op9_pii, op10_licenses)
+QUERIES = (op2_packing, op3_token_store, op4_ngram_join, op5_quality, op6_fingerprints, op7_token_counts, op8_nearest, op9_pii, op10_licenses)
 
 
 def queries() -> dict:
