@@ -42,3 +42,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def whole_text(column: str = "text"):
     """The text, with null as empty."""
     return F.coalesce(F.col(column), F.lit(""))
+
+
+#: Ids that are sent to every executor to pick rows by; more are joined by a shuffle.
+BROADCAST_IDS = 300_000
+
+
+def picked(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows (id, ...) whose id is in ids (id, ...), with its columns; ids are broadcast only where counted as few."""
+    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id")

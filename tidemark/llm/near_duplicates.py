@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import saved, whole_text
+from .common import picked, saved, whole_text
 from .components import components
 from .tokens import small_batches, texts_of
 
@@ -33,8 +33,6 @@ from .tokens import small_batches, texts_of
 LIGHT = 16
 #: The universe of step 1: 3/8 of all hashes.
 UNIVERSE = np.uint64(3 << 61)
-#: Ids that are sent to every executor to pick texts; more are joined by a shuffle.
-BROADCAST_IDS = 300_000
 BUCKET_TOKENS = 1_000_000
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xBF58476D1CE4E5B9)]
 
@@ -119,11 +117,6 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate(keys))
 
 
-def texts_for(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows (id, text) with what ids (id, ...) adds; ids go to every executor only where they are few."""
-    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id")
-
-
 def _universe_pairs(texts: DataFrame, buckets: int) -> DataFrame:
     """(a, b, n) with a < b: candidates by light tokens of the universe; (a, null, n): frequent tokens of a node."""
 
@@ -195,7 +188,7 @@ def _verify(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     """The pairs (u, v) whose whole texts are similar."""
     pairs = saved(pairs, "candidates")
     wanted = pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id"))).distinct()
-    texts = saved(texts_for(rows, wanted), "candidate-texts")
+    texts = saved(picked(rows, wanted), "candidate-texts")
     both = pairs.join(texts.select(F.col("id").alias("u"), F.col("text").alias("a")), "u").join(texts.select(F.col("id").alias("v"), F.col("text").alias("b")), "v")
 
     def check(batches):
@@ -239,7 +232,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = spark.createDataFrame([], "u long, v long")
     if total["n"]:
         buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), (total["u"] or 0) // BUCKET_TOKENS)
-        met = saved(_universe_pairs(texts_for(rows, distinct.filter("n > 2").select("id")), buckets), "met")
+        met = saved(_universe_pairs(picked(rows, distinct.filter("n > 2").select("id")), buckets), "met")
         light = met.filter("b is not null").groupBy("a", "b").agg(F.sum("n").alias("n"))
         light = saved(light.select(F.col("a").alias("u"), F.col("b").alias("v"), "n"), "light-pairs")
         heavy = met.filter("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("heavy"))
@@ -262,7 +255,7 @@ def _same_id(sized: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def _combination_keys(rows: DataFrame, lacking: DataFrame) -> DataFrame:
     """(key, id, n) of step 2."""
-    texts = saved(texts_for(rows, lacking), "lacking-texts")
+    texts = saved(picked(rows, lacking), "lacking-texts")
 
     def tokens_of(batches):
         shingles = Shingler()
