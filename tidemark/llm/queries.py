@@ -5,6 +5,7 @@ from __future__ import annotations
 from .fingerprints import op6_fingerprints
 from .licenses import op10_licenses
 from .near_duplicates import op4_ngram_join
+from .mixing import mixing_sql, op1_mixing
 from .nearest import op8_nearest
 from .packing import op2_packing
 from .pii import op9_pii
@@ -12,7 +13,7 @@ from .quality import op5_quality
 from .token_counts import op7_token_counts
 from .token_store import op3_token_store
 
-QUERIES = (op2_packing, op3_token_store, op4_ngram_join, op5_quality, op6_fingerprints, op7_token_counts, op8_nearest, op9_pii, op10_licenses)
+QUERIES = (op1_mixing, op2_packing, op3_token_store, op4_ngram_join, op5_quality, op6_fingerprints, op7_token_counts, op8_nearest, op9_pii, op10_licenses)
 
 
 def queries() -> dict:
@@ -20,4 +21,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {}
+    return {"op1_mixing": mixing_sql()}
