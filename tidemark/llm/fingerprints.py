@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import pieces, saved, whole_text
+from .common import picked, pieces, saved, whole_text
 from .tokens import small_batches
 
 
@@ -57,8 +57,8 @@ def same_text(docs: DataFrame, prints: DataFrame, id_col: str = "doc_id", text_c
     while True:
         leaders = left.groupBy("bucket").agg(F.min("id").alias("leader"), F.count("*").alias("n"))
         members = left.join(leaders, "bucket").select("id", "leader", "bucket", "n")
-        shared = members.filter("n > 1")
-        own = texts.join(shared, "id")
+        shared = saved(members.filter("n > 1"), "shared-buckets")
+        own = picked(texts, shared)
         first = own.filter("id = leader").select(F.col("leader").alias("first"), F.col("text").alias("first_text"))
         pairs = own.filter("id <> leader").join(first, F.col("leader") == F.col("first"))
 

@@ -16,8 +16,15 @@ from .token_store import op3_token_store
 QUERIES = (op1_mixing, op2_packing, op3_token_store, op4_ngram_join, op5_quality, op6_fingerprints, op7_token_counts, op8_nearest, op9_pii, op10_licenses)
 
 
+def pipeline(spark, sf_dir):
+    """Every stage of corpus_pipeline.py, one after another."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in QUERIES}
+    return {f.__name__: f for f in (*QUERIES, pipeline)}
 
 
 def oracle_sql() -> dict:

@@ -1,18 +1,32 @@
-"""Token ids by a tokenizers file, with a bounded per-worker memory of whitespace-free chunks.
+"""Token ids by a tokenizers file, with bounded per-worker memories of white-space-free chunks and of pieces.
 
-The tokenizer's pre-tokenizer never lets a piece cross white space and drops the white space itself, so the ids of
-a text are the ids of its chunks in order. ``check_chunks`` in the tests compares with whole-text encoding.
+The tokenizer's pre-tokenizer never lets a piece cross white space and drops the white space itself, so the ids of a
+text are the ids of its chunks in order, and those of a chunk are the ids that the model gives to its pieces. Chunks
+are read by the file's own normaliser, pre-tokenizer and model; for printable ASCII without special strings the first
+two are lower case and one expression. The tests compare with whole-text encoding.
 """
 
 from __future__ import annotations
 
 import os
+import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
 
-#: Chunks remembered per Python worker; the memory is dropped when full, so it stays bounded.
-CHUNKS = 250_000
+#: Chunks and pieces remembered per Python worker; a memory is dropped when full, so both stay bounded.
+CHUNKS, PIECES = 300_000, 300_000
+#: Chunks of printable ASCII and Latin-1 letters: already NFC, lower case letter by letter; and their pieces.
+_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+_PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+#: The pre-tokenizer that the expression stands for; a file with another one is refused.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+# By rule: bytes that are printable in Latin-1 stand for themselves, the others for code points from 256 on, in order.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_CHARACTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
 class ChunkEncoder:
@@ -26,7 +40,13 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype(id_dtype(path, self.tokenizer))
+        if _PATTERN not in str(self.tokenizer.pre_tokenizer).replace("\\\\", "\\"):
+            raise ValueError("a tokenizer whose pieces may hold white space can't be read chunk by chunk")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        self.special = re.compile("|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()) or "(?!)")
+        self.tokenize = self.tokenizer.model.tokenize
         self.known: dict[bytes, bytes] = {}
+        self.known_pieces: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, path: str) -> "ChunkEncoder":
@@ -34,6 +54,27 @@ class ChunkEncoder:
             cls._by_path[path] = cls(path)
         return cls._by_path[path]
 
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a normalised piece, which the model reads with every byte as a character."""
+        if len(self.known_pieces) > PIECES:
+            self.known_pieces.clear()
+        as_bytes = piece if piece.isascii() else piece.encode().decode("latin-1").translate(BYTE_CHARACTERS)
+        out = self.known_pieces[piece] = array(self.code, [t.id for t in self.tokenize(as_bytes)]).tobytes()
+        return out
+
+    def _chunk(self, chunk: bytes) -> bytes:
+        text = chunk.decode("utf-8", "replace")
+        if self.special.search(text):
+            return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        known = self.known_pieces
+        if _PLAIN.fullmatch(text):
+            pieces = _PIECE.findall(text.lower())
+            if len(pieces) == 1:
+                return known.get(pieces[0]) or self._piece(pieces[0])
+            return b"".join([known.get(p) or self._piece(p) for p in pieces])
+        pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(text))
+        return array(self.code, [t.id for p, _ in pieces for t in self.tokenize(p)]).tobytes()
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         known = self.known
         if len(known) > CHUNKS:
@@ -41,13 +82,9 @@ class ChunkEncoder:
         out = []
         for text in texts:
             chunks = text.split()
-            try:
-                out.append(b"".join(map(known.__getitem__, chunks)))
-            except KeyError:
-                new = list(set(chunks) - known.keys())
-                coded = self.tokenizer.encode_batch_fast([c.decode("utf-8", "replace") for c in new], add_special_tokens=False)
-                known.update(zip(new, (np.array(e.ids, self.dtype).tobytes() for e in coded)))
-                out.append(b"".join(map(known.__getitem__, chunks)))
+            for chunk in [c for c in set(chunks) if c not in known]:
+                known[chunk] = self._chunk(chunk)
+            out.append(b"".join(map(known.__getitem__, chunks)))
         return out
 
 
