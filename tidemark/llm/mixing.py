@@ -14,6 +14,8 @@ DIMENSIONS = ("source", "lang", "topic")
 #: Topics by the first expression that a text matches; the rest is "prose".
 TOPICS = (("table", r" \| "), ("legal", r"[Ll]icen[cs]ed?\b"), ("contact", r"@|\+[0-9]"), ("figures", r"[0-9]{4}"))
 SMOOTHING, ROUNDS = 0.7, 10
+#: Share of all token weight that the sample is to hold.
+KEEP = 0.7
 #: Cells of the contingency table that the driver fits at once; a larger table is fitted by joins.
 DRIVER_CELLS = 100_000
 
@@ -55,12 +57,12 @@ def _targets(given: dict | None, mass: dict[str, float], alpha: float) -> dict[s
     return {k: v / total for k, v in own.items()} if total else smoothed(mass, alpha)
 
 
-def rates(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, alpha: float = SMOOTHING, rounds: int = ROUNDS, driver_cells: int = DRIVER_CELLS) -> DataFrame:
+def rates(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, alpha: float = SMOOTHING, rounds: int = ROUNDS, keep: float = KEEP, driver_cells: int = DRIVER_CELLS) -> DataFrame:
     """(_source, _lang, _topic, probability) from the token mass of each cell.
 
     The fit starts at the masses and scales them to each marginal in turn, ``rounds`` times. A cell's rate is fitted over
-    observed mass; probabilities are the rates scaled so the largest is 1, so no rate is cut and the sample has the fitted
-    mix. Marginals of one dimension reach the driver: as many numbers as it has categories.
+    observed mass; a probability is the rate times one factor, and 1 at most, with the factor calibrated so that the
+    expected weight of the sample is ``keep`` of all. The mix is the fitted one but for cells that are kept whole.
     """
     spark, keys = cells.sparkSession, [f"_{d}" for d in DIMENSIONS]
     targets = targets or {}
@@ -80,8 +82,9 @@ def rates(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None,
                 for r, w in zip(rows, fitted):
                     now[r[i]] += w
                 fitted = [w * goals[i][r[i]] / now[r[i]] if now[r[i]] else 0.0 for r, w in zip(rows, fitted)]
-        largest = max((w / r[3] for r, w in zip(rows, fitted)), default=1.0) or 1.0
-        out = [(*r[:3], w / r[3] / largest) for r, w in zip(rows, fitted)]
+        rated = [(w / r[3], r[3]) for r, w in zip(rows, fitted)]
+        factor = _factor(keep, lambda f: tuple(map(sum, zip((0.0, 0.0, 0.0), *((m, m * (f * r > 1), r * m * (f * r <= 1)) for r, m in rated)))))
+        out = [(*row[:3], min(1.0, factor * r)) for row, (r, _) in zip(rows, rated)]
         return F.broadcast(spark.createDataFrame(out, "_source string, _lang string, _topic string, probability double"))
     now = cells.withColumn("w", F.col("mass").cast("double"))
     goals = []
@@ -101,8 +104,23 @@ def rates(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None,
             now = now.join(have.join(goal, k), k).select(*keys, "mass", F.when(F.col("have") > 0, F.col("w") * F.col("goal") / F.col("have")).otherwise(0.0).alias("w"))
         now = saved(now, "fit")
     rate = F.col("w") / F.col("mass")
-    largest = now.agg(F.max(rate).alias("r")).first()["r"] or 1.0
-    return now.select(*keys, (rate / largest).alias("probability"))
+    whole = lambda f: F.lit(f) * rate > 1
+    sums = lambda f: tuple(x or 0.0 for x in now.agg(F.sum("mass").cast("double"), F.sum(F.when(whole(f), F.col("mass"))).cast("double"), F.sum(F.when(~whole(f), F.col("w")))).first())
+    return now.select(*keys, F.least(F.lit(1.0), F.lit(_factor(keep, sums)) * rate).alias("probability"))
+
+
+def _factor(keep: float, sums) -> float:
+    """The factor f with sum(min(mass, f * fitted)) = keep * sum(mass); sums(f): all mass, mass of cells kept whole, fitted weight of the others.
+
+    The set of whole cells only grows from step to step, so this ends after as many steps as it grows, in practice a few.
+    """
+    factor = 0.0
+    while True:
+        mass, whole, fitted = sums(factor)
+        new = (min(1.0, keep) * mass - whole) / fitted if fitted else factor
+        if new <= factor * (1 + 1e-12):
+            return factor
+        factor = new
 
 
 def mixed(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, id_col: str = "doc_id", text_col: str = "text", **fit) -> DataFrame:
@@ -158,5 +176,8 @@ cells AS MATERIALIZED (SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS mass
 {goals},
 w0 AS MATERIALIZED (SELECT *, mass AS w FROM cells),
 {", ".join(steps)},
-r AS (SELECT source, lang, topic, w / mass / max(w / mass) OVER () AS p FROM {last})
+s AS (SELECT source, lang, topic, mass, w, w / mass AS rate, {KEEP} * sum(mass) OVER () AS k, sum(w) OVER () AS all_w,
+  coalesce(sum(mass) OVER o, 0) AS whole, coalesce(sum(w) OVER o, 0) AS gone FROM {last} WINDOW o AS (ORDER BY w / mass DESC, source, lang, topic ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+f AS (SELECT max((k - whole) / (all_w - gone)) AS f FROM s WHERE (k - whole) / (all_w - gone) * rate <= 1),
+r AS (SELECT source, lang, topic, least(1.0, f * rate) AS p FROM s, f)
 SELECT doc_id, source, lang, topic, n_tokens, round(p, 6) AS probability, u < p AS selected FROM marks JOIN r USING (source, lang, topic)"""
