@@ -112,7 +112,7 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
             if len(members) > 1:
                 m = np.array(members, np.uint64)
                 i, j = np.triu_indices(len(m), 1)
-                key = (m[i] * _M[1]) ^ (m[j] + _M[2] * np.uint64(low))
+                key = (m[i] * _M[1]) ^ (m[j] + np.uint64(0xC2B2AE3D27D4EB4F * low % 2**64))
                 keys.append((key ^ (key >> np.uint64(31))) * _M[3])
     return np.unique(np.concatenate(keys))
 
