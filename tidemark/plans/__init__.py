@@ -1 +1,15 @@
+"""Registered queries by family, each beside the SQL it equals."""
 
+from __future__ import annotations
+
+from . import vintage_queries
+
+FAMILIES = (vintage_queries,)
+
+
+def all_queries() -> dict:
+    return {k: v for f in FAMILIES for k, v in f.queries().items()}
+
+
+def all_oracles() -> dict:
+    return {k: v for f in FAMILIES for k, v in f.oracle_sql().items()}
