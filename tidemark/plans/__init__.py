@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import vintage_queries
+from . import accounting_queries, vintage_queries
 
-FAMILIES = (vintage_queries,)
+FAMILIES = (vintage_queries, accounting_queries)
 
 
 def all_queries() -> dict:
