@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.stored import saved
+
 
 def shared_cells(before: DataFrame, after: DataFrame, *cell: str) -> DataFrame:
     """Pairs of old and new identifiers that name the same cell and period."""
@@ -55,11 +57,11 @@ def closure(aliases: DataFrame, rounds: int = 32) -> DataFrame:
 
     Each round doubles the length of the paths, so the rounds follow the logarithm of the longest chain.
     """
-    reach = aliases.select("old_id", "new_id").distinct()
+    reach = saved(aliases.select("old_id", "new_id").distinct(), "closure")
     size = reach.count()
     for _ in range(rounds):
         step = reach.alias("a").join(reach.alias("b"), F.col("a.new_id") == F.col("b.old_id")).select(F.col("a.old_id").alias("old_id"), F.col("b.new_id").alias("new_id"))
-        reach = reach.unionByName(step).distinct().checkpoint() if reach.sparkSession.sparkContext.getCheckpointDir() else reach.unionByName(step).distinct()
+        reach = saved(reach.unionByName(step).distinct(), "closure")
         now = reach.count()
         if now == size:
             break

@@ -170,3 +170,47 @@ def numbered(rows: DataFrame, *order: str, name: str = "source_row") -> DataFram
     sizes = inner.groupBy("_part").agg(F.max("_n").alias("_size"))
     before = sizes.select("_part", F.coalesce(F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
     return inner.join(F.broadcast(before), "_part").withColumn(name, (F.col("_before") + F.col("_n")).cast("long")).drop("_part", "_n", "_before")
+
+
+def worksheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four layouts of one table as worksheets: years across (HY), years across and months down (YM_flag), a merged
+    year header over quarters (YQ), and dates down (VD)."""
+    li = table(spark, sf_dir, "lineitem").select(
+        F.col("l_returnflag").alias("f"), F.year("l_shipdate").alias("y"), F.month("l_shipdate").alias("m"), F.quarter("l_shipdate").alias("q"), F.col("l_linenumber").cast("long").alias("ln"), F.col("l_quantity").cast("decimal(18,2)").alias("v")
+    )
+    place = F.when(F.col("f") == "A", 0).when(F.col("f") == "N", 1).otherwise(2).cast("long")
+    words = F.element_at(F.array(*(F.lit(w) for w in "Ene Feb Mar Abr May Jun Jul Ago Set Oct Nov Dic".split())), F.col("m"))
+    roman = F.element_at(F.array(*(F.lit(w) for w in ("I", "II", "III", "IV"))), F.col("q"))
+    year, none = F.col("y").cast("string"), F.lit(None)
+
+    def part(rows, sheet, r, c, text=none, num=none, day=none):
+        return rows.select(F.lit(sheet).alias("source_sheet") if isinstance(sheet, str) else sheet.alias("source_sheet"), r.cast("long").alias("row_id"), c.cast("long").alias("column_id"), text.cast("string").alias("text"), num.cast("double").alias("num"), day.cast("date").alias("date")).distinct()
+
+    def summed(*by):
+        return li.groupBy(*by).agg(F.sum("v").alias("v"))
+
+    at = F.col("y") - 1993
+    ym = F.concat(F.lit("YM_"), "f")
+    wide = 2 + (F.col("y") - 1995) * 4 + F.col("q") - 1
+    month_row = 3 + (F.col("y") - 1995) * 12 + F.col("m") - 1
+    parts = [
+        part(li, "HY", F.lit(1), F.lit(1), F.lit("Quantity by flag")), part(li, "HY", F.lit(3), at, year), part(li, "HY", 4 + place, F.lit(1), F.col("f")),
+        part(summed("f", "y"), "HY", 4 + place, at, num=F.col("v")),
+        part(li, ym, F.lit(1), F.lit(1), F.concat(F.lit("Quantity of "), "f")), part(li, ym, F.lit(2), at, year), part(li, ym, 2 + F.col("m"), F.lit(1), words), part(summed("f", "y", "m"), ym, 2 + F.col("m"), at, num=F.col("v")),
+        part(li.filter("q = 1"), "YQ", F.lit(2), wide, year), part(li, "YQ", F.lit(3), wide, roman), part(li, "YQ", 4 + place, F.lit(1), F.col("f")), part(summed("f", "y", "q"), "YQ", 4 + place, wide, num=F.col("v")),
+        part(li, "VD", F.lit(2), 1 + F.col("ln"), F.concat(F.lit("Line "), F.col("ln").cast("string"))), part(li, "VD", month_row, F.lit(1), day=F.make_date("y", "m", F.lit(1))), part(summed("y", "m", "ln"), "VD", month_row, 1 + F.col("ln"), num=F.col("v")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+#: What reading the worksheets must give, straight from the table.
+F7 = """
+q AS (SELECT l_returnflag AS f, year(l_shipdate) AS y, month(l_shipdate) AS m, quarter(l_shipdate) AS q, l_linenumber AS ln, CAST(l_quantity AS DECIMAL(18,2)) AS v FROM lineitem),
+read AS (
+ SELECT 'HY' AS source_sheet, f AS series, make_date(y,12,31) AS period, CAST(sum(v) AS DOUBLE) AS value FROM q GROUP BY f, y
+ UNION ALL SELECT 'YM_'||f, 'YM_'||f, last_day(make_date(y,m,1)), CAST(sum(v) AS DOUBLE) FROM q GROUP BY f, y, m
+ UNION ALL SELECT 'YQ', f, last_day(make_date(y,q*3,1)), CAST(sum(v) AS DOUBLE) FROM q GROUP BY f, y, q
+ UNION ALL SELECT 'VD', 'Line '||CAST(ln AS VARCHAR), last_day(make_date(y,m,1)), CAST(sum(v) AS DOUBLE) FROM q GROUP BY ln, y, m)"""
