@@ -68,7 +68,7 @@ def learn(x: np.ndarray, m: int = 16, k: int = 256, rounds: int = 1, seed: int =
     books = Codebooks(np.stack(words).astype(np.float32))
     for _ in range(rounds):
         flat = encode(x, books) + np.arange(m) * k
-        gram, right = np.zeros((m * k, m * k)), np.zeros((m * k, x.shape[1]))
+        gram, right = np.zeros((m * k, m * k), np.float32), np.zeros((m * k, x.shape[1]), np.float32)
         for i in range(m):
             np.add.at(right, flat[:, i], x)
             for j in range(m):
@@ -119,7 +119,7 @@ def search(vectors: DataFrame, queries: DataFrame, top: int = 10, rerank: int =
     codes = saved(rows.mapInArrow(quantise, f"id {kind}, code binary, norm float"), "codes")
     blocks = max(1, -(-codes.count() // block))
 
-    # Blocks of codes: ids, codes and stored norms, a few bytes a row.
+    # Blocks of codes of even size: ids, codes and stored norms, a few bytes a row. What a block holds changes no result.
     def gather(batches):
         ids, codes, norms, n = [], [], [], 0
         for batch in batches:
@@ -135,7 +135,7 @@ def search(vectors: DataFrame, queries: DataFrame, top: int = 10, rerank: int =
         if n:
             yield pa.RecordBatch.from_pydict({"ids": [np.concatenate(ids).tobytes()], "codes": [b"".join(codes)], "norms": [np.concatenate(norms).tobytes()]})
 
-    coded = codes.repartition(blocks, "id").mapInArrow(gather, "ids binary, codes binary, norms binary")
+    coded = codes.repartition(blocks).mapInArrow(gather, "ids binary, codes binary, norms binary")
     asked = queries.select(F.col(id_col).alias("query_id")).distinct().join(rows.withColumnRenamed("id", "query_id"), "query_id")
     # Queries in blocks by a hash; each block of codes is copied to each block of queries, which is what has to meet.
     query_blocks = max(1, -(-asked.count() // query_block))
