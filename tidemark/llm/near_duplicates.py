@@ -34,6 +34,8 @@ LIGHT = 16
 #: The universe of step 1: 3/8 of all hashes.
 UNIVERSE = np.uint64(3 << 61)
 BUCKET_TOKENS = 1_000_000
+#: Keys that a row of step 2 knows before its own.
+BEFORE = 8
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xBF58476D1CE4E5B9)]
 
 
@@ -234,8 +236,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), (total["u"] or 0) // BUCKET_TOKENS)
         met = saved(_universe_pairs(picked(rows, distinct.filter("n > 2").select("id")), buckets), "met")
         light = met.filter("b is not null").groupBy("a", "b").agg(F.sum("n").alias("n"))
-        light = saved(light.select(F.col("a").alias("u"), F.col("b").alias("v"), "n"), "light-pairs")
-        heavy = met.filter("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("heavy"))
+        light = light.select(F.col("a").alias("u"), F.col("b").alias("v"), "n")
+        heavy = saved(met.filter("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("heavy")), "heavy")
+        light = saved(_possible(light, nodes, heavy), "possible-pairs")
         lacking = nodes.filter("n > 2").join(heavy, "node", "left").filter("u - coalesce(heavy, 0) < floor(n / 4) + 1")
         keyed = _combination_keys(rows, saved(lacking.select(F.col("node").alias("id")).distinct(), "lacking"))
         links = _link(rows, light, keyed)
@@ -246,6 +249,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), F.col("n").alias("n_shingles"), F.col("root").alias("component_id"))
 
 
+def _possible(pairs: DataFrame, nodes: DataFrame, heavy: DataFrame) -> DataFrame:
+    """The pairs (u, v, n) that may link, by n: the light tokens of the universe that they share.
+
+    Of a's tokens at most n_a - o are missing in b, where o = 3 (n_a + n_b) / 7 is the overlap that a link needs; its light
+    tokens of the universe that b lacks are among them. Nodes with several sets (repeated ids) are left to verification.
+    """
+    size = nodes.join(heavy, "node", "left").groupBy("node").agg(F.count("*").alias("sets"), F.max("n").alias("size"), F.max(F.col("u") - F.coalesce("heavy", F.lit(0))).alias("light"))
+    of = lambda c: size.select(F.col("node").alias(c), *(F.col(x).alias(f"{c}_{x}") for x in ("sets", "size", "light")))
+    spare = lambda c: F.col(f"{c}_light") - F.col("n") <= F.col(f"{c}_size") - F.ceil(3 * (F.col("u_size") + F.col("v_size")) / 7)
+    joined = pairs.join(of("u"), "u").join(of("v"), "v")
+    return joined.filter((F.col("u_sets") > 1) | (F.col("v_sets") > 1) | (spare("u") & spare("v"))).select("u", "v", "n")
+
+
 def _same_id(sized: DataFrame, nodes: DataFrame) -> DataFrame:
     """Links between the nodes of rows that repeat an id with different sets."""
     several = sized.filter("id is not null and digest is not null").groupBy("id").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).filter("a <> b").select("id")
@@ -275,11 +291,16 @@ def _combination_keys(rows: DataFrame, lacking: DataFrame) -> DataFrame:
             for key, text, frequent in zip(batch.column("id").to_pylist(), texts_of(batch), batch.column("frequent").to_pylist()):
                 own = shingles(text)
                 keys = signatures(own, np.array(frequent or [], np.int64).view(np.uint64))
-                out.append((keys, np.full(len(keys), key), np.full(len(keys), len(own))))
-            keys, ids, n = (np.concatenate(x) for x in zip(*out))
-            yield pa.RecordBatch.from_pydict({"key": pa.array(keys.view(np.int64)), "id": pa.array(ids, pa.int64()), "n": pa.array(n, pa.int64())})
+                keys = np.sort(keys.view(np.int64))
+                at = np.arange(len(keys))[:, None] + np.arange(-BEFORE, 0)
+                held = np.minimum(np.arange(len(keys)), BEFORE)
+                out.append((keys, np.full(len(keys), key), np.full(len(keys), len(own)), keys[at[at >= 0]], held))
+            keys, ids, n, before, held = (np.concatenate(x) for x in zip(*out))
+            ends = pa.array(np.concatenate([[0], np.cumsum(held)]), pa.int32())
+            before = pa.ListArray.from_arrays(ends, pa.array(before, pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ids, pa.int64()), pa.array(n, pa.int64()), before], names=["key", "id", "n", "before"])
 
-    return saved(texts.join(by_id, "id", "left").select("id", "text", "frequent").mapInArrow(sign, "key long, id long, n long"), "keys")
+    return saved(texts.join(by_id, "id", "left").select("id", "text", "frequent").mapInArrow(sign, "key long, id long, n long, before array<long>"), "keys")
 
 
 def _link(rows: DataFrame, light: DataFrame, keyed: DataFrame) -> DataFrame:
@@ -294,12 +315,13 @@ def _link(rows: DataFrame, light: DataFrame, keyed: DataFrame) -> DataFrame:
     of = saved(components(links), "first-components")
     rooted = lambda pairs, c: pairs.join(of.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")), c, "left").withColumn(f"{c}_root", F.coalesce(f"{c}_root", c))
     apart = rooted(rooted(light.select("u", "v"), "u"), "v").filter("u_root <> v_root").select("u", "v")
-    # Keys whose nodes are in several components: each pair across components, where sizes allow a link.
-    placed = saved(rooted(known.select("key", F.col("id").alias("u"), "n"), "u"), "placed-keys")
+    # Keys whose nodes are in several components: each pair across components, where sizes allow a link. A pair that shares
+    # many keys is made at few of them: not where both know a common key just before, and so always at its first.
+    placed = saved(rooted(known.select("key", F.col("id").alias("u"), "n", "before"), "u"), "placed-keys")
     mixed = placed.groupBy("key").agg(F.min("u_root").alias("a"), F.max("u_root").alias("b")).filter("a <> b").select("key")
     left = saved(placed.join(mixed, "key", "left_semi"), "mixed-keys")
-    right = left.select("key", F.col("u").alias("v"), F.col("n").alias("m"), F.col("u_root").alias("v_root"))
-    across = left.join(right, "key").filter("u < v and u_root <> v_root and 4 * least(n, m) >= 3 * greatest(n, m)").select("u", "v")
+    right = left.select("key", F.col("u").alias("v"), F.col("n").alias("m"), F.col("u_root").alias("v_root"), F.col("before").alias("earlier"))
+    across = left.join(right, "key").filter("u < v and u_root <> v_root and 4 * least(n, m) >= 3 * greatest(n, m) and not arrays_overlap(before, earlier)").select("u", "v")
     tried = best.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     rest = apart.unionByName(across).distinct().join(tried, ["u", "v"], "left_anti")
     return links.unionByName(_verify(rest, rows))
