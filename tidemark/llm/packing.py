@@ -1,8 +1,9 @@
 """Lexical retrieval packing: BM25 over sharded inverted indexes finds unused neighbours that fill each seed's window.
 
 Documents are encoded once; document frequencies and lengths are counted over all of them; rows are range-partitioned by
-their most telling term, so lexically close documents share a shard and a hot term is split by document. Each shard
-holds an inverted index of at most ``shard_tokens`` tokens and is packed greedily.
+their rarest term (ids of a merged vocabulary grow with rarity, so the largest id), so lexically close documents share a
+shard and a hot term is split by document. Each shard holds an inverted index of at most ``shard_tokens`` tokens and is
+packed greedily.
 """
 
 from __future__ import annotations
@@ -22,16 +23,18 @@ OUT = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id lon
 
 
 def encoded(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, ids): each text's ids and end_id as little-endian bytes."""
+    """(place, id, ids): each text's ids and end_id as little-endian bytes, and its largest id."""
 
     def encode(batches):
         coder = ChunkEncoder.of(tokenizer_path)
         end = np.array([end_id], coder.dtype).tobytes()
         for batch in small_batches(batches):
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([x + end for x in coder.encode(texts_of(batch))], pa.binary())], names=["id", "ids"])
+            ids = [x + end for x in coder.encode(texts_of(batch))]
+            place = [int(np.frombuffer(x, coder.dtype).max()) for x in ids]
+            yield pa.RecordBatch.from_arrays([pa.array(place, pa.int32()), batch.column("id"), pa.array(ids, pa.binary())], names=["place", "id", "ids"])
 
     rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
-    return rows.mapInArrow(encode, f"id {rows.schema['id'].dataType.simpleString()}, ids binary")
+    return rows.mapInArrow(encode, f"place int, id {rows.schema['id'].dataType.simpleString()}, ids binary")
 
 
 def term_counts(ids: DataFrame, dtype: str) -> tuple[int, int, np.ndarray]:
@@ -146,7 +149,7 @@ def fill(docs: list[np.ndarray], shard: Shard, window: int):
         size -= part
 
 
-def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = 2048, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = 1 << 22) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = 2048, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = 1 << 20) -> DataFrame:
     """Pieces (id, start, length, ids_crc32, doc_tokens, sequence_id, offset) of every row's ids.
 
     A null text is the empty text (its one id is end_id); rows with a null or repeated id are packed like others, each for
@@ -160,18 +163,9 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = 2048,
     idf = spark.sparkContext.broadcast(np.maximum(0, np.log((n - df + 0.5) / (df + 0.5))).astype(np.float32))
     mean_length = max(1.0, tokens / max(1, n))
 
-    def place(batches):
-        for batch in batches:
-            keys = []
-            for x in batch.column("ids").to_pylist():
-                t, c = np.unique(np.frombuffer(x, dtype), return_counts=True)
-                keys.append(int(t[np.argmax(c * idf.value[t] / (c + 1.2))]))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), *batch.columns], names=["place", *batch.schema.names])
-
     kind = ids.schema["id"].dataType.simpleString()
-    placed = ids.mapInArrow(place, f"place int, id {kind}, ids binary")
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tokens // shard_tokens))
-    placed = placed.repartitionByRange(parts, "place", "id").sortWithinPartitions("place", "id", F.xxhash64("ids"))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tokens // (4 * shard_tokens)))
+    placed = ids.repartitionByRange(parts, "place", "id").sortWithinPartitions("place", "id", F.xxhash64("ids"))
 
     def sequences(batches):
         number = TaskContext.get().partitionId() << 32

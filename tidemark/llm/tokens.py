@@ -29,6 +29,18 @@ _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 BYTE_CHARACTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
+class _Memory(dict):
+    """Ids by chunk; an unknown chunk is read when it is first asked for."""
+
+    def __init__(self, read):
+        super().__init__()
+        self.read = read
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        out = self[chunk] = self.read(chunk)
+        return out
+
+
 class ChunkEncoder:
     """Little-endian unsigned ids (16 bits where the vocabulary allows it, else 32) of texts given as UTF-8 bytes."""
 
@@ -45,7 +57,7 @@ class ChunkEncoder:
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.special = re.compile("|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()) or "(?!)")
         self.tokenize = self.tokenizer.model.tokenize
-        self.known: dict[bytes, bytes] = {}
+        self.known = _Memory(self._chunk)
         self.known_pieces: dict[str, bytes] = {}
 
     @classmethod
@@ -79,13 +91,7 @@ class ChunkEncoder:
         known = self.known
         if len(known) > CHUNKS:
             known.clear()
-        out = []
-        for text in texts:
-            chunks = text.split()
-            for chunk in [c for c in set(chunks) if c not in known]:
-                known[chunk] = self._chunk(chunk)
-            out.append(b"".join(map(known.__getitem__, chunks)))
-        return out
+        return [b"".join(map(known.__getitem__, text.split())) for text in texts]
 
 
 def id_dtype(path: str, tokenizer=None) -> str:
