@@ -182,7 +182,7 @@ def test_scorer_parts_equal_one_pass(monkeypatch):
     whole = Scorer(model).scores([text])[0]
     monkeypatch.setattr(quality, "WORDS", 64)
     assert abs(Scorer(model).scores([text])[0] - whole) < 1e-9
-    assert len(word_features("é".encode())) == 4
+    assert len(word_features(["é".encode()])[0]) == 4
 
 
 def test_mixing(spark, odd_docs, no_docs):

@@ -7,6 +7,7 @@ As the output is linear in the mean, a trained model reduces to one number per b
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,20 +28,23 @@ _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 WORDS = 150_000
 
 
-def word_features(word: bytes) -> np.ndarray:
-    """Buckets of a word and its character n-grams, in the first half of the table's range."""
-    own = xxhash.xxh3_64_intdigest(word)
-    marked = f"<{word.decode('utf-8', 'replace')}>"
-    points = np.frombuffer(marked.encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
-    out = [np.array([own], np.uint64)]
+def word_features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of words and of their character n-grams, in the first half of the table's range, and each one's word."""
+    points = np.frombuffer("\n".join(f"<{w.decode('utf-8', 'replace')}>" for w in words).encode("utf-32-le", "replace"), np.uint32)
+    between = points == 10
+    word, points = np.cumsum(between), points.astype(np.uint64)
+    out, of = [np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))], [np.arange(len(words))]
     for n in GRAMS:
-        if len(points) >= n:
-            h = np.full(len(points) - n + 1, n, np.uint64)
+        size = len(points) - n + 1
+        if size > 0:
+            inside = np.flatnonzero((word[:size] == word[n - 1 :]) & ~between[:size])
+            h = np.full(len(inside), n, np.uint64)
             for j in range(n):
-                h = (h ^ points[j : len(points) - n + 1 + j]) * _MULTIPLIER
+                h = (h ^ points[inside + j]) * _MULTIPLIER
                 h ^= h >> np.uint64(29)
             out.append(h)
-    return (np.concatenate(out) & _MASK).astype(np.int64)
+            of.append(word[inside])
+    return (np.concatenate(out) & _MASK).astype(np.int64), np.concatenate(of)
 
 
 def bigram_features(hashes: np.ndarray) -> np.ndarray:
@@ -83,10 +87,12 @@ class Scorer:
             try:
                 rows = np.fromiter(map(at.__getitem__, part), np.int64, len(part))
             except KeyError:
-                for word in [w for w in set(part) if w not in at]:
-                    k = at[word] = len(at)
-                    features = word_features(word)
-                    self.hashes[k], self.sums[k], self.counts[k] = xxhash.xxh3_64_intdigest(word), self.model.weights[features].sum(), len(features)
+                new = [w for w in set(part) if w not in at]
+                k = slice(len(at), len(at) + len(new))
+                at.update(zip(new, range(k.start, k.stop)))
+                features, of = word_features(new)
+                self.hashes[k] = np.fromiter(map(xxhash.xxh3_64_intdigest, new), np.uint64, len(new))
+                self.sums[k], self.counts[k] = np.bincount(of, self.model.weights[features], len(new)), np.bincount(of, minlength=len(new))
                 rows = np.fromiter(map(at.__getitem__, part), np.int64, len(part))
             hashes = self.hashes[rows]
             if last is not None:
@@ -104,10 +110,10 @@ def features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words))
     if not words:
         return np.zeros(0, np.int64), np.zeros(0, np.float32)
-    distinct, times = np.unique(np.array(words, object), return_counts=True)
-    own = [word_features(w) for w in distinct]
-    flat = np.concatenate([*own, bigram_features(hashes)])
-    weight = np.concatenate([np.repeat(times, [len(x) for x in own]), np.ones(len(hashes) - 1)])
+    times = Counter(words)
+    own, of = word_features(list(times))
+    flat = np.concatenate([own, bigram_features(hashes)])
+    weight = np.concatenate([np.fromiter(times.values(), np.float64, len(times))[of], np.ones(len(hashes) - 1)])
     found, slot = np.unique(flat, return_inverse=True)
     share = np.bincount(slot, weight)
     return found, (share / share.sum()).astype(np.float32)
