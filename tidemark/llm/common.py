@@ -2,30 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.stored import saved, shared_dir
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder name under spark.checkpoint.dir, which every executor can reach.
-
-    Where that setting is unset (tests on one machine), one is set for the session.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it again: lineage ends there, and executors can be lost."""
-    path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["documents", "picked", "pieces", "saved", "shared_dir", "whole_text"]
 
 
 def pieces(df: DataFrame, piece_mb: int = 64) -> int:
