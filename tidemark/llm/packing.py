@@ -71,7 +71,7 @@ class Shard:
             keep = idf[t] > 0  # a term of most documents has weight 0
             terms.append(t[keep].astype(np.int64))
             tfs.append(c[keep])
-            of.append(np.full(int(keep.sum()), i, np.int32))
+            of.append(np.full(int(keep.sum()), i, np.intp))
         self.bounds = np.concatenate([[0], np.cumsum([len(t) for t in terms])])
         term, tf, self.of = (np.concatenate(x) for x in (terms, tfs, of))
         size = np.array([len(d) for d in docs])
@@ -149,7 +149,7 @@ def fill(docs: list[np.ndarray], shard: Shard, window: int):
         size -= part
 
 
-def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = 2048, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = 1 << 20) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = 2048, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = 1 << 19) -> DataFrame:
     """Pieces (id, start, length, ids_crc32, doc_tokens, sequence_id, offset) of every row's ids.
 
     A null text is the empty text (its one id is end_id); rows with a null or repeated id are packed like others, each for
