@@ -87,6 +87,38 @@ def test_bm25_neighbours_equal_brute_force():
         assert np.allclose(np.array(score)[order], np.sort(score)[::-1])
 
 
+def test_neighbours_among_the_unused_equal_brute_force():
+    random = np.random.default_rng(4)
+    docs = [(random.zipf(1.3, random.integers(1, 60)) - 1) % 300 for _ in range(200)]
+    df = np.bincount(np.concatenate([np.unique(d) for d in docs]), minlength=300)
+    idf = np.maximum(0, np.log((200 - df + 0.5) / (df + 0.5)))
+    shard, left = Shard(docs, idf, 15.0), np.ones(200, bool)
+    while left.any():
+        seed = int(np.flatnonzero(left)[0])
+        shard.unused[seed] = left[seed] = False
+        score = np.array([sum(idf[t] * (tf := (d == t).sum()) * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(d) / 15.0)) for t in np.unique(docs[seed])) for d in docs])
+        order = shard.neighbours(seed)
+        assert sorted(order) == np.flatnonzero(left).tolist() and np.allclose(score[order], np.sort(score[left])[::-1])
+        some = shard.neighbours(seed, 100)
+        assert some.tolist() == order[: len(some)].tolist() and (len(some) == len(order) or sum(len(docs[i]) for i in some) >= 100)
+        shard.unused[some[:2]] = left[some[:2]] = False
+
+
+def test_packing_finds_partners_far_apart(spark):
+    """Pairs that repeat a word of their own, among 2^20 tokens and more: the largest id of each text tells nothing."""
+    random = np.random.default_rng(5)
+    vocabulary = {w: i for w, i in Tokenizer.from_file(PATH).get_vocab().items() if w.isascii() and w.isalpha() and w.islower() and len(w) > 2}
+    coder = ChunkEncoder.of(PATH)
+    single = [w for w in sorted(vocabulary, key=vocabulary.get) if len(coder.encode([w.encode()])[0]) == coder.dtype.itemsize]
+    common, topics, rare = single[:50], single[2000:2520], random.permutation(single[-1040:])
+    texts = [" ".join([rare[i]] + [topics[i % 520]] * 200 + [*random.choice(common, 822)]) for i in range(1040)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sequences = defaultdict(set)
+    for r in pack(docs, PATH, 1).collect():
+        sequences[r["sequence_id"]].add(r["doc_id"])
+    assert sorted(map(sorted, sequences.values())) == [[i, i + 520] for i in range(520)]
+
+
 def test_perfect_hash():
     random = np.random.default_rng(2)
     h1, h2 = random.integers(0, 2**63, 5000).astype(np.uint64), random.integers(0, 2**63, 5000).astype(np.uint64)

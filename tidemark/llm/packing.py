@@ -1,9 +1,8 @@
 """Lexical retrieval packing: BM25 over sharded inverted indexes finds unused neighbours that fill each seed's window.
 
 Documents are encoded once; document frequencies and lengths are counted over all of them; rows are range-partitioned by
-their rarest term (ids of a merged vocabulary grow with rarity, so the largest id), so lexically close documents share a
-shard and a hot term is split by document. Each shard holds an inverted index of at most ``shard_tokens`` tokens and is
-packed greedily.
+their most telling term (of the highest tf * idf in this corpus), so lexically close documents share a shard and a hot
+term is split by document. Each shard holds an inverted index of at most ``shard_tokens`` tokens and is packed greedily.
 """
 
 from __future__ import annotations
@@ -23,18 +22,16 @@ OUT = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id lon
 
 
 def encoded(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
-    """(place, id, ids): each text's ids and end_id as little-endian bytes, and its largest id."""
+    """(id, ids): each text's ids and end_id as little-endian bytes."""
 
     def encode(batches):
         coder = ChunkEncoder.of(tokenizer_path)
         end = np.array([end_id], coder.dtype).tobytes()
         for batch in small_batches(batches):
-            ids = [x + end for x in coder.encode(texts_of(batch))]
-            place = [int(np.frombuffer(x, coder.dtype).max()) for x in ids]
-            yield pa.RecordBatch.from_arrays([pa.array(place, pa.int32()), batch.column("id"), pa.array(ids, pa.binary())], names=["place", "id", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([x + end for x in coder.encode(texts_of(batch))], pa.binary())], names=["id", "ids"])
 
     rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
-    return rows.mapInArrow(encode, f"place int, id {rows.schema['id'].dataType.simpleString()}, ids binary")
+    return rows.mapInArrow(encode, f"id {rows.schema['id'].dataType.simpleString()}, ids binary")
 
 
 def term_counts(ids: DataFrame, dtype: str) -> tuple[int, int, np.ndarray]:
@@ -60,8 +57,15 @@ def term_counts(ids: DataFrame, dtype: str) -> tuple[int, int, np.ndarray]:
     return total.get(-2, 0), total.get(-1, 0), df
 
 
+#: Bytes of postings a shard keeps as whole rows, its longest lists first; the others are kept as lists. No result depends on it.
+ROWS = 16 << 20
+
+
 class Shard:
-    """An inverted index with BM25 weights, and which of its documents are unused."""
+    """An inverted index with BM25 weights, and which of its documents are unused.
+
+    Used documents are dropped from the postings whenever they are a quarter of those indexed, so later searches read less.
+    """
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean_length: float, k1: float = 1.2, b: float = 0.75):
         self.n = len(docs)
@@ -69,29 +73,63 @@ class Shard:
         for i, ids in enumerate(docs):
             t, c = np.unique(ids, return_counts=True)
             keep = idf[t] > 0  # a term of most documents has weight 0
-            terms.append(t[keep].astype(np.int64))
-            tfs.append(c[keep])
-            of.append(np.full(int(keep.sum()), i, np.intp))
+            terms.append(t[keep])
+            tfs.append(c[keep].astype(np.int32))
+            of.append(np.full(int(keep.sum()), i, np.int32))
         self.bounds = np.concatenate([[0], np.cumsum([len(t) for t in terms])])
-        term, tf, self.of = (np.concatenate(x) for x in (terms, tfs, of))
-        size = np.array([len(d) for d in docs])
-        weight = idf[term] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * size[self.of] / mean_length))
+        term, tf, of = (np.concatenate(x) for x in (terms, tfs, of))
+        self.size = np.array([len(d) for d in docs])
+        weight = idf[term] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * self.size[of] / mean_length))
         known, slot = np.unique(term, return_inverse=True)
-        self.slot = slot  # per (document, term), the term's posting list
+        self.slot = slot.astype(np.int32)  # per (document, term), the term's posting list
         order = np.argsort(slot, kind="stable")
-        self.docs, self.weights = self.of[order], weight[order]
-        self.lists = np.concatenate([[0], np.cumsum(np.bincount(slot, minlength=len(known)))])
+        docs_of, weights, count = of[order], weight[order], np.bincount(slot, minlength=len(known))
+        self.indexed = np.arange(self.n)  # documents of the index, in order
+        longest = np.argsort(-count, kind="stable")[: ROWS // (8 * max(1, self.n))]
+        longest = longest[count[longest] * 16 >= self.n]
+        self.row = np.full(len(known), -1)
+        self.row[longest] = np.arange(len(longest))
+        self.rows = np.zeros((len(longest), self.n))
+        whole = np.repeat(self.row, count)
+        self.rows[whole[whole >= 0], docs_of[whole >= 0]] = weights[whole >= 0]
+        self.docs, self.weights = docs_of[whole < 0], weights[whole < 0]
+        self.lists = np.concatenate([[0], np.cumsum(np.where(self.row < 0, count, 0))])
         self.unused = np.ones(self.n, bool)
 
-    def neighbours(self, seed: int) -> np.ndarray:
-        """Unused documents by BM25 score for the seed's terms, best first, ties to the earlier; those without a shared term last."""
-        lists = self.slot[self.bounds[seed] : self.bounds[seed + 1]]
-        first, size = self.lists[lists], self.lists[lists + 1] - self.lists[lists]
+    def drop_used(self) -> None:
+        left = self.unused[self.indexed]
+        kept = left[self.docs]
+        self.lists = np.concatenate([[0], np.cumsum(kept)])[self.lists]
+        self.docs, self.weights = (np.cumsum(left) - 1)[self.docs[kept]].astype(np.int32), self.weights[kept]
+        rows = np.empty((len(self.rows), int(left.sum())))
+        for i, row in enumerate(self.rows):
+            rows[i] = row[left]
+        self.rows, self.indexed = rows, self.indexed[left]
+
+    def neighbours(self, seed: int, need: int | None = None) -> np.ndarray:
+        """Unused documents by BM25 score for the seed's terms, best first, ties to the earlier; those without a shared term last.
+
+        With ``need``, only as many of them as hold that many tokens, or all.
+        """
+        if 4 * np.count_nonzero(self.unused) <= 3 * len(self.indexed):
+            self.drop_used()
+        slots = self.slot[self.bounds[seed] : self.bounds[seed + 1]]
+        first, size = self.lists[slots], self.lists[slots + 1] - self.lists[slots]
         ends = np.cumsum(size)
         at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - size), size)
-        score = np.bincount(self.docs[at], self.weights[at], self.n)
-        left = np.flatnonzero(self.unused)
-        return left[np.argsort(-score[left], kind="stable")]
+        score = np.bincount(self.docs[at], self.weights[at], len(self.indexed)).astype(np.float64, copy=False)
+        for row in self.row[slots]:
+            if row >= 0:
+                score += self.rows[row]
+        left = np.flatnonzero(self.unused[self.indexed])
+        score, k = -score[left], 16
+        while need is not None and k < len(left):
+            best = np.flatnonzero(score <= np.partition(score, k - 1)[k - 1])  # with all that tie with the last
+            best = self.indexed[left[best[np.argsort(score[best], kind="stable")]]]
+            if self.size[best].sum() >= need:
+                return best
+            k *= 8
+        return self.indexed[left[np.argsort(score, kind="stable")]]
 
 
 def fill(docs: list[np.ndarray], shard: Shard, window: int):
@@ -114,7 +152,7 @@ def fill(docs: list[np.ndarray], shard: Shard, window: int):
                 shard.unused[seed] = False
             else:
                 need, queue = room, []
-                for doc in shard.neighbours(seed):
+                for doc in shard.neighbours(seed, need):
                     queue.append(int(doc))
                     shard.unused[doc] = False
                     need -= len(docs[doc])
@@ -149,7 +187,7 @@ def fill(docs: list[np.ndarray], shard: Shard, window: int):
         size -= part
 
 
-def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = 2048, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = 1 << 19) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = 2048, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = 1 << 22) -> DataFrame:
     """Pieces (id, start, length, ids_crc32, doc_tokens, sequence_id, offset) of every row's ids.
 
     A null text is the empty text (its one id is end_id); rows with a null or repeated id are packed like others, each for
@@ -163,9 +201,18 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = 2048,
     idf = spark.sparkContext.broadcast(np.maximum(0, np.log((n - df + 0.5) / (df + 0.5))).astype(np.float32))
     mean_length = max(1.0, tokens / max(1, n))
 
+    def place(batches):
+        for batch in batches:
+            keys = []
+            for x in batch.column("ids").to_pylist():
+                t, c = np.unique(np.frombuffer(x, dtype), return_counts=True)
+                keys.append(int(t[np.argmax(c * idf.value[t] / (c + 1.2))]))
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), *batch.columns], names=["place", *batch.schema.names])
+
     kind = ids.schema["id"].dataType.simpleString()
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tokens // (4 * shard_tokens)))
-    placed = ids.repartitionByRange(parts, "place", "id").sortWithinPartitions("place", "id", F.xxhash64("ids"))
+    placed = ids.mapInArrow(place, f"place int, id {kind}, ids binary")
+    parts = max(1, -(-tokens // shard_tokens))  # not more, so that no shard is smaller for the sake of more tasks
+    placed = placed.repartitionByRange(parts, "place", "id").sortWithinPartitions("place", "id", F.xxhash64("ids"))
 
     def sequences(batches):
         number = TaskContext.get().partitionId() << 32
