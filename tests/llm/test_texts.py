@@ -127,6 +127,30 @@ def test_changed_license_is_aligned(spark):
     assert docs.first()["text"][row["start"] : row["end"]].startswith("Permission") and row["coverage"] > 0.95
 
 
+def test_license_with_one_odd_word_anywhere(spark):
+    """Every template with one word changed, or one more, at every place, and with every fourth changed."""
+    docs, wanted = [], []
+    for name, text in TEMPLATES.items():
+        words = [w for w in text.split() if re.sub(r"\W", "", w)]
+        cases = [([*words[:i], "qqq", *words[i + 1 :]], len(words) - 1) for i in range(len(words))]
+        cases += [([*words[:i], "qqq", *words[i:]], len(words)) for i in range(1, len(words))]
+        cases.append((["qqq" if i % 4 == 3 else w for i, w in enumerate(words)], len(words) - len(words) // 4))
+        cases.append((" qqq ".join(words).split(), len(words)) if len(words) < 16 else (words, len(words)))
+        for changed, matched in cases:
+            if matched >= 0.75 * len(words):
+                wanted.append((len(docs), name, matched))
+                docs.append((len(docs), " ".join(["some", "text", "here", *changed, "and", "more"])))
+    rows = license_matches(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert set(wanted) <= {(r["doc_id"], r["license"], r["matched_words"]) for r in rows}
+
+
+def test_repeated_license_lines_are_told_apart(spark):
+    line = TEMPLATES["MIT/line"]
+    rows = license_matches(spark.createDataFrame([(1, " ".join([line, "Released under a MIT License.", line]))], "doc_id long, text string")).collect()
+    assert [(r["license"], r["matched_words"], r["start"]) for r in rows] == [("MIT/line", 5, 0), ("MIT/line", 4, 32), ("MIT/line", 5, 62)]
+    assert license_matches(spark.createDataFrame([(1, "license mit the file under that mit the license released it")], "doc_id long, text string")).count() == 0
+
+
 def test_alignment_equals_full_dynamic_programme():
     rng = np.random.default_rng(0)
     for _ in range(200):

@@ -1,4 +1,5 @@
-"""License scans: winnowed fingerprints of templates in an inverted index pick candidates, banded alignment reports coverage and spans."""
+"""License scans: winnowed fingerprints and telling words of templates in inverted indexes pick candidates, banded alignment
+reports coverage and spans."""
 
 from __future__ import annotations
 
@@ -75,30 +76,35 @@ def winnowed(g: np.ndarray, w: int) -> np.ndarray:
 
 @dataclass
 class Index:
-    """Templates as word hashes, and postings (fingerprint, template, position) sorted by fingerprint."""
+    """Templates as word hashes, the words each needs, and postings (print, template, position) sorted by print.
+
+    ``grams`` are the winnowed ones of k words. ``singles`` are the longest words of each template, one more than may be
+    missing: an occurrence lacks at most that many, so it has at least one of them.
+    """
 
     names: list[str]
     words: list[np.ndarray]
-    prints: np.ndarray
-    template: np.ndarray
-    at: np.ndarray
+    need: list[int]
+    grams: tuple[np.ndarray, np.ndarray, np.ndarray]
+    singles: tuple[np.ndarray, np.ndarray, np.ndarray]
     k: int
     w: int
 
 
-def build_index(templates: dict[str, str], k: int = 3, w: int = 2) -> Index:
-    names, reader = sorted(templates), Words()
-    words = [h[h != 0] for h in (reader.hashes(templates[n].encode().split()) for n in names)]
-    prints, template, at = [], [], []
-    for i, h in enumerate(words):
-        g = grams(h, min(k, len(h)))
-        p = winnowed(g, w)
-        prints.append(g[p])
-        template.append(np.full(len(p), i))
-        at.append(p)
-    flat = np.concatenate(prints)
+def postings(prints: list[np.ndarray], at: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    flat = np.concatenate([np.zeros(0, np.uint64), *prints])
     order = np.argsort(flat, kind="stable")
-    return Index(names, words, flat[order], np.concatenate(template)[order], np.concatenate(at)[order], k, w)
+    return flat[order], np.repeat(np.arange(len(at)), [len(a) for a in at])[order], np.concatenate([np.zeros(0, np.int64), *at])[order]
+
+
+def build_index(templates: dict[str, str], least: float, k: int = 3, w: int = 2) -> Index:
+    names, reader = sorted(templates), Words()
+    chunks = [[c for c in templates[n].encode().split() if folded(c)] for n in names]
+    words = [reader.hashes(c) for c in chunks]
+    need = [next(n for n in range(1, len(h) + 2) if n >= least * len(h)) for h in words]
+    by_gram = [winnowed(grams(h, k), w) for h in words]
+    by_word = [np.array(sorted(range(len(c)), key=lambda i: -len(folded(c[i])))[: len(c) - n + 1], np.int64) for c, n in zip(chunks, need)]
+    return Index(names, words, need, postings([grams(h, k)[p] for h, p in zip(words, by_gram)], by_gram), postings([h[p] for h, p in zip(words, by_word)], by_word), k, w)
 
 
 def aligned(text: np.ndarray, template: np.ndarray, band: int) -> tuple[int, int, int]:
@@ -133,31 +139,41 @@ def aligned(text: np.ndarray, template: np.ndarray, band: int) -> tuple[int, int
     return best[1], best[2], best[3]
 
 
-def scan(words: np.ndarray, index: Index, band: int, least: float) -> list[tuple[int, int, int, int]]:
-    """(template, matched words, first word, last word) of each occurrence, the overlapping of one template as the best one."""
+def occurrences(words: np.ndarray, template: np.ndarray, need: int, first: int, half: int) -> list[tuple[int, int, int]]:
+    """(matched words, first word, last word) of what lies on the 2 * half + 1 diagonals from ``first``: the best, then those beside it."""
+    out, ranges = [], [(max(0, first), max(0, min(len(words), first + len(template) + 2 * half)))]
+    while ranges:
+        lo, hi = ranges.pop()
+        if hi - lo < need or np.count_nonzero(np.isin(template, words[lo:hi])) < need:
+            continue
+        matched, a, b = aligned(np.concatenate([np.zeros(lo - first, np.uint64), words[lo:hi]]), template, half)
+        if matched >= need:
+            out.append((matched, first + a, first + b))
+            ranges += [(lo, first + a), (first + b + 1, hi)]
+    return out
+
+
+def scan(words: np.ndarray, index: Index, band: int) -> list[tuple[int, int, int, int]]:
+    """(template, matched words, first word, last word) of each occurrence, the overlapping of one template as the best one.
+
+    An occurrence is found if its words lie within 4 * band of the diagonal of any of its seeds.
+    """
     out = []
     g = grams(words, index.k)
-    at = winnowed(g, index.w)
-    lo, hi = np.searchsorted(index.prints, g[at], "left"), np.searchsorted(index.prints, g[at], "right")
-    hits = np.flatnonzero(hi > lo)
-    seeds: dict[int, list[int]] = {}
-    for i in hits:
-        for p in range(lo[i], hi[i]):
-            seeds.setdefault(int(index.template[p]), []).append(int(at[i] - index.at[p]))
+    picked = winnowed(g, index.w)
+    seeds: dict[int, set[int]] = {}
+    for (prints, of, position), at, found in ((index.grams, picked, g[picked]), (index.singles, np.arange(len(words)), words)):
+        lo, hi = np.searchsorted(prints, found, "left"), np.searchsorted(prints, found, "right")
+        for i in np.flatnonzero(hi > lo):
+            for p in range(lo[i], hi[i]):
+                seeds.setdefault(int(of[p]), set()).add(int(at[i] - position[p]))
     for t, diagonals in seeds.items():
-        template, found, end = index.words[t], [], None
-        for diagonal in sorted(set(diagonals)):
+        found, end = [], None
+        for diagonal in sorted(diagonals):
             if end is not None and diagonal <= end:
                 continue  # covered by the band of the seed before
             end = diagonal + band
-            first = max(0, diagonal - band)
-            stretch = words[first : diagonal + len(template) + 2 * band + 1]
-            if diagonal < band:
-                stretch = np.concatenate([np.zeros(band - diagonal, np.uint64), stretch])  # keeps the diagonal in the middle
-                first = diagonal - band
-            matched, a, b = aligned(stretch, template, 2 * band)
-            if matched >= least * len(template):
-                found.append((matched, first + a, first + b))
+            found += occurrences(words, index.words[t], index.need[t], diagonal - 4 * band, 4 * band + (band + 1) // 2)
         for matched, a, b in sorted(found, key=lambda f: (-f[0], f[1])):
             if all(b < x[2] or a > x[3] for x in out if x[0] == t):
                 out.append((t, matched, a, b))
@@ -172,10 +188,10 @@ def license_matches(docs: DataFrame, templates: dict[str, str] = TEMPLATES, band
 
     coverage is matched template words over all of them, at least ``least``; start and end are code points of the source.
     The index is of the templates alone, so its size is that of the parameter. Winnowing with k=3 and w=2 meets every
-    shared run of 4 words. Null and empty texts have no matches; null and repeated ids keep their rows; an empty table
+    shared run of 4 words, and single words what has no such run: at ``least``, one of those in the index is there. Null and empty texts have no matches; null and repeated ids keep their rows; an empty table
     gives no rows; other columns are ignored. No shuffle, one text at a time.
     """
-    index = docs.sparkSession.sparkContext.broadcast(build_index(templates))
+    index = docs.sparkSession.sparkContext.broadcast(build_index(templates, least))
 
     def run(batches):
         ix, reader = index.value, Words()
@@ -185,7 +201,7 @@ def license_matches(docs: DataFrame, templates: dict[str, str] = TEMPLATES, band
                 chunks = text.split()
                 h = reader.hashes(chunks)
                 kept = np.flatnonzero(h)
-                found = scan(h[kept], ix, band, least)
+                found = scan(h[kept], ix, band)
                 if found:
                     spans = [m.span() for m in re.finditer(r"[^ \t-\r]+", text.decode())]
                     for t, matched, a, b in found:
