@@ -90,6 +90,47 @@ def test_disguises(text, kind, shown):
     assert (kind, text.index(shown), text.index(shown) + len(shown)) in added and not [b for b in base if b[0] == kind]
 
 
+@pytest.mark.parametrize(
+    "shown",
+    [
+        "joe at example.com",
+        "joe at mail.example.co",
+        "JOE AT EXAMPLE.COM",
+        "joe at mail.example dot com",
+        "joe at example [dot] com",
+        "john dot smith at example dot com",
+        "john dot q dot smith at example.com",
+        "john dot smith [at] example dot com",
+        "john [dot] smith at example.com",
+        "john dot smith@example dot com",
+        "joe@example dot com",
+    ],
+)
+def test_at_and_dot_forms(shown):
+    for before, behind in [("", ""), ("mail ", " now"), ("to: ", ". Then"), ("(", ")")]:
+        text = before + shown + behind
+        base, added = pii.find(text)
+        assert base == [] and added == [("email", len(before), len(before) + len(shown))], text
+        assert pii.masked(text) == before + "[EMAIL]" + behind
+
+
+def test_at_and_dot_in_prose():
+    for text in [
+        "We met at noon.Then we left at 5.30 or at 3.x",
+        "look at www.example.com or at example.com/at.html",
+        "it is available at example.com, and I look at example.org",
+        "the dot product at hand. A dot at the end",
+        "one dot two dot three",
+        "version 2 at v1.2",
+    ]:
+        assert pii.find(text) == ([], []), text
+
+
+def test_long_at_and_dot_runs_are_linear():
+    for text in ["a at " * 80_000 + "b.co", "a dot " * 80_000 + "a at b.co", "a at b.c" * 50_000, "x at " + "a." * 200_000 + "co", "a dot b@" * 50_000]:
+        pii.find(text)
+
+
 def test_clean_text_has_no_spans(texts):
     for text in ["We met at noon. Dot the i at once.", "uno dos tres al sol", "один два", "point] at [1]", "3 . 4 at 5"]:
         assert pii.find(text) == ([], [])

@@ -87,8 +87,43 @@ _HAS_SPELLED = re.compile(rf"\b(?:{_WORD})[ ,.-]{{1,2}}(?:(?:{_WORD})\b|[0-9])",
 _SPELLED_PART = re.compile(rf"(plus|más|mas)\s|({_WORD})|([0-9])|([ ,.-]+)", re.I)
 _AT = re.compile(r"\s?[\[({<]\s?(?:at|@|arroba)\s?[\])}>]\s?", re.I)
 _DOT = re.compile(r"\s?[\[({<]\s?(?:dot|\.|punto|punkt|point)\s?[\])}>]\s?", re.I)
-_BARE = re.compile(r"(?<=[A-Za-z0-9])( at )[A-Za-z0-9-]+(?: dot [A-Za-z0-9-]+)+|(?<=[A-Za-z0-9])( dot )(?=[A-Za-z0-9-])", re.I)
-_DISGUISED = re.compile(r"(?:at|@|arroba|dot|\.|punto|punkt|point)\s?[\])}>]|\sdot\s", re.I)
+_BARE_AT = re.compile(r"(?<=[A-Za-z0-9]) at (?=[A-Za-z0-9-])", re.I)
+_BARE_DOT = re.compile(r"(?<=[A-Za-z0-9]) dot (?=[A-Za-z0-9-])", re.I)
+#: A domain whose dots may be words or in brackets; group 1 is the last of those.
+_LABELS = re.compile(rf"[A-Za-z0-9-]++(?:(?:( dot |{_DOT.pattern})|\.)[A-Za-z0-9-]++)*+", re.I)
+_DISGUISED = re.compile(r"(?:at|@|arroba|dot|\.|punto|punkt|point)\s?[\])}>]|\sdot\s| at [A-Za-z0-9-]+\.[A-Za-z0-9-]", re.I)
+_TOP_LEVEL = re.compile(r"[a-z]{2,}|[A-Z]{2,}")
+# Words before ' at example.com' that tell where something is.
+_PLACED = frozenset("are available be found hosted is look looked looking met published seen was were".split())
+
+
+def _is_at(text: str, start: int, end: int) -> bool:
+    """Whether a bare ' at ' is one of an address: before a domain with a disguised dot, or a plain domain that no prose word and no path go with."""
+    m = _LABELS.match(text, end)
+    if m[1]:
+        return True
+    labels = m[0].split(".")
+    if len(labels) < 2 or labels[0].lower() == "www" or not _TOP_LEVEL.fullmatch(labels[-1]) or text[m.end() : m.end() + 1] == "/":
+        return False
+    first = start
+    while first > max(0, start - 12) and _LOCAL_END.match(text, first - 1):
+        first -= 1
+    return text[first:start].lower() not in _PLACED
+
+
+def _dots_beside(text: str, start: int, end: int):
+    """The bare ' dot 's of the local part before an at and of the domain behind it."""
+    while True:
+        last = start
+        while start > 0 and _LOCAL_END.match(text, start - 1):
+            start -= 1
+        if start == last or start < 6 or text[start - 5 : start].lower() != " dot " or not _LOCAL_END.match(text, start - 6):
+            break
+        start -= 5
+        yield start, start + 5, "."
+    if m := _LABELS.match(text, end):
+        for d in _BARE_DOT.finditer(text, end, m.end()):
+            yield *d.span(), "."
 
 
 def edits(text: str) -> list[tuple[int, int, str]]:
@@ -103,12 +138,12 @@ def edits(text: str) -> list[tuple[int, int, str]]:
         at = [(m.start(), m.end(), "@") for m in _AT.finditer(text)]
         dot = [(m.start(), m.end(), ".") for m in _DOT.finditer(text)]
         near = sorted(a[1] for a in at)
-        for m in _BARE.finditer(text):
-            if m[1]:
-                at.append((m.start(1), m.end(1), "@"))
-                dot += [(d.start(), d.end(), ".") for d in re.compile(" dot ", re.I).finditer(text, m.end(1), m.end())]
-            elif (k := bisect_left(near, m.start() - 80)) < len(near) and near[k] <= m.start():
-                dot.append((*m.span(2), "."))  # behind a bracketed at
+        for m in _BARE_DOT.finditer(text):
+            if (k := bisect_left(near, m.start() - 80)) < len(near) and near[k] <= m.start():
+                dot.append((*m.span(), "."))  # behind a bracketed at
+        at += [(*m.span(), "@") for m in _BARE_AT.finditer(text) if _is_at(text, *m.span())]
+        for start, end in [*(a[:2] for a in at), *(m.span() for m in re.finditer("@", text))]:
+            dot += _dots_beside(text, start, end)
         out += at + dot
     if _HAS_SPELLED.search(text):
         for m in _SPELLED.finditer(text):
