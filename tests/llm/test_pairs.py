@@ -66,32 +66,59 @@ def test_join_of_frequent_text(spark):
     assert rows(nd.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))) == brute(docs)
 
 
-def test_join_of_odd_rows(odd_docs, no_docs):
+def test_join_of_odd_rows(spark, odd_docs, no_docs):
     wanted = brute([(r["doc_id"], r["text"]) for r in odd_docs.collect() if r["doc_id"] is not None])
     assert rows(nd.near_duplicates(odd_docs)) == wanted
     assert nd.near_duplicates(odd_docs).count() == odd_docs.count() and nd.near_duplicates(no_docs).count() == 0
     kept = nd.one_of_each(odd_docs)
     assert kept.schema.names == odd_docs.schema.names
     assert sorted(r["doc_id"] or -1 for r in kept.collect()) == [-1, -1, 1, 4, 5, 6, 7, 8, 9, 9]
+    again = spark.createDataFrame([(1, "A b  c"), (1, "a b c"), (1, "d e f"), (2, "x"), (None, "x"), (None, "x")], "doc_id long, text string")
+    assert sorted((r[0] or 0, r[1].lower().split()) for r in nd.one_of_each(again).collect()) == [(0, ["x"]), (0, ["x"]), (1, ["a", "b", "c"]), (1, ["d", "e", "f"]), (2, ["x"])]
 
 
-def test_signatures_of_linked_sets_meet():
+def test_keys_of_linked_sets_meet():
     rng = np.random.default_rng(1)
-    for _ in range(400):
+    for _ in range(600):
         n = int(rng.integers(3, 120))
         pool = np.unique(rng.integers(0, 2**63, n + 40).astype(np.uint64))
         a = np.sort(rng.permutation(pool)[:n])
         drop = int(rng.integers(0, n // 4 + 1))
         b = np.sort(np.unique(np.concatenate([rng.permutation(a)[drop:], rng.integers(0, 2**63, int(rng.integers(0, 3))).astype(np.uint64)])))
         frequent = pool[rng.random(len(pool)) < rng.choice([0.0, 0.5, 0.9, 1.0])]
+        many = frequent[rng.random(len(frequent)) < rng.choice([0.0, 0.5, 1.0])]
         if nd.similar(a, b) and len(a) != len(np.intersect1d(a, b)):
-            assert len(np.intersect1d(nd.signatures(a, frequent), nd.signatures(b, frequent)))
+            keys = [nd.prefix_keys(x, frequent, many) for x in (a, b)]
+            single = len(np.intersect1d(*(k[0] for k in keys)))
+            assert single or len(np.intersect1d(*(k[1] for k in keys)))
+            if not single:  # what MAY_LINK takes for granted
+                assert all(7 * len(k[0]) <= 4 * len(x) - 3 * len(y) for k, x, y in zip(keys, (a, b), (b, a)))
 
 
-def test_bands():
+def test_spaces():
     for x in range(1, 3000):
+        low, need = nd.spaces(x)[0]
         for y in range(x, 4 * x // 3 + 1):
-            assert nd.bands(x)[0] in nd.bands(y)
+            met = dict(nd.spaces(y))
+            assert low in met
+            # Of y's tokens x may lack as many as the need of y says, less one; and the other way about.
+            overlap = -(-3 * (x + y) // 7)
+            assert y - overlap < met[low] and x - overlap < need
+
+
+def test_join_of_one_passage(spark):
+    """A passage in most texts: in some nearly all of the text, in others a part that is too small, or just large enough."""
+    random.seed(3)
+    word = lambda: f"y{random.randrange(10**6)}"
+    passage = [word() for _ in range(80)]
+    docs = []
+    for i in range(700):
+        own = [word() for _ in range(random.choice((0, 1, 3, 6, 9, 10, 11, 12, 14, 20, 27, 60)))]
+        text = own + passage if i % 2 else passage + own
+        for _ in range(random.choice((0, 0, 1, 2, 4))):
+            text[random.randrange(len(text))] = word()
+        docs.append((i, " ".join(text)))
+    assert rows(nd.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))) == brute(docs)
 
 
 def test_components(spark):

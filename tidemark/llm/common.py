@@ -30,6 +30,6 @@ def whole_text(column: str = "text"):
 BROADCAST_IDS = 300_000
 
 
-def picked(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows (id, ...) whose id is in ids (id, ...), with its columns; ids are broadcast only where counted as few."""
-    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id")
+def picked(rows: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
+    """Rows whose key is in ids, with its columns; ids are broadcast only where counted as few."""
+    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, key)

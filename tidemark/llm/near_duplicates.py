@@ -1,23 +1,27 @@
 """N-gram Jaccard join by token-combination prefixes.
 
 A document is its set of word shingles (hashed to 64 bits), linked with another where the sets' Jaccard similarity reaches
-3/4. Let e = n // 4: in any order of the tokens, one of the first e + 1 tokens of a set must be shared with every set it
-links to. Three steps keep that lossless and linear:
+3/4. A set of n tokens may lack at most (4 n - 3 m) / 7 of them in a set of m that it links to, n // 4 at most; so of the
+first n // 4 + 1 tokens in any order one must be shared. Three steps keep that lossless without pairing all of a group:
 
 1. Documents with one set are one node. Among nodes, tokens of a fixed hash range (the universe) are counted exactly where
-   they meet. Light tokens (few nodes) are the first of the order, so each pair that shares one is a candidate; a node with
-   e + 1 light tokens in the universe needs no others.
+   they meet; a token that is already frequent within a task's own rows travels as one mark. Light tokens (few nodes) are
+   the first of the order, so each pair that shares one is a candidate; a node with enough light tokens needs no others.
 2. The rest are nodes whose sets are mostly frequent text. They are joined among themselves with counts of all their
-   tokens. A prefix goes over light tokens, then over frequent ones in classes, and is extended so that
-   light + sum over classes (tokens - 1) reaches e + 1: then two linked sets share a light token or two tokens of
-   one class, and it is enough to index single light tokens and pairs of frequent ones. The number of classes follows
-   the set's size band, so a set has a number of pairs in proportion to its size.
-3. Candidates are verified exactly on whole texts: first one partner a node and a star for each key of many nodes; then,
-   with the components of what was linked, every candidate whose two nodes are still in different components.
+   tokens. Light tokens are indexed alone, frequent ones in combinations of k = 2 and very frequent ones of k = 3 tokens of
+   one class. A prefix is extended until light + sum over classes (tokens - (k - 1)) reaches the number that one of must be
+   shared: then two linked sets share a light token or k tokens of one class. The number of classes follows the set's size
+   band, so a set has a number of combinations in proportion to its size.
+3. Candidates are verified exactly on whole sets: first one partner a node and a star for each key, around the node of
+   fewest light tokens; then, with the components of what was linked, candidates across components. Two nodes that meet at
+   a combination share no light token (else they meet there), so each lacks the other's light tokens, which rules out most
+   near misses; and only nodes outside the component of a key's centre look for partners in it.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -31,9 +35,11 @@ from .tokens import small_batches, texts_of
 
 #: Tokens of at most this many nodes are light.
 LIGHT = 16
+#: Frequent tokens of more nodes than this are combined by three, others by two.
+MANY = 256
 #: The universe of step 1: 3/8 of all hashes.
 UNIVERSE = np.uint64(3 << 61)
-BUCKET_TOKENS = 1_000_000
+BUCKET_TOKENS = 700_000
 #: Keys that a row of step 2 knows before its own.
 BEFORE = 8
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xBF58476D1CE4E5B9)]
@@ -78,261 +84,317 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * shared >= 75 * (both - shared)
 
 
-def bands(n: int) -> list[int]:
-    """The lower end of n's size band, and that of the band below; linked sets lie in one band or in neighbours."""
+def spaces(n: int) -> list[tuple[int, int]]:
+    """(low, need): the size bands, by their lower end, in which a set of n meets its partners, and how many tokens one of must be shared there.
+
+    Linked sets lie in one band or in neighbours; they meet in the band of the smaller. In its own band a set meets sets
+    from that band's lower end on, in the band below sets from 3/4 of its size on.
+    """
     low, below = 1, None
-    while True:
-        following = max(low + 1, -(-4 * low // 3))
-        if n < following:
-            return [low] if below is None else [low, below]
+    while (following := max(low + 1, -(-4 * low // 3))) <= n:
         low, below = following, low
+    least = -(-3 * n // 4)
+    own = [(low, (4 * n - 3 * max(low, least)) // 7 + 1)]
+    return own if below is None else [*own, (below, (4 * n - 3 * least) // 7 + 1)]
 
 
-def signatures(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """Keys of a set under the combination prefix: light tokens alone, frequent ones in pairs of one class."""
-    n = len(tokens)
+def prefix_keys(tokens: np.ndarray, frequent: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of a set: light tokens alone, and combinations of frequent ones; ``many`` are the very frequent among ``frequent``."""
+    n, none = len(tokens), np.zeros(0, np.uint64)
     if n <= 2:
-        return np.zeros(0, np.uint64)  # such sets link to equal ones only
-    need = n // 4 + 1
+        return none, none  # such sets link to equal ones only
     heavy = np.isin(tokens, frequent, assume_unique=True)
     light = tokens[~heavy]
-    if len(light) >= need:
-        return light[:need]
+    if len(light) > n // 4:
+        return light[: n // 4 + 1], none
     rest = tokens[heavy]
-    keys = [light]
-    for low in bands(n):
+    # In a set under 16 tokens two kinds of combinations would ask for more tokens than it has.
+    three = np.isin(rest, many, assume_unique=True) if n >= 16 else np.zeros(len(rest), bool)
+    rest, kind = np.concatenate([rest[~three], rest[three]]), np.repeat([2, 3], [int((~three).sum()), int(three.sum())])
+    keys = []
+    for low, need in spaces(n):
+        missing, seen = need - len(light), {}
+        if missing <= 0:
+            continue
         classes = max(1, low // 8)
         of = ((rest ^ (rest >> np.uint64(32))) * _M[1] >> np.uint64(33)) % np.uint64(classes)
-        missing, seen = need - len(light), {}
-        for t, c in zip(rest.tolist(), of.tolist()):
-            members = seen.setdefault(c, [])
+        for t, c, k in zip(rest.tolist(), of.tolist(), kind.tolist()):
+            members = seen.setdefault((k, c), [])
             members.append(t)
-            missing -= len(members) > 1
+            missing -= len(members) >= k
             if not missing:
                 break
-        for c, members in seen.items():
-            if len(members) > 1:
-                m = np.array(members, np.uint64)
-                i, j = np.triu_indices(len(m), 1)
-                key = (m[i] * _M[1]) ^ (m[j] + np.uint64(0xC2B2AE3D27D4EB4F * low % 2**64))
+        for k in (2, 3):
+            chosen = [x for (kk, _), members in seen.items() if kk == k for x in combinations(members, k)]
+            if chosen:
+                key = np.full(len(chosen), (0x9E3779B97F4A7C15 * (4 * low + k)) % 2**64, np.uint64)
+                for member in np.array(chosen, np.uint64).T:
+                    key = (key ^ (key >> np.uint64(31)) ^ member) * _M[1]
                 keys.append((key ^ (key >> np.uint64(31))) * _M[3])
-    return np.unique(np.concatenate(keys))
+    return light, np.unique(np.concatenate(keys)) if keys else none
 
 
-def _universe_pairs(texts: DataFrame, buckets: int) -> DataFrame:
+def _tokens(value) -> np.ndarray:
+    return np.frombuffer(value, np.uint64)
+
+
+def _universe_pairs(sets: DataFrame, buckets: int) -> DataFrame:
     """(a, b, n) with a < b: candidates by light tokens of the universe; (a, null, n): frequent tokens of a node."""
 
     def deal(batches):
-        shingles, held, size = Shingler(), [], 0
+        held, size = [], 0
 
         def flush():
-            ids, sizes = np.array([h[0] for h in held], np.int64), np.array([h[1] for h in held], np.int32)
-            counts = [len(h[2]) for h in held]
-            tokens, of = np.concatenate([h[2] for h in held]), np.repeat(np.arange(len(held), dtype=np.int32), counts)
+            ids, sizes = np.array([h[0] for h in held], np.int64), np.array([len(h[1]) // 8 for h in held], np.int32)
+            own = [h[2] for h in held]
+            tokens, of = np.concatenate(own), np.repeat(np.arange(len(held), dtype=np.int32), [len(x) for x in own])
+            order = np.argsort(tokens, kind="stable")
+            tokens, of = tokens[order], of[order]
+            first = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
+            count = np.diff(np.concatenate([first, [len(tokens)]]))
+            # Tokens that are frequent here are frequent: their nodes are counted here, and one mark (slot -1) goes on.
+            many = np.repeat(count > LIGHT, count)
+            node, times = np.unique(of[many], return_counts=True)
+            rows = [(int(ids[0] % buckets), b"", b"", ids[node].tobytes(), times.astype(np.int32).tobytes())] if len(node) else []
+            marks = tokens[first[count > LIGHT]]
+            tokens, of = np.concatenate([tokens[~many], marks]), np.concatenate([of[~many], np.full(len(marks), -1, np.int32)])
             bucket = ((tokens * _M[1]) >> np.uint64(20)) % np.uint64(buckets)
             order = np.argsort(bucket, kind="stable")
             tokens, of, bucket = tokens[order], of[order], bucket[order].astype(np.int64)
             found, first = np.unique(bucket, return_index=True)
-            rows = []
             for b, x, y in zip(found.tolist(), first.tolist(), [*first.tolist()[1:], len(tokens)]):
-                own, slot = np.unique(of[x:y], return_inverse=True)
-                rows.append((b, tokens[x:y].tobytes(), slot.astype(np.int32).tobytes(), ids[own].tobytes(), sizes[own].tobytes()))
+                nodes, slot = np.unique(of[x:y], return_inverse=True)
+                marked = len(nodes) and nodes[0] < 0
+                nodes, slot = (nodes[1:], slot - 1) if marked else (nodes, slot)
+                rows.append((b, tokens[x:y].tobytes(), slot.astype(np.int32).tobytes(), ids[nodes].tobytes(), sizes[nodes].tobytes()))
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), *[pa.binary()] * 4))], names=["bucket", "tokens", "slots", "ids", "sizes"])
 
         for batch in small_batches(batches):
-            for key, text in zip(batch.column("id").to_pylist(), texts_of(batch)):
-                tokens = shingles(text)
+            for key, value in zip(batch.column("node").to_pylist(), batch.column("tokens").to_pylist()):
+                tokens = _tokens(value)
                 own = tokens[: int(np.searchsorted(tokens, UNIVERSE))]
-                if len(tokens) > 2 and len(own):
-                    held.append((key, len(tokens), own))
+                if len(own):
+                    held.append((key, value, own))
                     size += len(own)
-                    if size > 1_000_000:
+                    if size > BUCKET_TOKENS:
                         yield flush()
                         held, size = [], 0
         if held:
             yield flush()
 
     def meet(rows: pd.DataFrame) -> pd.DataFrame:
-        ids, sizes, slots, base = [], [], [], 0
-        for i, n, s in zip(rows["ids"], rows["sizes"], rows["slots"]):
+        ids, sizes, slots, tokens, base, counted = [], [], [], [], 0, []
+        for t, s, i, n in zip(rows["tokens"], rows["slots"], rows["ids"], rows["sizes"]):
+            if not t:
+                counted.append((np.frombuffer(i, np.int64), np.frombuffer(n, np.int32)))
+                continue
             ids.append(np.frombuffer(i, np.int64))
             sizes.append(np.frombuffer(n, np.int32))
-            slots.append(np.frombuffer(s, np.int32).astype(np.int64) + base)
+            slot = np.frombuffer(s, np.int32).astype(np.int64)
+            slots.append(np.where(slot < 0, -1, slot + base))
+            tokens.append(_tokens(t))
             base += len(ids[-1])
-        ids, sizes, slots = np.concatenate(ids), np.concatenate(sizes).astype(np.int64), np.concatenate(slots)
-        tokens = np.concatenate([np.frombuffer(t, np.uint64) for t in rows["tokens"]])
-        order = np.lexsort((ids[slots], tokens))
-        tokens, slots = tokens[order], slots[order]
-        first = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
-        count = np.diff(np.concatenate([first, [len(tokens)]]))
-        pairs = []
-        for c in np.unique(count[(count > 1) & (count <= LIGHT)]).tolist():
-            runs = slots[first[count == c][:, None] + np.arange(c)]
-            for i in range(c):
-                for j in range(i + 1, c):
-                    a, b = runs[:, i], runs[:, j]
-                    ok = (ids[a] != ids[b]) & (4 * np.minimum(sizes[a], sizes[b]) >= 3 * np.maximum(sizes[a], sizes[b]))
-                    pairs.append(np.stack([ids[a[ok]], ids[b[ok]]]))
-        pairs = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), np.int64)
-        pairs, times = np.unique(pairs, axis=1, return_counts=True) if pairs.shape[1] else (pairs, np.zeros(0, np.int64))
-        many = np.repeat(count > LIGHT, count)
-        nodes, heavy = np.unique(ids[slots[many]], return_counts=True)
-        a = np.concatenate([pairs[0], nodes])
-        b = pd.array(np.concatenate([pairs[1], np.zeros(len(nodes), np.int64)]), dtype="Int64")
-        b[len(pairs[0]) :] = pd.NA
-        return pd.DataFrame({"a": a, "b": b, "n": np.concatenate([times, heavy])})
-
-    dealt = texts.select("id", "text").mapInArrow(deal, "bucket long, tokens binary, slots binary, ids binary, sizes binary")
+        a, b, n = [x[0] for x in counted], [np.zeros(0, np.int64)], [x[1] for x in counted]
+        missing = [len(x[0]) for x in counted]
+        if tokens:
+            ids, sizes, slots, tokens = np.concatenate(ids), np.concatenate(sizes).astype(np.int64), np.concatenate(slots), np.concatenate(tokens)
+            marks = np.unique(tokens[slots < 0])
+            tokens, slots = tokens[slots >= 0], slots[slots >= 0]
+            order = np.lexsort((ids[slots], tokens))
+            tokens, slots = tokens[order], slots[order]
+            first = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])) if len(tokens) else np.zeros(0, np.int64)
+            count = np.diff(np.concatenate([first, [len(tokens)]]))
+            heavy = (count > LIGHT) | np.isin(tokens[first], marks, assume_unique=True)
+            pairs = []
+            for c in np.unique(count[(count > 1) & ~heavy]).tolist():
+                runs = slots[first[(count == c) & ~heavy][:, None] + np.arange(c)]
+                for i in range(c):
+                    for j in range(i + 1, c):
+                        u, v = runs[:, i], runs[:, j]
+                        ok = 4 * np.minimum(sizes[u], sizes[v]) >= 3 * np.maximum(sizes[u], sizes[v])
+                        pairs.append(np.stack([ids[u[ok]], ids[v[ok]]]))
+            pairs = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), np.int64)
+            order = np.lexsort((pairs[1], pairs[0]))
+            pairs = pairs[:, order]
+            start = np.flatnonzero(np.concatenate([[True], (pairs[:, 1:] != pairs[:, :-1]).any(0)])) if pairs.shape[1] else np.zeros(0, np.int64)
+            nodes, times = np.unique(ids[slots[np.repeat(heavy, count)]], return_counts=True)
+            a, b, n = [pairs[0, start], nodes, *a], [pairs[1, start]], [np.diff(np.concatenate([start, [pairs.shape[1]]])), times, *n]
+            missing = [len(nodes), *missing]
+        a, b, n = np.concatenate(a), np.concatenate(b), np.concatenate(n)
+        b = pd.array(np.concatenate([b, np.zeros(sum(missing), np.int64)]), dtype="Int64")
+        b[len(a) - sum(missing) :] = pd.NA
+        return pd.DataFrame({"a": a, "b": b, "n": n})
+
+    dealt = sets.select("node", "tokens").mapInArrow(deal, "bucket long, tokens binary, slots binary, ids binary, sizes binary")
     return dealt.groupBy("bucket").applyInPandas(meet, "a long, b long, n long")
 
 
-def _verify(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose whole texts are similar."""
+def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (u, v) whose whole sets are similar."""
     pairs = saved(pairs, "candidates")
-    wanted = pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id"))).distinct()
-    texts = saved(picked(rows, wanted), "candidate-texts")
-    both = pairs.join(texts.select(F.col("id").alias("u"), F.col("text").alias("a")), "u").join(texts.select(F.col("id").alias("v"), F.col("text").alias("b")), "v")
+    wanted = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
+    own = saved(picked(sets, wanted, "node").select("node", "tokens"), "candidate-sets")
+    both = pairs.join(own.select(F.col("node").alias("u"), F.col("tokens").alias("a")), "u").join(own.select(F.col("node").alias("v"), F.col("tokens").alias("b")), "v")
 
     def check(batches):
-        shingles, last, a_set = Shingler(), None, None
         for batch in small_batches(batches):
-            keep = []
-            for a, b in zip(texts_of(batch, "a"), texts_of(batch, "b")):
-                if a != last:
-                    last, a_set = a, shingles(a)
-                keep.append(similar(a_set, shingles(b)))
+            keep = [similar(_tokens(a.as_buffer()), _tokens(b.as_buffer())) for a, b in zip(batch.column("a"), batch.column("b"))]
             yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     return saved(both.select("u", "v", "a", "b").mapInArrow(check, "u long, v long").distinct(), "links")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id) for every row.
+    """(id, n_shingles, component_id) for every row; ids are whole numbers.
 
     component_id is the smallest id that links reach; a null, empty or blank text has no shingles and links with nothing;
     rows that repeat an id are one document, linked to all that any of its texts links to; a row with a null id gets its
-    n_shingles, a null component and no links; an empty table gives no rows; other columns are ignored.
+    n_shingles, a null component and no links; an empty table gives no rows; other columns are ignored, whatever their names.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), whole_text(text_col).alias("text"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), whole_text(text_col).alias("text"))
 
     def measure(batches):
         shingles = Shingler()
         for batch in small_batches(batches):
             sets = [shingles(t) for t in texts_of(batch)]
+            known = batch.column("id").is_valid().to_pylist()
             columns = [
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([int(np.searchsorted(s, UNIVERSE)) for s in sets], pa.int64()),
-                pa.array([xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None for s in sets], pa.string()),
+                pa.array([xxhash.xxh3_128_hexdigest(s) if len(s) else None for s in sets], pa.string()),
+                pa.array([s.tobytes() if k and len(s) > 2 else None for k, s in zip(known, sets)], pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], names=["id", "n", "u", "digest"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), *columns], names=["row", "id", "n", "u", "digest", "tokens"])
 
-    sized = saved(rows.mapInArrow(measure, "id long, n long, u long, digest string"), "sets")
-    nodes = saved(sized.filter("id is not null and digest is not null").groupBy("digest").agg(F.min("id").alias("node"), F.first("n").alias("n"), F.first("u").alias("u")), "nodes")
-    distinct = nodes.groupBy(F.col("node").alias("id")).agg(F.max("n").alias("n"))
+    sized = saved(rows.mapInArrow(measure, "row long, id long, n long, u long, digest string, tokens binary"), "sets")
+    told = sized.filter("id is not null and digest is not null")
+    nodes = saved(told.groupBy("digest").agg(F.min("row").alias("node"), F.min("id").alias("id"), F.first("n").alias("n"), F.first("u").alias("u")), "nodes")
     total = nodes.filter("n > 2").agg(F.sum("u").alias("u"), F.count("*").alias("n")).first()
-    links = spark.createDataFrame([], "u long, v long")
+    links = _same_id(told, nodes)
     if total["n"]:
+        sets = sized.select(F.col("row").alias("node"), "n", "tokens")
         buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), (total["u"] or 0) // BUCKET_TOKENS)
-        met = saved(_universe_pairs(picked(rows, distinct.filter("n > 2").select("id")), buckets), "met")
-        light = met.filter("b is not null").groupBy("a", "b").agg(F.sum("n").alias("n"))
-        light = light.select(F.col("a").alias("u"), F.col("b").alias("v"), "n")
+        met = saved(_universe_pairs(picked(sets, nodes.filter("n > 2").select("node"), "node"), buckets), "met")
+        light = met.filter("b is not null").groupBy(F.col("a").alias("u"), F.col("b").alias("v")).agg(F.sum("n").alias("n"))
         heavy = saved(met.filter("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("heavy")), "heavy")
         light = saved(_possible(light, nodes, heavy), "possible-pairs")
         lacking = nodes.filter("n > 2").join(heavy, "node", "left").filter("u - coalesce(heavy, 0) < floor(n / 4) + 1")
-        keyed = _combination_keys(rows, saved(lacking.select(F.col("node").alias("id")).distinct(), "lacking"))
-        links = _link(rows, light, keyed)
-    of = components(links.unionByName(_same_id(sized, nodes)))
-    placed = nodes.join(of, "node", "left").select("digest", F.coalesce("root", "node").alias("root"))
-    placed = saved(placed, "placed")
-    out = sized.join(placed, "digest", "left").select("id", "n", F.coalesce("root", "id").alias("root"))
-    return out.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), F.col("n").alias("n_shingles"), F.col("root").alias("component_id"))
+        lacking = saved(lacking.select("node"), "lacking")
+        links = links.unionByName(_link(sets, light, _combination_keys(picked(sets, lacking, "node"))))
+    of = components(links)
+    members = of.unionByName(of.select(F.col("root").alias("node"), "root").distinct()).join(nodes.select("node", "id"), "node")
+    least = members.groupBy("root").agg(F.min("id").alias("component"))
+    placed = nodes.join(members.join(least, "root").select("node", "component"), "node", "left")
+    placed = saved(placed.select("digest", F.coalesce("component", "id").alias("component")), "placed")
+    out = sized.join(placed, "digest", "left").select("id", "n", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component"))
+    return out.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
 def _possible(pairs: DataFrame, nodes: DataFrame, heavy: DataFrame) -> DataFrame:
     """The pairs (u, v, n) that may link, by n: the light tokens of the universe that they share.
 
     Of a's tokens at most n_a - o are missing in b, where o = 3 (n_a + n_b) / 7 is the overlap that a link needs; its light
-    tokens of the universe that b lacks are among them. Nodes with several sets (repeated ids) are left to verification.
+    tokens of the universe that b lacks are among them.
     """
-    size = nodes.join(heavy, "node", "left").groupBy("node").agg(F.count("*").alias("sets"), F.max("n").alias("size"), F.max(F.col("u") - F.coalesce("heavy", F.lit(0))).alias("light"))
-    of = lambda c: size.select(F.col("node").alias(c), *(F.col(x).alias(f"{c}_{x}") for x in ("sets", "size", "light")))
+    size = nodes.join(heavy, "node", "left").select("node", F.col("n").alias("size"), (F.col("u") - F.coalesce("heavy", F.lit(0))).alias("light"))
+    of = lambda c: size.select(F.col("node").alias(c), *(F.col(x).alias(f"{c}_{x}") for x in ("size", "light")))
     spare = lambda c: F.col(f"{c}_light") - F.col("n") <= F.col(f"{c}_size") - F.ceil(3 * (F.col("u_size") + F.col("v_size")) / 7)
-    joined = pairs.join(of("u"), "u").join(of("v"), "v")
-    return joined.filter((F.col("u_sets") > 1) | (F.col("v_sets") > 1) | (spare("u") & spare("v"))).select("u", "v", "n")
+    return pairs.join(of("u"), "u").join(of("v"), "v").filter(spare("u") & spare("v")).select("u", "v", "n")
 
 
-def _same_id(sized: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Links between the nodes of rows that repeat an id with different sets."""
-    several = sized.filter("id is not null and digest is not null").groupBy("id").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).filter("a <> b").select("id")
-    of = sized.join(several, "id", "left_semi").select("id", "digest").distinct().join(nodes.select("digest", "node"), "digest")
-    return of.select(F.col("id").alias("u"), F.col("node").alias("v")).distinct()
+def _same_id(told: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links (u, v) between the nodes of rows that repeat an id with different sets."""
+    several = told.groupBy("id").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).filter("a <> b").select("id")
+    of = told.select("id", "digest").join(several, "id", "left_semi").distinct().join(nodes.select("digest", "node"), "digest")
+    of = saved(of.select("id", "node"), "same-id")
+    return of.join(of.groupBy("id").agg(F.min("node").alias("u")), "id").select("u", F.col("node").alias("v")).filter("u <> v")
 
 
-def _combination_keys(rows: DataFrame, lacking: DataFrame) -> DataFrame:
-    """(key, id, n) of step 2."""
-    texts = saved(picked(rows, lacking), "lacking-texts")
+def _combination_keys(sets: DataFrame) -> DataFrame:
+    """(key, node, n, light, before) of step 2; light is 0 at keys of a single token."""
+    sets = saved(sets.select("node", "tokens"), "lacking-sets")
 
     def tokens_of(batches):
-        shingles = Shingler()
         for batch in small_batches(batches):
-            sets = [shingles(t) for t in texts_of(batch)]
-            ids = np.repeat(batch.column("id").to_numpy(zero_copy_only=False), [len(s) for s in sets])
-            yield pa.RecordBatch.from_pydict({"token": pa.array(np.concatenate(sets).view(np.int64)), "id": pa.array(ids, pa.int64())})
+            found = [_tokens(t) for t in batch.column("tokens").to_pylist()]
+            nodes = np.repeat(batch.column("node").to_numpy(zero_copy_only=False), [len(s) for s in found])
+            yield pa.RecordBatch.from_pydict({"token": pa.array(np.concatenate(found).view(np.int64)), "node": pa.array(nodes, pa.int64())})
 
-    tokens = texts.mapInArrow(tokens_of, "token long, id long")
-    frequent = tokens.groupBy("token").agg(F.count("*").alias("c")).filter(F.col("c") > LIGHT).select("token")
-    by_id = tokens.join(frequent, "token").groupBy("id").agg(F.collect_set("token").alias("frequent"))
+    tokens = saved(sets.mapInArrow(tokens_of, "token long, node long"), "lacking-tokens")
+    frequent = tokens.groupBy("token").agg(F.count("*").alias("c")).filter(F.col("c") > LIGHT)
+    many = F.collect_set(F.when(F.col("c") > MANY, F.col("token"))).alias("many")
+    by_node = tokens.join(frequent, "token").groupBy("node").agg(F.collect_set("token").alias("frequent"), many)
 
     def sign(batches):
-        shingles = Shingler()
         for batch in small_batches(batches, 64):
             out = []
-            for key, text, frequent in zip(batch.column("id").to_pylist(), texts_of(batch), batch.column("frequent").to_pylist()):
-                own = shingles(text)
-                keys = signatures(own, np.array(frequent or [], np.int64).view(np.uint64))
-                keys = np.sort(keys.view(np.int64))
-                at = np.arange(len(keys))[:, None] + np.arange(-BEFORE, 0)
-                held = np.minimum(np.arange(len(keys)), BEFORE)
-                out.append((keys, np.full(len(keys), key), np.full(len(keys), len(own)), keys[at[at >= 0]], held))
-            keys, ids, n, before, held = (np.concatenate(x) for x in zip(*out))
-            ends = pa.array(np.concatenate([[0], np.cumsum(held)]), pa.int32())
-            before = pa.ListArray.from_arrays(ends, pa.array(before, pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ids, pa.int64()), pa.array(n, pa.int64()), before], names=["key", "id", "n", "before"])
-
-    return saved(texts.join(by_id, "id", "left").select("id", "text", "frequent").mapInArrow(sign, "key long, id long, n long, before array<long>"), "keys")
-
-
-def _link(rows: DataFrame, light: DataFrame, keyed: DataFrame) -> DataFrame:
+            for node, own, frequent, many in zip(*(batch.column(c).to_pylist() for c in ("node", "tokens", "frequent", "many"))):
+                own = _tokens(own)
+                kinds = prefix_keys(own, *(np.array(x or [], np.int64).view(np.uint64) for x in (frequent, many)))
+                # What is known before a key is of its kind: a pair that a combination rules out may be made at a single token.
+                for keys, light in zip(kinds, (0, len(kinds[0]))):
+                    keys = np.sort(keys.view(np.int64))
+                    at = np.arange(len(keys))[:, None] + np.arange(-BEFORE, 0)
+                    out.append((keys, np.full(len(keys), node), np.full(len(keys), len(own)), np.full(len(keys), light), keys[at[at >= 0]], np.minimum(np.arange(len(keys)), BEFORE)))
+            keys, nodes, n, light, before, held = (np.concatenate(x) for x in zip(*out))
+            before = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(held)]), pa.int32()), pa.array(before, pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(keys), *(pa.array(x, pa.int64()) for x in (nodes, n, light)), before], names=["key", "node", "n", "light", "before"])
+
+    return saved(sets.join(by_node, "node", "left").mapInArrow(sign, "key long, node long, n long, light long, before array<long>"), "keys")
+
+
+#: Whether two rows of a key can be linked: each side's light tokens are missing on the other side of a combination.
+MAY_LINK = "4 * least(n, m) >= 3 * greatest(n, m) and 7 * light <= 4 * n - 3 * m and 7 * faint <= 4 * m - 3 * n"
+
+
+def _link(sets: DataFrame, light: DataFrame, keyed: DataFrame) -> DataFrame:
     """Verified links that connect whatever any link connects."""
-    counts = keyed.groupBy("key").agg(F.count("*").alias("c"), F.min("id").alias("first")).filter("c > 1")
-    known = keyed.join(counts, "key")
-    star = known.filter("id <> first").groupBy(F.col("first").alias("u"), F.col("id").alias("v")).agg(F.count("*").alias("n"))
-    all_pairs = light.unionByName(star)
-    # One partner a node: the one with which it shares most, the smaller id of equals.
-    best = all_pairs.groupBy("v").agg(F.max_by("u", F.struct("n", -F.col("u"))).alias("u")).select("u", "v")
-    links = _verify(best, rows)
+    counts = keyed.groupBy("key").agg(F.count("*").alias("c"), F.min_by(F.struct("node", "n", "light"), F.struct("light", "node")).alias("centre"), F.min("n").alias("least")).filter("c > 1")
+    # A row that no size at its key suits is out: its light tokens alone are more than it may lack there.
+    known = keyed.join(counts.select("key", "least", F.col("centre.node").alias("centre"), F.col("centre.n").alias("m"), F.col("centre.light").alias("faint")), "key").filter("7 * light <= 4 * n - 3 * least")
+    star = known.filter(f"node <> centre and {MAY_LINK}").groupBy(F.col("centre").alias("u"), F.col("node").alias("v")).agg(F.count("*").alias("n"))
+    # One partner a node: the one with which it shares most, the smaller of equals.
+    best = light.unionByName(star).groupBy("v").agg(F.max_by("u", F.struct("n", -F.col("u"))).alias("u")).select("u", "v")
+    links = _verify(best, sets)
     of = saved(components(links), "first-components")
     rooted = lambda pairs, c: pairs.join(of.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")), c, "left").withColumn(f"{c}_root", F.coalesce(f"{c}_root", c))
     apart = rooted(rooted(light.select("u", "v"), "u"), "v").filter("u_root <> v_root").select("u", "v")
-    # Keys whose nodes are in several components: each pair across components, where sizes allow a link. A pair that shares
-    # many keys is made at few of them: not where both know a common key just before, and so always at its first.
-    placed = saved(rooted(known.select("key", F.col("id").alias("u"), "n", "before"), "u"), "placed-keys")
+    # Keys whose nodes are in several components: pairs of a node outside the centre's component with any node of another.
+    # A pair that shares many keys is made at few of them: not where both know a common key just before, and so always at
+    # its first.
+    placed = saved(rooted(known.select("key", F.col("node").alias("u"), "n", "light", "before", "centre"), "u"), "placed-keys")
     mixed = placed.groupBy("key").agg(F.min("u_root").alias("a"), F.max("u_root").alias("b")).filter("a <> b").select("key")
-    left = saved(placed.join(mixed, "key", "left_semi"), "mixed-keys")
-    right = left.select("key", F.col("u").alias("v"), F.col("n").alias("m"), F.col("u_root").alias("v_root"), F.col("before").alias("earlier"))
-    across = left.join(right, "key").filter("u < v and u_root <> v_root and 4 * least(n, m) >= 3 * greatest(n, m) and not arrays_overlap(before, earlier)").select("u", "v")
+    placed = rooted(placed.join(mixed, "key", "left_semi"), "centre")
+    placed = saved(placed, "mixed-keys")
+    right = placed.select("key", F.col("u").alias("v"), F.col("n").alias("m"), F.col("light").alias("faint"), F.col("before").alias("earlier"), F.col("u_root").alias("v_root"))
+    outside = placed.filter("u_root <> centre_root")
+    across = outside.join(right, "key").filter(f"u_root <> v_root and (v_root = centre_root or u < v) and {MAY_LINK} and not arrays_overlap(before, earlier)")
+    across = across.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     tried = best.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     rest = apart.unionByName(across).distinct().join(tried, ["u", "v"], "left_anti")
-    return links.unionByName(_verify(rest, rows))
+    return links.unionByName(_verify(rest, sets))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs without the near duplicates of a smaller id; all columns stay, and rows with a null id."""
-    found = near_duplicates(docs, id_col, text_col)
+    """One row of each group of near duplicates, that of the smallest id, with all its columns; and every row with a null id.
+
+    Rows that repeat an id are one document; of those with the same words one stays. An empty table stays empty.
+    """
+    found = saved(near_duplicates(docs, id_col, text_col), "groups")
     gone = found.filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    kept = docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    again = found.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count("*").alias("c")).filter("c > 1").select(id_col)
+    again = saved(again, "repeated-ids")
+    if again.isEmpty():
+        return kept
+    upper, lower = (bytes(range(x, x + 26)).decode() for x in (65, 97))
+    words = F.trim(F.regexp_replace(F.translate(whole_text(text_col), upper, lower), r"[\x20\x09-\x0D]+", " "))
+    one = kept.join(again, id_col, "left_semi").select(F.struct(*docs.columns).alias("all"), F.col(id_col).alias("by"), F.sha2(words, 256).alias("same"), F.xxhash64(text_col).alias("h"))
+    one = one.groupBy("by", "same").agg(F.min_by("all", "h").alias("all")).select("all.*")
+    return kept.join(again, id_col, "left_anti").select(*docs.columns).unionByName(one)
 
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the smallest id that links reach; nulls, blanks and repeats as near_duplicates says."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
