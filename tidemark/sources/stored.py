@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder name under spark.checkpoint.dir; where that is unset (tests on one machine), one is set."""
+    """A new folder name under spark.checkpoint.dir; where that is unset, one is set for a single machine, and a cluster is refused."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="tidemark-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
