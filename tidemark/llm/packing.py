@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import pieces, saved, whole_text
-from .tokens import ChunkEncoder, id_dtype, small_batches, texts_of
+from .tokens import ChunkEncoder, id_dtype, small_batches, term_runs, texts_of
 
 OUT = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -39,13 +39,11 @@ def term_counts(ids: DataFrame, dtype: str) -> tuple[int, int, np.ndarray]:
 
     def count(batches):
         df, n, tokens = np.zeros(1 << 16, np.int64), 0, 0
-        for batch in batches:
-            for x in batch.column("ids").to_pylist():
-                terms = np.unique(np.frombuffer(x, dtype))
-                if terms[-1] >= len(df):
-                    df = np.concatenate([df, np.zeros(int(terms[-1]) + 1 - len(df), np.int64)])
-                df[terms] += 1
-                n, tokens = n + 1, tokens + len(x) // np.dtype(dtype).itemsize
+        for batch in small_batches(batches):
+            found = [np.frombuffer(x, dtype) for x in batch.column("ids").to_pylist()]
+            terms = np.bincount(term_runs(found)[1], minlength=len(df))
+            terms[: len(df)] += df
+            df, n, tokens = terms, n + len(found), tokens + sum(map(len, found))
         seen = np.flatnonzero(df)
         yield pa.RecordBatch.from_pydict({"term": pa.array([-2, -1, *seen], pa.int64()), "n": pa.array([n, tokens, *df[seen]], pa.int64())})
 
@@ -69,15 +67,10 @@ class Shard:
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean_length: float, k1: float = 1.2, b: float = 0.75):
         self.n = len(docs)
-        terms, tfs, of = [], [], []
-        for i, ids in enumerate(docs):
-            t, c = np.unique(ids, return_counts=True)
-            keep = idf[t] > 0  # a term of most documents has weight 0
-            terms.append(t[keep])
-            tfs.append(c[keep].astype(np.int32))
-            of.append(np.full(int(keep.sum()), i, np.int32))
-        self.bounds = np.concatenate([[0], np.cumsum([len(t) for t in terms])])
-        term, tf, of = (np.concatenate(x) for x in (terms, tfs, of))
+        of, term, tf = term_runs(docs)
+        keep = idf[term] > 0  # a term of most documents has weight 0
+        of, term, tf = of[keep].astype(np.int32), term[keep], tf[keep].astype(np.int32)
+        self.bounds = np.searchsorted(of, np.arange(self.n + 1))
         self.size = np.array([len(d) for d in docs])
         weight = idf[term] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * self.size[of] / mean_length))
         known, slot = np.unique(term, return_inverse=True)
@@ -202,11 +195,13 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = 2048,
     mean_length = max(1.0, tokens / max(1, n))
 
     def place(batches):
-        for batch in batches:
-            keys = []
-            for x in batch.column("ids").to_pylist():
-                t, c = np.unique(np.frombuffer(x, dtype), return_counts=True)
-                keys.append(int(t[np.argmax(c * idf.value[t] / (c + 1.2))]))
+        for batch in small_batches(batches):
+            of, term, tf = term_runs([np.frombuffer(x, dtype) for x in batch.column("ids").to_pylist()])
+            weight = tf * idf.value[term] / (tf + 1.2)
+            first = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))  # every row has a term, its end id at least
+            most = np.repeat(np.maximum.reduceat(weight, first), np.diff(np.concatenate([first, [len(of)]])))
+            best = np.flatnonzero(weight == most)
+            keys = term[best[np.unique(of[best], return_index=True)[1]]]
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), *batch.columns], names=["place", *batch.schema.names])
 
     kind = ids.schema["id"].dataType.simpleString()

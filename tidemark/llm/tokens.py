@@ -15,8 +15,8 @@ from array import array
 import numpy as np
 import pyarrow as pa
 
-#: Chunks and pieces remembered per Python worker; a memory is dropped when full, so both stay bounded.
-CHUNKS, PIECES = 300_000, 300_000
+#: Chunks, and pieces of them, that a Python worker remembers in each of two generations, so both stay bounded.
+CHUNKS, PIECES = 200_000, 50_000
 #: Chunks of printable ASCII and Latin-1 letters: already NFC, lower case letter by letter; and their pieces.
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 _PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
@@ -30,16 +30,24 @@ BYTE_CHARACTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b n
 
 
 class _Memory(dict):
-    """Ids by chunk; an unknown chunk is read when it is first asked for."""
+    """Ids by chunk; an unknown chunk is read when it is first asked for. What is asked for again outlives the generation before."""
 
-    def __init__(self, read):
+    def __init__(self, read, before=None):
         super().__init__()
-        self.read = read
+        self.read, self.before = read, before
 
-    def __missing__(self, chunk: bytes) -> bytes:
-        out = self[chunk] = self.read(chunk)
+    def __missing__(self, chunk):
+        out = self.before.get(chunk) if self.before is not None else None
+        if out is None:
+            out = self.read(chunk)
+        self[chunk] = out
         return out
 
+    def following(self) -> "_Memory":
+        """This memory as the generation before an empty one."""
+        self.before = None
+        return _Memory(self.read, self)
+
 
 class ChunkEncoder:
     """Little-endian unsigned ids (16 bits where the vocabulary allows it, else 32) of texts given as UTF-8 bytes."""
@@ -57,8 +65,8 @@ class ChunkEncoder:
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.special = re.compile("|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()) or "(?!)")
         self.tokenize = self.tokenizer.model.tokenize
-        self.known = _Memory(self._chunk)
-        self.known_pieces: dict[str, bytes] = {}
+        self.known, self.known_pieces = _Memory(self._chunk), _Memory(self._piece)
+        self.as_bytes = _Memory(lambda c: "".join(chr(BYTE_CHARACTERS.get(x, x)) for x in c.encode()))
 
     @classmethod
     def of(cls, path: str) -> "ChunkEncoder":
@@ -68,29 +76,32 @@ class ChunkEncoder:
 
     def _piece(self, piece: str) -> bytes:
         """Ids of a normalised piece, which the model reads with every byte as a character."""
-        if len(self.known_pieces) > PIECES:
-            self.known_pieces.clear()
-        as_bytes = piece if piece.isascii() else piece.encode().decode("latin-1").translate(BYTE_CHARACTERS)
-        out = self.known_pieces[piece] = array(self.code, [t.id for t in self.tokenize(as_bytes)]).tobytes()
-        return out
+        if not piece.isascii():
+            piece = "".join(map(self.as_bytes.__getitem__, piece))
+        return array(self.code, [t.id for t in self.tokenize(piece)]).tobytes()
 
     def _chunk(self, chunk: bytes) -> bytes:
+        if chunk.isalpha():  # ASCII letters alone: one piece, and no special string
+            return array(self.code, [t.id for t in self.tokenize(chunk.lower().decode())]).tobytes()
+        if chunk[:-1].isalpha() and 32 < chunk[-1] < 127 and not chunk[-1:].isdigit():  # and one mark behind them
+            return self.known[chunk[:-1]] + self.known_pieces[chunk[-1:].decode()]
         text = chunk.decode("utf-8", "replace")
         if self.special.search(text):
             return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        known = self.known_pieces
         if _PLAIN.fullmatch(text):
-            pieces = _PIECE.findall(text.lower())
-            if len(pieces) == 1:
-                return known.get(pieces[0]) or self._piece(pieces[0])
-            return b"".join([known.get(p) or self._piece(p) for p in pieces])
+            text = text.lower()
+            if text.isalpha():
+                return self._piece(text)
+            return b"".join(map(self.known_pieces.__getitem__, _PIECE.findall(text)))
         pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(text))
         return array(self.code, [t.id for p, _ in pieces for t in self.tokenize(p)]).tobytes()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
+        if len(self.known) > CHUNKS:
+            self.known = self.known.following()
+        if len(self.known_pieces) > PIECES:
+            self.known_pieces = self.known_pieces.following()
         known = self.known
-        if len(known) > CHUNKS:
-            known.clear()
         return [b"".join(map(known.__getitem__, text.split())) for text in texts]
 
 
@@ -112,3 +123,13 @@ def small_batches(batches, rows: int = 256):
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+
+
+def term_runs(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, term, times) of every distinct term of every document, by document and term, with one sort over all of them."""
+    size = [len(d) for d in docs]
+    key = (np.repeat(np.arange(len(docs), dtype=np.uint64), size) << np.uint64(32)) | (np.concatenate(docs) if docs else np.zeros(0)).astype(np.uint64)
+    key.sort()
+    first = np.flatnonzero(np.concatenate([[len(key) > 0], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    times = np.diff(np.concatenate([first, [len(key)]]))
+    return (key[first] >> np.uint64(32)).astype(np.int64), (key[first] & np.uint64(0xFFFFFFFF)).astype(np.int64), times
