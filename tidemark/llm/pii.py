@@ -80,6 +80,8 @@ DIGITS = {
     )
     for value, word in enumerate(words.split())
 }
+#: The characters beyond ASCII that an expression without regard to case takes for these letters.
+SAME_LETTER = str.maketrans("ſıİ\u212a", "siik")
 _ODD = re.compile("[" + "".join(map(re.escape, [*LOOKALIKES, *MARKS, *INVISIBLE])) + "！-～٠-٩۰-۹०-९]")
 _WORD = "|".join(sorted(DIGITS, key=len, reverse=True))
 _SPELLED = re.compile(rf"\b(?:(?:plus|más|mas)\s)?(?:(?:{_WORD})[ ,.-]{{1,2}}|[0-9][ ,.-]{{0,2}}){{6,}}(?:{_WORD}|[0-9])\b", re.I)
@@ -150,7 +152,7 @@ def edits(text: str) -> list[tuple[int, int, str]]:
             if _HAS_SPELLED.search(m[0]):
                 for p in _SPELLED_PART.finditer(text, m.start(), m.end()):
                     if not p[3]:
-                        out.append((p.start(), p.end(), "+" if p[1] else DIGITS[p[2].lower()] if p[2] else ""))
+                        out.append((p.start(), p.end(), "+" if p[1] else DIGITS[p[2].translate(SAME_LETTER).lower()] if p[2] else ""))
     out.sort()
     kept, end = [], 0
     for e in out:
