@@ -44,43 +44,51 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(digest, f"id {rows.schema['id'].dataType.simpleString()}, fingerprint string").withColumnRenamed("id", id_col)
 
 
-def same_text(docs: DataFrame, prints: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, class_id): the smallest id whose canonical bytes are equal, for every id of prints (id, fingerprint).
+def same_text(docs: DataFrame, prints: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest=fingerprint) -> DataFrame:
+    """(id, fingerprint, class_id): the smallest id whose canonical bytes are equal, for every id and fingerprint of prints.
 
     Buckets of equal fingerprints are compared byte by byte with their first document; those that differ (a collision of
     the digest) form buckets of their own and are compared again, until none differs. Only documents that share a bucket
-    move their texts, and the join on the bucket's first document is one that Spark may split when a bucket is huge.
+    move their texts, and the join on the bucket is one that Spark may split when a bucket is huge. A repeated id has a row
+    for each of its fingerprints (rows that repeat both count once, by their smallest text); null ids have none; an empty
+    table gives no rows; other columns are ignored. ``digest`` is what made the fingerprints.
     """
-    ids = prints.select(F.col(id_col).alias("id"), F.col("fingerprint").alias("bucket")).filter("id is not null").distinct()
+    kind = prints.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
-    done, left = None, ids
+    left = prints.select(F.col(id_col).alias("id"), "fingerprint").filter("id is not null").distinct().withColumn("bucket", F.col("fingerprint"))
+    key, done = ["id", "fingerprint", "bucket", "leader"], None
+
+    def own_text(batches):  # of a repeated id only the texts of that fingerprint
+        for batch in small_batches(batches):
+            yield batch.filter(pa.array([digest(t) == f for t, f in zip(batch.column("text").to_pylist(), batch.column("fingerprint").to_pylist())], pa.bool_()))
+
+    def compare(batches):
+        for batch in small_batches(batches):
+            same = [canonical(a) == canonical(b) for a, b in zip(batch.column("text").to_pylist(), batch.column("first_text").to_pylist())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in key), pa.array(same, pa.bool_())], names=[*key, "same"])
+
     while True:
         leaders = left.groupBy("bucket").agg(F.min("id").alias("leader"), F.count("*").alias("n"))
-        members = left.join(leaders, "bucket").select("id", "leader", "bucket", "n")
-        shared = saved(members.filter("n > 1"), "shared-buckets")
-        own = picked(texts, shared)
-        first = own.filter("id = leader").select(F.col("leader").alias("first"), F.col("text").alias("first_text"))
-        pairs = own.filter("id <> leader").join(first, F.col("leader") == F.col("first"))
-
-        def compare(batches):
-            for batch in small_batches(batches):
-                same = [canonical(a) == canonical(b) for a, b in zip(batch.column("text").to_pylist(), batch.column("first_text").to_pylist())]
-                yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("leader"), batch.column("bucket"), pa.array(same, pa.bool_())], names=["id", "leader", "bucket", "same"])
-
-        kind = ids.schema["id"].dataType.simpleString()
-        compared = saved(pairs.select("id", "leader", "bucket", "text", "first_text").mapInArrow(compare, f"id {kind}, leader {kind}, bucket string, same boolean"), "same-text")
-        settled = members.filter("id = leader").select("id", "leader").unionByName(compared.filter("same").select("id", "leader"))
+        members = left.join(leaders, "bucket").select(*key, "n")
+        shared = saved(members.filter("n > 1").drop("n"), "shared-buckets")
+        shape = f"id {kind}, fingerprint string, bucket string, leader {kind}"
+        own = picked(texts, shared).select(*key, "text").mapInArrow(own_text, f"{shape}, text string").groupBy(*key).agg(F.min("text").alias("text"))
+        first = own.filter("id = leader").select("bucket", F.col("text").alias("first_text"))
+        pairs = own.filter("id <> leader").join(first, "bucket").select(*key, "text", "first_text")
+        compared = saved(pairs.mapInArrow(compare, f"{shape}, same boolean"), "same-text")
+        settled = members.filter("id = leader").unionByName(compared.filter("same"), allowMissingColumns=True).select("id", "fingerprint", "leader")
         done = settled if done is None else done.unionByName(settled)
-        left = compared.filter("not same").select("id", F.concat("bucket", F.lit("+")).alias("bucket"))
+        left = compared.filter("not same").select("id", "fingerprint", F.concat("bucket", F.lit("+")).alias("bucket"))
         if left.isEmpty():
-            return done.select(F.col("id").alias(id_col), F.col("leader").alias("class_id"))
+            return done.select(F.col("id").alias(id_col), "fingerprint", F.col("leader").alias("class_id"))
 
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each row's fingerprint beside that of its edited text: the last quarter replaced by the start of the next row's text.
 
     Rows are put in id order by range (equal ids in one range, nulls first); each range is read once, front to back, and
-    only its first and last texts are kept for the joins between ranges. After the last row comes the first.
+    only its first and last texts are kept for the joins between ranges. After the last row comes the first. A null text is
+    the empty text; null and repeated ids keep their rows; an empty table gives no rows; other columns are ignored.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
@@ -139,4 +147,4 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = saved(edited_fingerprints(docs), "fingerprints")
-    return rows.join(same_text(docs, rows), "doc_id", "left")
+    return rows.join(same_text(docs, rows), ["doc_id", "fingerprint"], "left")
