@@ -79,6 +79,11 @@ def learn(x: np.ndarray, m: int = 16, k: int = 256, rounds: int = 1, seed: int =
     return books
 
 
+def narrowed(vectors) -> np.ndarray:
+    """Vectors for the quantiser in single precision, whose sums of squares mustn't overflow."""
+    return np.clip(np.array(vectors, np.float64), -1e15, 1e15).astype(np.float32)
+
+
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """Rows (id, v) that take part: an id, and a vector of finite components that aren't all zero."""
     rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
@@ -93,26 +98,26 @@ def search(vectors: DataFrame, queries: DataFrame, top: int = 10, rerank: int =
     scored for every query. A block of codes gives a query its ``rerank`` best by table sums (ties to the smaller id, so
     copies of one vector come in id order), the best of all blocks are scored exactly, in double precision, on the
     original vectors. Vectors that are null, zero or not finite, and null ids, take no part; a row never meets a query of its own
-    id; repeated rows of an id count once; fewer candidates than top give fewer rows; vectors of another length than the
-    first in hash order take no part; an empty table gives no rows.
+    id; repeated rows of an id count once; fewer candidates than top give fewer rows; only vectors of the most
+    frequent length (of equally frequent ones the greatest) take part; an empty table gives no rows. With ``rerank`` at
+    least the number of rows every candidate is scored exactly and the result is exact. Magnitudes over 1e15 are searched
+    as 1e15 and scored as they are.
     """
     spark = vectors.sparkSession
     rows = saved(usable(vectors, id_col, vector_col).groupBy("id").agg(F.min("v").alias("v")), "vectors")
-    taken = rows.orderBy(F.xxhash64("id"), "id").limit(sample).collect()
     kind = rows.schema["id"].dataType.simpleString()
-    shape = f"query_id {kind}, rank int, {id_col} {kind}, score double"
-    if not taken:
-        return spark.createDataFrame([], shape)
-    dim = len(taken[0]["v"])
-    rows = rows.filter(F.size("v") == dim)
-    train = np.array([r["v"] for r in taken if len(r["v"]) == dim], np.float32)
-    books = spark.sparkContext.broadcast(learn(train))
+    length = rows.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("dim")).first()
+    if length is None:
+        return spark.createDataFrame([], f"query_id {kind}, rank int, {id_col} {kind}, score double")
+    rows = rows.filter(F.size("v") == length["dim"])
+    taken = rows.orderBy(F.xxhash64("id"), "id").limit(sample).collect()
+    books = spark.sparkContext.broadcast(learn(narrowed([r["v"] for r in taken])))
 
     def quantise(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                codes = encode(np.array(part.column("v").to_pylist(), np.float32), books.value)
+                codes = encode(narrowed(part.column("v").to_pylist()), books.value)
                 norms = (decode(codes, books.value).astype(np.float64) ** 2).sum(1).astype(np.float32)
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(norms)], names=["id", "code", "norm"])
 
@@ -152,7 +157,7 @@ def search(vectors: DataFrame, queries: DataFrame, top: int = 10, rerank: int =
                 ids, norms, codes = ids[order], norms[order], codes[order]
                 out = []
                 for query in asked:
-                    table = books.value.words @ np.array(query["v"], np.float32)
+                    table = books.value.words @ narrowed(query["v"])
                     score = norms - 2 * sum(table[j][codes[:, j]] for j in range(codes.shape[1]))
                     score[ids == query["query_id"]] = np.inf
                     best = np.arange(len(ids))
