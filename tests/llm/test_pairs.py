@@ -152,3 +152,27 @@ def test_search(spark, size):
 def test_search_of_nothing(spark):
     table = spark.createDataFrame([(1, None)], "vec_id long, embedding array<float>")
     assert search(table, table).count() == 0
+
+
+def test_search_by_the_quantiser(spark):
+    """Far fewer candidates are reranked than there are: what is found is up to the codes."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(60, 32))
+    x = centres[rng.integers(0, 60, 4000)] + 0.6 * rng.normal(size=(4000, 32))
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = {(r["query_id"], r["vec_id"]) for r in search(table, table.filter("vec_id % 100 = 0"), rerank=100, block=1024).collect()}
+    wanted = set()
+    for q in range(0, 4000, 100):
+        d = ((x - x[q]) ** 2).sum(1)
+        d[q] = np.inf
+        wanted |= {(q, int(j)) for j in np.argsort(d, kind="stable")[:10]}
+    assert len(got) == len(wanted) and len(got & wanted) >= 0.9 * len(wanted)
+
+
+def test_search_of_odd_lengths(spark):
+    """One vector of another length, whatever its place, and huge components."""
+    for odd in (0, 3, 7, 49):
+        rows = [(i, [float(i), 1.0] if i != odd else [1.0, 2.0, 3.0]) for i in range(50)] + [(60, [1e300, 1.0]), (61, [-1e300, 1.0])]
+        got = search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), spark.createDataFrame([(20,), (60,), (odd,)], "vec_id long")).collect()
+        assert {r["vec_id"] for r in got if r["query_id"] == 20} <= set(range(14, 27)) - {20, odd}
+        assert sorted({r["query_id"] for r in got}) == sorted({20, 60} - {odd}) and len(got) == 20

@@ -27,18 +27,18 @@ def topic_of(text: Column) -> Column:
     return out
 
 
-def marked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with _source, _lang, _topic ('' for null), _tokens (white-space words, at least 1) and _u (uniform by id)."""
+def marks(id_col: str = "doc_id", text_col: str = "text", tokens_col: str | None = None) -> list[Column]:
+    """_source, _lang, _topic ('' for null), _tokens (tokens_col where given, else white-space words; at least 1) and _u (uniform by id)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
+    tokens = F.col(tokens_col) if tokens_col else F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+"))
     digits = F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), 1, 8)
-    return docs.select(
-        "*",
+    return [
         F.coalesce("source", F.lit("")).alias("_source"),
         F.coalesce("lang", F.lit("")).alias("_lang"),
         topic_of(text).alias("_topic"),
-        F.greatest(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(1)).cast("long").alias("_tokens"),
+        F.greatest(tokens, F.lit(1)).cast("long").alias("_tokens"),
         (F.conv(digits, 16, 10).cast("double") / F.lit(4294967296.0)).alias("_u"),
-    )
+    ]
 
 
 def smoothed(mass: dict[str, float], alpha: float) -> dict[str, float]:
@@ -123,28 +123,37 @@ def _factor(keep: float, sums) -> float:
         factor = new
 
 
-def mixed(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, id_col: str = "doc_id", text_col: str = "text", **fit) -> DataFrame:
+def _drawn(docs: DataFrame, targets: dict | None, id_col: str, text_col: str, tokens_col: str | None, fit: dict) -> DataFrame:
+    """Each row of docs as a struct _doc, beside its marks, probability and selected: no name of docs can meet one of these."""
+    every = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc"), *marks(id_col, text_col, tokens_col))
+    keys = [f"_{d}" for d in DIMENSIONS]
+    cells = every.groupBy(*keys).agg(F.sum("_tokens").alias("mass"))
+    return every.join(rates(cells, targets, **fit), keys).withColumn("selected", F.col("_u") < F.col("probability"))
+
+
+def mixed(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, id_col: str = "doc_id", text_col: str = "text", tokens_col: str | None = None, **fit) -> DataFrame:
     """docs with _source, _lang, _topic, _tokens, _u, probability, and selected (_u below probability).
 
     The draw is a function of the id alone, so rows of an id share it and a job that is run again selects the same. A null
     source or language is a category of its own (''); a null or empty text weighs one token; an empty table gives none.
-    Only a count by cell is shuffled, after map-side sums; a hot source costs nothing.
+    Columns of docs by one of the names above give way to them. Only a count by cell is shuffled, after map-side sums; a
+    hot source costs nothing.
     """
-    every = marked(docs, id_col, text_col)
-    keys = [f"_{d}" for d in DIMENSIONS]
-    cells = every.groupBy(*keys).agg(F.sum("_tokens").alias("mass"))
-    return every.join(rates(cells, targets, **fit), keys).withColumn("selected", F.col("_u") < F.col("probability"))
+    out = _drawn(docs, targets, id_col, text_col, tokens_col, fit)
+    new = [c for c in out.columns if c != "_doc"]
+    return out.select(*(F.col("_doc").getField(c).alias(c) for c in docs.columns if c not in new), *new)
 
 
-def sample(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, **options) -> DataFrame:
-    """The selected rows of docs, with its columns."""
-    return mixed(docs, targets, **options).filter("selected").select(*docs.columns)
+def sample(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, id_col: str = "doc_id", text_col: str = "text", tokens_col: str | None = None, **fit) -> DataFrame:
+    """The selected rows of docs, with its columns, whatever their names; nulls, repeats and empty tables as in mixed()."""
+    return _drawn(docs, targets, id_col, text_col, tokens_col, fit).filter("selected").select("_doc.*")
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its cell, words, calibrated probability and draw; nulls and repeats as in mixed()."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source", "lang")
     # The marks are a few bytes a row: kept, so texts are read once.
-    narrow = saved(marked(docs).drop("text", "source", "lang"), "marks")
+    narrow = saved(docs.select("doc_id", *marks()), "marks")
     keys = [f"_{d}" for d in DIMENSIONS]
     fitted = rates(narrow.groupBy(*keys).agg(F.sum("_tokens").alias("mass")))
     out = narrow.join(fitted, keys)
