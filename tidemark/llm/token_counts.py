@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import saved, shared_dir, whole_text
+from .common import BROADCAST_IDS, saved, shared_dir, whole_text
 from .tokens import small_batches, texts_of
 
 CACHE = T.StructType([T.StructField("digest", T.StringType()), T.StructField("tokenizer", T.StringType()), T.StructField("n_tokens", T.LongType())])
@@ -42,18 +42,22 @@ def token_counts(docs: DataFrame, tokenizer_path: str, cache_path: str, id_col:
     A null text counts as the empty text (0 bytes, 0 tokens); repeated rows and equal texts are encoded once and each
     returned; rows with a null id are counted too; an empty table gives an empty result; other columns are ignored.
     The digest is sha-256 over the UTF-8 bytes with null made empty: no further folding, since it would change counts.
-    A key with a third of all rows only reaches joins that Spark may split, and aggregations with map-side combine.
+    Equal texts meet in an aggregation with map-side combine, so a text that a third of all rows have is one row a task;
+    counts are joined to rows by a join that Spark may split. Where few digests are missing, only their texts move at all.
     """
     spark = docs.sparkSession
     version = tokenizer_digest(tokenizer_path)
     rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
     keyed = saved(rows.select("id", F.sha2("text", 256).alias("digest"), F.octet_length("text").cast("long").alias("n_bytes")), "digests")
-    known = cache(spark, cache_path).filter(F.col("tokenizer") == version)
-    # One row of each distinct missing text is chosen by its id alone, so texts are shuffled once, by an even key.
-    misses = keyed.groupBy("digest").agg(F.min("id").alias("id")).join(known, "digest", "left_anti")
-    texts = rows.withColumn("digest", F.sha2("text", 256)).join(misses, ["id", "digest"], "left_semi")
-    null_ids = misses.filter("id is null").select("digest")
-    texts = texts.unionByName(rows.filter("id is null").withColumn("digest", F.sha2("text", 256)).join(null_ids, "digest", "left_semi"))
+    known = lambda: cache(spark, cache_path).filter(F.col("tokenizer") == version)
+    misses = saved(keyed.select("digest").distinct().join(known(), "digest", "left_anti"), "misses")
+    few = misses.count() <= BROADCAST_IDS
+    texts = rows.select(F.sha2("text", 256).alias("digest"), "text")
+    if few:
+        texts = texts.join(F.broadcast(misses), "digest", "left_semi")
+    texts = texts.groupBy("digest").agg(F.first("text").alias("text"))
+    if not few:
+        texts = texts.join(misses, "digest", "left_semi")
 
     def encode(batches):
         count = _encoder(tokenizer_path)
@@ -61,9 +65,9 @@ def token_counts(docs: DataFrame, tokenizer_path: str, cache_path: str, id_col:
             yield pa.RecordBatch.from_pydict({"digest": batch.column("digest"), "n_tokens": pa.array(count([t.decode() for t in texts_of(batch)]), pa.int64())})
 
     new = texts.select("digest", "text").mapInArrow(encode, "digest string, n_tokens long")
-    new = new.groupBy("digest").agg(F.first("n_tokens").alias("n_tokens"))
     new.select("digest", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache_path)
-    stored = cache(spark, cache_path).filter(F.col("tokenizer") == version).select("digest", "n_tokens").dropDuplicates(["digest"])
+    # Written once more, each digest once, so that the join below is of two plain shuffles and can be split.
+    stored = saved(known().groupBy("digest").agg(F.min("n_tokens").alias("n_tokens")), "counts")
     return keyed.join(stored, "digest").select(F.col("id").alias(id_col), "n_bytes", "n_tokens")
 
 
@@ -76,6 +80,7 @@ def cache(spark: SparkSession, path: str) -> DataFrame:
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's bytes and tokens, through a cache that starts empty; nulls and repeats as in token_counts()."""
     import public_tokenizers
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
