@@ -1,5 +1,6 @@
 """Encoding, packing, the keyed store and the digest cache against whole-text encoding."""
 
+import os
 import random
 import zlib
 from collections import defaultdict
@@ -12,7 +13,7 @@ from tokenizers import Tokenizer
 from tidemark.llm.common import shared_dir
 from tidemark.llm.packing import Shard, pack
 from tidemark.llm.token_counts import cache, token_counts
-from tidemark.llm.token_store import PerfectHash, find, read, write_store
+from tidemark.llm.token_store import PerfectHash, find, get, read, write_store
 from tidemark.llm.tokens import ChunkEncoder
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -155,7 +156,41 @@ def test_store_round_trip(spark, request, whole, which):
 def test_store_of_nothing(spark, no_docs):
     path = shared_dir(spark, "store")
     write_store(no_docs, path, PATH, 2)
-    assert find(spark, path, spark.createDataFrame([(1, 0)], "key long, nth long")).count() == 0
+    keys = spark.createDataFrame([(1, 0)], "key long, nth long")
+    assert find(spark, path, keys).count() == read(spark, path, find(spark, path, keys)).count() == 0 and get(spark, path, 1) is None
+
+
+def test_a_lookup_reads_its_bucket_alone(spark, whole, sf_docs, texts):
+    path = shared_dir(spark, "store")
+    write_store(sf_docs, path, PATH, 2, bucket_keys=2)
+    few = spark.createDataFrame([(k, 0) for k in sorted(texts)[:2]], "key long, nth long")
+    found = find(spark, path, few)
+    plan = found._jdf.queryExecution().toString()
+    assert found.count() == 2 and "PartitionFilters: [span" in plan
+    for k in sorted(texts)[:9]:
+        assert get(spark, path, k).tolist() == whole(texts[k]) + [2]
+    assert get(spark, path, 10**9) is None and get(spark, path, None) is None
+    kept = sorted(texts)[0]
+    # Without all other folders of the index the key is still found.
+    buckets = spark.read.parquet(f"{path}/meta").first()["buckets"]
+    assert buckets > 16
+    local = path.removeprefix("file://")
+    spans = {int(d.split("=")[1]) for d in os.listdir(f"{local}/index") if d.startswith("span=")}
+    own = [s for s in spans if spark.read.parquet(f"{path}/index/span={s}").count()]
+    assert len(own) == len(spans) > 1
+    aside = f"{local}/aside"
+    os.makedirs(aside)
+    moved = 0
+    for s in spans:
+        os.rename(f"{local}/index/span={s}", f"{aside}/span={s}")
+        try:
+            hit = get(spark, path, kept)
+        except Exception:  # the folder of its bucket is the one that is away
+            moved += 1
+        else:
+            assert hit.tolist() == whole(texts[kept]) + [2]
+        os.rename(f"{aside}/span={s}", f"{local}/index/span={s}")
+    assert moved == 1
 
 
 @pytest.mark.parametrize("name", ["piece_bpe_32k.model", "byte_bpe_50k.json"])
@@ -174,3 +209,29 @@ def test_token_counts(spark, odd_docs, no_docs, name):
     stored = cache(spark, store).count()
     assert sorted(map(tuple, token_counts(odd_docs, path, store).collect()), key=key) == wanted
     assert cache(spark, store).count() == stored == odd_docs.na.fill({"text": ""}).select("text").distinct().count()
+
+
+def test_repeated_texts_are_encoded_once(spark, monkeypatch):
+    """500 copies of a row and 500 rows without an id: two texts, and none the second time."""
+    from tidemark.llm import token_counts as module
+
+    docs = spark.createDataFrame([(1, "one text")] * 500 + [(None, "another")] * 500, "doc_id long, text string").repartition(7)
+    log = shared_dir(spark, "log").removeprefix("file://")
+    os.makedirs(log)
+    plain = module._encoder
+
+    def counted(path):
+        count = plain(path)
+
+        def run(texts):
+            with open(f"{log}/{os.getpid()}", "a") as f:
+                f.write("x" * len(texts))
+            return count(texts)
+
+        return run
+
+    monkeypatch.setattr(module, "_encoder", counted)
+    path, store = public_tokenizers.path("piece_bpe_32k.model"), shared_dir(spark, "cache")
+    for _ in range(2):
+        assert token_counts(docs, path, store).groupBy("doc_id").count().count() == 2
+        assert sum(os.path.getsize(f"{log}/{f}") for f in os.listdir(log)) == 2

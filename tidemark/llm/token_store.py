@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from .common import pieces, shared_dir, whole_text
 from .tokens import ChunkEncoder, id_dtype, small_batches, texts_of
 
+#: Buckets of the index in one folder, and up to how many folders a lookup names to Spark instead of reading them all.
+SPAN, NAMED = 16, 1000
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -73,6 +75,9 @@ class PerfectHash:
         return out
 
 
+INDEX = "bucket int, n_keys long, sizes binary, words binary, fingerprints binary, files array<string>, file binary, at binary, n_tokens binary, start binary"
+
+
 def _hashes(key: str, nth: str):
     """Two 64-bit hashes of a key (a document's id and its occurrence among rows with that id)."""
     k = F.col(key).cast("string")
@@ -128,11 +133,11 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id
     shards = manifest.groupBy("part", "shard").agg(F.sum("n_tokens").alias("ids"))
     before = Window.orderBy("part", "shard").rowsBetween(Window.unboundedPreceding, -1)
     shards = shards.select("part", "shard", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("base"))
-    buckets = max(1, -(-manifest.count() // bucket_keys))
+    buckets = -(-manifest.count() // bucket_keys)
     keyed = (
         manifest.select("*", *_hashes("key", "nth"))
         .join(shards, ["part", "shard"])
-        .select(F.pmod("h1", F.lit(buckets)).cast("int").alias("bucket"), "h1", "h2", "file", "at", "n_tokens", (F.col("base") + F.col("at")).alias("start"))
+        .select(F.pmod("h1", F.lit(max(1, buckets))).cast("int").alias("bucket"), "h1", "h2", "file", "at", "n_tokens", (F.col("base") + F.col("at")).alias("start"))
     )
 
     def index(rows: pd.DataFrame) -> pd.DataFrame:
@@ -146,7 +151,7 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id
             "files": [list(names)], "file": [column(file, "<u4")], "at": [column(rows["at"], "<i8")], "n_tokens": [column(rows["n_tokens"], "<i8")], "start": [column(rows["start"], "<i8")],
         })
 
-    keyed.groupBy("bucket").applyInPandas(index, "bucket int, n_keys long, sizes binary, words binary, fingerprints binary, files array<string>, file binary, at binary, n_tokens binary, start binary").write.parquet(f"{path}/index")
+    keyed.groupBy("bucket").applyInPandas(index, INDEX).withColumn("span", F.floor(F.col("bucket") / SPAN)).write.partitionBy("span").parquet(f"{path}/index")
     meta = spark.createDataFrame([(buckets, id_dtype(tokenizer_path))], "buckets int, dtype string")
     meta.coalesce(1).write.parquet(f"{path}/meta")
 
@@ -154,15 +159,21 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id
 def find(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
     """Where the rows of keys (key, nth) lie: (key, nth, file, at, n_tokens, start). A key that is not stored gives no row.
 
-    Each key costs one slot and one fingerprint comparison; a key that was never stored passes with a chance of 2^-32.
+    Each key costs one slot and one fingerprint comparison; a key that was never stored passes with a chance of 2^-32. Keys
+    that fall into few folders of the index have only those read. A repeated key counts once; a null key is one like others.
     """
     buckets = spark.read.parquet(f"{path}/meta").first()["buckets"]
-    stored = spark.read.parquet(f"{path}/index")
-    asked = keys.distinct().select("key", "nth", *_hashes("key", "nth")).withColumn("bucket", F.pmod("h1", F.lit(buckets)).cast("int"))
+    stored = spark.read.schema(f"{INDEX}, span long").parquet(f"{path}/index") if buckets else spark.createDataFrame([], f"{INDEX}, span long")
+    asked = keys.distinct().select("key", "nth", *_hashes("key", "nth")).withColumn("bucket", F.pmod("h1", F.lit(max(1, buckets))).cast("int"))
+    if buckets > SPAN:
+        spans = asked.select(F.floor(F.col("bucket") / SPAN).alias("span")).distinct().limit(NAMED + 1).collect()
+        if len(spans) <= NAMED:
+            stored = stored.filter(F.col("span").isin([r["span"] for r in spans]))
 
     def look(asked: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
         if not len(asked) or not len(index):
-            return pd.DataFrame({"key": asked["key"][:0], "nth": [], "file": [], "at": [], "n_tokens": [], "start": []})
+            none = pd.Series([], dtype=np.int64)
+            return pd.DataFrame({"key": asked["key"][:0], "nth": none, "file": pd.Series([], dtype=object), "at": none, "n_tokens": none, "start": none})
         row = index.iloc[0]
         h1, h2 = asked["h1"].to_numpy().view(np.uint64), asked["h2"].to_numpy().view(np.uint64)
         slots = PerfectHash(np.frombuffer(row["sizes"], np.int64), np.frombuffer(row["words"], "<u8")).slots(h1, h2)
@@ -174,13 +185,34 @@ def find(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
         return pd.DataFrame({"key": asked["key"][here], "nth": asked["nth"][here], "file": files, "at": column("at", "<i8"), "n_tokens": column("n_tokens", "<i8"), "start": column("start", "<i8")})
 
     kind = keys.schema["key"].dataType.simpleString()
-    return asked.groupBy("bucket").cogroup(stored.groupBy("bucket")).applyInPandas(look, f"key {kind}, nth long, file string, at long, n_tokens long, start long")
+    return asked.groupBy("bucket").cogroup(stored.drop("span").groupBy("bucket")).applyInPandas(look, f"key {kind}, nth long, file string, at long, n_tokens long, start long")
+
+
+def get(spark: SparkSession, path: str, key, nth: int = 0) -> np.ndarray | None:
+    """The ids of one key, or None: one bucket of the index and one range of one payload file are read, however large the store."""
+    meta = spark.read.parquet(f"{path}/meta").first()
+    if not meta["buckets"]:
+        return None
+    h = spark.createDataFrame([(None if key is None else str(key), nth)], "key string, nth long").select(*_hashes("key", "nth")).first()
+    bucket = h["h1"] % meta["buckets"]
+    row = spark.read.schema(INDEX).parquet(f"{path}/index/span={bucket // SPAN}").filter(F.col("bucket") == bucket).first()
+    h1, h2 = np.array([h["h1"]], np.int64).view(np.uint64), np.array([h["h2"]], np.int64).view(np.uint64)
+    slot = PerfectHash(np.frombuffer(row["sizes"], np.int64), np.frombuffer(row["words"], "<u8")).slots(h1, h2)[0] if row else -1
+    entry = lambda n, t: np.frombuffer(row[n], t)[slot]
+    if slot < 0 or entry("fingerprints", "<u4") != (h2 >> np.uint64(32)).astype("<u4")[0]:
+        return None
+    files, root = fs.FileSystem.from_uri(f"{path}/payload")
+    dtype = np.dtype(meta["dtype"])
+    with files.open_input_file(f"{root}/{row['files'][entry('file', '<u4')]}") as source:
+        held = source.read_at(int(entry("n_tokens", "<i8")) * dtype.itemsize, int(entry("at", "<i8")) * dtype.itemsize)
+    return np.frombuffer(held, dtype)
 
 
 def read(spark: SparkSession, path: str, found: DataFrame, window: int = 1 << 21) -> DataFrame:
     """The ids of found rows, from the payload files: adds ids (binary, unsigned little-endian 32-bit).
 
     Rows of one shard are read in one task in offset order through a window, so a shard is read once, front to back.
+    No rows give none; columns of found stay as they are.
     """
     dtype = np.dtype(spark.read.parquet(f"{path}/meta").first()["dtype"])
     payload = f"{path}/payload"
@@ -205,6 +237,7 @@ def read(spark: SparkSession, path: str, found: DataFrame, window: int = 1 << 21
 
 
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as read back from the store, asked for by its key; nulls and repeats as in write_store()."""
     import public_tokenizers
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
