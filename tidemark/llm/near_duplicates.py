@@ -36,10 +36,10 @@ from .tokens import small_batches, texts_of
 #: Tokens of at most this many nodes are light.
 LIGHT = 16
 #: Frequent tokens of more nodes than this are combined by three, others by two.
-MANY = 256
+MANY = 4096
 #: The universe of step 1: 3/8 of all hashes.
 UNIVERSE = np.uint64(3 << 61)
-BUCKET_TOKENS = 700_000
+BUCKET_TOKENS = 500_000
 #: Keys that a row of step 2 knows before its own.
 BEFORE = 8
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xBF58476D1CE4E5B9)]
@@ -116,8 +116,9 @@ def prefix_keys(tokens: np.ndarray, frequent: np.ndarray, many: np.ndarray) -> t
         missing, seen = need - len(light), {}
         if missing <= 0:
             continue
-        classes = max(1, low // 8)
-        of = ((rest ^ (rest >> np.uint64(32))) * _M[1] >> np.uint64(33)) % np.uint64(classes)
+        # So many that a class needs few tokens more than it combines; a prefix loses at most low // 4 + 2 (low // 6) to them.
+        classes = np.where(kind == 2, max(1, low // 4), max(1, low // 6)).astype(np.uint64)
+        of = ((rest ^ (rest >> np.uint64(32))) * _M[1] >> np.uint64(33)) % classes
         for t, c, k in zip(rest.tolist(), of.tolist(), kind.tolist()):
             members = seen.setdefault((k, c), [])
             members.append(t)
@@ -350,7 +351,7 @@ MAY_LINK = "4 * least(n, m) >= 3 * greatest(n, m) and 7 * light <= 4 * n - 3 * m
 
 def _link(sets: DataFrame, light: DataFrame, keyed: DataFrame) -> DataFrame:
     """Verified links that connect whatever any link connects."""
-    counts = keyed.groupBy("key").agg(F.count("*").alias("c"), F.min_by(F.struct("node", "n", "light"), F.struct("light", "node")).alias("centre"), F.min("n").alias("least")).filter("c > 1")
+    counts = saved(keyed.groupBy("key").agg(F.count("*").alias("c"), F.min_by(F.struct("node", "n", "light"), F.struct("light", "node")).alias("centre"), F.min("n").alias("least")).filter("c > 1"), "counts")
     # A row that no size at its key suits is out: its light tokens alone are more than it may lack there.
     known = keyed.join(counts.select("key", "least", F.col("centre.node").alias("centre"), F.col("centre.n").alias("m"), F.col("centre.light").alias("faint")), "key").filter("7 * light <= 4 * n - 3 * least")
     star = known.filter(f"node <> centre and {MAY_LINK}").groupBy(F.col("centre").alias("u"), F.col("node").alias("v")).agg(F.count("*").alias("n"))
@@ -363,10 +364,10 @@ def _link(sets: DataFrame, light: DataFrame, keyed: DataFrame) -> DataFrame:
     # Keys whose nodes are in several components: pairs of a node outside the centre's component with any node of another.
     # A pair that shares many keys is made at few of them: not where both know a common key just before, and so always at
     # its first.
-    placed = saved(rooted(known.select("key", F.col("node").alias("u"), "n", "light", "before", "centre"), "u"), "placed-keys")
+    placed = saved(rooted(known.select("key", F.col("node").alias("u"), "n", "light", "before"), "u"), "placed-keys")
     mixed = placed.groupBy("key").agg(F.min("u_root").alias("a"), F.max("u_root").alias("b")).filter("a <> b").select("key")
-    placed = rooted(placed.join(mixed, "key", "left_semi"), "centre")
-    placed = saved(placed, "mixed-keys")
+    centres = rooted(mixed.join(counts.select("key", F.col("centre.node").alias("centre")), "key"), "centre").select("key", "centre_root")
+    placed = saved(placed.join(centres, "key"), "mixed-keys")
     right = placed.select("key", F.col("u").alias("v"), F.col("n").alias("m"), F.col("light").alias("faint"), F.col("before").alias("earlier"), F.col("u_root").alias("v_root"))
     outside = placed.filter("u_root <> centre_root")
     across = outside.join(right, "key").filter(f"u_root <> v_root and (v_root = centre_root or u < v) and {MAY_LINK} and not arrays_overlap(before, earlier)")
