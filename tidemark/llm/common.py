@@ -5,11 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.stored import saved, shared_dir
+from ..sources import stored
+from ..sources.stored import shared_dir
 
 __all__ = ["documents", "picked", "pieces", "saved", "shared_dir", "whole_text"]
 
 
+#: Bytes of one batch between Spark and Python: a task holds a few of them on both sides, so memory stays small.
+BATCH_BYTES = 16 << 20
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """df written once and read again, with small batches to and from Python meanwhile."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = conf.get(key)
+    conf.set(key, str(BATCH_BYTES))
+    try:
+        return stored.saved(df, name)
+    finally:
+        conf.set(key, before)
+
+
 def pieces(df: DataFrame, piece_mb: int = 64) -> int:
     """How many partitions a shuffle of df should have: grows with the planner's estimate of its size."""
     conf = df.sparkSession.conf

@@ -118,11 +118,19 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return [t or b"" for t in batch.column(column).cast(pa.binary()).to_pylist()]
 
 
-def small_batches(batches, rows: int = 256):
-    """Slices of Arrow batches: what a task holds at once depends on a few texts, not on the batch size."""
+def small_batches(batches, rows: int = 256, size: int = 2 << 20):
+    """Slices of Arrow batches: what a task holds at once depends on a few texts, not on the batch size.
+
+    A slice has at most ``rows`` rows and ``size`` bytes, or one row.
+    """
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        at = 0
+        while at < batch.num_rows:
+            n = min(rows, batch.num_rows - at)
+            while n > 1 and batch.slice(at, n).nbytes > size:
+                n = n // 2
+            yield batch.slice(at, n)
+            at += n
 
 
 def term_runs(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
