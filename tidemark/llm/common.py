@@ -12,7 +12,7 @@ __all__ = ["documents", "picked", "pieces", "saved", "shared_dir", "whole_text"]
 
 
 #: Bytes of one batch between Spark and Python: a task holds a few of them on both sides, so memory stays small.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:

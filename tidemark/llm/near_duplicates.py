@@ -48,7 +48,7 @@ _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19
 class Shingler:
     """Sorted distinct 64-bit hashes of a text's shingles: A-Z lowered, words between ASCII white space."""
 
-    def __init__(self, words: int = 5, bound: int = 150_000):
+    def __init__(self, words: int = 5, bound: int = 80_000):
         self.words, self.bound, self.known = words, bound, {}
 
     def __call__(self, text: bytes) -> np.ndarray:
@@ -177,7 +177,7 @@ def _universe_pairs(sets: DataFrame, buckets: int) -> DataFrame:
                 if len(own):
                     held.append((key, value, own))
                     size += len(own)
-                    if size > BUCKET_TOKENS:
+                    if size > BUCKET_TOKENS // 2:
                         yield flush()
                         held, size = [], 0
         if held:

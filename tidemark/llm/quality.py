@@ -25,7 +25,7 @@ GRAMS = (2, 3, 4)
 _MASK = np.uint64(BUCKETS - 1)
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 #: Words remembered per worker; forgotten when full.
-WORDS = 150_000
+WORDS = 80_000
 
 
 def word_features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

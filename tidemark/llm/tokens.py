@@ -8,6 +8,8 @@ two are lower case and one expression. The tests compare with whole-text encodin
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import re
 from array import array
@@ -121,16 +123,28 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
 def small_batches(batches, rows: int = 256, size: int = 2 << 20):
     """Slices of Arrow batches: what a task holds at once depends on a few texts, not on the batch size.
 
-    A slice has at most ``rows`` rows and ``size`` bytes, or one row.
+    A slice has at most ``rows`` rows and ``size`` bytes, or one row. At the end what has been freed goes back to the
+    system, as Spark keeps its Python workers for other tasks.
     """
-    for batch in batches:
-        at = 0
-        while at < batch.num_rows:
-            n = min(rows, batch.num_rows - at)
-            while n > 1 and batch.slice(at, n).nbytes > size:
-                n = n // 2
-            yield batch.slice(at, n)
-            at += n
+    try:
+        for batch in batches:
+            at = 0
+            while at < batch.num_rows:
+                n = min(rows, batch.num_rows - at)
+                while n > 1 and batch.slice(at, n).nbytes > size:
+                    n = n // 2
+                yield batch.slice(at, n)
+                at += n
+    finally:
+        batch = None
+        give_back()
+
+
+def give_back() -> None:
+    """Hand freed memory of this process back to the system, as far as its allocators can."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def term_runs(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
