@@ -29,6 +29,7 @@ def encoded(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, text
         end = np.array([end_id], coder.dtype).tobytes()
         for batch in small_batches(batches):
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([x + end for x in coder.encode(texts_of(batch))], pa.binary())], names=["id", "ids"])
+        coder.rest()
 
     rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
     return rows.mapInArrow(encode, f"id {rows.schema['id'].dataType.simpleString()}, ids binary")
@@ -67,11 +68,15 @@ class Shard:
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean_length: float, k1: float = 1.2, b: float = 0.75):
         self.n = len(docs)
-        of, term, tf = term_runs(docs)
-        keep = idf[term] > 0  # a term of most documents has weight 0
-        of, term, tf = of[keep].astype(np.int32), term[keep], tf[keep].astype(np.int32)
-        self.bounds = np.searchsorted(of, np.arange(self.n + 1))
         self.size = np.array([len(d) for d in docs])
+        parts, at = [], 0
+        for end in [*np.flatnonzero(np.diff(np.cumsum(self.size) >> 18)) + 1, self.n]:  # about 2^18 tokens at once
+            of, term, tf = term_runs(docs[at:end])
+            keep = idf[term] > 0  # a term of most documents has weight 0
+            parts.append([x[keep].astype(np.int32) for x in (of + at, term, tf)])
+            at = end
+        of, term, tf = (np.concatenate(x) for x in zip(*parts))
+        self.bounds = np.searchsorted(of, np.arange(self.n + 1))
         weight = idf[term] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * self.size[of] / mean_length))
         known, slot = np.unique(term, return_inverse=True)
         self.slot = slot.astype(np.int32)  # per (document, term), the term's posting list

@@ -125,6 +125,7 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id
         finally:
             if out is not None:
                 out.close()
+            coder.rest()
 
     key_type = rows.schema["key"].dataType.simpleString()
     ordered.mapInArrow(write, f"key {key_type}, part int, shard int, file string, nth long, at long, n_tokens long").write.parquet(f"{path}/manifest")

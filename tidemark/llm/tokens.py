@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Chunks, and pieces of them, that a Python worker remembers in each of two generations, so both stay bounded.
-CHUNKS, PIECES = 200_000, 50_000
+CHUNKS, PIECES = 120_000, 30_000
 #: Chunks of printable ASCII and Latin-1 letters: already NFC, lower case letter by letter; and their pieces.
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 _PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
@@ -98,6 +98,11 @@ class ChunkEncoder:
         pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(text))
         return array(self.code, [t.id for p, _ in pieces for t in self.tokenize(p)]).tobytes()
 
+    def rest(self) -> None:
+        """Between tasks only the newer generation is kept."""
+        self.known.before = self.known_pieces.before = None
+        give_back()
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if len(self.known) > CHUNKS:
             self.known = self.known.following()
