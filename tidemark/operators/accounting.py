@@ -36,7 +36,7 @@ def reconciliation(cells: DataFrame, observations: DataFrame, rules: DataFrame)
     sorted_out = classified(unmapped(cells, observations), rules).groupBy("source_sheet").agg(
         F.count_if(F.col("classification") != "unclassified").alias("explained"), F.count_if(F.col("classification") == "unclassified").alias("open"), F.count_if(F.col("classification") == "parser_defect").alias("defects")
     )
-    joined = offered.join(F.broadcast(accepted), "source_sheet", "left").join(F.broadcast(sorted_out), "source_sheet", "left").na.fill(0)
+    joined = offered.join(accepted, "source_sheet", "left").join(sorted_out, "source_sheet", "left").na.fill(0)
     return joined.withColumn("status", F.when(F.col("open") > 0, "unreconciled").when(F.col("defects") > 0, "defective").otherwise("reconciled"))
 
 
@@ -78,7 +78,7 @@ def missing(grid: DataFrame, observations: DataFrame, cells: DataFrame) -> DataF
     absent = grid.join(observations.select("series_id", "period").distinct(), ["series_id", "period"], "left_anti")
     where = observations.groupBy("series_id").agg(F.min("source_sheet").alias("source_sheet"), F.min("source_column").alias("column_id"))
     axis = cells.select("source_sheet", "period", "row_id").distinct()
-    located = absent.join(F.broadcast(where), "series_id").join(axis, ["source_sheet", "period"], "left").join(cells.select("source_sheet", "row_id", "column_id", "tok", "num"), ["source_sheet", "row_id", "column_id"], "left")
+    located = absent.join(where, "series_id").join(axis, ["source_sheet", "period"], "left").join(cells.select("source_sheet", "row_id", "column_id", "tok", "num"), ["source_sheet", "row_id", "column_id"], "left")
     reason = (
         F.when(F.col("row_id").isNull(), "period_not_in_sheet").when(F.col("num").isNotNull(), "unread_cell")
         .when(F.col("tok") == "s/m", "not_meaningful").when(F.col("tok") == "", "blank_cell").otherwise("absent_cell")

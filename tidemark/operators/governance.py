@@ -23,7 +23,7 @@ def agreed_concepts(mapped: DataFrame, *fields: str) -> DataFrame:
 
 def latest_by_concept(rows: DataFrame, mapped: DataFrame) -> DataFrame:
     """M09."""
-    return rows.join(F.broadcast(mapped), "series_id").groupBy("concept_id").agg(F.max("period").alias("last_period"), F.countDistinct("series_id").alias("n_series"), F.count("*").alias("n_observations"))
+    return rows.join(mapped, "series_id").groupBy("concept_id").agg(F.max("period").alias("last_period"), F.countDistinct("series_id").alias("n_series"), F.count("*").alias("n_observations"))
 
 
 def outside(cells: DataFrame, regions: DataFrame) -> DataFrame:
@@ -36,7 +36,7 @@ def outside(cells: DataFrame, regions: DataFrame) -> DataFrame:
 def region_completeness(cells: DataFrame, regions: DataFrame) -> DataFrame:
     """Cells in and out of regions, by sheet."""
     out = outside(cells, regions).groupBy("source_sheet").agg(F.count("*").alias("n_outside"), F.count("num").alias("n_numbers_outside"))
-    return cells.groupBy("source_sheet").agg(F.count("*").alias("n_cells")).join(F.broadcast(out), "source_sheet", "left").na.fill(0)
+    return cells.groupBy("source_sheet").agg(F.count("*").alias("n_cells")).join(out, "source_sheet", "left").na.fill(0)
 
 
 def behaviour(observations: DataFrame, hidden_spans: DataFrame, formulas: DataFrame) -> DataFrame:

@@ -67,7 +67,7 @@ def _labels(cells: DataFrame) -> DataFrame:
 def _year_header(cells: DataFrame) -> DataFrame:
     header = _fullest_row(year_axes(cells, "row_id", "column_id"))
     years = cells.select("source_sheet", "row_id", "column_id", T.year_label(F.col("text")).alias("y")).filter("y is not null")
-    return years.join(F.broadcast(header), (years["source_sheet"] == header["source_sheet"]) & (years["row_id"] == F.col("header_row"))).select(years["source_sheet"], "column_id", "y", "header_row")
+    return years.join(header, (years["source_sheet"] == header["source_sheet"]) & (years["row_id"] == F.col("header_row"))).select(years["source_sheet"], "column_id", "y", "header_row")
 
 
 def horizontal_year(cells: DataFrame) -> DataFrame:
@@ -87,7 +87,7 @@ def horizontal_year_quarter(cells: DataFrame) -> DataFrame:
     """A merged year header above quarters; a year runs to the next one, the last at most three columns on."""
     header = _fullest_row(year_axes(cells, "row_id", "column_id"))
     quarter = cells.select("source_sheet", "row_id", "column_id", T.quarter_number(F.col("text")).alias("q")).filter("q is not null")
-    quarters = quarter.join(F.broadcast(header), "source_sheet").filter("row_id = header_row + 1").select("source_sheet", "column_id", "q", "header_row")
+    quarters = quarter.join(header, "source_sheet").filter("row_id = header_row + 1").select("source_sheet", "column_id", "q", "header_row")
     marked = quarters.join(_year_header(cells).drop("header_row"), ["source_sheet", "column_id"], "left")
     before = Window.partitionBy("source_sheet").orderBy("column_id").rowsBetween(Window.unboundedPreceding, 0)
     filled = marked.withColumn("year", F.last("y", ignorenulls=True).over(before)).withColumn("_from", F.last(F.when(F.col("y").isNotNull(), F.col("column_id")), ignorenulls=True).over(before))
@@ -101,9 +101,9 @@ def vertical_date(cells: DataFrame) -> DataFrame:
     """Dates down the fullest date column, headers from the text above the first date."""
     dates = cells.filter("date is not null").select("source_sheet", "row_id", "column_id", "date")
     axis_column = dates.groupBy("source_sheet", "column_id").agg(F.count("*").alias("n")).groupBy("source_sheet").agg(F.max_by("column_id", F.struct("n", -F.col("column_id"))).alias("axis"))
-    axis = dates.join(F.broadcast(axis_column), "source_sheet").filter("column_id = axis").select("source_sheet", "row_id", F.last_day("date").alias("period"), "axis")
+    axis = dates.join(axis_column, "source_sheet").filter("column_id = axis").select("source_sheet", "row_id", F.last_day("date").alias("period"), "axis")
     first = axis.groupBy("source_sheet").agg(F.min("row_id").alias("first_row"))
-    above = cells.filter(~T.blank(F.col("text"))).join(F.broadcast(first), "source_sheet").filter("row_id < first_row")
+    above = cells.filter(~T.blank(F.col("text"))).join(first, "source_sheet").filter("row_id < first_row")
     header = above.groupBy("source_sheet", "column_id").agg(F.max_by("text", "row_id").alias("series"))
     values = cells.filter("num is not null").select("source_sheet", "row_id", "column_id", F.col("num").alias("value"))
     return values.join(axis, ["source_sheet", "row_id"]).filter("column_id <> axis").join(header, ["source_sheet", "column_id"]).select(*OUT)
@@ -117,7 +117,7 @@ def observations(cells: DataFrame, overrides: DataFrame | None = None) -> DataFr
     modes = saved(layouts(cells), "layouts")
     if overrides is not None:
         modes = modes.join(F.broadcast(overrides.select("source_sheet", F.col("mode").alias("_mode"))), "source_sheet", "left").select("source_sheet", F.coalesce("_mode", "mode").alias("mode"))
-    placed = cells.join(F.broadcast(modes), "source_sheet")
+    placed = cells.join(modes, "source_sheet")
     return reduce(DataFrame.unionByName, (f(placed.filter(F.col("mode") == m).drop("mode")).select(*OUT) for m, f in EXTRACTORS.items()))
 
 

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 def domain_mart(observations: DataFrame, domains: DataFrame, gate: DataFrame | None = None) -> DataFrame:
     """Observations of series in a domain, behind a gate of publishable series where one is given."""
-    rows = observations.join(F.broadcast(domains), "series_id")
-    return rows.join(F.broadcast(gate.select("series_id")), "series_id", "left_semi") if gate is not None else rows
+    rows = observations.join(domains, "series_id")
+    return rows.join(gate.select("series_id"), "series_id", "left_semi") if gate is not None else rows
 
 
 def research_gate(series_sheets: DataFrame, sheet_status: DataFrame) -> DataFrame:
@@ -30,7 +30,7 @@ def dashboard(sheets: DataFrame, *parts: DataFrame, key: str = "source_sheet") -
     """One row for each worksheet, with every part aggregated to the worksheet first; absent numbers are 0."""
     out = sheets.select(key).distinct()
     for p in parts:
-        out = out.join(F.broadcast(p), key, "left")
+        out = out.join(p, key, "left")
     return out.na.fill(0)
 
 

@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 
 def coordinates(cells: DataFrame, offsets: DataFrame) -> DataFrame:
     """Rows and columns of a cropped sheet as A1 references; a sheet without an offset starts at A1."""
-    placed = cells.join(F.broadcast(offsets), "source_sheet", "left")
+    placed = cells.join(offsets, "source_sheet", "left")
     row = F.coalesce("first_row", F.lit(1)) - 1 + F.col("row_id")
     column = F.coalesce("first_column", F.lit(1)) - 1 + F.col("column_id")
-    letters = F.concat(F.when(column > 26, F.char(64 + F.floor((column - 1) / 26))).otherwise(""), F.char(65 + (column - 1) % 26))
+    # Letters count without a zero, so each place takes one off before it is divided; a sheet has columns up to XFD.
+    second = F.floor((column - 1) / 26)
+    third = F.floor((second - 1) / 26)
+    letter = lambda place: F.when(place > 0, F.char(65 + (place - 1) % 26)).otherwise("")
+    letters = F.concat(letter(third), letter(second), letter(column))
     return placed.select("source_sheet", "row_id", "column_id", F.concat(letters, row.cast("string")).alias("a1"))
 
 

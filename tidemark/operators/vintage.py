@@ -89,7 +89,7 @@ def observations(rows: DataFrame, series: DataFrame, dates: DataFrame) -> DataFr
     """Period bounds, value in base units (null where the scale is unknown), availability."""
     begins, ends = bounds(F.col("period"), F.col("frequency"))
     return (
-        rows.join(F.broadcast(series), "series_id")
+        rows.join(series, "series_id")
         .join(F.broadcast(dates), "vintage_id", "left")
         .select("series_id", "period", "vintage_id", "value", begins.alias("period_start"), ends.alias("period_end"), (F.col("value") * F.col("scale_multiplier")).alias("value_in_base_units"), "available_at")
     )

@@ -31,7 +31,7 @@ def n27(s, d):
 
 _Q = {
     "A11_cell_inventory": (lambda s, d: B.inventory(D.vintages(s).select("vintage_id").crossJoin(F.broadcast(D.grid(s, d).select(F.col("source_sheet").alias("sheet_version_id")).distinct())).filter("vintage_id > 'v2'"), D.grid(s, d).select(F.col("source_sheet").alias("sheet_version_id"), "row_id", "column_id", "num")).groupBy("vintage_id", "sheet_version_id").agg(F.count("*").alias("n_cells"), F.count("num").alias("n_numbers")), f"WITH {F2} SELECT v AS vintage_id, source_sheet AS sheet_version_id, count(*) AS n_cells, count(num) AS n_numbers FROM cells, (VALUES ('v3'),('v4')) AS x(v) GROUP BY 1,2"),
-    "A12_a1_coordinates": (lambda s, d: B.coordinates(D.grid(s, d), s.createDataFrame([("AF", 5, 3), ("NO", 1, 30)], "source_sheet string, first_row long, first_column long")), f"WITH {F2}, p AS (SELECT c.source_sheet, row_id, column_id, coalesce(fr,1)-1+row_id AS r, coalesce(fc,1)-1+column_id AS k FROM cells c LEFT JOIN (VALUES ('AF',5,3),('NO',1,30)) AS o(s,fr,fc) ON o.s=c.source_sheet) SELECT source_sheet, row_id, column_id, CASE WHEN k>26 THEN chr(CAST(64+(k-1)//26 AS INT)) ELSE '' END || chr(CAST(65+(k-1)%26 AS INT)) || CAST(r AS VARCHAR) AS a1 FROM p"),
+    "A12_a1_coordinates": (lambda s, d: B.coordinates(D.grid(s, d), s.createDataFrame([("AF", 5, 3), ("NO", 1, 700)], "source_sheet string, first_row long, first_column long")), f"WITH {F2}, letters AS (SELECT chr(CAST(64+i AS INT)) AS x FROM range(1,27) t(i)), names AS (SELECT name, row_number() OVER (ORDER BY length(name), name) AS k FROM (SELECT x AS name FROM letters UNION ALL SELECT a.x||b.x FROM letters a, letters b UNION ALL SELECT a.x||b.x||c.x FROM letters a, letters b, letters c)), p AS (SELECT c.source_sheet, row_id, column_id, coalesce(fr,1)-1+row_id AS r, coalesce(fc,1)-1+column_id AS k FROM cells c LEFT JOIN (VALUES ('AF',5,3),('NO',1,700)) AS o(s,fr,fc) ON o.s=c.source_sheet) SELECT source_sheet, row_id, column_id, name || CAST(r AS VARCHAR) AS a1 FROM p JOIN names USING (k)"),
     "C16_only_substring": (c16, "WITH c AS (SELECT DISTINCT split_part(p_type,' ',1) AS code FROM part), t AS (SELECT DISTINCT p_type FROM part) SELECT p_type, count(code) AS n_hits, CASE WHEN count(code)=1 THEN max(code) END AS code FROM t LEFT JOIN c ON contains(p_type, code) GROUP BY 1"),
     "E06_ordinals": (lambda s, d: B.running_number(D.table(s, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"), ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey", "l_extendedprice"]), "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_extendedprice) AS ordinal FROM lineitem"),
     "I04_newest_snapshot": (lambda s, d: B.newest_snapshot(D.snapshots(s, d), D.accepted(s)), f"WITH {F1} SELECT * FROM snap WHERE vintage_id='v3'"),
