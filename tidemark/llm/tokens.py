@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Chunks, and pieces of them, that a Python worker remembers in each of two generations, so both stay bounded.
-CHUNKS, PIECES = 120_000, 30_000
+CHUNKS, PIECES = 250_000, 30_000
 #: Chunks of printable ASCII and Latin-1 letters: already NFC, lower case letter by letter; and their pieces.
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 _PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
