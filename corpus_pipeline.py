@@ -42,11 +42,12 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("personal_data", personal_data), ("mixing", mixing), ("packing", packing)]
 
-#: Learned scores, components and greedy packing aren't SQL; tests/llm holds the stages against brute force.
+#: Learned scores, components and greedy packing aren't SQL; tests/llm holds the operators of the stages against plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. Nulls, repeats, empty texts and tables, and other columns are as each stage's operator says."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = saved(stage(spark, docs, sf_dir), f"stage-{name}")
