@@ -206,21 +206,21 @@ def _universe_pairs(sets: DataFrame, buckets: int) -> DataFrame:
             first = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])) if len(tokens) else np.zeros(0, np.int64)
             count = np.diff(np.concatenate([first, [len(tokens)]]))
             heavy = (count > LIGHT) | np.isin(tokens[first], marks, assume_unique=True)
-            pairs = []
+            pairs = []  # two slots in one number, the smaller id's first: a node has one slot here
             for c in np.unique(count[(count > 1) & ~heavy]).tolist():
                 runs = slots[first[(count == c) & ~heavy][:, None] + np.arange(c)]
                 for i in range(c):
                     for j in range(i + 1, c):
                         u, v = runs[:, i], runs[:, j]
                         ok = 4 * np.minimum(sizes[u], sizes[v]) >= 3 * np.maximum(sizes[u], sizes[v])
-                        pairs.append(np.stack([ids[u[ok]], ids[v[ok]]]))
-            pairs = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), np.int64)
-            order = np.lexsort((pairs[1], pairs[0]))
-            pairs = pairs[:, order]
-            start = np.flatnonzero(np.concatenate([[True], (pairs[:, 1:] != pairs[:, :-1]).any(0)])) if pairs.shape[1] else np.zeros(0, np.int64)
+                        pairs.append((u[ok] << 32) | v[ok])
+            pairs = np.concatenate(pairs) if pairs else np.zeros(0, np.int64)
+            pairs.sort()
+            start = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]])) if len(pairs) else np.zeros(0, np.int64)
+            met, times = pairs[start], np.diff(np.concatenate([start, [len(pairs)]]))
+            a, b, n = [ids[met >> 32], *a], [ids[met & 0xFFFFFFFF]], [times, *n]
             nodes, times = np.unique(ids[slots[np.repeat(heavy, count)]], return_counts=True)
-            a, b, n = [pairs[0, start], nodes, *a], [pairs[1, start]], [np.diff(np.concatenate([start, [pairs.shape[1]]])), times, *n]
-            missing = [len(nodes), *missing]
+            a, n, missing = [a[0], nodes, *a[1:]], [n[0], times, *n[1:]], [len(nodes), *missing]
         a, b, n = np.concatenate(a), np.concatenate(b), np.concatenate(n)
         b = pd.array(np.concatenate([b, np.zeros(sum(missing), np.int64)]), dtype="Int64")
         b[len(a) - sum(missing) :] = pd.NA

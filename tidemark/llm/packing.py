@@ -39,6 +39,7 @@ def term_counts(ids: DataFrame, dtype: str) -> tuple[int, int, np.ndarray]:
     """Documents, tokens and document frequencies over all rows; the vocabulary bounds what reaches the driver."""
 
     def count(batches):
+        ChunkEncoder.forget()
         df, n, tokens = np.zeros(1 << 16, np.int64), 0, 0
         for batch in small_batches(batches):
             found = [np.frombuffer(x, dtype) for x in batch.column("ids").to_pylist()]
@@ -215,6 +216,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = 2048,
     placed = placed.repartitionByRange(parts, "place", "id").sortWithinPartitions("place", "id", F.xxhash64("ids"))
 
     def sequences(batches):
+        ChunkEncoder.forget()
         number = TaskContext.get().partitionId() << 32
 
         def packed(keys, held):

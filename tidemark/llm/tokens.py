@@ -76,6 +76,13 @@ class ChunkEncoder:
             cls._by_path[path] = cls(path)
         return cls._by_path[path]
 
+    @classmethod
+    def forget(cls) -> None:
+        """Drop what this worker remembers: steps that follow the encoding call this, as Spark runs them in the same worker."""
+        if cls._by_path:
+            cls._by_path.clear()
+            give_back()
+
     def _piece(self, piece: str) -> bytes:
         """Ids of a normalised piece, which the model reads with every byte as a character."""
         if not piece.isascii():
