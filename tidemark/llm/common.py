@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..sources import stored
 from ..sources.stored import shared_dir
 
-__all__ = ["documents", "picked", "pieces", "saved", "shared_dir", "whole_text"]
+__all__ = ["documents", "picked", "pieces", "saved", "shared_dir", "whole_text", "without"]
 
 
 #: Bytes of one batch between Spark and Python: a task holds a few of them on both sides, so memory stays small.
@@ -49,3 +49,8 @@ BROADCAST_IDS = 300_000
 def picked(rows: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
     """Rows whose key is in ids, with its columns; ids are broadcast only where counted as few."""
     return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, key)
+
+
+def without(rows: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
+    """Rows whose key is not in ids, with its columns; rows move only where ids are counted as too many to broadcast."""
+    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, key, "left_anti")

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import picked, saved, whole_text
+from .common import picked, saved, whole_text, without
 from .components import components
 from .tokens import small_batches, texts_of
 
@@ -384,7 +384,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     found = saved(near_duplicates(docs, id_col, text_col), "groups")
     gone = found.filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    kept = docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    kept = without(docs, saved(gone, "gone-ids"), id_col).select(*docs.columns)
     again = found.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count("*").alias("c")).filter("c > 1").select(id_col)
     again = saved(again, "repeated-ids")
     if again.isEmpty():
@@ -393,7 +393,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     words = F.trim(F.regexp_replace(F.translate(whole_text(text_col), upper, lower), r"[\x20\x09-\x0D]+", " "))
     one = kept.join(again, id_col, "left_semi").select(F.struct(*docs.columns).alias("all"), F.col(id_col).alias("by"), F.sha2(words, 256).alias("same"), F.xxhash64(text_col).alias("h"))
     one = one.groupBy("by", "same").agg(F.min_by("all", "h").alias("all")).select("all.*")
-    return kept.join(again, id_col, "left_anti").select(*docs.columns).unionByName(one)
+    return without(kept, again, id_col).select(*docs.columns).unionByName(one)
 
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
