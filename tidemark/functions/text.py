@@ -73,6 +73,28 @@ def expanded_year(two_digits: Column) -> Column:
     return two_digits + F.when(two_digits < 40, 2000).otherwise(1900)
 
 
+def footnote_only(label: Column) -> Column:
+    """A cell that holds a footnote mark and nothing else."""
+    return ~blank(label) & blank(without_footnote(label))
+
+
+def axis_date(label: Column) -> Column:
+    """The day that an axis label names as yyyy-mm, mmm-yy or d-mmm-yy; months stand for their last day."""
+    t = normalized(label)
+    iso_year, iso_month = (F.regexp_extract(t, "^((?:19|20)[0-9]{2})-(0[1-9]|1[0-2])$", g).try_cast("int") for g in (1, 2))
+    day, word, two = (F.regexp_extract(t, "^(?:([0-9]{1,2})-)?([a-z]{3,})-([0-9]{2})$", g) for g in (1, 2, 3))
+    first = F.make_date(expanded_year(two.try_cast("int")), month_number(word), F.lit(1))
+    named = F.when(day == "", F.last_day(first)).when(day.try_cast("int").between(1, F.day(F.last_day(first))), F.date_add(first, day.try_cast("int") - 1))
+    return F.coalesce(F.last_day(F.make_date(iso_year, iso_month, F.lit(1))), named)
+
+
+def month_interval(label: Column) -> tuple[Column, Column]:
+    """First and last month number of 'ene/jun'; null where a word is no month or the end comes first."""
+    first, last = (month_number(F.split_part(label, F.lit("/"), F.lit(k))) for k in (1, 2))
+    both = (F.size(F.split(label, "/")) == 2) & (first <= last)
+    return F.when(both, first), F.when(both, last)
+
+
 def path(*labels: Column) -> Column:
     """The labels that aren't blank, each once, in order."""
     return F.array_join(F.array_distinct(F.filter(F.array(*labels), lambda x: x.isNotNull() & (F.trim(x) != ""))), " — ")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -114,3 +116,24 @@ def daily_activity(trades: DataFrame) -> DataFrame:
 def row_reconciliation(judged: DataFrame) -> DataFrame:
     """offered = accepted + rejected, by reason."""
     return judged.groupBy(F.coalesce("reason", F.lit("accepted")).alias("outcome")).agg(F.count("*").alias("n_rows"), F.count("vol").alias("n_with_volume"))
+
+
+def blocked_families(sheets: DataFrame, *blocking: DataFrame) -> DataFrame:
+    """Validated sheets that may not be promoted, with the reasons; each blocking part has (source_sheet, reason)."""
+    reasons = reduce(DataFrame.unionByName, (b.select("source_sheet", "reason") for b in blocking)).distinct()
+    held = sheets.filter("status = 'validated'").join(reasons, "source_sheet")
+    return held.groupBy("source_sheet").agg(F.array_join(F.array_sort(F.collect_set("reason")), ";").alias("reasons"))
+
+
+def token_problems(cells: DataFrame, register: DataFrame) -> DataFrame:
+    """Tokens in use that the register explains neither for their sheet nor for all sheets."""
+    used = cells.filter("tok is not null").groupBy("source_sheet", "tok").agg(F.count("*").alias("n_cells"))
+    exact = register.filter("source_sheet <> '*'").select("source_sheet", "tok")
+    every = register.filter("source_sheet = '*'").select("tok")
+    return used.join(exact, ["source_sheet", "tok"], "left_anti").join(every, "tok", "left_anti").select("source_sheet", "tok", "n_cells")
+
+
+def review_queue(sheets: DataFrame) -> DataFrame:
+    """sheets (source_sheet, n_cells, n_outside, n_numbers_outside) with open numbers first, then those with open cells."""
+    tier = F.when(F.col("n_numbers_outside") * 2 > F.col("n_outside"), 1).when(F.col("n_outside") > 0, 2).otherwise(3)
+    return sheets.select("source_sheet", tier.alias("tier"), (F.col("n_numbers_outside") * (4 - tier)).alias("weight"))

@@ -153,3 +153,9 @@ def header_fingerprints(cells: DataFrame, rows: int = 12) -> DataFrame:
     texts = cells.filter(~T.blank(F.col("text")) & F.col("num").isNull()).withColumn("k", F.dense_rank().over(Window.partitionBy("source_sheet").orderBy("row_id"))).filter(F.col("k") <= rows)
     ordered = F.transform(F.sort_array(F.collect_list(F.struct("row_id", "column_id", T.normalized(F.col("text")).alias("t")))), lambda x: x["t"])
     return texts.groupBy("source_sheet").agg(F.substring(F.sha2(F.array_join(ordered, "|"), 256), 1, 24).alias("fingerprint"))
+
+
+def header_changes(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Sheets of the later vintage, and whether their header text differs from the vintage before; new sheets count as changed."""
+    old = header_fingerprints(before).select("source_sheet", F.col("fingerprint").alias("_old"))
+    return header_fingerprints(after).join(old, "source_sheet", "left").select("source_sheet", "fingerprint", (~F.col("fingerprint").eqNullSafe(F.col("_old"))).alias("changed"))

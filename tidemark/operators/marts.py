@@ -12,11 +12,40 @@ def domain_mart(observations: DataFrame, domains: DataFrame, gate: DataFrame | N
     return rows.join(gate.select("series_id"), "series_id", "left_semi") if gate is not None else rows
 
 
-def research_gate(series_sheets: DataFrame, sheet_status: DataFrame) -> DataFrame:
-    """Series whose every sheet is validated; a sheet without a status counts as unreviewed."""
-    judged = series_sheets.join(F.broadcast(sheet_status), "source_sheet", "left").withColumn("status", F.coalesce("status", F.lit("unreviewed")))
-    counted = judged.groupBy("series_id").agg(F.count("*").alias("n_sheets"), F.count_if(F.col("status") == "validated").alias("n_validated"))
-    return counted.filter("n_sheets = n_validated")
+def sheet_status(series_sheets: DataFrame, register: DataFrame) -> DataFrame:
+    """The status of each series on each of its sheets: that of the exact sheet, else that of '*', else unreviewed."""
+    statuses = register.groupBy("source_sheet").agg(F.max("status").alias("_status"))
+    every = statuses.filter("source_sheet = '*'").agg(F.max("_status").alias("_every"))
+    joined = series_sheets.join(statuses, "source_sheet", "left").crossJoin(F.broadcast(every))
+    return joined.select(*series_sheets.columns, F.coalesce("_status", "_every", F.lit("unreviewed")).alias("status"))
+
+
+def research_gate(series_sheets: DataFrame, register: DataFrame, reviewed: DataFrame | None = None) -> DataFrame:
+    """Series whose every sheet is validated, and that are reviewed where a list of reviewed series is given."""
+    counted = sheet_status(series_sheets, register).groupBy("series_id").agg(F.count("*").alias("n_sheets"), F.count_if(F.col("status") == "validated").alias("n_validated"))
+    open_ = counted.filter("n_sheets = n_validated")
+    return open_.join(reviewed.select("series_id"), "series_id", "left_semi") if reviewed is not None else open_
+
+
+def classified_domains(series_sheets: DataFrame, domains: DataFrame) -> DataFrame:
+    """The domain of each series by its sheets; several domains leave it open."""
+    found = series_sheets.join(domains, "source_sheet", "left").groupBy("series_id").agg(F.count_distinct("domain").alias("n_domains"), F.max("domain").alias("_one"))
+    return found.select("series_id", "n_domains", F.when(F.col("n_domains") == 1, F.col("_one")).alias("domain"))
+
+
+def membership(register: DataFrame, resolved: DataFrame) -> DataFrame:
+    """Members of canonical series by the identifiers in force; those that resolve to none or to several have none."""
+    now = resolved.select(F.col("old_id").alias("member_id"), "resolved_id", "n_candidates")
+    joined = register.join(now, "member_id", "left")
+    return joined.select("canonical_id", "member_id", "resolved_id", F.when(F.col("n_candidates") > 1, "ambiguous").when(F.col("resolved_id").isNull(), "unresolved").otherwise("resolved").alias("state"))
+
+
+def regime_problems(regimes: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """Regimes of a series (series_id, regime, valid_from, valid_to) with a word outside the vocabulary, an end before
+    the start, or a start before the end of the one before."""
+    before = F.lag("valid_to").over(Window.partitionBy("series_id").orderBy("valid_from", "regime"))
+    problem = F.when(~F.col("regime").isin(vocabulary), "unknown regime").when(F.col("valid_to") < F.col("valid_from"), "ends before it starts").when(F.col("valid_from") <= before, "overlaps")
+    return regimes.select("series_id", "regime", "valid_from", problem.alias("problem")).filter("problem is not null")
 
 
 def grain_catalogue(observations: DataFrame, sheets: DataFrame) -> DataFrame:

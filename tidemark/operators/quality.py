@@ -67,3 +67,19 @@ def grid_growth(grid: DataFrame, budget: int) -> DataFrame:
 def orphans(rows: DataFrame, parents: DataFrame, on) -> DataFrame:
     """Rows without a parent."""
     return rows.join(parents, on, "left_anti")
+
+
+def currency_semantics(rows: DataFrame, native: str) -> DataFrame:
+    """Rows whose currency code and unit contradict each other: a currency without its unit, or a unit without a currency."""
+    wrong = F.when(F.col("currency").isNull() & F.col("unit").isin("pyg", "usd"), "currency missing").when(F.col("currency").isNotNull() & F.col("unit").isin("percent", "index"), "currency on a ratio").when((F.col("currency") == native) & ~F.col("unit").eqNullSafe("pyg"), "native currency in another unit")
+    return rows.select("series_id", "currency", "unit", wrong.alias("problem")).filter("problem is not null")
+
+
+def documented(rows: DataFrame) -> DataFrame:
+    """By source, keys with several rows, series with several units, scales on dimensionless units, the share without a unit."""
+    keys = rows.groupBy("source_id", "series_id", "period").agg(F.count("*").alias("n"), F.min("unit").alias("u1"), F.max("unit").alias("u2"), F.count("unit").alias("with_unit"), F.max("scale_multiplier").alias("scale"))
+    series = keys.groupBy("source_id", "series_id").agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 1).alias("dup"), F.min("u1").alias("u1"), F.max("u2").alias("u2"), F.sum("with_unit").alias("with_unit"), F.max("scale").alias("scale"))
+    return series.groupBy("source_id").agg(
+        F.sum("n").alias("n_rows"), F.sum("dup").alias("duplicate_keys"), F.count_if(F.col("u1") != F.col("u2")).alias("mixed_units"),
+        F.count_if((F.col("u1") == "percent") & (F.coalesce("scale", F.lit(1.0)) != 1)).alias("scaled_ratios"), (F.sum("n") - F.sum("with_unit")).alias("without_unit"),
+    )

@@ -63,3 +63,27 @@ def register_problems(register: DataFrame, required: list[str], key: list[str],
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def evidence(rows: DataFrame, key: str, fields: list[str], quote: str = "evidence") -> DataFrame:
+    """(key, field, value, quote) of every derived value."""
+    each = F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in fields))).alias("e")
+    return rows.select(key, quote, each).filter("e.value is not null").select(key, F.col("e.field").alias("field"), F.col("e.value").alias("value"), F.col(quote).alias("quote"))
+
+
+def measurement(series: DataFrame, found: DataFrame, key: str, fields: list[str]) -> DataFrame:
+    """A column and its basis for each field, from evidence rows (key, field, value, basis); reviewed beats derived."""
+    best = F.struct(F.when(F.col("basis") == "reviewed", 1).otherwise(0).alias("_r"), "value", "basis")
+    one = found.filter(F.col("field").isin(fields)).groupBy(key).agg(*(F.max(F.when(F.col("field") == f, best)).alias(f"_{f}") for f in fields))
+    shown = [c for f in fields for c in (F.col(f"_{f}.value").alias(f), F.coalesce(f"_{f}.basis", F.lit("unknown")).alias(f"{f}_basis"))]
+    return series.select(key).distinct().join(one, key, "left").select(key, *shown)
+
+
+def base_year(text: Column) -> Column:
+    """The base year of 'base 1994', 'base = 1994' or 'ano base 1994'."""
+    return F.regexp_extract(text, r"base\s*=?\s*((?:19|20)[0-9]{2})", 1).try_cast("int")
+
+
+def real_or_nominal(text: Column) -> Column:
+    """Real where prices are constant or a base year is named."""
+    return F.when(text.rlike("constante|constant|real") | base_year(text).isNotNull(), "real").otherwise("nominal")

@@ -19,19 +19,25 @@ def newest_first() -> list[Column]:
     return [F.col("publication_date").desc_nulls_last(), F.col("vintage_id").desc()]
 
 
-def _with_previous(snapshots: DataFrame, vintages: DataFrame) -> DataFrame:
-    """Every key in every vintage, with its value and that of the vintage before: one shuffle by key."""
-    keys = snapshots.select(*KEY).distinct().crossJoin(F.broadcast(vintages.select("vintage_id", "publication_date")))
-    dense = keys.join(snapshots.select(*KEY, "vintage_id", "value"), [*KEY, "vintage_id"], "left")
-    by_key = Window.partitionBy(*KEY).orderBy("vintage_id")
-    return dense.withColumn("previous", F.lag("value").over(by_key)).withColumn("previous_vintage", F.lag("vintage_id").over(by_key))
+def _statements(snapshots: DataFrame, vintages: DataFrame) -> DataFrame:
+    """What each vintage states of a key against the vintage just before it: the rows that exist, and after a row that the
+    next vintage lacks a removal in that vintage. One shuffle by key; absent rows are told by the vintages' numbers."""
+    in_order = Window.orderBy("vintage_id")
+    numbered = vintages.select("vintage_id", "publication_date", F.row_number().over(in_order).alias("_nth"), F.lead(F.struct("vintage_id", "publication_date")).over(in_order).alias("_next"))
+    rows = snapshots.filter("value is not null").select(*KEY, "vintage_id", "value").join(numbered, "vintage_id")
+    by_key = Window.partitionBy(*KEY).orderBy("_nth")
+    before = F.lag(F.struct("_nth", "value", "vintage_id")).over(by_key)
+    placed = rows.withColumn("_before", F.when(before["_nth"] == F.col("_nth") - 1, before)).withColumn("_after", F.lead("_nth").over(by_key))
+    own = F.struct("vintage_id", "publication_date", "value", F.col("_before.value").alias("previous"), F.col("_before.vintage_id").alias("previous_vintage"))
+    gone = F.struct(F.col("_next.vintage_id").alias("vintage_id"), F.col("_next.publication_date").alias("publication_date"), F.lit(None).cast("double").alias("value"), F.col("value").alias("previous"), F.col("vintage_id").alias("previous_vintage"))
+    lost = F.col("_next").isNotNull() & (F.col("_after").isNull() | (F.col("_after") > F.col("_nth") + 1))
+    return placed.select(*KEY, F.explode(F.when(lost, F.array(own, gone)).otherwise(F.array(own))).alias("_s")).select(*KEY, "_s.*")
 
 
 def sparse_events(snapshots: DataFrame, vintages: DataFrame) -> DataFrame:
     """J01 over a whole history of full snapshots: first values, changes beyond the tolerance, removals."""
-    changed = F.col("value").isNotNull() & (F.col("previous").isNull() | (F.abs(F.col("value") - F.col("previous")) > TOLERANCE))
-    removed = F.col("value").isNull() & F.col("previous").isNotNull()
-    return _with_previous(snapshots, vintages).filter(changed | removed).select(*KEY, "vintage_id", "publication_date", "value", F.col("value").isNull().alias("is_deleted"))
+    same = F.col("value").isNotNull() & F.col("previous").isNotNull() & (F.abs(F.col("value") - F.col("previous")) <= TOLERANCE)
+    return _statements(snapshots, vintages).filter(~same).select(*KEY, "vintage_id", "publication_date", "value", F.col("value").isNull().alias("is_deleted"))
 
 
 def incremental_events(latest_all: DataFrame, snapshot: DataFrame) -> DataFrame:
@@ -46,7 +52,7 @@ def incremental_events(latest_all: DataFrame, snapshot: DataFrame) -> DataFrame:
 def revisions(snapshots: DataFrame, vintages: DataFrame) -> DataFrame:
     """Values that a later vintage changed or removed."""
     moved = F.col("previous").isNotNull() & (F.col("value").isNull() | (F.abs(F.col("value") - F.col("previous")) > TOLERANCE))
-    return _with_previous(snapshots, vintages).filter(moved).select(
+    return _statements(snapshots, vintages).filter(moved).select(
         *KEY, F.col("previous_vintage"), F.col("vintage_id").alias("new_vintage"), F.col("previous").alias("previous_value"), F.col("value").alias("new_value"),
         F.abs(F.col("value") - F.col("previous")).alias("absolute_revision"), F.when(F.col("value").isNull(), "removed").otherwise("changed").alias("kind"),
     )
@@ -124,6 +130,19 @@ def decide(flags: DataFrame, releases: DataFrame, decided: DataFrame | None = No
     return counted.withColumn("decision", F.when(F.col("errors") > 0, "blocked").otherwise("accepted"))
 
 
+def promoted(decisions: DataFrame) -> DataFrame:
+    """Decisions with the one that the active pointer names, the last accepted one; a blocked release never moves it."""
+    pointer = decisions.filter("decision = 'accepted'").agg(F.max_by("release_id", F.struct("decided_at", "release_id")).alias("_active"))
+    return decisions.join(pointer, F.col("release_id") == F.col("_active"), "left").select(*decisions.columns, F.col("_active").isNotNull().alias("is_active"))
+
+
+def registered(series: DataFrame, found: DataFrame, defaults: dict[str, str]) -> DataFrame:
+    """The series dimension with the series that it lacks, their unnamed fields at the defaults; known rows stay as they are."""
+    fresh = found.select("series_id").distinct().join(series, "series_id", "left_anti")
+    filled = [F.lit(defaults.get(c)).cast(series.schema[c].dataType).alias(c) for c in series.columns if c != "series_id"]
+    return series.unionByName(fresh.select("series_id", *filled))
+
+
 def append_new(stored: DataFrame, snapshot: DataFrame) -> DataFrame:
     """The rows of vintages that aren't stored yet."""
     return snapshot.join(F.broadcast(stored.select("vintage_id").distinct()), "vintage_id", "left_anti")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.periods import expected, months_between_ends
@@ -27,8 +26,6 @@ def _realised(spark, d):
 
 
 AS_OF = date(2000, 12, 31)
-_LINKS = [("b1", "v1"), ("b2", "v1"), ("b2", "v2"), ("b3", "v3"), ("b3", "v2"), ("b4", "v4")]
-_DECISIONS = [("b1", "accepted", date(1999, 1, 20)), ("b2", "accepted", date(2000, 7, 20)), ("b3", "accepted", date(2001, 7, 20)), ("b4", "blocked", date(2001, 9, 20))]
 
 
 def _series(rows):
@@ -41,11 +38,6 @@ def j08(spark, d):
     return V.observations(rows, _series(rows), dates)
 
 
-def j15(spark, d):
-    links = D.snapshots(spark, d).select("vintage_id").distinct().join(F.broadcast(spark.createDataFrame(_LINKS, "release_id string, vintage_id string")), "vintage_id")
-    return V.admitting_release(links, spark.createDataFrame(_DECISIONS, "release_id string, decision string, decided_at date"))
-
-
 def j01_incremental(spark, d):
     """The fourth vintage against the latest of the three before: the same events as the whole-history form gives it."""
     snaps = D.snapshots(spark, d)
@@ -54,10 +46,11 @@ def j01_incremental(spark, d):
 
 
 def a20(spark, d):
-    snaps = D.snapshots(spark, d).select("series_id").distinct()
-    known = snaps.filter("series_id like '%:O'").withColumn("series_sk", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("series_id")))
-    keys = V.surrogate_keys(known, snaps)
-    return keys.agg(F.count("*").alias("n"), F.min("series_sk").alias("first_sk"), F.max("series_sk").alias("last_sk"), F.countDistinct("series_sk").alias("distinct_sk"))
+    """Customers as series: those of even nations are known under keys of their own, the others get new ones."""
+    customers = D.table(spark, d, "customer")
+    ids = customers.select(F.concat(F.lit("customer:"), F.col("c_custkey").cast("string")).alias("series_id"))
+    known = customers.filter("c_nationkey % 2 = 0").select(F.concat(F.lit("customer:"), F.col("c_custkey").cast("string")).alias("series_id"), (F.col("c_custkey") * 10).alias("series_sk"))
+    return V.surrogate_keys(known, ids)
 
 
 def l09_grid(spark, d):
@@ -98,11 +91,7 @@ _Q = {
         lambda s, d: V.as_of(_events(s, d), D.accepted(s), AS_OF, statement=True),
         f"WITH {F1} SELECT series_id, period, value, vintage_id, publication_date AS available_at, CASE WHEN period > publication_date THEN 'after_publication' ELSE 'observed' END AS observation_status FROM (SELECT *, row_number() OVER (PARTITION BY series_id, period ORDER BY publication_date DESC, vintage_id DESC) AS k FROM fact WHERE vintage_id IN ('v1','v2','v3') AND publication_date <= DATE '2000-12-31') WHERE k = 1 AND NOT is_deleted",
     ),
-    "J15_admitting_release": (
-        j15,
-        "WITH l AS (SELECT * FROM (VALUES ('b1','v1'),('b2','v1'),('b2','v2'),('b3','v3'),('b3','v2'),('b4','v4')) AS x(release_id, vintage_id)), k AS (SELECT * FROM (VALUES ('b1','accepted',DATE '1999-01-20'),('b2','accepted',DATE '2000-07-20'),('b3','accepted',DATE '2001-07-20'),('b4','blocked',DATE '2001-09-20')) AS x(release_id, decision, decided_at)) SELECT vintage_id, arg_min(release_id, decided_at) AS release_id, min(decided_at) AS admitted_at FROM l JOIN k USING (release_id) WHERE decision = 'accepted' GROUP BY 1",
-    ),
-    "A20_surrogate_keys": (a20, f"WITH {F1} SELECT count(DISTINCT series_id) AS n, CAST(1 AS BIGINT) AS first_sk, count(DISTINCT series_id) AS last_sk, count(DISTINCT series_id) AS distinct_sk FROM snap"),
+    "A20_surrogate_keys": (a20, "WITH c AS (SELECT 'customer:'||CAST(c_custkey AS VARCHAR) AS series_id, c_custkey*10 AS sk, c_nationkey%2=0 AS known FROM customer) SELECT series_id, CAST(sk AS BIGINT) AS series_sk FROM c WHERE known UNION ALL SELECT series_id, CAST((SELECT max(sk) FROM c WHERE known) + row_number() OVER (ORDER BY substr(md5(series_id),1,2), series_id) AS BIGINT) FROM c WHERE NOT known"),
     "L09_expected_grid": (
         l09_grid,
         f"WITH {F1}, spans AS (SELECT series_id, min(period) AS a, max(period) AS b FROM realised GROUP BY 1 HAVING count(*) > 1), g AS (SELECT series_id, last_day(CAST(unnest(generate_series(date_trunc('month', a), date_trunc('month', b), INTERVAL 1 MONTH)) AS DATE)) AS period FROM spans) SELECT g.series_id, g.period, r.value IS NOT NULL AS observed FROM g LEFT JOIN realised r ON r.series_id = g.series_id AND r.period = g.period",
