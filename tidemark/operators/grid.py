@@ -109,7 +109,45 @@ def vertical_date(cells: DataFrame) -> DataFrame:
     return values.join(axis, ["source_sheet", "row_id"]).filter("column_id <> axis").join(header, ["source_sheet", "column_id"]).select(*OUT)
 
 
-EXTRACTORS = {"horizontal_year": horizontal_year, "horizontal_year_month": horizontal_year_month, "horizontal_year_quarter": horizontal_year_quarter, "vertical_date": vertical_date}
+def horizontal_date(cells: DataFrame) -> DataFrame:
+    """Dates across the fullest date row, labels down."""
+    days = cells.filter("date is not null").select("source_sheet", "row_id", "column_id", F.last_day("date").alias("period"))
+    header = _fullest_row(days.groupBy("source_sheet", "row_id").agg(F.count("*").alias("n")))
+    axis = days.join(header, "source_sheet").filter("row_id = header_row").select("source_sheet", "column_id", "period", "header_row")
+    values = cells.filter("num is not null").select("source_sheet", "row_id", "column_id", F.col("num").alias("value"))
+    return values.join(axis, ["source_sheet", "column_id"]).filter("row_id > header_row").join(_labels(cells).withColumnRenamed("label", "series"), ["source_sheet", "row_id"]).select(*OUT)
+
+
+def _vertical(cells: DataFrame) -> DataFrame:
+    """Rows of a sheet under the years of its fullest year column, with the texts above the first year as headers."""
+    axes = year_axes(cells, "column_id", "row_id", widest_gap=10)
+    axis = axes.groupBy("source_sheet").agg(F.max_by("column_id", F.struct("n", -F.col("column_id"))).alias("axis"))
+    years = cells.select("source_sheet", "row_id", "column_id", T.year_label(F.col("text")).alias("y")).filter("y is not null").join(axis, "source_sheet").filter("column_id = axis")
+    first = years.groupBy("source_sheet").agg(F.min("row_id").alias("first_row"), F.max("axis").alias("axis"))
+    header = cells.filter(~T.blank(F.col("text"))).join(first, "source_sheet").filter("row_id < first_row").groupBy("source_sheet", "column_id").agg(F.max_by("text", "row_id").alias("series"))
+    marked = cells.select("source_sheet", "row_id").distinct().join(years.select("source_sheet", "row_id", "y"), ["source_sheet", "row_id"], "left")
+    down = Window.partitionBy("source_sheet").orderBy("row_id").rowsBetween(Window.unboundedPreceding, 0)
+    rows = marked.select("source_sheet", "row_id", F.col("y").alias("own"), F.last("y", ignorenulls=True).over(down).alias("y")).filter("y is not null")
+    values = cells.filter("num is not null").select("source_sheet", "row_id", "column_id", F.col("num").alias("value"))
+    return values.join(rows, ["source_sheet", "row_id"]).join(first.select("source_sheet", "axis"), "source_sheet").filter("column_id <> axis").join(header, ["source_sheet", "column_id"])
+
+
+def vertical_year(cells: DataFrame) -> DataFrame:
+    """Years down one column, headers above them."""
+    return _vertical(cells).filter("own is not null").withColumn("period", F.make_date("own", F.lit(12), F.lit(31))).select(*OUT)
+
+
+def vertical_block(cells: DataFrame) -> DataFrame:
+    """Years down one column, each above or beside its months or quarters; a year's own row without either is annual."""
+    words = cells.select("source_sheet", "row_id", T.month_number(F.col("text")).alias("m"), T.quarter_number(F.col("text")).alias("q")).groupBy("source_sheet", "row_id").agg(F.max("m").alias("m"), F.max("q").alias("q"))
+    rows = _vertical(cells).join(words, ["source_sheet", "row_id"])
+    month = F.coalesce("m", F.col("q") * 3, F.when(F.col("own").isNotNull(), 12))
+    return rows.withColumn("period", P.month_end(F.col("y"), month)).filter("period is not null").select(*OUT)
+
+
+EXTRACTORS = {
+    "horizontal_year": horizontal_year, "horizontal_year_month": horizontal_year_month, "horizontal_year_quarter": horizontal_year_quarter, "vertical_date": vertical_date,
+    "horizontal_date": horizontal_date, "vertical_year": vertical_year, "vertical_block": vertical_block}
 
 
 def observations(cells: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
