@@ -174,11 +174,18 @@ def identified(rows: DataFrame) -> DataFrame:
     return laned.withColumn("series_id", T.hashed_id("series:", F.col("source_sheet"), F.col("series"), F.col("lane").cast("string"))).withColumn("stability", F.when(F.col("lane") > 0, "positional").otherwise("stable"))
 
 
+def _digest(rows: DataFrame, by: list[str], order: str) -> DataFrame:
+    """One sha-256 for each group, of its members' ``e`` in order."""
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct(order, "e"))), lambda x: x["e"])
+    return rows.groupBy(*by).agg(F.sha2(F.array_join(ordered, ";"), 256).alias("e"), F.sum("_n").alias("_n"))
+
+
 def version_ids(cells: DataFrame) -> DataFrame:
-    """A sheet's content as one hash of its ordered cells."""
+    """A sheet's content as a hash over hashes of 1,024 rows each, over hashes of rows: no list holds a whole sheet."""
     entry = F.concat_ws("|", "row_id", "column_id", F.coalesce("text", F.lit("")), F.coalesce(F.col("num").cast("decimal(38,6)").cast("string"), F.lit("")), F.coalesce(F.date_format("date", "yyyy-MM-dd"), F.lit("")))
-    ordered = F.transform(F.sort_array(F.collect_list(F.struct("row_id", "column_id", entry.alias("e")))), lambda x: x["e"])
-    return cells.groupBy("source_sheet").agg(F.substring(F.sha2(F.array_join(ordered, ";"), 256), 1, 24).alias("sheet_version_id"), F.count("*").alias("n_cells"))
+    each = cells.select("source_sheet", F.floor(F.col("row_id") / 1024).alias("_block"), "row_id", "column_id", entry.alias("e"), F.lit(1).alias("_n"))
+    whole = _digest(_digest(_digest(each, ["source_sheet", "_block", "row_id"], "column_id"), ["source_sheet", "_block"], "row_id"), ["source_sheet"], "_block")
+    return whole.select("source_sheet", F.substring("e", 1, 24).alias("sheet_version_id"), F.col("_n").alias("n_cells"))
 
 
 def new_versions(versions: DataFrame, stored: DataFrame) -> DataFrame:

@@ -52,24 +52,34 @@ def resolution(mapped: DataFrame) -> DataFrame:
     return by_old.select("old_id", "n_candidates", F.array_join("candidates", ";").alias("candidates"), F.when(F.col("n_candidates") == 1, F.element_at(F.col("candidates"), 1)).alias("resolved_id"))
 
 
-def closure(aliases: DataFrame, rounds: int = 32) -> DataFrame:
+def closure(aliases: DataFrame) -> DataFrame:
     """All (old_id, new_id) that steps of aliases reach. Ends when a round adds nothing; a cycle ends too.
 
-    Each round doubles the length of the paths, so the rounds follow the logarithm of the longest chain.
+    Only the pairs that the last round found are extended, by everything known, so the rounds follow the logarithm of the longest chain.
     """
-    reach = saved(aliases.select("old_id", "new_id").distinct(), "closure")
-    size = reach.count()
-    for _ in range(rounds):
-        step = reach.alias("a").join(reach.alias("b"), F.col("a.new_id") == F.col("b.old_id")).select(F.col("a.old_id").alias("old_id"), F.col("b.new_id").alias("new_id"))
-        reach = saved(reach.unionByName(step).distinct(), "closure")
-        now = reach.count()
-        if now == size:
-            break
-        size = now
+    fresh = reach = saved(aliases.select("old_id", "new_id").distinct(), "closure")
+    while not fresh.isEmpty():
+        a, b = fresh.select("old_id", F.col("new_id").alias("_via")), reach.select(F.col("old_id").alias("_via"), "new_id")
+        c, e = reach.select("old_id", F.col("new_id").alias("_via")), fresh.select(F.col("old_id").alias("_via"), "new_id")
+        step = a.join(b, "_via").unionByName(c.join(e, "_via")).select("old_id", "new_id").distinct()
+        fresh = saved(step.join(reach, ["old_id", "new_id"], "left_anti"), "closure-new")
+        reach = reach.unionByName(fresh)
     return reach
 
 
-def in_cycle(parents: DataFrame, child: str, parent: str) -> DataFrame:
-    """identifiers that reach themselves through their parents."""
-    reach = closure(parents.filter(F.col(parent).isNotNull()).select(F.col(child).alias("old_id"), F.col(parent).alias("new_id")))
-    return reach.filter("old_id = new_id").select(F.col("old_id").alias(child))
+def in_cycle(parents: DataFrame, child: str, parent: str, peels: int = 12) -> DataFrame:
+    """identifiers that reach themselves through their parents.
+
+    Links into or out of nothing are on no cycle: they are peeled off first, for up to ``peels`` rounds, and only what is
+    left is closed. The number of peels changes the work, not the rows.
+    """
+    links = saved(parents.filter(F.col(parent).isNotNull()).select(F.col(child).alias("old_id"), F.col(parent).alias("new_id")).distinct(), "links")
+    size = links.count()
+    for _ in range(peels):
+        goes_on = links.join(links.select(F.col("old_id").alias("new_id")), "new_id", "left_semi").join(links.select(F.col("new_id").alias("old_id")), "old_id", "left_semi")
+        links = saved(goes_on.select("old_id", "new_id"), "links")
+        now = links.count()
+        if now == size:
+            break
+        size = now
+    return closure(links).filter("old_id = new_id").select(F.col("old_id").alias(child))

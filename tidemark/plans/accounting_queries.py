@@ -105,7 +105,7 @@ SELECT g.series_id, g.period, CASE WHEN ax.row_id IS NULL THEN 'period_not_in_sh
 FROM g JOIN w USING (series_id) LEFT JOIN ax ON ax.source_sheet=w.source_sheet AND ax.period=g.period LEFT JOIN cells c ON c.source_sheet=w.source_sheet AND c.row_id=ax.row_id AND c.column_id=w.column_id
 WHERE NOT EXISTS (SELECT 1 FROM obs o WHERE o.series_id=g.series_id AND o.period=g.period)""",
     ),
-    "G20_packed_spans": (lambda s, d: A.packed(D.grid(s, d).filter("num is not null and column_id = 3"), "source_sheet", "row_id"), f"WITH {F2}, n AS (SELECT DISTINCT source_sheet, row_id FROM cells WHERE num IS NOT NULL AND column_id=3), i AS (SELECT *, row_id - row_number() OVER (PARTITION BY source_sheet ORDER BY row_id) AS k FROM n) SELECT source_sheet, min(row_id) AS lo, max(row_id) AS hi FROM i GROUP BY source_sheet, k"),
+    "G20_packed_spans": (lambda s, d: A.packed(D.grid(s, d).filter("num is not null").withColumn("line", F.concat_ws(":", "source_sheet", "column_id")), "line", "row_id"), f"WITH {F2}, n AS (SELECT DISTINCT source_sheet||':'||column_id AS line, row_id FROM cells WHERE num IS NOT NULL), i AS (SELECT *, row_id - row_number() OVER (PARTITION BY line ORDER BY row_id) AS k FROM n) SELECT line, min(row_id) AS lo, max(row_id) AS hi FROM i GROUP BY line, k"),
     "I01_row_rejections": (lambda s, d: A.rejections(D.trades(s, d)).filter("reason is not null").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "reason"), f"WITH {F3} SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, reason FROM cls WHERE reason IS NOT NULL"),
     "I03_trades": (
         i03,

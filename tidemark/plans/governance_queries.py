@@ -38,11 +38,12 @@ def l13(s, d):
 
 
 def n01(s, d):
-    o = D.table(s, d, "orders").select(F.col("o_orderpriority").alias("series_id"), F.to_date("o_orderdate").alias("day"), F.col("o_totalprice").cast("decimal(18,2)").alias("v"))
-    quarter = F.to_date(F.trunc("day", "quarter"))
-    months = o.groupBy("series_id", F.last_day("day").alias("m")).agg(F.sum("v").alias("value")).select("series_id", F.to_date(F.trunc("m", "quarter")).alias("bucket"), "value")
-    quarters = o.groupBy("series_id", quarter.alias("bucket")).agg(F.sum("v").alias("v")).select("series_id", "bucket", (F.col("v") + F.when((F.month("bucket") == 4), 5).otherwise(0)).alias("value"))
-    return G.aggregates_hold(months, quarters, 0.01, s.createDataFrame([("5-LOW",)], "series_id string"))
+    """Months of line prices against quarters of order totals: published apart, so they differ by discounts and taxes."""
+    o = D.table(s, d, "orders").select("o_orderkey", F.col("o_orderpriority").alias("series_id"), F.to_date("o_orderdate").alias("day"), F.col("o_totalprice").cast("decimal(18,2)").alias("v"))
+    bucket = F.to_date(F.trunc("day", "quarter")).alias("bucket")
+    lines = D.table(s, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_extendedprice").cast("decimal(18,2)").alias("p"))
+    months = o.join(lines, "o_orderkey").groupBy("series_id", bucket, F.month("day").alias("m")).agg(F.sum("p").alias("value")).drop("m")
+    return G.aggregates_hold(months, o.groupBy("series_id", bucket).agg(F.sum("v").alias("value")), 0.01, s.createDataFrame([("5-LOW",)], "series_id string"))
 
 
 def n12(s, d):
@@ -98,7 +99,7 @@ _Q = {
     "M07_own_concepts": (lambda s, d: G.own_concepts(_realised(s, d), _mapped(s, d).filter("concept_id = 'F'").select("series_id")), f"WITH {F1} SELECT DISTINCT series_id, 'concept:' || substr(sha256(series_id),1,24) AS concept_id FROM realised WHERE series_id NOT LIKE '%:F'"),
     "M08_concept_agreement": (lambda s, d: G.agreed_concepts(_mapped(s, d), "unit"), f"WITH {F1}, m AS (SELECT DISTINCT series_id, split_part(series_id,':',3) AS concept_id, CASE WHEN series_id LIKE '%1-URGENT:F' THEN 'pyg' ELSE 'usd' END AS unit FROM realised) SELECT concept_id, count(*) AS n_series, count(DISTINCT unit)=1 AS agrees FROM m GROUP BY 1"),
     "M09_latest_by_concept": (lambda s, d: G.latest_by_concept(_realised(s, d), _mapped(s, d).select("series_id", "concept_id")), f"WITH {F1} SELECT split_part(series_id,':',3) AS concept_id, max(period) AS last_period, count(DISTINCT series_id) AS n_series, count(*) AS n_observations FROM realised GROUP BY 1"),
-    "N01_aggregates_hold": (n01, "WITH q AS (SELECT o_orderpriority AS series_id, CAST(date_trunc('quarter', o_orderdate) AS DATE) AS bucket, count(DISTINCT month(o_orderdate)) AS n_parts FROM orders GROUP BY 1,2) SELECT series_id, bucket, n_parts, CAST(5 AS DOUBLE) AS difference, CASE WHEN series_id='5-LOW' THEN 'warning' ELSE 'error' END AS severity FROM q WHERE month(bucket)=4"),
+    "N01_aggregates_hold": (n01, "WITH o AS (SELECT o_orderkey, o_orderpriority AS series_id, CAST(date_trunc('quarter', o_orderdate) AS DATE) AS bucket, month(o_orderdate) AS m, CAST(o_totalprice AS DECIMAL(18,2)) AS v FROM orders), w AS (SELECT series_id, bucket, sum(v) AS w FROM o GROUP BY 1,2), p AS (SELECT series_id, bucket, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS s, count(DISTINCT m) AS n_parts FROM o JOIN lineitem ON l_orderkey=o_orderkey GROUP BY 1,2) SELECT series_id, bucket, n_parts, CAST(w-s AS DOUBLE) AS difference, CASE WHEN series_id='5-LOW' THEN 'warning' ELSE 'error' END AS severity FROM w JOIN p USING (series_id, bucket) WHERE abs(w-s)>0.01"),
     "N06_file_contract": (
         lambda s, d: G.contract(A.rejections(D.trades(s, d)).filter("reason is null"), "dia", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], "moneda", 1000, ["USD", "PYG", "EUR"]),
         f"WITH {F3}, g AS (SELECT * FROM cls WHERE reason IS NULL), k AS (SELECT count(*) AS duplicate_keys FROM (SELECT 1 FROM g GROUP BY l_orderkey, l_linenumber, l_partkey, l_suppkey HAVING count(*)>1)) SELECT count(*) AS n_rows, min(dia) AS first_day, max(dia) AS last_day, CAST(3 - count(DISTINCT moneda) AS INT) AS currencies_missing, max(duplicate_keys) AS duplicate_keys, FALSE AS holds FROM g, k",

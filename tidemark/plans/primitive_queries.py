@@ -16,6 +16,7 @@ from ..operators import screens
 from ..sources import derived as D
 from ..sources import files
 from ..sources.derived import F1, F2, F7
+from ..sources.stored import shared_dir
 from .governance_queries import _OUT, _regions
 from .relational_queries import CUSTOMERS, LINES, ORDERS, PARTS, aliases
 from .vintage_queries import GAPS, _realised
@@ -134,7 +135,17 @@ def a03(s, d):
     return files.replay_order(doubled).select("source_id", "sha256", "path", "publication_date")
 
 
+def a05(s, d):
+    """Trades written as ';' files with padded fields and read again under guard."""
+    path = shared_dir(s, "trades")
+    names = ["fecha", "volumen", "instrumento", "moneda"]
+    D.trades(s, d).select("fecha", "volumen", F.concat(F.lit(" x"), "instrumento", F.lit(" ")).alias("instrumento"), "moneda").write.option("sep", ";").option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    read = files.guarded(s, path, names)
+    return read.groupBy("instrumento", "moneda").agg(F.count("*").alias("n_rows"), F.count_distinct("source_file", "source_row").alias("n_places"), F.min("fecha").alias("first_day"))
+
+
 _Q = {
+    "A05_guarded_scan": (a05, f"WITH {D.F3.strip()} SELECT 'x'||instrumento AS instrumento, moneda, count(*) AS n_rows, count(*) AS n_places, min(fecha) AS first_day FROM raw GROUP BY 1,2"),
     "A02_files_in_force": (a02, f"WITH {_FILES}, r AS (SELECT o_custkey AS source_id, sha256(CAST(min(o_orderkey) AS VARCHAR)) AS rec FROM orders WHERE o_custkey % 2 = 0 GROUP BY 1), j AS (SELECT fl.*, coalesce(rec = sha256, FALSE) AS hit FROM fl LEFT JOIN r USING (source_id)), k AS (SELECT *, rank() OVER (PARTITION BY source_id ORDER BY hit DESC, t DESC) AS k1 FROM j), tp AS (SELECT source_id, count(DISTINCT sha256) AS c, min(path) AS path FROM k WHERE k1 = 1 GROUP BY 1) SELECT source_id, CASE WHEN c = 1 THEN path END AS path, CASE WHEN c = 1 THEN 'chosen' ELSE 'tied' END AS state FROM tp"),
     "A03_replay_order": (a03, f"WITH {_FILES} SELECT source_id, sha256, path, CASE WHEN o_orderstatus <> 'P' THEN last_day(t) END AS publication_date FROM fl JOIN orders ON o_orderkey = k"),
     "A04_bundle_id": (lambda s, d: files.bundle_id(D.table(s, d, "nation").select(F.col("n_name").alias("source_id"), F.sha2("n_name", 256).alias("sha256"))), "SELECT sha256(string_agg(n_name || ':' || sha256(n_name), '|' ORDER BY n_name || ':' || sha256(n_name))) AS bundle_id, count(*) AS n_files FROM nation"),

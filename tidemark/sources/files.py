@@ -37,12 +37,21 @@ def bundle_id(files: DataFrame) -> DataFrame:
 
 
 def guarded(spark: SparkSession, path: str, header: list[str], sep: str = ";") -> DataFrame:
-    """A delimited file as text columns; a wrong header or a malformed line refuses the whole file."""
-    found = spark.read.option("sep", sep).option("header", True).csv(path).columns
+    """Delimited files as trimmed text columns with the file and the row in it, counted from 1 below the header.
+
+    A header that differs (a byte-order mark and blanks aside) or a malformed line refuses everything. Rows are numbered
+    within each split of a file, which starts at its number of earlier rows: no task sees a whole file.
+    """
+    found = [c.strip("\ufeff ") for c in spark.read.option("sep", sep).option("header", True).csv(path).columns]
     if found != header:
         raise ValueError(f"the header is {found}, not {header}")
     schema = ", ".join(f"`{c}` string" for c in header)
-    return spark.read.schema(schema).option("sep", sep).option("header", True).option("mode", "FAILFAST").option("enforceSchema", False).csv(path)
+    rows = spark.read.schema(schema).option("sep", sep).option("header", True).option("mode", "FAILFAST").csv(path)
+    placed = rows.select(*(F.trim(c).alias(c) for c in header), F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_id"))
+    split = Window.partitionBy("source_file", "_start").orderBy("_id")
+    sizes = placed.groupBy("source_file", "_start").agg(F.count("*").alias("_n"))
+    before = sizes.select("source_file", "_start", F.coalesce(F.sum("_n").over(Window.partitionBy("source_file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    return placed.withColumn("_k", F.row_number().over(split)).join(before, ["source_file", "_start"]).select(*header, "source_file", (F.col("_before") + F.col("_k")).alias("source_row"))
 
 
 def extent(rows: DataFrame) -> DataFrame:
