@@ -83,3 +83,11 @@ def in_cycle(parents: DataFrame, child: str, parent: str, peels: int = 12) -> Da
             break
         size = now
     return closure(links).filter("old_id = new_id").select(F.col("old_id").alias(child))
+
+
+def migration_job(before: DataFrame, after: DataFrame, *cell: str) -> tuple[DataFrame, DataFrame]:
+    """The map from the identifiers of one store to those of another, saved once, with each old one's resolution; and
+    its summary by relation."""
+    mapped = saved(migration(before, after, *cell), "migration")
+    whole = mapped.join(resolution(mapped).select("old_id", "resolved_id"), "old_id", "left")
+    return whole, mapped.groupBy("relation").agg(F.count_distinct("old_id").alias("n_old"), F.count_distinct("new_id").alias("n_new"), F.sum("shared").cast("long").alias("shared_cells"))

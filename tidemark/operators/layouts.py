@@ -165,6 +165,41 @@ def entity_panel(cells: DataFrame, entities: DataFrame) -> DataFrame:
     return _values(cells).join(named, ["source_sheet", "column_id"]).join(item, ["source_sheet", "row_id"]).join(dated, ["source_sheet", "row_id"]).filter("row_id > header_row").select("source_sheet", "item", "entity", "entity_id", "period", "value")
 
 
+def row_events(cells: DataFrame) -> DataFrame:
+    """Events in rows under repeated headers that begin with 'Fecha'; a lone text above them is the state that holds to
+    the next one. Equal events of a state, day and participant are told apart by their ordinal in reading order."""
+    texts = _text(cells)
+    first = texts.groupBy("source_sheet", "row_id").agg(F.min_by("text", "column_id").alias("_t"), F.count("*").alias("_n"))
+    filled = cells.groupBy("source_sheet", "row_id").agg((F.count("num") + F.count("date")).alias("_v"), F.max("date").alias("day")).join(first, ["source_sheet", "row_id"], "left")
+    header = T.normalized(F.col("_t")) == "fecha"
+    lone = (F.col("_n") == 1) & (F.col("_v") == 0) & ~header
+    down = _across("row_id")
+    rows = filled.select("source_sheet", "row_id", "day", F.col("_t").alias("participant"), F.last(F.when(lone, F.col("_t")), ignorenulls=True).over(down).alias("state"), F.last(F.when(header, F.col("row_id")), ignorenulls=True).over(down).alias("title_row")).filter("day is not null and title_row is not null")
+    names = texts.select("source_sheet", F.col("row_id").alias("title_row"), "column_id", T.normalized(F.col("text")).alias("measure"))
+    joined = _values(cells).join(rows, ["source_sheet", "row_id"]).join(names, ["source_sheet", "title_row", "column_id"])
+    nth = F.row_number().over(Window.partitionBy("source_sheet", "state", "day", "participant", "measure").orderBy("row_id"))
+    return joined.select("source_sheet", "state", "day", "participant", "measure", "value", nth.cast("long").alias("ordinal"))
+
+
+def component_blocks(cells: DataFrame, tolerance: float = 0.01) -> DataFrame:
+    """Months under their year, a total and its components across; each month with whether the components make the total.
+    Months that hold no number, as at the end of a template, give no row."""
+    texts = _text(cells)
+    label = texts.groupBy("source_sheet", "row_id").agg(F.min_by("text", "column_id").alias("t"), F.min("column_id").alias("axis"))
+    judged = label.select("source_sheet", "row_id", T.year_label(F.col("t")).alias("_y"), T.month_number(T.normalized(F.col("t"))).alias("m"))
+    dated = judged.withColumn("y", F.last("_y", ignorenulls=True).over(_across("row_id"))).filter("_y is null and m is not null and y is not null").select("source_sheet", "row_id", P.month_end(F.col("y"), F.col("m")).alias("period"))
+    total = texts.filter(T.normalized(F.col("text")) == "total").groupBy("source_sheet").agg(F.min_by("column_id", "row_id").alias("total_column"))
+    parts = _values(cells).join(dated, ["source_sheet", "row_id"]).join(total, "source_sheet")
+    amount = F.col("value").cast("decimal(38,6)")
+    summed = parts.groupBy("source_sheet", "period").agg(F.sum(F.when(F.col("column_id") == F.col("total_column"), amount)).alias("t"), F.sum(F.when(F.col("column_id") > F.col("total_column"), amount)).alias("c"))
+    return summed.select("source_sheet", "period", F.col("t").cast("double").alias("total"), F.col("c").cast("double").alias("components"), (F.abs(F.col("t") - F.col("c")) <= tolerance).alias("holds"))
+
+
+def participants(cells: DataFrame, pattern: str) -> DataFrame:
+    """The distinct codes of participants that whole cells hold."""
+    return _text(cells).select(F.regexp_extract("text", f"^(?:{pattern})$", 0).alias("code")).filter("code <> ''").distinct()
+
+
 def unread(cells: DataFrame, observations: DataFrame) -> DataFrame:
     """Sheets with numbers of which none became an observation, with how many numbers stay unread."""
     read = observations.select("source_sheet").distinct()

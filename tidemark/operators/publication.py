@@ -78,3 +78,18 @@ def table_status(sheets: DataFrame, register: DataFrame) -> DataFrame:
 def running_number(rows: DataFrame, group: list[str], order: list[str]) -> DataFrame:
     """The ordinal of equal rows within their key."""
     return rows.withColumn("ordinal", F.row_number().over(Window.partitionBy(*group).orderBy(*order)).cast("long"))
+
+
+def resolved_tables(catalogue: DataFrame, spec: DataFrame) -> DataFrame:
+    """The one table of a sheet with a role's columns in order; where several have them, the one that the hint names."""
+    hits = spec.join(catalogue, ["source_sheet", "columns"], "left").groupBy("role", "source_sheet").agg(
+        F.count("source_table").alias("n_tables"), F.max("source_table").alias("_one"), F.count_if(F.col("source_table") == F.col("hint")).alias("_hinted"), F.max("hint").alias("_hint")
+    )
+    state = F.when(F.col("n_tables") == 0, "missing").when((F.col("n_tables") == 1) | (F.col("_hinted") == 1), "resolved").otherwise("ambiguous")
+    return hits.select("role", "source_sheet", "n_tables", F.when(F.col("n_tables") == 1, F.col("_one")).when(F.col("_hinted") == 1, F.col("_hint")).alias("source_table"), state.alias("state"))
+
+
+def metadata_rows(read: DataFrame, sources: DataFrame) -> DataFrame:
+    """A row for each file that was read, and a stub for each source of which none was."""
+    stubs = sources.select("source_id").distinct().join(read, "source_id", "left_anti")
+    return read.select("source_id", "file_name", "n_rows", F.lit("read").alias("state")).unionByName(stubs.select("source_id", F.lit(None).cast("string").alias("file_name"), F.lit(0).cast("long").alias("n_rows"), F.lit("failed").alias("state")))

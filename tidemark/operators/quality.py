@@ -83,3 +83,10 @@ def documented(rows: DataFrame) -> DataFrame:
         F.sum("n").alias("n_rows"), F.sum("dup").alias("duplicate_keys"), F.count_if(F.col("u1") != F.col("u2")).alias("mixed_units"),
         F.count_if((F.col("u1") == "percent") & (F.coalesce("scale", F.lit(1.0)) != 1)).alias("scaled_ratios"), (F.sum("n") - F.sum("with_unit")).alias("without_unit"),
     )
+
+
+def archive_problems(found: DataFrame, recorded: DataFrame) -> DataFrame:
+    """Recorded files (file_name, sha256) that are gone or hold other bytes, and files that no record names."""
+    both = recorded.select("file_name", F.col("sha256").alias("_r")).join(found.select("file_name", F.col("sha256").alias("_f")), "file_name", "full_outer")
+    problem = F.when(F.col("_f").isNull(), "missing").when(F.col("_r").isNull(), "unrecorded").when(F.col("_f") != F.col("_r"), "other bytes")
+    return both.select("file_name", problem.alias("problem")).filter("problem is not null")

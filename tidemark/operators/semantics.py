@@ -87,3 +87,14 @@ def base_year(text: Column) -> Column:
 def real_or_nominal(text: Column) -> Column:
     """Real where prices are constant or a base year is named."""
     return F.when(text.rlike("constante|constant|real") | base_year(text).isNotNull(), "real").otherwise("nominal")
+
+
+def measures(series: DataFrame, label: str = "label", title: str = "title") -> DataFrame:
+    """Unit, scale and base year of each distinct pair of label and title, the label's wording first, joined back null-safe."""
+    pairs = series.select(label, title).distinct()
+    a, b = normalized(F.coalesce(F.col(label), F.lit(""))), normalized(F.coalesce(F.col(title), F.lit("")))
+    meant = pairs.select(
+        F.col(label).alias("_l"), F.col(title).alias("_t"), F.coalesce(first_match(a, UNITS), first_match(b, UNITS)).alias("unit"),
+        F.coalesce(scale_multiplier(a), scale_multiplier(b)).alias("scale_multiplier"), F.coalesce(base_year(a), base_year(b)).alias("base_year"),
+    )
+    return series.join(meant, F.col(label).eqNullSafe(F.col("_l")) & F.col(title).eqNullSafe(F.col("_t"))).drop("_l", "_t")

@@ -65,6 +65,9 @@ def h10(s, d):
 
 
 _Q = {
+    "H11_row_events": (lambda s, d: L.row_events(saved(S.events(s, d), "sheets")), "WITH l AS (SELECT 'RE_'||l_returnflag||'_'||strftime(l_shipdate,'%Y%m') AS source_sheet, 'Mercado '||l_linestatus AS state, CAST(l_shipdate AS DATE) AS day, 'P'||l_suppkey AS participant, CAST(l_quantity AS DOUBLE) AS a, CAST(l_extendedprice AS DOUBLE) AS b, row_number() OVER (PARTITION BY l_returnflag, l_linestatus, CAST(l_shipdate AS DATE), l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice) AS ordinal FROM lineitem) SELECT source_sheet, state, day, participant, 'cantidad' AS measure, a AS value, ordinal FROM l UNION ALL SELECT source_sheet, state, day, participant, 'precio', b, ordinal FROM l"),
+    "H15_component_blocks": (lambda s, d: L.component_blocks(saved(S.sales(s, d), "sheets")), f"WITH {_LI} SELECT 'CV_'||f AS source_sheet, me AS period, CAST(sum(v) AS DOUBLE) + CASE WHEN month(me)%3=0 THEN 1 ELSE 0 END AS total, CAST(sum(v) AS DOUBLE) AS components, month(me)%3<>0 AS holds FROM li GROUP BY f, me"),
+    "H24_participants": (lambda s, d: L.participants(S.payments(s, d), "P[0-9]{8}"), "SELECT 'P'||lpad(CAST(s_suppkey AS VARCHAR),8,'0') AS code FROM supplier WHERE s_suppkey%4<>0"),
     "H10_layouts_and_unread": (h10, f"WITH {_LI} SELECT 'HD' AS source_sheet, 'Row '||f AS series, me AS period, {_V} FROM li GROUP BY f, me UNION ALL SELECT 'VY', 'Column '||f, make_date(y,12,31), CAST(sum(v) AS DOUBLE) FROM li GROUP BY f, y UNION ALL SELECT 'VB', 'Block '||f, me, CAST(sum(v) AS DOUBLE) FROM li GROUP BY f, me UNION ALL SELECT 'ZZ', 'unread', NULL, CAST(count(*) AS DOUBLE) FROM (SELECT DISTINCT f, ln FROM li)"),
     "H12_fiscal_years": (_read(L.fiscal_years, S.fiscal), f"WITH {_LI} SELECT 'FY_'||f AS source_sheet, CASE WHEN ln<4 THEN 'Activos' ELSE 'Pasivos' END || ' — Line ' || ln AS series, make_date(y + CASE WHEN m>6 THEN 1 ELSE 0 END, 6, 30) AS period, {_V} FROM li GROUP BY 1,2,3"),
     "H13_daily_quotes": (_read(L.daily_quotes, S.quotes), f"WITH {_LI} SELECT 'DQ_'||f AS source_sheet, CASE WHEN st='F' THEN 'USD' ELSE 'BRL' END || CASE WHEN side=0 THEN ' compra' ELSE ' venta' END AS series, day AS period, CAST(sum(v)+100 AS DOUBLE) AS value FROM li GROUP BY 1,2,3"),

@@ -20,6 +20,7 @@ from ..operators import vintage as V
 from ..reader import Store
 from ..sources import derived as D
 from ..sources.derived import F1, F2, F4, F7
+from ..sources.stored import replace_vintages, shared_dir
 from .accounting_queries import CLASSED, _grid
 from .governance_queries import _OUT, _mapped, _regions
 from .relational_queries import _DERIVED, _L, LINES, ORDERS, PARTS, aliases, labels
@@ -279,7 +280,63 @@ def a19(s, d):
     return prints[0].unionByName(prints[1]).crossJoin(F.broadcast(first)).select("state", "n_rows", (F.col("hash_sum") == F.col("_first")).alias("equal"))
 
 
+def a15(s, d):
+    """Tables are parts, sheets brands, columns the words of a type; each brand asks for its first type, hinting at its first part."""
+    named = F.concat(F.lit("t"), F.lpad(F.col("p_partkey").cast("string"), 9, "0"))
+    catalogue = PARTS(s, d).select(F.col("p_brand").alias("source_sheet"), named.alias("source_table"), F.replace("p_type", F.lit(" "), F.lit("|")).alias("columns"))
+    return B.resolved_tables(catalogue, catalogue.groupBy("source_sheet").agg(F.min("columns").alias("columns"), F.min("source_table").alias("hint")).withColumn("role", F.lit("accounts")))
+
+
+def a22(s, d):
+    """The worklist as a written report, read again."""
+    path = shared_dir(s, "worklist")
+    big = ORDERS(s, d).filter("o_totalprice > 100000").select("o_orderkey", F.col("o_totalprice").cast("decimal(18,2)").alias("price"))
+    screens.worklist(big, [F.col("price").desc(), "o_orderkey"], 25).write.option("header", True).csv(path)
+    return s.read.schema("o_orderkey long, price decimal(18,2), rank long, total long").option("header", True).csv(path).withColumn("price", F.col("price").cast("double"))
+
+
+def a23(s, d):
+    read = LINES(s, d).filter("l_suppkey % 4 <> 1").groupBy(F.col("l_suppkey").alias("source_id")).agg(F.concat(F.lit("f"), F.max("l_partkey").cast("string")).alias("file_name"), F.count("*").alias("n_rows"))
+    return B.metadata_rows(read, LINES(s, d).select(F.col("l_suppkey").alias("source_id")))
+
+
+def a26(s, d):
+    """All vintages are stored, then the second is stored again with other values: it alone is replaced."""
+    path = shared_dir(s, "reference")
+    snaps = D.snapshots(s, d).select("vintage_id", "series_id", "period", "value")
+    replace_vintages(snaps, path)
+    replace_vintages(snaps.filter("vintage_id = 'v2' and series_id like '%:F'").withColumn("value", F.lit(0.0)), path)
+    return s.read.schema(snaps.schema).parquet(path).groupBy("vintage_id").agg(F.count("*").alias("n_rows"), F.count_if(F.col("value") == 0).alias("n_zero"))
+
+
+def b10(s, d):
+    """One source's rows with the names that its codes stand for; unknown codes keep their row."""
+    nations = D.table(s, d, "nation").filter("n_nationkey <> 7").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    return D.table(s, d, "customer").filter("c_mktsegment = 'BUILDING'").select("c_custkey", "c_nationkey").join(nations, "c_nationkey", "left")
+
+
+def h22(s, d):
+    size = F.col("p_size") % 3
+    label = F.when(size == 0, "Índice, base 1994").when(size == 1, "Saldo").otherwise(None)
+    return S.measures(PARTS(s, d).select("p_partkey", label.alias("label"), F.when(F.col("p_partkey") % 2 == 0, "Millones de USD").alias("title"))).select("p_partkey", "unit", "scale_multiplier", "base_year")
+
+
+def n24(s, d):
+    """Records of parts' names; every tenth file holds other bytes, every 25th is gone, and every 30th record."""
+    name = F.concat(F.lit("f"), F.col("p_partkey").cast("string")).alias("file_name")
+    found = PARTS(s, d).filter("p_partkey % 25 <> 0").select(name, F.sha2(F.concat("p_name", F.when(F.col("p_partkey") % 10 == 0, "!").otherwise("")), 256).alias("sha256"))
+    return Q.archive_problems(found, PARTS(s, d).filter("p_partkey % 30 <> 0").select(name, F.sha2("p_name", 256).alias("sha256")))
+
+
 _Q = {
+    "A15_resolved_tables": (a15, "WITH c AS (SELECT p_brand AS source_sheet, 't'||lpad(CAST(p_partkey AS VARCHAR),9,'0') AS t, replace(p_type,' ','|') AS k FROM part), s AS (SELECT source_sheet, min(k) AS k, min(t) AS hint FROM c GROUP BY 1), j AS (SELECT source_sheet, count(*) AS n, max(t) AS one, count(*) FILTER (WHERE t=hint) AS h, max(hint) AS hint FROM s JOIN c USING (source_sheet, k) GROUP BY 1) SELECT 'accounts' AS role, source_sheet, n AS n_tables, CASE WHEN n=1 THEN one WHEN h=1 THEN hint END AS source_table, CASE WHEN n=1 OR h=1 THEN 'resolved' ELSE 'ambiguous' END AS state FROM j"),
+    "A22_worklist_report": (a22, "WITH b AS (SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(18,2)) AS price FROM orders WHERE o_totalprice>100000) SELECT o_orderkey, CAST(price AS DOUBLE) AS price, row_number() OVER (ORDER BY price DESC, o_orderkey) AS rank, count(*) OVER () AS total FROM b ORDER BY price DESC, o_orderkey LIMIT 25"),
+    "A23_metadata_rows": (a23, "SELECT l_suppkey AS source_id, CASE WHEN l_suppkey%4<>1 THEN 'f'||max(l_partkey) END AS file_name, CASE WHEN l_suppkey%4<>1 THEN count(*) ELSE 0 END AS n_rows, CASE WHEN l_suppkey%4<>1 THEN 'read' ELSE 'failed' END AS state FROM lineitem GROUP BY l_suppkey"),
+    "A26_snapshot_per_vintage": (a26, f"WITH {F1} SELECT vintage_id, CASE WHEN vintage_id='v2' THEN count(*) FILTER (WHERE series_id LIKE '%:F') ELSE count(*) END AS n_rows, CASE WHEN vintage_id='v2' THEN count(*) FILTER (WHERE series_id LIKE '%:F') ELSE 0 END AS n_zero FROM snap GROUP BY 1"),
+    "B10_source_lookups": (b10, "SELECT c_custkey, c_nationkey, CASE WHEN n_nationkey<>7 THEN n_name END AS n_name FROM customer LEFT JOIN nation ON n_nationkey=c_nationkey WHERE c_mktsegment='BUILDING'"),
+    "H22_measures": (h22, "SELECT p_partkey, CASE WHEN p_size%3=0 THEN 'index' WHEN p_partkey%2=0 THEN 'usd' END AS unit, CASE WHEN p_partkey%2=0 THEN 1e6 END AS scale_multiplier, CASE WHEN p_size%3=0 THEN 1994 END AS base_year FROM part"),
+    "N24_archive_integrity": (n24, "SELECT 'f'||p_partkey AS file_name, CASE WHEN p_partkey%25=0 THEN 'missing' WHEN p_partkey%30=0 THEN 'unrecorded' ELSE 'other bytes' END AS problem FROM part WHERE (p_partkey%25=0 AND p_partkey%30<>0) OR (p_partkey%25<>0 AND p_partkey%30=0) OR (p_partkey%10=0 AND p_partkey%25<>0 AND p_partkey%30<>0)"),
+    "O08_migration_summary": (lambda s, d: I.migration_job(*D.releases(s, d), "sheet", "r", "c", "period")[1], f"WITH {F4} SELECT relation, count(DISTINCT old_id) AS n_old, count(DISTINCT new_id) AS n_new, CAST(sum(shared) AS BIGINT) AS shared_cells FROM cl GROUP BY 1"),
     "A10_new_versions": (a10, f"WITH {F7} SELECT DISTINCT source_sheet FROM read WHERE source_sheet <> 'HY'"),
     "A13_header_changes": (a13, f"WITH {F7} SELECT DISTINCT source_sheet, source_sheet = 'VD' AS changed FROM read"),
     "A17_upsert": (a17, "SELECT c_custkey, CASE WHEN c_custkey%5<>0 THEN c_mktsegment ELSE 'OLD' END AS segment, CASE WHEN c_custkey%2=1 THEN 'v1' ELSE 'v2' END AS first_vintage_id FROM customer WHERE c_custkey%5<>0 OR c_custkey%2=1"),

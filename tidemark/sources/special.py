@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .derived import table
@@ -112,3 +112,29 @@ def plain(s, d):
         _part(li, "VB", 3, 3 + F.col("fi"), F.concat(F.lit("Block "), "f")), _part(li, "VB", 5 + (F.col("y") - 1990) * 13, 1, F.col("y").cast("string")), _part(li, "VB", row, 2, _month(F.col("m"))), _part(_sum(li, "fi", "y", "m"), "VB", row, 3 + F.col("fi"), num=F.col("v")),
         _part(_sum(li, "fi", "ln"), "ZZ", 1 + F.col("fi"), F.col("ln"), num=F.col("v")),
     )
+
+
+def events(s, d):
+    """A sheet for each flag and month: a market's name, a header and a row for each line, for either status."""
+    day = F.to_date("l_shipdate")
+    li = table(s, d, "lineitem").select(F.concat_ws("_", F.lit("RE"), "l_returnflag", F.date_format(day, "yyyyMM")).alias("sheet"), F.col("l_linestatus").alias("st"), day.alias("day"), F.concat(F.lit("P"), F.col("l_suppkey").cast("string")).alias("who"), F.col("l_quantity").cast("double").alias("a"), F.col("l_extendedprice").cast("double").alias("b"), "l_orderkey", "l_linenumber", "l_partkey")
+    placed = li.withColumn("k", F.row_number().over(Window.partitionBy("sheet", "st").orderBy("day", "who", "l_orderkey", "l_linenumber", "l_partkey", "a", "b")))
+    top = F.when(F.col("st") == "F", 0).otherwise(500000)
+    name, r = F.col("sheet"), top + 2 + F.col("k")
+    return _all(_part(placed, name, top + 1, 1, F.concat(F.lit("Mercado "), "st")), *(_part(placed, name, top + 2, i, x) for i, x in enumerate(("Fecha", "Participante", "Cantidad", "Precio"), 1)), _part(placed, name, r, 1, day=F.col("day")), _part(placed, name, r, 2, F.col("who")), _part(placed, name, r, 3, num=F.col("a")), _part(placed, name, r, 4, num=F.col("b")))
+
+
+def sales(s, d):
+    """Months under years; a total and its components by status, with a total that is off in every third month."""
+    li = _lines(s, d)
+    name, r = F.concat(F.lit("CV_"), "f"), 4 + (F.col("y") - 1990) * 13
+    c = 3 + F.when(F.col("st") == "F", 0).otherwise(1)
+    total = _sum(li, "f", "y", "m")
+    template = li.select("f", "y", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("m")).distinct()
+    return _all(_part(li, name, 2, 2, "Total"), _part(li, name, 2, c, F.concat(F.lit("Parte "), "st")), _part(li, name, r, 1, F.col("y").cast("string")), _part(template, name, r + F.col("m"), 1, _month(F.col("m"))), _part(total, name, r + F.col("m"), 2, num=F.col("v") + F.when(F.col("m") % 3 == 0, 1).otherwise(0)), _part(_sum(li, "f", "st", "y", "m"), name, r + F.col("m"), c, num=F.col("v")))
+
+
+def payments(s, d):
+    """Suppliers' codes in a column of remarks, some of which name two."""
+    su = table(s, d, "supplier")
+    return _all(_part(su, F.concat(F.lit("PP_"), F.col("s_nationkey").cast("string")), 1 + F.col("s_suppkey"), 1, F.concat(F.lit("P"), F.lpad(F.col("s_suppkey").cast("string"), 8, "0"), F.when(F.col("s_suppkey") % 4 == 0, " y otro").otherwise(""))))

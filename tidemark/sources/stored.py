@@ -24,3 +24,8 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def replace_vintages(df: DataFrame, path: str, by: str = "vintage_id") -> None:
+    """The vintages of df take the place of those stored under path; the others stay."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
