@@ -44,13 +44,14 @@ def j03(s, d):
 
 
 def _decisions(s, d):
-    """A release for each month of orders, decided at its last day, blocked where an urgent order is still open."""
+    """A release for each month of orders, decided at its last day, blocked where more than a third of its urgent orders is still open."""
     o = ORDERS(s, d)
-    urgent = F.count_if((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT"))
-    return o.groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("release_id")).agg(F.max(F.to_date("o_orderdate")).alias("decided_at"), F.when(urgent > 0, "blocked").otherwise("accepted").alias("decision"))
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    open_ = F.count_if(urgent & (F.col("o_orderstatus") == "P")) * 3 > F.count_if(urgent)
+    return o.groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("release_id")).agg(F.max(F.to_date("o_orderdate")).alias("decided_at"), F.when(open_, "blocked").otherwise("accepted").alias("decision"))
 
 
-_DEC = "dec AS (SELECT strftime(o_orderdate,'%Y-%m') AS release_id, max(CAST(o_orderdate AS DATE)) AS decided_at, CASE WHEN count(*) FILTER (WHERE o_orderstatus='P' AND o_orderpriority='1-URGENT')>0 THEN 'blocked' ELSE 'accepted' END AS decision FROM orders GROUP BY 1)"
+_DEC = "dec AS (SELECT strftime(o_orderdate,'%Y-%m') AS release_id, max(CAST(o_orderdate AS DATE)) AS decided_at, CASE WHEN 3*count(*) FILTER (WHERE o_orderstatus='P' AND o_orderpriority='1-URGENT')>count(*) FILTER (WHERE o_orderpriority='1-URGENT') THEN 'blocked' ELSE 'accepted' END AS decision FROM orders GROUP BY 1)"
 
 
 def j14(s, d):
@@ -346,7 +347,7 @@ _Q = {
     "J11_series_as_of": (lambda s, d: _store(s, d).as_of(AS_OF, *SOME), _AS_OF_SQL),
     "J11_revision_history": (lambda s, d: _store(s, d).revision_history(*SOME), f"WITH {F1} SELECT * FROM fact WHERE vintage_id IN ('v1','v2','v3') AND series_id IN {_SOME}"),
     "J11_by_concept": (lambda s, d: _store(s, d).by_concept("F", "P"), f"WITH {F1} SELECT *, split_part(series_id,':',3) AS concept_id FROM realised WHERE split_part(series_id,':',3) IN ('F','P')"),
-    "J14_promotion": (j14, f"WITH {_DEC} SELECT *, release_id = (SELECT arg_max(release_id, (decided_at, release_id)) FROM dec WHERE decision='accepted') AS is_active FROM dec"),
+    "J14_promotion": (j14, f"WITH {_DEC} SELECT *, coalesce(release_id = (SELECT arg_max(release_id, (decided_at, release_id)) FROM dec WHERE decision='accepted'), FALSE) AS is_active FROM dec"),
     "J15_admitting_release": (j15, f"WITH {_DEC}, l AS (SELECT DISTINCT strftime(o_orderdate,'%Y-%m') AS release_id, o_orderpriority||':'||CAST(o_custkey%50 AS VARCHAR) AS vintage_id FROM orders WHERE o_totalprice>200000) SELECT vintage_id, arg_min(release_id, (decided_at, release_id)) AS release_id, min(decided_at) AS admitted_at FROM l JOIN dec USING (release_id) WHERE decision='accepted' GROUP BY 1"),
     "J16_annual_operations": (j16, f"WITH {F1} SELECT series_id, year(period) AS year, value FROM realised WHERE series_id LIKE 'orders:1-URGENT:%' AND month(period)=12"),
     "K01_units_scales": (k01, _K01),
