@@ -8,6 +8,7 @@ from tidemark.functions import periods as P
 from tidemark.functions import text as T
 from tidemark.operators import accounting as A
 from tidemark.operators import identity as I
+from tidemark.operators import layouts as L
 from tidemark.operators import marts as M
 from tidemark.operators import quality as Q
 from tidemark.operators import screens
@@ -168,3 +169,35 @@ def test_quality_rules(spark):
     found = Q.duplicate_keys(keys, "a", "b")
     assert rows(found, "a", "n_rows") == [(1, 2)]
     assert rows(Q.all_flags(Q.flags("N02", "error", found, "a", "n_rows")), "rule", "severity", "subject", "detail") == [("N02", "error", "1", "2")]
+
+
+def test_events_of_gaps(spark):
+    vintages = spark.createDataFrame([("v1", None), ("v2", None), ("v3", None)], "vintage_id string, publication_date date")
+    snaps = spark.createDataFrame([("s", 1, "v1", 1.0), ("s", 1, "v3", 1.0), ("s", 2, "v2", 5.0), ("s", 3, "v1", None), ("s", 3, "v3", 2.0)], "series_id string, period int, vintage_id string, value double")
+    events = V.sparse_events(snaps, vintages)
+    assert sorted((r["period"], r["vintage_id"], r["value"], r["is_deleted"]) for r in events.collect() if not r["is_deleted"]) == [(1, "v1", 1.0, False), (1, "v3", 1.0, False), (2, "v2", 5.0, False), (3, "v3", 2.0, False)]
+    assert sorted((r["period"], r["vintage_id"]) for r in events.filter("is_deleted").collect()) == [(1, "v2"), (2, "v3")]
+    assert sorted((r["period"], r["previous_vintage"], r["new_vintage"], r["kind"]) for r in V.revisions(snaps, vintages).collect()) == [(1, "v1", "v2", "removed"), (2, "v2", "v3", "removed")]
+
+
+def test_axis_labels(spark):
+    df = spark.createDataFrame([("2001-02",), ("feb-39",), ("Feb-40",), ("31-abr-10",), ("28-feb-11",), ("abc-10",), ("",), (None,)], "t string")
+    assert [str(r[0]) for r in df.select(T.axis_date(F.col("t"))).collect()] == ["2001-02-28", "2039-02-28", "1940-02-29", "None", "2011-02-28", "None", "None", "None"]
+    df = spark.createDataFrame([("ene/jun",), ("jun/ene",), ("ene",), ("x/jun",), (None,)], "t string")
+    assert [tuple(r) for r in df.select(*T.month_interval(F.col("t"))).collect()] == [(1, 6), (None, None), (None, None), (None, None), (None, None)]
+
+
+def test_sheets_without_anchors_are_named(spark):
+    cells = spark.createDataFrame([("a", 1, 1, "Periodo", None, None), ("a", 3, 1, "Periodo", None, None), ("a", 4, 2, None, 1.0, None), ("b", 1, 1, "x", None, None)], "source_sheet string, row_id long, column_id long, text string, num double, date date")
+    read = L.anchored(cells, "periodo")
+    assert read.count() == 0
+    assert rows(L.unread(cells, read), "source_sheet", "n_numbers") == [("a", 1)]
+    for layout in (L.fiscal_years, L.daily_quotes, L.year_blocks, L.survey, L.variable_blocks, L.row_events, L.component_blocks):
+        assert layout(cells).count() == 0 and layout(cells.limit(0)).count() == 0
+
+
+def test_status_of_sheets(spark):
+    sheets = spark.createDataFrame([("s", "a"), ("s", "b"), ("t", "a")], "series_id string, source_sheet string")
+    register = spark.createDataFrame([("a", "validated")], "source_sheet string, status string")
+    assert rows(M.sheet_status(sheets, register), "series_id", "status") == [("s", "unreviewed"), ("s", "validated"), ("t", "validated")]
+    assert rows(M.research_gate(sheets, register), "series_id") == [("t",)]
