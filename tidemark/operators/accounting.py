@@ -103,9 +103,10 @@ def rejections(rows: DataFrame) -> DataFrame:
 def typed_trades(judged: DataFrame) -> DataFrame:
     """Accepted rows with a deterministic id, the ordinal among equal rows, and the status of a blank volume."""
     basis = F.sha2(F.concat_ws("|", F.date_format("dia", "yyyy-MM-dd"), F.coalesce(F.col("vol").cast("string"), F.lit("")), "instrumento", "moneda"), 256)
-    good = judged.filter("reason is null").withColumn("basis", basis)
-    nth = F.row_number().over(Window.partitionBy("basis").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
-    return good.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "dia", "vol", "instrumento", "moneda", "basis", nth.cast("long").alias("ordinal"), F.when(F.col("vol").isNull(), "not_reported").otherwise("reported").alias("volume_status"))
+    # Rows of one basis are those of its four columns: they are numbered by these, and the hash is worked out afterwards.
+    good = judged.filter("reason is null")
+    nth = F.row_number().over(Window.partitionBy("dia", "vol", "instrumento", "moneda").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
+    return good.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "dia", "vol", "instrumento", "moneda", basis.alias("basis"), nth.cast("long").alias("ordinal"), F.when(F.col("vol").isNull(), "not_reported").otherwise("reported").alias("volume_status"))
 
 
 def daily_activity(trades: DataFrame) -> DataFrame:

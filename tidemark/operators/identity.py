@@ -27,15 +27,18 @@ def relations(pairs: DataFrame) -> DataFrame:
 
 
 def migration(before: DataFrame, after: DataFrame, *cell: str) -> DataFrame:
-    """Every identifier of either release once with its relation; those without a partner as dropped or new."""
-    pairs = shared_cells(before, after, *cell)
-    dropped = before.select(F.col("sid").alias("old_id")).distinct().join(pairs, "old_id", "left_anti")
-    new = after.select(F.col("sid").alias("new_id")).distinct().join(pairs, "new_id", "left_anti")
+    """Every identifier of either release once with its relation; those without a partner as dropped or new.
+
+    Both releases are read once: one full join by cell is counted by pair and saved, with a null for the side that lacks a cell.
+    """
+    o, n = before.select(*cell, F.col("sid").alias("old_id")), after.select(*cell, F.col("sid").alias("new_id"))
+    whole = saved(o.join(n, list(cell), "full_outer").groupBy("old_id", "new_id").agg(F.count("*").alias("shared")), "pairs")
+    alone = lambda own, other: whole.filter(F.col(own).isNotNull()).groupBy(own).agg(F.count(other).alias("_k")).filter("_k = 0")
     zero = F.lit(0).cast("long").alias("shared")
     return (
-        relations(pairs)
-        .unionByName(dropped.select("old_id", F.lit(None).cast("string").alias("new_id"), zero, F.lit("dropped").alias("relation")))
-        .unionByName(new.select(F.lit(None).cast("string").alias("old_id"), "new_id", zero, F.lit("new").alias("relation")))
+        relations(whole.filter("old_id is not null and new_id is not null"))
+        .unionByName(alone("old_id", "new_id").select("old_id", F.lit(None).cast("string").alias("new_id"), zero, F.lit("dropped").alias("relation")))
+        .unionByName(alone("new_id", "old_id").select(F.lit(None).cast("string").alias("old_id"), "new_id", zero, F.lit("new").alias("relation")))
     )
 
 
