@@ -204,3 +204,9 @@ def header_changes(before: DataFrame, after: DataFrame) -> DataFrame:
     """Sheets of the later vintage, and whether their header text differs from the vintage before; new sheets count as changed."""
     old = header_fingerprints(before).select("source_sheet", F.col("fingerprint").alias("_old"))
     return header_fingerprints(after).join(old, "source_sheet", "left").select("source_sheet", "fingerprint", (~F.col("fingerprint").eqNullSafe(F.col("_old"))).alias("changed"))
+
+
+def report_coverage(cells: DataFrame) -> DataFrame:
+    """A coverage row for each sheet of a report-style workbook, with the version that its cells are stored under."""
+    held = cells.groupBy("source_sheet").agg(F.max("row_id").alias("last_row"), F.max("column_id").alias("last_column"), F.count("num").alias("n_numbers"), F.count("text").alias("n_texts"))
+    return held.join(version_ids(cells), "source_sheet")

@@ -152,6 +152,19 @@ def mixed_rows(cells: DataFrame, header_row: int) -> DataFrame:
     return _values(cells).join(heads, ["source_sheet", "column_id"]).join(dated, ["source_sheet", "row_id"]).select("source_sheet", T.path(F.col("group"), F.col("section")).alias("series"), "frequency", *OUT[2:])
 
 
+def turnover(cells: DataFrame) -> DataFrame:
+    """Years above sides across, parents without numbers above their rows down; a row that says total is told apart."""
+    top = year_axes(cells, "row_id", "column_id", least=2, widest_gap=1).groupBy("source_sheet").agg(F.max_by("row_id", F.struct("n", -F.col("row_id"))).alias("header_row"))
+    texts = _text(cells)
+    heads = _headers(texts, top, F.col("header_row"), F.col("header_row") + 1).select("source_sheet", "column_id", T.year_label(F.col("group")).alias("y"), "section").filter("y is not null and section is not null")
+    label = texts.join(top, "source_sheet").filter("row_id > header_row + 1").groupBy("source_sheet", "row_id").agg(F.min_by("text", "column_id").alias("label"))
+    counted = cells.groupBy("source_sheet", "row_id").agg(F.count("num").alias("_n"))
+    rows = label.join(counted, ["source_sheet", "row_id"]).select("source_sheet", "row_id", "label", F.last(F.when(F.col("_n") == 0, F.col("label")), ignorenulls=True).over(_across("row_id")).alias("parent"))
+    kind = F.when(T.normalized(F.col("label")).startswith("total"), "total").otherwise("detail")
+    joined = _values(cells).join(heads, ["source_sheet", "column_id"]).join(rows, ["source_sheet", "row_id"])
+    return joined.select("source_sheet", T.path(F.col("parent"), F.col("label"), F.col("section")).alias("series"), kind.alias("kind"), F.make_date("y", F.lit(12), F.lit(31)).alias("period"), "value", "row_id", "column_id")
+
+
 def entity_panel(cells: DataFrame, entities: DataFrame) -> DataFrame:
     """Entities across, dates and items down; an entity by its normalised name, null where the register lacks it."""
     texts = _text(cells)

@@ -72,6 +72,7 @@ _Q = {
     "H12_fiscal_years": (_read(L.fiscal_years, S.fiscal), f"WITH {_LI} SELECT 'FY_'||f AS source_sheet, CASE WHEN ln<4 THEN 'Activos' ELSE 'Pasivos' END || ' — Line ' || ln AS series, make_date(y + CASE WHEN m>6 THEN 1 ELSE 0 END, 6, 30) AS period, {_V} FROM li GROUP BY 1,2,3"),
     "H13_daily_quotes": (_read(L.daily_quotes, S.quotes), f"WITH {_LI} SELECT 'DQ_'||f AS source_sheet, CASE WHEN st='F' THEN 'USD' ELSE 'BRL' END || CASE WHEN side=0 THEN ' compra' ELSE ' venta' END AS series, day AS period, CAST(sum(v)+100 AS DOUBLE) AS value FROM li GROUP BY 1,2,3"),
     "H14_year_blocks": (_read(L.year_blocks, S.histories), f"WITH {_LI} SELECT 'YB_'||f AS source_sheet, CASE WHEN side=0 THEN 'compra' ELSE 'venta' END AS series, me AS period, {_V} FROM li GROUP BY 1,2,3"),
+    "H16_turnover": (lambda s, d: L.turnover(saved(S.turnovers(s, d), "sheets")).select("source_sheet", "series", "kind", "period", "value"), f"WITH {_LI} SELECT 'FT_'||f AS source_sheet, 'Mercado '||st||' — '||CASE WHEN grouping(ln)=1 THEN 'Total' ELSE 'Line '||ln END||CASE WHEN side=0 THEN ' — Compra' ELSE ' — Venta' END AS series, CASE WHEN grouping(ln)=1 THEN 'total' ELSE 'detail' END AS kind, make_date(y,12,31) AS period, {_V} FROM li GROUP BY GROUPING SETS ((f,st,ln,y,side),(f,st,y,side))"),
     "H17_survey": (_read(L.survey, S.credit), f"WITH {_LI} SELECT 'CS_'||st AS source_sheet, 'Pregunta '||f||' — Respuesta '||ln AS series, last_day(make_date(y, q*3, 1)) AS period, {_V} FROM li GROUP BY 1,2,3"),
     "H18_entity_panel": (h18, f"WITH r AS (SELECT 'EP_'||l_linestatus AS source_sheet, 'Rubro '||l_returnflag AS item, n_name, n_nationkey, last_day(CAST(l_shipdate AS DATE)) AS period, CAST(l_quantity AS DECIMAL(18,2)) AS v FROM lineitem JOIN supplier ON l_suppkey=s_suppkey JOIN nation ON s_nationkey=n_nationkey) SELECT source_sheet, item, lower(n_name) AS entity, CAST(CASE WHEN n_nationkey<>3 THEN n_nationkey END AS BIGINT) AS entity_id, period, {_V} FROM r GROUP BY 1,2,3,4,5"),
     "H19_anchored": (_read(L.anchored, S.confidence, "periodo"), f"WITH {_LI}, {_AN} SELECT * FROM an"),

@@ -19,7 +19,8 @@ from ..operators import semantics as S
 from ..operators import vintage as V
 from ..reader import Store
 from ..sources import derived as D
-from ..sources.derived import F1, F2, F4, F7
+from ..sources.derived import F1, F2, F4, F6, F7
+from ..sources.files import direct_panel, registry
 from ..sources.stored import replace_vintages, shared_dir
 from .accounting_queries import CLASSED, _grid
 from .governance_queries import _OUT, _mapped, _regions
@@ -281,6 +282,32 @@ def a19(s, d):
     return prints[0].unionByName(prints[1]).crossJoin(F.broadcast(first)).select("state", "n_rows", (F.col("hash_sum") == F.col("_first")).alias("equal"))
 
 
+def _text_grid(s, d):
+    return D.grid(s, d).select("source_sheet", "row_id", "column_id", F.col("tok").alias("text"), "num", F.col("period").alias("date"))
+
+
+def a07(s, d):
+    """The entity panel with its codes as spreadsheets hold them, as numbers."""
+    raw = D.panel(s, d).withColumn("codigo_entidad", F.col("codigo_entidad").cast("double"))
+    return direct_panel(raw, ["fecha", "codigo_entidad", "codigo_moneda", "sub_rubro", "importe"], ["codigo_entidad", "codigo_moneda"], vintage_id="v3", source_id="panel")
+
+
+def a21(s, d):
+    """Formula cells of two vintages; the second is recorded again for one sheet alone and replaced as a whole."""
+    path = shared_dir(s, "formulas")
+    cells = D.grid(s, d).filter("column_id = 9 and row_id % 4 = 0").select("source_sheet", "row_id", "column_id")
+    replace_vintages(cells.withColumn("vintage_id", F.lit("v2")).unionByName(cells.withColumn("vintage_id", F.lit("v3"))), path)
+    replace_vintages(cells.filter("source_sheet = 'AF'").withColumn("vintage_id", F.lit("v3")), path)
+    return s.read.schema("source_sheet string, row_id long, column_id long, vintage_id string").parquet(path)
+
+
+def a24(s, d):
+    """A registry written as text and read typed, counted by month."""
+    path = shared_dir(s, "registry")
+    ORDERS(s, d).select(F.col("o_custkey").alias("source_id"), F.sha2(F.col("o_orderkey").cast("string"), 256).alias("sha256"), F.to_date("o_orderdate").alias("publication_date")).write.option("header", True).csv(path)
+    return registry(s, path).groupBy(F.last_day("publication_date").alias("month")).agg(F.count("*").alias("n_files"), F.count_distinct("source_id").alias("n_sources"), F.min("sha256").alias("first_hash"))
+
+
 def a15(s, d):
     """Tables are parts, sheets brands, columns the words of a type; each brand asks for its first type, hinting at its first part."""
     named = F.concat(F.lit("t"), F.lpad(F.col("p_partkey").cast("string"), 9, "0"))
@@ -330,6 +357,10 @@ def n24(s, d):
 
 
 _Q = {
+    "A07_direct_panel": (a07, f"WITH {F6} SELECT fecha, codigo_entidad, codigo_moneda, sub_rubro, importe, 'v3' AS vintage_id, 'panel' AS source_id FROM panel"),
+    "A21_formula_cells": (a21, f"WITH {F2}, f AS (SELECT source_sheet, row_id, column_id FROM cells WHERE column_id=9 AND row_id%4=0) SELECT *, 'v2' AS vintage_id FROM f UNION ALL SELECT *, 'v3' FROM f WHERE source_sheet='AF'"),
+    "A24_file_registry": (a24, "SELECT last_day(CAST(o_orderdate AS DATE)) AS month, count(*) AS n_files, count(DISTINCT o_custkey) AS n_sources, min(sha256(CAST(o_orderkey AS VARCHAR))) AS first_hash FROM orders GROUP BY 1"),
+    "A25_report_coverage": (lambda s, d: H.report_coverage(_text_grid(s, d)).drop("sheet_version_id"), f"WITH {F2} SELECT source_sheet, max(row_id) AS last_row, max(column_id) AS last_column, count(num) AS n_numbers, count(tok) AS n_texts, count(*) AS n_cells FROM cells GROUP BY 1"),
     "A15_resolved_tables": (a15, "WITH c AS (SELECT p_brand AS source_sheet, 't'||lpad(CAST(p_partkey AS VARCHAR),9,'0') AS t, replace(p_type,' ','|') AS k FROM part), s AS (SELECT source_sheet, min(k) AS k, min(t) AS hint FROM c GROUP BY 1), j AS (SELECT source_sheet, count(*) AS n, max(t) AS one, count(*) FILTER (WHERE t=hint) AS h, max(hint) AS hint FROM s JOIN c USING (source_sheet, k) GROUP BY 1) SELECT 'accounts' AS role, source_sheet, n AS n_tables, CASE WHEN n=1 THEN one WHEN h=1 THEN hint END AS source_table, CASE WHEN n=1 OR h=1 THEN 'resolved' ELSE 'ambiguous' END AS state FROM j"),
     "A22_worklist_report": (a22, "WITH b AS (SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(18,2)) AS price FROM orders WHERE o_totalprice>100000) SELECT o_orderkey, CAST(price AS DOUBLE) AS price, row_number() OVER (ORDER BY price DESC, o_orderkey) AS rank, count(*) OVER () AS total FROM b ORDER BY price DESC, o_orderkey LIMIT 25"),
     "A23_metadata_rows": (a23, "SELECT l_suppkey AS source_id, CASE WHEN l_suppkey%4<>1 THEN 'f'||max(l_partkey) END AS file_name, CASE WHEN l_suppkey%4<>1 THEN count(*) ELSE 0 END AS n_rows, CASE WHEN l_suppkey%4<>1 THEN 'read' ELSE 'failed' END AS state FROM lineitem GROUP BY l_suppkey"),

@@ -54,6 +54,20 @@ def guarded(spark: SparkSession, path: str, header: list[str], sep: str = ";") -
     return placed.withColumn("_k", F.row_number().over(split)).join(before, ["source_file", "_start"]).select(*header, "source_file", (F.col("_before") + F.col("_k")).alias("source_row"))
 
 
+def direct_panel(rows: DataFrame, header: list[str], codes: list[str], **lineage: str) -> DataFrame:
+    """A panel whose columns are those of the header in any order, its codes as text (whole numbers without decimals)
+    and its lineage beside it. Any other column set refuses the panel."""
+    if sorted(rows.columns) != sorted(header):
+        raise ValueError(f"the columns are {rows.columns}, not {header}")
+    whole = lambda c: F.coalesce(F.when(F.col(c).try_cast("double") == F.floor(F.col(c).try_cast("double")), F.col(c).try_cast("double").cast("long").cast("string")), F.col(c).cast("string"))
+    return rows.select(*(whole(c).alias(c) if c in codes else F.col(c) for c in header), *(F.lit(v).alias(k) for k, v in lineage.items()))
+
+
+def registry(spark: SparkSession, path: str) -> DataFrame:
+    """Recorded files, typed; a value that is not of its type refuses the register."""
+    return spark.read.schema("source_id string, sha256 string, publication_date date").option("header", True).option("mode", "FAILFAST").csv(path)
+
+
 def extent(rows: DataFrame) -> DataFrame:
     """Rows and columns."""
     return rows.agg(F.count("*").alias("n_rows")).withColumn("n_columns", F.lit(len(rows.columns)))

@@ -138,3 +138,14 @@ def payments(s, d):
     """Suppliers' codes in a column of remarks, some of which name two."""
     su = table(s, d, "supplier")
     return _all(_part(su, F.concat(F.lit("PP_"), F.col("s_nationkey").cast("string")), 1 + F.col("s_suppkey"), 1, F.concat(F.lit("P"), F.lpad(F.col("s_suppkey").cast("string"), 8, "0"), F.when(F.col("s_suppkey") % 4 == 0, " y otro").otherwise(""))))
+
+
+def turnovers(s, d):
+    """Years over buying and selling across; for either status a parent row, its lines and their total down."""
+    li = _lines(s, d)
+    name, c = F.concat(F.lit("FT_"), "f"), 2 + (F.col("y") - 1990) * 2
+    parent = 5 + F.when(F.col("st") == "F", 0).otherwise(20)
+    years = li.select("f", "y").distinct()
+    sides = years.select("f", "y", F.explode(F.array(F.lit(0), F.lit(1))).alias("side"))
+    return _all(_part(years, name, 2, c, F.col("y").cast("string")), _part(sides, name, 3, c + F.col("side"), F.when(F.col("side") == 0, "Compra").otherwise("Venta")), _part(li, name, parent, 1, F.concat(F.lit("Mercado "), "st")), _part(li, name, parent + F.col("ln"), 1, F.concat(F.lit("Line "), "ln")), _part(li, name, parent + 10, 1, "Total"),
+                _part(_sum(li, "f", "st", "ln", "y", "side"), name, parent + F.col("ln"), c + F.col("side"), num=F.col("v")), _part(_sum(li, "f", "st", "y", "side"), name, parent + 10, c + F.col("side"), num=F.col("v")))
