@@ -13,6 +13,7 @@ from ..functions import periods as P
 from ..functions import text as T
 from .grid import OUT, year_axes
 
+# How the source writes a fiscal year.
 FISCAL = r"^((?:19|20)[0-9]{2})[-/]((?:19|20)[0-9]{2})$"
 # Currency names of the quotes and their codes.
 CURRENCIES = {"dolar": "USD", "real": "BRL", "peso argentino": "ARS", "euro": "EUR", "yen": "JPY", "libra esterlina": "GBP"}
