@@ -10,10 +10,11 @@ from .nearest import op8_nearest
 from .packing import op2_packing
 from .pii import op9_pii
 from .quality import op5_quality
+from .runs import op12_runs
 from .token_counts import op7_token_counts
 from .token_store import op3_token_store
 
-QUERIES = (op1_mixing, op2_packing, op3_token_store, op4_ngram_join, op5_quality, op6_fingerprints, op7_token_counts, op8_nearest, op9_pii, op10_licenses)
+QUERIES = (op1_mixing, op2_packing, op3_token_store, op4_ngram_join, op5_quality, op6_fingerprints, op7_token_counts, op8_nearest, op9_pii, op10_licenses, op12_runs)
 
 
 def pipeline(spark, sf_dir):
