@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .exact_search import exact_search_sql, op13_exact_search
 from .fingerprints import op6_fingerprints
 from .licenses import op10_licenses
 from .near_duplicates import op4_ngram_join
@@ -14,7 +15,7 @@ from .runs import op12_runs
 from .token_counts import op7_token_counts
 from .token_store import op3_token_store
 
-QUERIES = (op1_mixing, op2_packing, op3_token_store, op4_ngram_join, op5_quality, op6_fingerprints, op7_token_counts, op8_nearest, op9_pii, op10_licenses, op12_runs)
+QUERIES = (op1_mixing, op2_packing, op3_token_store, op4_ngram_join, op5_quality, op6_fingerprints, op7_token_counts, op8_nearest, op9_pii, op10_licenses, op12_runs, op13_exact_search)
 
 
 def pipeline(spark, sf_dir):
@@ -29,4 +30,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {"op1_mixing": mixing_sql()}
+    return {"op1_mixing": mixing_sql(), "op13_exact_search": exact_search_sql()}
