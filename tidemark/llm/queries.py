@@ -9,13 +9,14 @@ from .near_duplicates import op4_ngram_join
 from .mixing import mixing_sql, op1_mixing
 from .nearest import op8_nearest
 from .packing import op2_packing
+from .phrases import collocations_sql, op11_collocations
 from .pii import op9_pii
 from .quality import op5_quality
 from .runs import op12_runs
 from .token_counts import op7_token_counts
 from .token_store import op3_token_store
 
-QUERIES = (op1_mixing, op2_packing, op3_token_store, op4_ngram_join, op5_quality, op6_fingerprints, op7_token_counts, op8_nearest, op9_pii, op10_licenses, op12_runs, op13_exact_search)
+QUERIES = (op1_mixing, op2_packing, op3_token_store, op4_ngram_join, op5_quality, op6_fingerprints, op7_token_counts, op8_nearest, op9_pii, op10_licenses, op11_collocations, op12_runs, op13_exact_search)
 
 
 def pipeline(spark, sf_dir):
@@ -30,4 +31,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {"op1_mixing": mixing_sql(), "op13_exact_search": exact_search_sql()}
+    return {"op1_mixing": mixing_sql(), "op11_collocations": collocations_sql(), "op13_exact_search": exact_search_sql()}
