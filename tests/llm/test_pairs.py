@@ -79,20 +79,62 @@ def test_join_of_odd_rows(spark, odd_docs, no_docs):
 
 def test_keys_of_linked_sets_meet():
     rng = np.random.default_rng(1)
-    for _ in range(600):
+    tried = 0
+    for _ in range(900):
         n = int(rng.integers(3, 120))
         pool = np.unique(rng.integers(0, 2**63, n + 40).astype(np.uint64))
         a = np.sort(rng.permutation(pool)[:n])
         drop = int(rng.integers(0, n // 4 + 1))
         b = np.sort(np.unique(np.concatenate([rng.permutation(a)[drop:], rng.integers(0, 2**63, int(rng.integers(0, 3))).astype(np.uint64)])))
-        frequent = pool[rng.random(len(pool)) < rng.choice([0.0, 0.5, 0.9, 1.0])]
-        many = frequent[rng.random(len(frequent)) < rng.choice([0.0, 0.5, 1.0])]
+        tier = rng.choice(4, len(pool), p=[(1, 0, 0, 0), (0.4, 0.2, 0.2, 0.2), (0, 0.4, 0.6, 0), (0, 0.1, 0.3, 0.6), (0, 0, 0, 1)][rng.integers(5)])
+        order = {t: (k, int(t)) for t, k in zip(pool, tier)}
+
+        def keys(x):
+            frequent = sorted((t for t in x if order.get(t, (0,))[0]), key=order.get)
+            count = [sum(order[t][0] == k for t in frequent) for k in (1, 3)]
+            return nd.prefix_keys(x, np.array(frequent, np.uint64), *count)
+
         if nd.similar(a, b) and len(a) != len(np.intersect1d(a, b)):
-            keys = [nd.prefix_keys(x, frequent, many) for x in (a, b)]
-            single = len(np.intersect1d(*(k[0] for k in keys)))
-            assert single or len(np.intersect1d(*(k[1] for k in keys)))
-            if not single:  # what MAY_LINK takes for granted
-                assert all(7 * len(k[0]) <= 4 * len(x) - 3 * len(y) for k, x, y in zip(keys, (a, b), (b, a)))
+            tried += 1
+            x, y = keys(a), keys(b)
+            # At the first common key of some kind the pair is possible by what MAY_LINK asks.
+            assert any(first_meeting(p, q, len(a), len(b)) for p in x for q in y)
+            if common := np.intersect1d(x[0][0], y[0][0]).tolist():
+                assert first_meeting(x[0], y[0], len(a), len(b)), common
+    assert tried > 200
+
+
+def first_meeting(x, y, n, m):
+    (keys, places, own), (others, places_there, owned) = x, y
+    common = set(keys.tolist()) & set(others.tolist())
+    if not common or not (own or owned):
+        return False
+    at, there = (min(i for i, k in enumerate(z.tolist()) if k in common) for z in (keys, others))
+    assert keys[at] == others[there]
+    return 7 * places[at] <= 4 * n - 3 * m and 7 * places_there[there] <= 4 * m - 3 * n
+
+
+@pytest.mark.parametrize("tiers", [None, (2, 40, 100)])
+def test_candidates_of_shared_passages_grow_linearly(spark, monkeypatch, tiers):
+    """A passage in every document, a section that 24 share, and one own word: groups don't meet each other."""
+    for name, value in zip(("LIGHT", "FEW", "MANY"), tiers or ()):
+        monkeypatch.setattr(nd, name, value)
+    random.seed(9)
+    word = lambda: f"z{random.randrange(10**7)}"
+    passage, verify, made = [word() for _ in range(100)], nd._verify, []
+
+    def counted(pairs, sets):
+        made.append(pairs.count())
+        return verify(pairs, sets)
+
+    monkeypatch.setattr(nd, "_verify", counted)
+    for n in (240, 600, 1200) if tiers is None else (240,):
+        sections = [[word() for _ in range(30)] for _ in range(n // 24)]
+        docs = [(i, " ".join(passage + sections[i // 24] + [word()])) for i in range(n)]
+        made.clear()
+        got = rows(nd.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")))
+        assert [r[2] for r in got] == [i - i % 24 for i in range(n)]
+        assert sum(made) <= 4 * n
 
 
 def test_spaces():
@@ -121,6 +163,29 @@ def test_join_of_one_passage(spark):
     assert rows(nd.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))) == brute(docs)
 
 
+def test_join_of_named_documents(spark, texts):
+    some = {f"d{k:03d}": t for k, t in texts.items() if k < 80}
+    assert rows(nd.near_duplicates(spark.createDataFrame(list(some.items()), "doc_id string, text string"))) == brute(some.items())
+
+
+def test_one_row_stays_whatever_the_order(spark):
+    docs = [(1, "a b c", "x"), (1, "a b c", "w"), (1, "a b c", None)]
+    for order in itertools.permutations(docs):
+        kept = nd.one_of_each(spark.createDataFrame(order, "doc_id long, text string, lang string").repartition(2)).collect()
+        assert [tuple(r) for r in kept] == [(1, "a b c", "w")]
+
+
+def test_tables_are_removed(spark, sf_docs):
+    """What stays written is the result; the tables that it was made from have no rows."""
+    import os
+
+    base = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    before = set(os.listdir(base)) if os.path.isdir(base) else set()
+    found = nd.near_duplicates(sf_docs)
+    stays = [d for d in set(os.listdir(base)) - before if not spark.read.parquet(f"file://{base}/{d}").isEmpty()]
+    assert [d.rsplit("-", 1)[0] for d in stays] == ["near-duplicates"] and found.count() == sf_docs.count()
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (105, 101), (105, 105)] + [(200, 201 + i) for i in range(50)]
     random.seed(1)

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import stored
-from ..sources.stored import shared_dir
+from ..sources.stored import scope, shared_dir
 
-__all__ = ["documents", "picked", "pieces", "saved", "shared_dir", "whole_text", "without"]
+__all__ = ["documents", "kept", "picked", "pieces", "saved", "scope", "shared_dir", "whole_text", "without"]
 
 
 #: Bytes of one batch between Spark and Python: a task holds a few of them on both sides, so memory stays small.
@@ -26,6 +26,12 @@ def saved(df: DataFrame, name: str) -> DataFrame:
         conf.set(key, before)
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """df saved so that it outlives the scope around it, whose own tables it is made from."""
+    with stored.outside():
+        return saved(df, name)
+
+
 def pieces(df: DataFrame, piece_mb: int = 64) -> int:
     """How many partitions a shuffle of df should have: grows with the planner's estimate of its size."""
     conf = df.sparkSession.conf

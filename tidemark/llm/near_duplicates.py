@@ -8,14 +8,16 @@ first n // 4 + 1 tokens in any order one must be shared. Three steps keep that l
    they meet; a token that is already frequent within a task's own rows travels as one mark. Light tokens (few nodes) are
    the first of the order, so each pair that shares one is a candidate; a node with enough light tokens needs no others.
 2. The rest are nodes whose sets are mostly frequent text. They are joined among themselves with counts of all their
-   tokens. Light tokens are indexed alone, frequent ones in combinations of k = 2 and very frequent ones of k = 3 tokens of
-   one class. A prefix is extended until light + sum over classes (tokens - (k - 1)) reaches the number that one of must be
-   shared: then two linked sets share a light token or k tokens of one class. The number of classes follows the set's size
-   band, so a set has a number of combinations in proportion to its size.
-3. Candidates are verified exactly on whole sets: first one partner a node and a star for each key, around the node of
-   fewest light tokens; then, with the components of what was linked, candidates across components. Two nodes that meet at
-   a combination share no light token (else they meet there), so each lacks the other's light tokens, which rules out most
-   near misses; and only nodes outside the component of a key's centre look for partners in it.
+   tokens, which are ordered by count, rare ones first. Light tokens and those in few nodes are indexed alone, frequent ones in
+   combinations of k = 2 and very frequent ones of k = 3 tokens of one class. A prefix is extended until what it has alone
+   plus the sum over classes (tokens - (k - 1)) reaches the number that one of must be shared: then two linked sets share
+   a token of those or k tokens of one class. The number of classes follows the set's size band, so a set has a number of
+   combinations in proportion to its size. Linked sets lie in one band or in neighbours, so of two that meet in a band at
+   least one must be of that band itself.
+3. Candidates are verified exactly on whole sets: first one partner a node and a star for each key; then, with the
+   components of what was linked, candidates across components. At the first key that two nodes share, each lacks all
+   tokens that the other has before it, which rules out most near misses (text that many share is last in the order);
+   and only nodes outside the component of a key's centre look for partners in it.
 """
 
 from __future__ import annotations
@@ -29,14 +31,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import picked, saved, whole_text, without
+from .common import kept, picked, saved, scope, whole_text, without
 from .components import components
 from .tokens import small_batches, texts_of
 
 #: Tokens of at most this many nodes are light.
 LIGHT = 16
-#: Frequent tokens of more nodes than this are combined by three, others by two.
-MANY = 4096
+#: Frequent tokens of at most so many nodes are indexed alone, of more than MANY combined by three, the others by two.
+FEW, MANY = 4096, 65536
 #: The universe of step 1: 3/8 of all hashes.
 UNIVERSE = np.uint64(3 << 61)
 BUCKET_TOKENS = 500_000
@@ -98,41 +100,55 @@ def spaces(n: int) -> list[tuple[int, int]]:
     return own if below is None else [*own, (below, (4 * n - 3 * least) // 7 + 1)]
 
 
-def prefix_keys(tokens: np.ndarray, frequent: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of a set: light tokens alone, and combinations of frequent ones; ``many`` are the very frequent among ``frequent``."""
-    n, none = len(tokens), np.zeros(0, np.uint64)
+def prefix_keys(tokens: np.ndarray, frequent: np.ndarray, few: int, many: int) -> list[tuple[np.ndarray, np.ndarray, bool]]:
+    """[(keys, places, own)] of a set: its light tokens, then its keys in each of its size bands.
+
+    ``frequent`` are the set's frequent tokens, rare ones first: ``few`` of them are indexed alone, the last ``many`` in threes. A
+    key's place is the number of tokens that a set lacks which shares this key and none before, own tells whether the band is the set's own.
+    """
+    n = len(tokens)
     if n <= 2:
-        return none, none  # such sets link to equal ones only
-    heavy = np.isin(tokens, frequent, assume_unique=True)
-    light = tokens[~heavy]
-    if len(light) > n // 4:
-        return light[: n // 4 + 1], none
-    rest = tokens[heavy]
-    # In a set under 16 tokens two kinds of combinations would ask for more tokens than it has.
-    three = np.isin(rest, many, assume_unique=True) if n >= 16 else np.zeros(len(rest), bool)
-    rest, kind = np.concatenate([rest[~three], rest[three]]), np.repeat([2, 3], [int((~three).sum()), int(three.sum())])
-    keys = []
-    for low, need in spaces(n):
+        return []  # such sets link to equal ones only
+    light = tokens[~np.isin(tokens, frequent, assume_unique=True)][: n // 4 + 1]
+    out = [(light, np.arange(len(light)), True)]
+    rest = frequent[few:]
+    for own, (low, need) in zip((True, False), spaces(n)):
         missing, seen = need - len(light), {}
         if missing <= 0:
             continue
-        # So many that a class needs few tokens more than it combines; a prefix loses at most low // 4 + 2 (low // 6) to them.
-        classes = np.where(kind == 2, max(1, low // 4), max(1, low // 6)).astype(np.uint64)
-        of = ((rest ^ (rest >> np.uint64(32))) * _M[1] >> np.uint64(33)) % classes
-        for t, c, k in zip(rest.tolist(), of.tolist(), kind.tolist()):
-            members = seen.setdefault((k, c), [])
-            members.append(t)
-            missing -= len(members) >= k
-            if not missing:
-                break
+        alone = frequent[:few][:missing]
+        keys, places = [_mixed(low, alone[:, None])], [len(light) + np.arange(len(alone))]
+        missing -= len(alone)
+        if missing:
+            # So many that a class needs few tokens more than it combines; a prefix loses at most low // 4 + 2 (low // 6) to them.
+            # In bands under 15 tokens two kinds of combinations would ask for more tokens than a set has.
+            kind = np.where(np.arange(len(rest)) < len(rest) - (many if low >= 15 else 0), 2, 3)
+            classes = np.where(kind == 2, max(1, low // 4), max(1, low // 6)).astype(np.uint64)
+            of = ((rest ^ (rest >> np.uint64(32))) * _M[1] >> np.uint64(33)) % classes
+            for t, c, k in zip(rest.tolist(), of.tolist(), kind.tolist()):
+                members = seen.setdefault((k, c), [])
+                members.append(t)
+                missing -= len(members) >= k
+                if not missing:
+                    break
+        place = len(light) + few
         for k in (2, 3):
-            chosen = [x for (kk, _), members in seen.items() if kk == k for x in combinations(members, k)]
-            if chosen:
-                key = np.full(len(chosen), (0x9E3779B97F4A7C15 * (4 * low + k)) % 2**64, np.uint64)
-                for member in np.array(chosen, np.uint64).T:
-                    key = (key ^ (key >> np.uint64(31)) ^ member) * _M[1]
-                keys.append((key ^ (key >> np.uint64(31))) * _M[3])
-    return light, np.unique(np.concatenate(keys)) if keys else none
+            of_k = [sorted(x) for (kk, _), members in seen.items() if kk == k for x in combinations(members, k)]
+            if of_k:
+                keys.append(np.unique(_mixed(low, np.array(of_k, np.uint64))))
+                places.append(np.full(len(keys[-1]), place))
+            # Of a class that shares no combination all tokens but k - 1 are missing.
+            place += sum(len(members) - k + 1 for (kk, _), members in seen.items() if kk == k and len(members) >= k)
+        out.append((np.concatenate(keys), np.concatenate(places), own))
+    return out
+
+
+def _mixed(low: int, members: np.ndarray) -> np.ndarray:
+    """One key for each row of members (tokens) in a band."""
+    key = np.full(len(members), (0x9E3779B97F4A7C15 * (4 * low + members.shape[1])) % 2**64, np.uint64)
+    for member in members.T:
+        key = (key ^ (key >> np.uint64(31)) ^ member) * _M[1]
+    return (key ^ (key >> np.uint64(31))) * _M[3]
 
 
 def _tokens(value) -> np.ndarray:
@@ -140,10 +156,14 @@ def _tokens(value) -> np.ndarray:
 
 
 def _universe_pairs(sets: DataFrame, buckets: int) -> DataFrame:
-    """(a, b, n) with a < b: candidates by light tokens of the universe; (a, null, n): frequent tokens of a node."""
+    """(a, b, n) with a < b: candidates by light tokens of the universe; (a, null, n): frequent tokens of a node.
+
+    A task deals its rows in parts. Tokens that several nodes of a part have are counted over all parts of the task, and
+    once they are frequent only their nodes' counts go on, so a bucket gets a few rows of a token from each task.
+    """
 
     def deal(batches):
-        held, size = [], 0
+        held, size, known, seen, marked = [], 0, np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
 
         def flush():
             ids, sizes = np.array([h[0] for h in held], np.int64), np.array([len(h[1]) // 8 for h in held], np.int32)
@@ -153,11 +173,20 @@ def _universe_pairs(sets: DataFrame, buckets: int) -> DataFrame:
             tokens, of = tokens[order], of[order]
             first = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
             count = np.diff(np.concatenate([first, [len(tokens)]]))
-            # Tokens that are frequent here are frequent: their nodes are counted here, and one mark (slot -1) goes on.
-            many = np.repeat(count > LIGHT, count)
+            # Tokens that are frequent here are frequent: their nodes are counted here, and one mark (slot -1) of a task goes on.
+            nonlocal known, seen, marked
+            several = count > 1
+            both = np.concatenate([known, tokens[first[several]]])
+            order = np.argsort(both, kind="stable")
+            times = np.concatenate([seen, count[several]])[order]
+            at = np.flatnonzero(np.concatenate([[True], both[order][1:] != both[order][:-1]])) if len(both) else np.zeros(0, np.int64)
+            known, seen = both[order][at], np.add.reduceat(times, at) if len(at) else times
+            frequent = np.isin(tokens[first], known[seen > LIGHT], assume_unique=True)
+            many = np.repeat(frequent, count)
             node, times = np.unique(of[many], return_counts=True)
             rows = [(int(ids[0] % buckets), b"", b"", ids[node].tobytes(), times.astype(np.int32).tobytes())] if len(node) else []
-            marks = tokens[first[count > LIGHT]]
+            marks = np.setdiff1d(tokens[first[frequent]], marked, assume_unique=True)
+            marked = np.union1d(marked, marks)
             tokens, of = np.concatenate([tokens[~many], marks]), np.concatenate([of[~many], np.full(len(marks), -1, np.int32)])
             bucket = ((tokens * _M[1]) >> np.uint64(20)) % np.uint64(buckets)
             order = np.argsort(bucket, kind="stable")
@@ -165,8 +194,8 @@ def _universe_pairs(sets: DataFrame, buckets: int) -> DataFrame:
             found, first = np.unique(bucket, return_index=True)
             for b, x, y in zip(found.tolist(), first.tolist(), [*first.tolist()[1:], len(tokens)]):
                 nodes, slot = np.unique(of[x:y], return_inverse=True)
-                marked = len(nodes) and nodes[0] < 0
-                nodes, slot = (nodes[1:], slot - 1) if marked else (nodes, slot)
+                if len(nodes) and nodes[0] < 0:
+                    nodes, slot = nodes[1:], slot - 1
                 rows.append((b, tokens[x:y].tobytes(), slot.astype(np.int32).tobytes(), ids[nodes].tobytes(), sizes[nodes].tobytes()))
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), *[pa.binary()] * 4))], names=["bucket", "tokens", "slots", "ids", "sizes"])
 
@@ -246,14 +275,20 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id) for every row; ids are whole numbers.
+    """(id, n_shingles, component_id) for every row; ids are of any type that Spark sorts.
 
     component_id is the smallest id that links reach; a null, empty or blank text has no shingles and links with nothing;
     rows that repeat an id are one document, linked to all that any of its texts links to; a row with a null id gets its
     n_shingles, a null component and no links; an empty table gives no rows; other columns are ignored, whatever their names.
+    The rows are written once; what they were worked out from is removed.
     """
-    spark = docs.sparkSession
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), whole_text(text_col).alias("text"))
+    with scope():
+        return kept(_near_duplicates(docs, id_col, text_col), "near-duplicates")
+
+
+def _near_duplicates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    spark, kind = docs.sparkSession, docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
 
     def measure(batches):
         shingles = Shingler()
@@ -268,7 +303,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             ]
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), *columns], names=["row", "id", "n", "u", "digest", "tokens"])
 
-    sized = saved(rows.mapInArrow(measure, "row long, id long, n long, u long, digest string, tokens binary"), "sets")
+    sized = saved(rows.mapInArrow(measure, f"row long, id {kind}, n long, u long, digest string, tokens binary"), "sets")
     told = sized.filter("id is not null and digest is not null")
     nodes = saved(told.groupBy("digest").agg(F.min("row").alias("node"), F.min("id").alias("id"), F.first("n").alias("n"), F.first("u").alias("u")), "nodes")
     total = nodes.filter("n > 2").agg(F.sum("u").alias("u"), F.count("*").alias("n")).first()
@@ -289,7 +324,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = nodes.join(members.join(least, "root").select("node", "component"), "node", "left")
     placed = saved(placed.select("digest", F.coalesce("component", "id").alias("component")), "placed")
     out = sized.join(placed, "digest", "left").select("id", "n", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component"))
-    return out.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
 def _possible(pairs: DataFrame, nodes: DataFrame, heavy: DataFrame) -> DataFrame:
@@ -324,36 +359,43 @@ def _combination_keys(sets: DataFrame) -> DataFrame:
 
     tokens = saved(sets.mapInArrow(tokens_of, "token long, node long"), "lacking-tokens")
     frequent = tokens.groupBy("token").agg(F.count("*").alias("c")).filter(F.col("c") > LIGHT)
-    many = F.collect_set(F.when(F.col("c") > MANY, F.col("token"))).alias("many")
-    by_node = tokens.join(frequent, "token").groupBy("node").agg(F.collect_set("token").alias("frequent"), many)
+    # Rare ones first, in one order for all nodes.
+    by_node = tokens.join(frequent, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("c", "token"))).alias("f"))
+    of = lambda low, high: F.size(F.filter("f", lambda x: (x["c"] > low) & (x["c"] <= high)))
+    by_node = by_node.select("node", F.transform("f", lambda x: x["token"]).alias("frequent"), of(LIGHT, FEW).alias("few"), of(MANY, 1 << 62).alias("many"))
 
     def sign(batches):
         for batch in small_batches(batches, 64):
             out = []
-            for node, own, frequent, many in zip(*(batch.column(c).to_pylist() for c in ("node", "tokens", "frequent", "many"))):
+            for node, own, frequent, few, many in zip(*(batch.column(c).to_pylist() for c in ("node", "tokens", "frequent", "few", "many"))):
                 own = _tokens(own)
-                kinds = prefix_keys(own, *(np.array(x or [], np.int64).view(np.uint64) for x in (frequent, many)))
-                # What is known before a key is of its kind: a pair that a combination rules out may be made at a single token.
-                for keys, light in zip(kinds, (0, len(kinds[0]))):
-                    keys = np.sort(keys.view(np.int64))
+                for keys, places, mine in prefix_keys(own, np.array(frequent or [], np.int64).view(np.uint64), few or 0, many or 0):
+                    # What is known before a key: keys of the same kind, in an order that two nodes share.
                     at = np.arange(len(keys))[:, None] + np.arange(-BEFORE, 0)
-                    out.append((keys, np.full(len(keys), node), np.full(len(keys), len(own)), np.full(len(keys), light), keys[at[at >= 0]], np.minimum(np.arange(len(keys)), BEFORE)))
-            keys, nodes, n, light, before, held = (np.concatenate(x) for x in zip(*out))
+                    keys = keys.view(np.int64)
+                    out.append((keys, np.full(len(keys), node), np.full(len(keys), len(own)), places, np.full(len(keys), mine), keys[at[at >= 0]], np.minimum(np.arange(len(keys)), BEFORE)))
+            if not out:
+                continue
+            keys, nodes, n, places, mine, before, held = (np.concatenate(x) for x in zip(*out))
             before = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(held)]), pa.int32()), pa.array(before, pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(keys), *(pa.array(x, pa.int64()) for x in (nodes, n, light)), before], names=["key", "node", "n", "light", "before"])
+            columns = [pa.array(keys), *(pa.array(x, pa.int64()) for x in (nodes, n, places)), pa.array(mine, pa.bool_()), before]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "node", "n", "place", "own", "before"])
 
-    return saved(sets.join(by_node, "node", "left").mapInArrow(sign, "key long, node long, n long, light long, before array<long>"), "keys")
+    return saved(sets.join(by_node, "node", "left").mapInArrow(sign, "key long, node long, n long, place long, own boolean, before array<long>"), "keys")
 
 
-#: Whether two rows of a key can be linked: each side's light tokens are missing on the other side of a combination.
-MAY_LINK = "4 * least(n, m) >= 3 * greatest(n, m) and 7 * light <= 4 * n - 3 * m and 7 * faint <= 4 * m - 3 * n"
+#: Whether two rows of a key, the first that they share, can be linked: what is before it on one side is missing on the other.
+MAY_LINK = "(own or owned) and 4 * least(n, m) >= 3 * greatest(n, m) and 7 * place <= 4 * n - 3 * m and 7 * placed <= 4 * m - 3 * n"
 
 
 def _link(sets: DataFrame, light: DataFrame, keyed: DataFrame) -> DataFrame:
     """Verified links that connect whatever any link connects."""
-    counts = saved(keyed.groupBy("key").agg(F.count("*").alias("c"), F.min_by(F.struct("node", "n", "light"), F.struct("light", "node")).alias("centre"), F.min("n").alias("least")).filter("c > 1"), "counts")
-    # A row that no size at its key suits is out: its light tokens alone are more than it may lack there.
-    known = keyed.join(counts.select("key", "least", F.col("centre.node").alias("centre"), F.col("centre.n").alias("m"), F.col("centre.light").alias("faint")), "key").filter("7 * light <= 4 * n - 3 * least")
+    centre = F.min_by(F.struct("node", "n", "place", "own"), F.struct(~F.col("own"), "place", "node")).alias("centre")
+    counts = keyed.groupBy("key").agg(F.count("*").alias("c"), centre, F.min("n").alias("least"), F.max(4 * F.col("n") - 7 * F.col("place")).alias("reach"))
+    counts = saved(counts.filter("c > 1 and centre.own"), "counts")
+    # A row that no other of its key suits is out: it has more before the key than it may lack of the smallest set there, or no set may lack so little.
+    of_key = counts.select("key", "least", "reach", F.col("centre.node").alias("centre"), F.col("centre.n").alias("m"), F.col("centre.place").alias("placed"), F.col("centre.own").alias("owned"))
+    known = keyed.join(of_key, "key").filter("7 * place <= 4 * n - 3 * least and 3 * n <= reach")
     star = known.filter(f"node <> centre and {MAY_LINK}").groupBy(F.col("centre").alias("u"), F.col("node").alias("v")).agg(F.count("*").alias("n"))
     # One partner a node: the one with which it shares most, the smaller of equals.
     best = light.unionByName(star).groupBy("v").agg(F.max_by("u", F.struct("n", -F.col("u"))).alias("u")).select("u", "v")
@@ -364,11 +406,11 @@ def _link(sets: DataFrame, light: DataFrame, keyed: DataFrame) -> DataFrame:
     # Keys whose nodes are in several components: pairs of a node outside the centre's component with any node of another.
     # A pair that shares many keys is made at few of them: not where both know a common key just before, and so always at
     # its first.
-    placed = saved(rooted(known.select("key", F.col("node").alias("u"), "n", "light", "before"), "u"), "placed-keys")
+    placed = saved(rooted(known.select("key", F.col("node").alias("u"), "n", "place", "own", "before"), "u"), "placed-keys")
     mixed = placed.groupBy("key").agg(F.min("u_root").alias("a"), F.max("u_root").alias("b")).filter("a <> b").select("key")
     centres = rooted(mixed.join(counts.select("key", F.col("centre.node").alias("centre")), "key"), "centre").select("key", "centre_root")
     placed = saved(placed.join(centres, "key"), "mixed-keys")
-    right = placed.select("key", F.col("u").alias("v"), F.col("n").alias("m"), F.col("light").alias("faint"), F.col("before").alias("earlier"), F.col("u_root").alias("v_root"))
+    right = placed.select("key", F.col("u").alias("v"), F.col("n").alias("m"), F.col("place").alias("placed"), F.col("own").alias("owned"), F.col("before").alias("earlier"), F.col("u_root").alias("v_root"))
     outside = placed.filter("u_root <> centre_root")
     across = outside.join(right, "key").filter(f"u_root <> v_root and (v_root = centre_root or u < v) and {MAY_LINK} and not arrays_overlap(before, earlier)")
     across = across.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
@@ -380,20 +422,22 @@ def _link(sets: DataFrame, light: DataFrame, keyed: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each group of near duplicates, that of the smallest id, with all its columns; and every row with a null id.
 
-    Rows that repeat an id are one document; of those with the same words one stays. An empty table stays empty.
+    Ids are of any type that Spark sorts. Rows that repeat an id are one document; of those with the same words one stays,
+    the first by a hash of its text, then by its columns as JSON, so that the choice doesn't depend on the order of rows. A null, empty
+    or blank text is in no group and stays. An empty table stays empty. Only the ids that go, and repeated ones, stay written.
     """
-    found = saved(near_duplicates(docs, id_col, text_col), "groups")
-    gone = found.filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    kept = without(docs, saved(gone, "gone-ids"), id_col).select(*docs.columns)
-    again = found.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count("*").alias("c")).filter("c > 1").select(id_col)
-    again = saved(again, "repeated-ids")
+    with scope():
+        found = near_duplicates(docs, id_col, text_col)
+        gone = kept(found.filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct(), "gone-ids")
+        again = kept(found.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count("*").alias("c")).filter("c > 1").select(id_col), "repeated-ids")
+    kept_rows = without(docs, gone, id_col).select(*docs.columns)
     if again.isEmpty():
-        return kept
+        return kept_rows
     upper, lower = (bytes(range(x, x + 26)).decode() for x in (65, 97))
     words = F.trim(F.regexp_replace(F.translate(whole_text(text_col), upper, lower), r"[\x20\x09-\x0D]+", " "))
-    one = kept.join(again, id_col, "left_semi").select(F.struct(*docs.columns).alias("all"), F.col(id_col).alias("by"), F.sha2(words, 256).alias("same"), F.xxhash64(text_col).alias("h"))
-    one = one.groupBy("by", "same").agg(F.min_by("all", "h").alias("all")).select("all.*")
-    return without(kept, again, id_col).select(*docs.columns).unionByName(one)
+    one = kept_rows.join(again, id_col, "left_semi").select(F.struct(*docs.columns).alias("all"), F.col(id_col).alias("by"), F.sha2(words, 256).alias("same"), F.xxhash64(text_col).alias("h"))
+    one = one.groupBy("by", "same").agg(F.min_by("all", F.struct("h", F.to_json("all"))).alias("all")).select("all.*")
+    return without(kept_rows, again, id_col).select(*docs.columns).unionByName(one)
 
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
