@@ -118,7 +118,10 @@ def test_disguises(text, kind, shown):
     ],
 )
 def test_at_and_dot_forms(shown):
-    for before, behind in [("", ""), ("mail ", " now"), ("to: ", ". Then"), ("(", ")")]:
+    signs = [("mail ", " now"), ("to: ", ". Then"), ("(", ")"), ("Write to ", "!"), ("Contact ", ""), ("e-mail: ", "")]
+    if " dot " in shown or "[dot]" in shown:  # a disguised dot is a sign itself
+        signs += [("", ""), ("I think ", " is it")]
+    for before, behind in signs:
         text = before + shown + behind
         base, added = pii.find(text)
         assert base == [] and added == [("email", len(before), len(before) + len(shown))], text
@@ -133,10 +136,22 @@ def test_at_and_dot_in_prose():
         "the dot product at hand. A dot at the end",
         "one dot two dot three",
         "version 2 at v1.2",
+        "based at acme.org",
+        "us at example.com",
+        "Contact us at example.com",
+        "shop at amazon.com",
+        "hosting at host.net",
+        "we mail them at example.com",
     ]:
         assert pii.find(text) == ([], []), text
 
 
+def test_local_parts_with_marks():
+    for local in ("joe.smith", "joe_smith", "joe2", "j.q+x"):
+        text = f"ask {local} at example.com about it"
+        assert pii.find(text)[1] == [("email", 4, 4 + len(local) + len(" at example.com"))], text
+
+
 def test_letters_that_case_equates():
     equal = [(chr(c), a) for c in range(128, 0x110000) for a in "abcdefghijklmnopqrstuvwxyz" if re.fullmatch(a, chr(c), re.I)]
     assert {ord(c): ord(a) for c, a in equal} == pii.SAME_LETTER
@@ -228,6 +243,63 @@ def test_alignment_equals_full_dynamic_programme():
         assert (best > 0) == (matched > 0) and matched <= 6 and best <= 2 * matched
 
 
+def full_alignment(text, template):
+    """(score, matched, first, last) of the best local alignment, the earliest of equals."""
+    before, best = [(0, 0, -1)] * (len(text) + 1), (0, 0, -1, -1)
+    for word in template:
+        row = [(0, 0, -1)]
+        for j, other in enumerate(text):
+            same = word == other
+            s = before[j][0] + (2 if same else -1)
+            cell = (s, before[j][1] + same, before[j][2] if before[j][2] >= 0 else j) if s > 0 else (0, 0, -1)
+            for c in (before[j + 1], row[j]):
+                if c[0] - 1 > cell[0]:
+                    cell = (c[0] - 1, c[1], c[2])
+            row.append(cell)
+            if same and (cell[0], -j) > (best[0], -best[3]):
+                best = (*cell, j)
+        before = row
+    return best
+
+
+def every_occurrence(text, template, need):
+    """The best stretch of the whole text, then those before and after it."""
+    score, matched, first, last = full_alignment(text, template)
+    if matched < need:
+        return set()
+    return {(matched, first, last)} | every_occurrence(text[:first], template, need) | {(m, a + last + 1, b + last + 1) for m, a, b in every_occurrence(text[last + 1 :], template, need)}
+
+
+def test_matches_equal_full_alignment(spark):
+    """Random texts with templates that lost, gained or changed words: nothing is missed and nothing is made up."""
+    random.seed(12)
+    fold = lambda t: [re.sub(r"[\W_]+", "", w).lower() for w in t.split()]
+    docs = []
+    for i in range(120):
+        words = [random.choice("the license of a work version public under rights is 2 4 0 mit general".split()) for _ in range(random.randrange(5, 40))]
+        for _ in range(random.randrange(1, 3)):
+            name = random.choice([n for n in TEMPLATES if len(TEMPLATES[n].split()) < 30])
+            part = TEMPLATES[name].split()
+            for _ in range(random.randrange(0, 1 + len(part) // 6)):
+                at = random.randrange(len(part))
+                part[at : at + random.choice((0, 1))] = random.choice(([], ["zz"]))
+            words += part + [f"q{j}" for j in range(20)]
+        docs.append((i, " ".join(words)))
+    got = {}
+    for r in license_matches(spark.createDataFrame(docs, "doc_id long, text string")).collect():
+        got.setdefault((r["doc_id"], r["license"]), set()).add((r["matched_words"], r["start"], r["end"]))
+    wanted = {}
+    for i, text in docs:
+        spans = [m.span() for m in re.finditer(r"[^ \t-\r]+", text)]
+        words = fold(text)
+        for name, template in TEMPLATES.items():
+            t = [w for w in fold(template) if w]
+            need = next(n for n in range(len(t) + 1) if n >= 0.75 * len(t))
+            if found := every_occurrence(words, t, need):
+                wanted[(i, name)] = {(m, spans[a][0], spans[b][1]) for m, a, b in found}
+    assert sum(map(len, wanted.values())) > 100 and got == wanted
+
+
 def test_winnowing_meets_every_window():
     rng = np.random.default_rng(0)
     for n in range(0, 30):
@@ -260,6 +332,44 @@ def test_quality_odd_rows(spark, odd_docs, no_docs):
     assert score(no_docs, model).count() == 0 and keep_good(odd_docs, model, 0.0).count() == odd_docs.count()
 
 
+def test_scores_equal_a_softmax_over_means(texts):
+    """A small model as it was trained: the mean of the features' vectors, the output layer, a softmax with the shares of labels."""
+    from tidemark.llm.quality import features, train
+
+    some = [texts[k].encode() for k in sorted(texts)]
+    model = train(some[:40], np.arange(40) % 2, prior=0.3, epochs=2)
+    got = Scorer(model.reduced()).scores(some)
+    assert len(set(np.round(got, 6))) > 50
+    for text, p in zip(some, got):
+        words = text.split()
+        at, share = features(text)
+        own, of = word_features(words)
+        assert sum(np.bincount(own)) == len(own) and abs(share.sum() - 1) < 1e-4 or not words
+        mean = sum((s * model.vectors[a].astype(float) for a, s in zip(at, share)), np.zeros(8))
+        logit = mean @ model.output + model.bias + np.array([0, model.shift])
+        soft = np.exp(logit - logit.max())
+        assert abs(soft[1] / soft.sum() - p) < 1e-5
+
+
+def test_fit_is_bounded(spark, monkeypatch):
+    """Repeated ids give one text each, and long texts end the sample."""
+    from tidemark.llm import quality
+
+    held = []
+    monkeypatch.setattr(quality, "train", lambda texts, labels, prior: held.append((texts, labels.tolist())) or quality.Learned(np.zeros((2 * quality.BUCKETS, 1), np.float32), np.zeros((1, 2)), np.zeros(2), 0.0))
+    docs = spark.createDataFrame([(i % 4, f"text {i} " + "x" * 100) for i in range(100)] + [(5, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(6)], "doc_id long, quality int")
+    fit(docs, labels, per_class=1)
+    assert len(held[0][0]) == 2
+    fit(docs.repartition(7), labels, per_class=1)
+    assert held[0] == held[1]
+    fit(docs, labels, class_bytes=1)
+    assert len(held[2][0]) == 2 and sorted(held[2][1]) == [0, 1]
+    fit(docs, labels)
+    assert len(held[3][0]) == 4
+    assert fit(docs.filter("doc_id = 77"), labels).bias == 0.0
+
+
 def test_scorer_parts_equal_one_pass(monkeypatch):
     from tidemark.llm import quality
 

@@ -235,3 +235,28 @@ def test_repeated_texts_are_encoded_once(spark, monkeypatch):
     for _ in range(2):
         assert token_counts(docs, path, store).groupBy("doc_id").count().count() == 2
         assert sum(os.path.getsize(f"{log}/{f}") for f in os.listdir(log)) == 2
+
+
+def test_keys_of_other_types(spark, whole):
+    """A key is found by its value, however Spark writes it as text."""
+    import datetime
+    import decimal
+
+    day, moment = datetime.date(2024, 2, 29), datetime.datetime(2024, 2, 29, 1, 2, 3)
+    for kind, keys, absent in [
+        ("double", [1e10, -0.5, 1e-7, 12345678901234.0], 2.0),
+        ("boolean", [True, False], None),
+        ("date", [day, datetime.date(1, 1, 1)], datetime.date(2024, 3, 1)),
+        ("timestamp", [moment], datetime.datetime(2024, 2, 29)),
+        ("string", ["", "é x", "1"], "2"),
+        ("decimal(20,4)", [decimal.Decimal("1.5000"), decimal.Decimal("100")], decimal.Decimal("2")),
+        ("long", [5, -(2**62)], 6),
+    ]:
+        path = shared_dir(spark, "keys")
+        docs = spark.createDataFrame([(k, f"text of {i}") for i, k in enumerate(keys)] + [(None, "none")], f"key {kind}, text string")
+        write_store(docs, path, PATH, 2, id_col="key")
+        for i, k in enumerate(keys):
+            assert get(spark, path, k).tolist() == whole(f"text of {i}") + [2], (kind, k)
+        assert get(spark, path, None).tolist() == whole("none") + [2]
+        assert absent is None or get(spark, path, absent) is None
+    assert get(spark, path, "5").tolist() == whole("text of 0") + [2] and get(spark, path, "no number") is None

@@ -95,12 +95,19 @@ _BARE_DOT = re.compile(r"(?<=[A-Za-z0-9]) dot (?=[A-Za-z0-9-])", re.I)
 _LABELS = re.compile(rf"[A-Za-z0-9-]++(?:(?:( dot |{_DOT.pattern})|\.)[A-Za-z0-9-]++)*+", re.I)
 _DISGUISED = re.compile(r"(?:at|@|arroba|dot|\.|punto|punkt|point)\s?[\])}>]|\sdot\s| at [A-Za-z0-9-]+\.[A-Za-z0-9-]", re.I)
 _TOP_LEVEL = re.compile(r"[a-z]{2,}|[A-Z]{2,}")
-# Words before ' at example.com' that tell where something is.
-_PLACED = frozenset("are available be found hosted is look looked looking met published seen was were".split())
+# Words before an address, and pronouns that are nobody's local part, in the four languages of the corpus.
+_CONTACT = re.compile(r"(?:\b(?:e-?mails?|mail|mailto|write|contact|reach|addresse?s?|correo|escriba|escribir|direcci[oó]n|courriel|[ée]crire|[ée]crivez|adresse|kontakt|schreiben|schreib)(?: (?:is|to|an|à|a|es|est|ist))? *:? *|[(\[{<\"':] ?)$", re.I)
+_PRONOUN = frozenset("us me him her them it you uns mich nous moi nosotros".split())
+_LOCAL_MARK = re.compile(r"[A-Za-z][._+0-9]|[._+0-9][A-Za-z]")
+_DOT_BEFORE = re.compile(rf"(?:[A-Za-z0-9] dot |[A-Za-z0-9]{_DOT.pattern})$", re.I)
 
 
 def _is_at(text: str, start: int, end: int) -> bool:
-    """Whether a bare ' at ' is one of an address: before a domain with a disguised dot, or a plain domain that no prose word and no path go with."""
+    """Whether a bare ' at ' is one of an address: a disguised dot goes with it, or it stands before a plain domain and shows a sign of one.
+
+    Signs are a mark or digit within the local part, and a word of contact, a colon, a quote or an opening bracket before it. Without one
+    'based at acme.org' is prose, and so is what a path follows.
+    """
     m = _LABELS.match(text, end)
     if m[1]:
         return True
@@ -108,9 +115,12 @@ def _is_at(text: str, start: int, end: int) -> bool:
     if len(labels) < 2 or labels[0].lower() == "www" or not _TOP_LEVEL.fullmatch(labels[-1]) or text[m.end() : m.end() + 1] == "/":
         return False
     first = start
-    while first > max(0, start - 12) and _LOCAL_END.match(text, first - 1):
+    while first > max(0, start - 64) and _LOCAL_END.match(text, first - 1):
         first -= 1
-    return text[first:start].lower() not in _PLACED
+    before, local = text[max(0, first - 24) : first], text[first:start]
+    if _LOCAL_MARK.search(local) or _DOT_BEFORE.search(before):
+        return True
+    return local.lower() not in _PRONOUN and bool(_CONTACT.search(before))
 
 
 def _dots_beside(text: str, start: int, end: int):
@@ -230,7 +240,10 @@ def masked(text: str) -> str:
 
 
 def mask(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with the personal data in text_col masked; null stays null, other columns are kept as they are."""
+    """docs with the personal data in text_col masked; null stays null, other columns are kept as they are, whatever their names.
+
+    Every row is kept, repeated ones and those with null ids too; an empty table stays empty. A text is masked whole.
+    """
     at = docs.columns.index(text_col)
 
     def scan(batches):

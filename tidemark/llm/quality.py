@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import whole_text
@@ -119,7 +119,22 @@ def features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return found, (share / share.sum()).astype(np.float32)
 
 
-def train(texts: list[bytes], labels: np.ndarray, prior: float, dim: int = 8, epochs: int = 6, rate: float = 1.0, seed: int = 17) -> Model:
+@dataclass
+class Learned:
+    """Vectors of the buckets, the output layer, its bias, and what the true shares of the labels add to the second class."""
+
+    vectors: np.ndarray
+    output: np.ndarray
+    bias: np.ndarray
+    shift: float
+
+    def reduced(self) -> Model:
+        """The same scores from one number for each bucket, as the output is linear in the mean of vectors."""
+        both = self.output[:, 1] - self.output[:, 0]
+        return Model((self.vectors @ both).astype(np.float64), float(self.bias[1] - self.bias[0]) + self.shift)
+
+
+def train(texts: list[bytes], labels: np.ndarray, prior: float, dim: int = 8, epochs: int = 6, rate: float = 1.0, seed: int = 17) -> Learned:
     """Learn vectors and output by one pass per epoch over the texts in random order, the rate falling to 0.
 
     Classes weigh alike while learning; ``prior`` (the share of label 1 among all labels) then moves the bias, so a score
@@ -149,29 +164,40 @@ def train(texts: list[bytes], labels: np.ndarray, prior: float, dim: int = 8, ep
             bias -= 0.1 * step * p
             # The share is small for each feature: vectors move by the document's gradient, scaled to its features.
             vectors[at] = held - step * 20 * np.outer(share, back)
-    both = output[:, 1] - output[:, 0]
-    shift = float(np.log(max(prior, 1e-6) / max(1 - prior, 1e-6)))
-    return Model((vectors @ both).astype(np.float64), float(bias[1] - bias[0]) + shift)
+    return Learned(vectors, output, bias, float(np.log(max(prior, 1e-6) / max(1 - prior, 1e-6))))
 
 
-def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", per_class: int = 2500) -> Model:
-    """Fit on at most ``per_class`` labelled rows of each class, the first by a hash of the id.
+def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", per_class: int = 2500, class_bytes: int = 64 << 20) -> Model:
+    """Fit on at most ``per_class`` labelled documents and ``class_bytes`` of their texts in each class, the first by a hash of the id.
 
-    Rows without a label or text take no part; a document labelled twice counts by its smallest label; where only one
-    class is labelled, every score is that class's; with no labels at all it is one half.
+    A document with several texts counts by one of them, the first by a hash; one labelled twice by its smallest label; rows
+    without a label, an id or a text take no part. Texts are taken whole until the next would pass ``class_bytes``, but for
+    the first, which is taken whatever its length. Where only one class is labelled, every score is that class's; with no labels, or no
+    labelled texts, it is one half. Other columns are ignored.
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).filter("id is not null and label in (0, 1)").groupBy("id").agg(F.min("label").alias("label"))
     shares = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(shares) < 2:
         return Model(np.zeros(2 * BUCKETS), 0.0 if not shares else 60.0 * next(iter(shares)) - 30.0)
     parts = [known.filter(F.col("label") == k).orderBy(F.xxhash64("id"), "id").limit(per_class) for k in (0, 1)]
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("text is not null").join(F.broadcast(parts[0].unionByName(parts[1])), "id").collect()
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("text is not null").join(F.broadcast(parts[0].unionByName(parts[1])), "id")
+    one = texts.groupBy("id", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    # At most per_class rows of a label: the running sum of their lengths.
+    before = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
+    one = one.withColumn("nth", F.row_number().over(before)).withColumn("bytes", F.sum(F.octet_length("text")).over(before))
+    rows = one.filter(f"nth = 1 or bytes <= {int(class_bytes)}").select("id", "label", "text").collect()
     rows.sort(key=lambda r: (r["id"], r["text"]))
-    return train([r["text"].encode() for r in rows], np.array([r["label"] for r in rows], np.int64), shares[1] / (shares[0] + shares[1]))
+    if not rows:
+        return Model(np.zeros(2 * BUCKETS), 0.0)
+    return train([r["text"].encode() for r in rows], np.array([r["label"] for r in rows], np.int64), shares[1] / (shares[0] + shares[1])).reduced()
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score) for every row: a null text scores as the empty one, whose score is the prior with the bias."""
+    """(id, score) for every row: a null text scores as the empty one, whose score is the prior with the bias.
+
+    Null and repeated ids keep their rows, an empty table gives none, other columns are ignored; a text is read whole, in
+    parts that fit the memory. No shuffle.
+    """
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -184,7 +210,11 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def keep_good(docs: DataFrame, model: Model, at_least: float = 0.3, text_col: str = "text") -> DataFrame:
-    """The rows of docs that score at_least or more, with all their columns."""
+    """The rows of docs that score at_least or more, with all their columns, whatever their names.
+
+    A null text scores as the empty one; repeated rows and null ids are judged by their texts like others; an empty table
+    stays empty.
+    """
     held = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 
@@ -202,11 +232,13 @@ def crc_fold(column: str, folds: int = 5):
 
 
 def learned(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Model:
+    """A model from the labels of sf_dir but for those held out; nulls, repeats and missing labels as fit() says."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return fit(docs, labels.filter(crc_fold("doc_id") != 0))
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's score; nulls, repeats, empty texts and tables as score() and fit() say."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     scored = score(docs, learned(spark, docs, sf_dir))
     return scored.select("doc_id", (crc_fold("doc_id") == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))

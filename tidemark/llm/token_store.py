@@ -153,7 +153,7 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id
         })
 
     keyed.groupBy("bucket").applyInPandas(index, INDEX).withColumn("span", F.floor(F.col("bucket") / SPAN)).write.partitionBy("span").parquet(f"{path}/index")
-    meta = spark.createDataFrame([(buckets, id_dtype(tokenizer_path))], "buckets int, dtype string")
+    meta = spark.createDataFrame([(buckets, id_dtype(tokenizer_path), key_type)], "buckets int, dtype string, key_type string")
     meta.coalesce(1).write.parquet(f"{path}/meta")
 
 
@@ -190,11 +190,19 @@ def find(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
 
 
 def get(spark: SparkSession, path: str, key, nth: int = 0) -> np.ndarray | None:
-    """The ids of one key, or None: one bucket of the index and one range of one payload file are read, however large the store."""
+    """The ids of one key, or None: one bucket of the index and one range of one payload file are read, however large the store.
+
+    The key is cast to the type of the stored ids, so that it is hashed as they were; one that has no such value isn't there.
+    """
     meta = spark.read.parquet(f"{path}/meta").first()
     if not meta["buckets"]:
         return None
-    h = spark.createDataFrame([(None if key is None else str(key), nth)], "key string, nth long").select(*_hashes("key", "nth")).first()
+    key = key.item() if isinstance(key, np.generic) else key
+    asked = spark.createDataFrame([(key, nth)], ["key", "nth"] if key is not None else f"key {meta['key_type']}, nth long")
+    asked = asked.select(F.col("key").try_cast(meta["key_type"]).alias("key"), F.col("nth").cast("long").alias("nth"))
+    h = asked.select("key", *_hashes("key", "nth")).first()
+    if key is not None and h["key"] is None:
+        return None
     bucket = h["h1"] % meta["buckets"]
     row = spark.read.schema(INDEX).parquet(f"{path}/index/span={bucket // SPAN}").filter(F.col("bucket") == bucket).first()
     h1, h2 = np.array([h["h1"]], np.int64).view(np.uint64), np.array([h["h2"]], np.int64).view(np.uint64)
