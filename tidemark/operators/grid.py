@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import periods as P
 from ..functions import text as T
 from ..sources.stored import saved
+from .dated import vertical_dates
 
 OUT = ("source_sheet", "series", "period", "value", "row_id", "column_id")
 
@@ -83,30 +84,71 @@ def horizontal_year_month(cells: DataFrame) -> DataFrame:
     return rows.withColumn("period", P.month_end(F.year("period"), F.col("m"))).withColumn("series", F.col("source_sheet")).select(*OUT)
 
 
-def horizontal_year_quarter(cells: DataFrame) -> DataFrame:
-    """A merged year header above quarters; a year runs to the next one, the last at most three columns on."""
+def quarter_axis(cells: DataFrame) -> DataFrame:
+    """(sheet, column_id, label, year, quarter, inferred, annual_year, annual, header_row, period_row).
+
+    A year stands above the first column of a block, quarters and the annual column that closes it stand in the fullest
+    row of quarters below. A block runs to its annual column (a year, or total or anual), else at most three columns on. A label that names
+    no quarter gets one from its place only within a block of four and an annual column whose other labels agree with theirs.
+    """
     header = _fullest_row(year_axes(cells, "row_id", "column_id"))
-    quarter = cells.select("source_sheet", "row_id", "column_id", T.quarter_number(F.col("text")).alias("q")).filter("q is not null")
-    quarters = quarter.join(header, "source_sheet").filter("row_id = header_row + 1").select("source_sheet", "column_id", "q", "header_row")
-    marked = quarters.join(_year_header(cells).drop("header_row"), ["source_sheet", "column_id"], "left")
-    before = Window.partitionBy("source_sheet").orderBy("column_id").rowsBetween(Window.unboundedPreceding, 0)
-    filled = marked.withColumn("year", F.last("y", ignorenulls=True).over(before)).withColumn("_from", F.last(F.when(F.col("y").isNotNull(), F.col("column_id")), ignorenulls=True).over(before))
-    axis = filled.filter("column_id - _from <= 3").select("source_sheet", "column_id", "year", "q", "header_row")
+    quarter = cells.select("source_sheet", "row_id", T.quarter_number(F.col("text")).alias("q")).filter("q is not null").join(header, "source_sheet").filter("row_id > header_row")
+    counted = quarter.groupBy("source_sheet", "header_row", "row_id").agg(F.count("*").alias("n"))
+    rows = counted.groupBy("source_sheet", "header_row").agg(F.max_by("row_id", F.struct("n", -F.col("row_id"))).alias("period_row"))
+    held = cells.join(rows, "source_sheet")
+    label = F.max(F.when(F.col("row_id") == F.col("period_row"), F.col("text")))
+    year = F.max(F.when(F.col("row_id") == F.col("header_row"), T.year_label(F.col("text"))))
+    columns = held.filter("row_id >= header_row").groupBy("source_sheet", "column_id", "header_row", "period_row").agg(label.alias("label"), year.alias("y"))
+    along = Window.partitionBy("source_sheet").orderBy("column_id").rowsBetween(Window.unboundedPreceding, 0)
+    start = F.last(F.when(F.col("y").isNotNull(), F.col("column_id")), ignorenulls=True).over(along)
+    columns = columns.withColumn("start", start).withColumn("year", F.last("y", ignorenulls=True).over(along)).filter("start is not null")
+    named = T.quarter_number(F.col("label"))
+    closes = F.coalesce(T.normalized(F.col("label")).rlike("total|anual|ano") | T.year_label(F.col("label")).isNotNull(), F.lit(False))
+    block, slot = Window.partitionBy("source_sheet", "start"), Window.partitionBy("source_sheet", "start").orderBy("column_id")
+    columns = columns.withColumn("named", named).withColumn("annual_at", F.min(F.when(closes, F.col("column_id"))).over(block)).withColumn("slot", F.row_number().over(slot))
+    before = F.col("column_id") < F.col("annual_at")
+    whole = (F.count_if(before).over(block) == 4) & F.bool_and(~before | F.col("named").isNull() | (F.col("named") == F.col("slot"))).over(block)
+    guess = F.when(whole & before & F.col("named").isNull(), F.col("slot"))
+    end = F.coalesce("annual_at", F.col("start") + 3)
+    return columns.filter(F.col("column_id") <= end).select(
+        "source_sheet", "column_id", "label", "year", F.coalesce("named", guess).alias("quarter"), guess.isNotNull().alias("inferred"), T.year_label(F.col("label")).alias("annual_year"),
+        (F.col("column_id") == F.coalesce("annual_at", F.lit(-1))).alias("annual"), "header_row", "period_row",
+    )
+
+
+def quarter_closing(cells: DataFrame, axis: DataFrame, least: float = 0.9) -> DataFrame:
+    """(sheet, annual_columns, compared, agreed, reason) for each sheet with annual columns by year.
+
+    In a table of stocks the fourth quarter is the year's end: it must equal the annual column that closes its block, where
+    that is of the same year. reason is null where it does in ``least`` of the comparable cells, else what shows that years are misread.
+    """
+    fourth = F.last(F.when(F.col("quarter") == 4, F.struct("column_id", "year")), ignorenulls=True).over(Window.partitionBy("source_sheet").orderBy("column_id").rowsBetween(Window.unboundedPreceding, -1))
+    closed = axis.withColumn("fourth", fourth).filter("annual and annual_year is not null and fourth is not null")
+    closed = closed.select("source_sheet", "period_row", F.col("column_id").alias("annual_column"), F.col("fourth.column_id").alias("fourth_column"), (F.col("fourth.year") == F.col("annual_year")).alias("same"))
+    values = lambda c, v: cells.filter("num is not null").select("source_sheet", "row_id", F.col("column_id").alias(c), F.col("num").alias(v))
+    pairs = closed.filter("same").join(values("annual_column", "a"), ["source_sheet", "annual_column"]).filter("row_id > period_row").join(values("fourth_column", "b"), ["source_sheet", "row_id", "fourth_column"])
+    agrees = F.abs(F.col("a") - F.col("b")) <= 1e-6 * F.greatest(F.abs("a"), F.lit(1.0))
+    found = pairs.groupBy("source_sheet").agg(F.count("*").alias("compared"), F.count_if(agrees).alias("agreed"))
+    whole = closed.groupBy("source_sheet").agg(F.count("*").alias("annual_columns"), F.count_if("same").alias("same")).join(found, "source_sheet", "left").na.fill(0)
+    reason = F.when(F.col("same") == 0, "no block is of its annual column's year").when(F.col("agreed") < least * F.col("compared"), "fourth quarters differ from the years that they close")
+    return whole.select("source_sheet", "annual_columns", "compared", "agreed", reason.alias("reason"))
+
+
+def horizontal_year_quarter(cells: DataFrame, least: float = 0.9) -> DataFrame:
+    """Quarters, and annual columns as series of their own, of the sheets whose blocks close; see quarter_closing for the others."""
+    axis = quarter_axis(cells)
+    refused = quarter_closing(cells, axis, least).filter("reason is not null")
+    read = axis.filter("quarter is not null or annual").join(refused, "source_sheet", "left_anti")
     values = cells.filter("num is not null").select("source_sheet", "row_id", "column_id", "num")
-    joined = values.join(axis, ["source_sheet", "column_id"]).filter("row_id > header_row + 1").join(_labels(cells), ["source_sheet", "row_id"])
-    return joined.select("source_sheet", F.col("label").alias("series"), P.quarter_end(F.col("year"), F.col("q")).alias("period"), F.col("num").alias("value"), "row_id", "column_id")
+    joined = values.join(read.drop("label"), ["source_sheet", "column_id"]).filter("row_id > period_row").join(_labels(cells), ["source_sheet", "row_id"])
+    period = F.when(F.col("annual"), F.make_date(F.coalesce("annual_year", "year"), F.lit(12), F.lit(31))).otherwise(P.quarter_end(F.col("year"), F.col("quarter")))
+    series = T.path(F.col("label"), F.when(F.col("annual"), "anual"))
+    return joined.select("source_sheet", series.alias("series"), period.alias("period"), F.col("num").alias("value"), "row_id", "column_id")
 
 
 def vertical_date(cells: DataFrame) -> DataFrame:
-    """Dates down the fullest date column, headers from the text above the first date."""
-    dates = cells.filter("date is not null").select("source_sheet", "row_id", "column_id", "date")
-    axis_column = dates.groupBy("source_sheet", "column_id").agg(F.count("*").alias("n")).groupBy("source_sheet").agg(F.max_by("column_id", F.struct("n", -F.col("column_id"))).alias("axis"))
-    axis = dates.join(axis_column, "source_sheet").filter("column_id = axis").select("source_sheet", "row_id", F.last_day("date").alias("period"), "axis")
-    first = axis.groupBy("source_sheet").agg(F.min("row_id").alias("first_row"))
-    above = cells.filter(~T.blank(F.col("text"))).join(first, "source_sheet").filter("row_id < first_row")
-    header = above.groupBy("source_sheet", "column_id").agg(F.max_by("text", "row_id").alias("series"))
-    values = cells.filter("num is not null").select("source_sheet", "row_id", "column_id", F.col("num").alias("value"))
-    return values.join(axis, ["source_sheet", "row_id"]).filter("column_id <> axis").join(header, ["source_sheet", "column_id"]).select(*OUT)
+    """Dates down, without merged ranges."""
+    return vertical_dates(cells).select(*OUT)
 
 
 def horizontal_date(cells: DataFrame) -> DataFrame:
@@ -150,6 +192,12 @@ EXTRACTORS = {
     "horizontal_date": horizontal_date, "vertical_year": vertical_year, "vertical_block": vertical_block}
 
 
+def read_as(cells: DataFrame, mode: str) -> DataFrame:
+    """The observations of the sheets, among all of them, that are of one layout."""
+    own = layouts(cells).filter(F.col("mode") == mode).select("source_sheet")
+    return EXTRACTORS[mode](cells.join(F.broadcast(own), "source_sheet", "left_semi")).select(*OUT)
+
+
 def observations(cells: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
     """Every sheet by its layout, a per-sheet override first; one plan for all sheets, no loop over them."""
     modes = saved(layouts(cells), "layouts")

@@ -18,10 +18,10 @@ _Q = {
     "H02_consecutive_years": (lambda s, d: G.consecutive_years(_sheets(s, d)), f"WITH {F7}, n AS (SELECT count(DISTINCT y) AS n FROM q) SELECT s AS source_sheet, CAST(r AS BIGINT) AS row_id, n FROM n, (VALUES ('HY',3),('YM_A',2),('YM_N',2),('YM_R',2)) AS x(s,r) WHERE s='HY' OR EXISTS (SELECT 1 FROM q WHERE 'YM_'||f=s)  AND n = (SELECT count(DISTINCT y) FROM q WHERE 'YM_'||f=s) UNION ALL SELECT 'YQ', CAST(2 AS BIGINT), count(DISTINCT y) FROM q WHERE q=1"),
     "H03_layouts": (lambda s, d: G.layouts(_sheets(s, d)), f"WITH {F7} SELECT DISTINCT source_sheet, CASE source_sheet WHEN 'HY' THEN 'horizontal_year' WHEN 'YQ' THEN 'horizontal_year_quarter' WHEN 'VD' THEN 'vertical_date' ELSE 'horizontal_year_month' END AS mode FROM read"),
     "H04_titles": (lambda s, d: G.titles(_sheets(s, d)), f"WITH {F7} SELECT 'HY' AS source_sheet, 'Quantity by flag' AS title UNION ALL SELECT DISTINCT 'YM_'||f, 'Quantity of '||f FROM q UNION ALL SELECT 'VD', string_agg('Line '||ln, ' — ' ORDER BY ln) FROM (SELECT DISTINCT ln FROM q)"),
-    "H05_vertical_date": (lambda s, d: G.vertical_date(_sheets(s, d).filter("source_sheet = 'VD'")).select(*G.OUT[:4]), f"WITH {F7} SELECT * FROM read WHERE source_sheet='VD'"),
-    "H06_horizontal_year": (lambda s, d: G.horizontal_year(_sheets(s, d).filter("source_sheet = 'HY'")).select(*G.OUT[:4]), f"WITH {F7} SELECT * FROM read WHERE source_sheet='HY'"),
-    "H08_year_quarter": (lambda s, d: G.horizontal_year_quarter(_sheets(s, d).filter("source_sheet = 'YQ'")).select(*G.OUT[:4]), f"WITH {F7} SELECT * FROM read WHERE source_sheet='YQ'"),
-    "H09_year_month": (lambda s, d: G.horizontal_year_month(_sheets(s, d).filter("source_sheet like 'YM%'")).select(*G.OUT[:4]), f"WITH {F7} SELECT * FROM read WHERE source_sheet LIKE 'YM%'"),
+    "H05_vertical_date": (lambda s, d: G.read_as(_sheets(s, d), "vertical_date").select(*G.OUT[:4]), f"WITH {F7} SELECT * FROM read WHERE source_sheet='VD'"),
+    "H06_horizontal_year": (lambda s, d: G.read_as(_sheets(s, d), "horizontal_year").select(*G.OUT[:4]), f"WITH {F7} SELECT * FROM read WHERE source_sheet='HY'"),
+    "H08_year_quarter": (lambda s, d: G.read_as(_sheets(s, d), "horizontal_year_quarter").select(*G.OUT[:4]), f"WITH {F7} SELECT * FROM read WHERE source_sheet='YQ'"),
+    "H09_year_month": (lambda s, d: G.read_as(_sheets(s, d), "horizontal_year_month").select(*G.OUT[:4]), f"WITH {F7} SELECT * FROM read WHERE source_sheet LIKE 'YM%'"),
     "H10_all_sheets": (lambda s, d: G.observations(_sheets(s, d)).select(*G.OUT[:4]), f"WITH {F7} SELECT * FROM read"),
     "H23_series_identity": (
         lambda s, d: G.identified(G.observations(_sheets(s, d))).groupBy("source_sheet", "series", "series_id", "stability").agg(F.count("*").alias("n")),

@@ -149,3 +149,43 @@ def turnovers(s, d):
     sides = years.select("f", "y", F.explode(F.array(F.lit(0), F.lit(1))).alias("side"))
     return _all(_part(years, name, 2, c, F.col("y").cast("string")), _part(sides, name, 3, c + F.col("side"), F.when(F.col("side") == 0, "Compra").otherwise("Venta")), _part(li, name, parent, 1, F.concat(F.lit("Mercado "), "st")), _part(li, name, parent + F.col("ln"), 1, F.concat(F.lit("Line "), "ln")), _part(li, name, parent + 10, 1, "Total"),
                 _part(_sum(li, "f", "st", "ln", "y", "side"), name, parent + F.col("ln"), c + F.col("side"), num=F.col("v")), _part(_sum(li, "f", "st", "y", "side"), name, parent + 10, c + F.col("side"), num=F.col("v")))
+
+
+def stocks(s, d):
+    """Quarters under years, each block closed by its year: levels whose year is its last quarter. One label of A is a naked digit,
+    one line of N has years of another amount, and in R the years stand a block too early."""
+    li = _lines(s, d)
+    name, c = F.concat(F.lit("SQ_"), "f"), 2 + (F.col("y") - 1990) * 5
+    roman = F.element_at(F.array(*(F.lit(x) for x in ("I", "II", "III", "IV"))), F.col("k"))
+    blocks = li.select("f", "y").distinct()
+    quarters = blocks.withColumn("k", F.explode(F.array(*map(F.lit, (1, 2, 3, 4)))))
+    level = _sum(li, "f", "ln", "y", "q")
+    return _all(
+        _part(blocks, name, 3, c, (F.col("y") + F.when(F.col("f") == "R", 1).otherwise(0)).cast("string")), _part(quarters, name, 4, c + F.col("k") - 1, F.when((F.col("f") == "A") & (F.col("y") == 1994) & (F.col("k") == 3), "3").otherwise(roman)),
+        _part(blocks, name, 4, c + 4, F.col("y").cast("string")), _part(li, name, 5 + F.col("ln"), 1, F.concat(F.lit("Line "), "ln")), _part(level, name, 5 + F.col("ln"), c + F.col("q") - 1, num=F.col("v")),
+        _part(level.filter("q = 4"), name, 5 + F.col("ln"), c + 4, num=F.col("v") + F.when((F.col("f") == "N") & (F.col("ln") % 2 == 1), 1).otherwise(0)),
+    )
+
+
+def dealings(s, d):
+    """Days down, with all that H05 tells apart. DE: months, operations beneath each June, a year's row after December, a column of the
+    last three months, a merged header over a thin column, a headed one with one number, and a number under nothing. DB: lines under a month."""
+    li = _lines(s, d).withColumn("k", (F.col("y") - 1990) * 12 + F.col("m"))
+    last = li.agg(F.min("k").alias("since"), F.max("k").alias("last"))
+    li = li.crossJoin(F.broadcast(last))
+    r, b = 10 + (F.col("k") - F.col("since")) * 4, 5 + (F.col("k") - F.col("since")) * 4
+    months, half = li.select("k", "since", "last", "me", "m", "y").distinct(), (F.col("ln") > 3).cast("int")
+    total = _sum(li, "k", "since", "last", "y", "m")
+    lines = li.filter("ln <= 4")
+    return _all(
+        _part(li, "DE", 5, 2, "Monto"), _part(li, "DE", 5, 3, "Partes"), _part(li, "DE", 6, 2, "Total"), _part(li, "DE", 6, 3, "F"), _part(li, "DE", 6, 4, "O"), _part(li, "DE", 5, 5, "Reciente"), _part(li, "DE", 5, 6, "Grupo"), _part(li, "DE", 6, 8, "Raro"),
+        _part(months, "DE", r, 1, day=F.col("me")), _part(total, "DE", r, 2, num=F.col("v")), _part(_sum(li, "k", "since", "st"), "DE", r, 3 + (F.col("st") == "O").cast("int"), num=F.col("v")),
+        _part(_sum(li.filter("m = 6").withColumn("h", half), "k", "since", "h"), "DE", r + 1 + F.col("h"), 2, num=F.col("v")), _part(li.filter("m = 12"), "DE", r + 3, 1, F.col("y").cast("string")), _part(_sum(li, "y").join(li.filter("m = 12").select("y", "k", "since").distinct(), "y"), "DE", r + 3, 2, num=F.col("v")),
+        _part(total.filter("k > last - 3"), "DE", r, 5, num=F.col("v") * 2), _part(total.filter("k = last - 20"), "DE", r, 6, num=F.col("v")), _part(total.filter("k = last - 30"), "DE", r, 7, num=F.col("v")), _part(total.filter("k = last - 40"), "DE", r, 8, num=F.col("v")), _part(total.filter("k = last - 50"), "DE", r, 10, num=F.col("v")),
+        _part(li, "DB", 3, 3, "Importe"), _part(months, "DB", b, 1, day=F.col("me")), _part(lines, "DB", b + F.col("ln") - 1, 2, F.concat(F.lit("Line "), "ln")), _part(_sum(lines, "k", "since", "ln"), "DB", b + F.col("ln") - 1, 3, num=F.col("v")),
+    )
+
+
+def dealing_merges(s: SparkSession) -> DataFrame:
+    """The merged header of DE: its group stands over the thin column too."""
+    return s.createDataFrame([("DE", 5, 108, 6, 7), ("DE", 5, 108, 3, 4)], "source_sheet string, row_from long, row_to long, column_from long, column_to long")
