@@ -75,6 +75,17 @@ def hidden(observations: DataFrame, hidden_spans: DataFrame) -> DataFrame:
     return inside.groupBy("source_sheet").agg(F.count("*").alias("hidden_observations"), F.countDistinct("source_row").alias("hidden_rows"))
 
 
+def behaviour_drift(before: DataFrame, after: DataFrame, states: tuple[str, ...] = ("formula_cells", "hidden_rows", "hidden_columns")) -> DataFrame:
+    """(source_sheet, state, before, after) where a sheet's behaviour changed between two vintages while its content did not.
+
+    Either vintage has (source_sheet, content, and a count for each state); content is a hash of the values, as version_ids gives it. A
+    sheet of one vintage only, or whose values changed, has no drift.
+    """
+    old = before.select("source_sheet", "content", *(F.col(c).alias(f"_{c}") for c in states))
+    each = F.explode(F.array(*(F.struct(F.lit(c).alias("state"), F.col(f"_{c}").cast("long").alias("before"), F.col(c).cast("long").alias("after")) for c in states))).alias("e")
+    return after.join(old, ["source_sheet", "content"]).select("source_sheet", each).select("source_sheet", "e.*").filter("not (before <=> after)")
+
+
 def missing(grid: DataFrame, observations: DataFrame, cells: DataFrame) -> DataFrame:
     """Why an expected period has no observation, from the cell that should hold it."""
     absent = grid.join(observations.select("series_id", "period").distinct(), ["series_id", "period"], "left_anti")

@@ -68,6 +68,11 @@ def in_range(rows: DataFrame, limits: DataFrame, by: str) -> DataFrame:
     return rows.join(F.broadcast(limits), by).groupBy(by).agg(F.count("*").alias("n_values"), F.count_if(~F.col("value").between(F.col("lowest"), F.col("highest"))).alias("n_outside"))
 
 
+def failed_sources(files: DataFrame) -> DataFrame:
+    """Vintages that were not read to the end, unresolved ones aside."""
+    return files.filter(~F.col("ingestion_status").isin("ingested", "unchanged", "unresolved"))
+
+
 def gate(checks: dict[str, DataFrame]) -> DataFrame:
     """One row for each named check with how many rows fail it; the gate is open where all are 0."""
     parts = [f.agg(F.count("*").alias("failing")).withColumn("check_name", F.lit(n)) for n, f in checks.items()]

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import periods as P
 from ..functions import text as T
 from .grid import OUT, year_axes
+from .publication import only_substring
 
 # How the source writes a fiscal year.
 FISCAL = r"^((?:19|20)[0-9]{2})[-/]((?:19|20)[0-9]{2})$"
@@ -167,16 +168,21 @@ def turnover(cells: DataFrame) -> DataFrame:
 
 
 def entity_panel(cells: DataFrame, entities: DataFrame) -> DataFrame:
-    """Entities across, dates and items down; an entity by its normalised name, null where the register lacks it."""
+    """Entities across, dates and items down; an entity by its normalised name, else by the one registered name that the
+    heading contains. match tells name, contained, ambiguous and unresolved apart."""
     texts = _text(cells)
     heads = texts.groupBy("source_sheet").agg(F.min("row_id").alias("header_row"))
     across = texts.join(heads, "source_sheet").filter("row_id = header_row").select("source_sheet", "column_id", "header_row", T.normalized(F.col("text")).alias("_name"), F.col("text").alias("entity"))
     known = entities.select(T.normalized(F.col("name")).alias("_name"), "entity_id")
-    named = across.join(known, "_name", "left").select("source_sheet", "column_id", "header_row", "entity", "entity_id")
+    exact = across.join(known, "_name", "left")
+    held = only_substring(exact.filter("entity_id is null"), "_name", known.select(F.col("_name").alias("_part")), "_part")
+    held = held.join(known.select(F.col("_name").alias("_part"), F.col("entity_id").alias("_id")), "_part", "left").select("_name", "n_hits", "_id")
+    match = F.when(F.col("entity_id").isNotNull(), "name").when(F.col("n_hits") == 1, "contained").when(F.col("n_hits") > 1, "ambiguous").otherwise("unresolved")
+    named = exact.join(held, "_name", "left").select("source_sheet", "column_id", "header_row", "entity", F.coalesce("entity_id", "_id").alias("entity_id"), match.alias("match"))
     item = texts.join(heads, "source_sheet").filter("row_id > header_row").groupBy("source_sheet", "row_id").agg(F.min_by("text", "column_id").alias("item"))
     marked = cells.groupBy("source_sheet", "row_id").agg(F.last_day(F.max("date")).alias("_d"))
     dated = marked.select("source_sheet", "row_id", F.last("_d", ignorenulls=True).over(_across("row_id")).alias("period"))
-    return _values(cells).join(named, ["source_sheet", "column_id"]).join(item, ["source_sheet", "row_id"]).join(dated, ["source_sheet", "row_id"]).filter("row_id > header_row").select("source_sheet", "item", "entity", "entity_id", "period", "value")
+    return _values(cells).join(named, ["source_sheet", "column_id"]).join(item, ["source_sheet", "row_id"]).join(dated, ["source_sheet", "row_id"]).filter("row_id > header_row").select("source_sheet", "item", "entity", "entity_id", "match", "period", "value")
 
 
 def row_events(cells: DataFrame) -> DataFrame:
@@ -195,15 +201,22 @@ def row_events(cells: DataFrame) -> DataFrame:
     return joined.select("source_sheet", "state", "day", "participant", "measure", "value", nth.cast("long").alias("ordinal"))
 
 
-def component_blocks(cells: DataFrame, tolerance: float = 0.01) -> DataFrame:
+def component_blocks(cells: DataFrame, tolerance: float = 0.01, gaps: bool = False) -> DataFrame:
     """Months under their year, a total and its components across; each month with whether the components make the total.
-    Months that hold no number, as at the end of a template, give no row."""
+
+    A template runs on past the published months: the months behind the last one with a number are its tail and give no row. A
+    month without numbers before that is a gap; with ``gaps`` it stays, with nulls.
+    """
     texts = _text(cells)
     label = texts.groupBy("source_sheet", "row_id").agg(F.min_by("text", "column_id").alias("t"), F.min("column_id").alias("axis"))
     judged = label.select("source_sheet", "row_id", T.year_label(F.col("t")).alias("_y"), T.month_number(T.normalized(F.col("t"))).alias("m"))
     dated = judged.withColumn("y", F.last("_y", ignorenulls=True).over(_across("row_id"))).filter("_y is null and m is not null and y is not null").select("source_sheet", "row_id", P.month_end(F.col("y"), F.col("m")).alias("period"))
     total = texts.filter(T.normalized(F.col("text")) == "total").groupBy("source_sheet").agg(F.min_by("column_id", "row_id").alias("total_column"))
-    parts = _values(cells).join(dated, ["source_sheet", "row_id"]).join(total, "source_sheet")
+    # Of the months from the end backwards those before the first with a number: E10's trailing suffix.
+    filled = dated.join(_values(cells).select("source_sheet", "row_id", F.lit(True).alias("_held")).distinct(), ["source_sheet", "row_id"], "left")
+    back = Window.partitionBy("source_sheet").orderBy(F.desc("row_id")).rowsBetween(Window.unboundedPreceding, 0)
+    dated = filled.withColumn("_in", F.bool_or(F.coalesce("_held", F.lit(False))).over(back)).filter("_in").select("source_sheet", "row_id", "period")
+    parts = dated.join(total, "source_sheet").join(_values(cells), ["source_sheet", "row_id"], "left" if gaps else "inner")
     amount = F.col("value").cast("decimal(38,6)")
     summed = parts.groupBy("source_sheet", "period").agg(F.sum(F.when(F.col("column_id") == F.col("total_column"), amount)).alias("t"), F.sum(F.when(F.col("column_id") > F.col("total_column"), amount)).alias("c"))
     return summed.select("source_sheet", "period", F.col("t").cast("double").alias("total"), F.col("c").cast("double").alias("components"), (F.abs(F.col("t") - F.col("c")) <= tolerance).alias("holds"))

@@ -36,11 +36,24 @@ def comparability(members: DataFrame) -> DataFrame:
     return counted.withColumn("problem", F.when(F.col("n_units") > 1, "mixed_units").when(F.col("n_members") == 1, "vacuous"))
 
 
-def only_substring(texts: DataFrame, text: str, codes: DataFrame, code: str) -> DataFrame:
-    """The one code that a distinct text contains; several or none leave it open. Codes are a register: broadcast."""
+def only_substring(texts: DataFrame, text: str, codes: DataFrame, code: str, gram: int = 4) -> DataFrame:
+    """The one code that a distinct text contains; several or none leave it open. An empty code is contained in nothing.
+
+    Codes meet texts by their rarest stretch of ``gram`` characters (whole codes, where they are shorter), so a text is
+    compared with the codes that share such a stretch, not with all of them.
+    """
     own = texts.select(text).distinct()
-    hits = own.join(F.broadcast(codes.select(code).distinct()), F.col(text).contains(F.col(code)), "left")
-    return hits.groupBy(text).agg(F.count(code).alias("n_hits"), F.when(F.count(code) == 1, F.max(code)).alias(code))
+    asked = codes.select(F.col(code).alias("_code")).filter("_code <> ''").distinct()
+    size = F.least(F.char_length("_code"), F.lit(gram))
+    stretches = lambda c, n: F.array_distinct(F.transform(F.sequence(F.lit(1), F.char_length(c) - n + 1), lambda i: F.substring(c, i, n)))
+    each = asked.select("_code", size.alias("_n"), F.explode(stretches(F.col("_code"), size)).alias("_g"))
+    common = each.groupBy("_g").agg(F.count("*").alias("_c"))
+    key = each.join(common, "_g").groupBy("_code", "_n").agg(F.min_by("_g", F.struct("_c", "_g")).alias("_g"))
+    sizes = F.array(*(F.lit(n) for n in range(1, gram + 1)))
+    lengths = own.filter(F.col(text).isNotNull()).select(text, F.explode(sizes).alias("_n")).filter(F.char_length(text) >= F.col("_n"))
+    grams = lengths.join(F.broadcast(key.select("_n").distinct()), "_n", "left_semi").select(text, F.explode(stretches(F.col(text), F.col("_n"))).alias("_g"))
+    hits = grams.join(key, "_g").filter(F.col(text).contains(F.col("_code"))).groupBy(text).agg(F.count("*").alias("n_hits"), F.max("_code").alias("_one"))
+    return own.join(hits, text, "left").select(text, F.coalesce("n_hits", F.lit(0).cast("long")).alias("n_hits"), F.when(F.col("n_hits") == 1, F.col("_one")).alias(code))
 
 
 def store_difference(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
@@ -51,10 +64,13 @@ def store_difference(old: DataFrame, new: DataFrame, key: list[str]) -> DataFram
     return both.select(*key, "old", "new", kind.alias("kind")).filter("kind is not null")
 
 
-def active_release(decisions: DataFrame) -> DataFrame:
-    """The last accepted decision, and whether there is just one active release."""
-    accepted = decisions.filter("decision = 'accepted'")
-    return accepted.agg(F.max_by("release_id", "decided_at").alias("active"), F.count("*").alias("n_accepted"))
+def active_release(decisions: DataFrame, linked: DataFrame | None = None) -> DataFrame:
+    """The last accepted decision (of one day the greatest id), how many are accepted, and how many vintages are linked to the active one."""
+    accepted = decisions.filter("decision = 'accepted'").agg(F.max_by("release_id", F.struct("decided_at", "release_id")).alias("active"), F.count("*").alias("n_accepted"))
+    if linked is None:
+        return accepted
+    counted = linked.groupBy("release_id").agg(F.count_distinct("vintage_id").alias("n_vintages"))
+    return accepted.join(counted, F.col("active") == F.col("release_id"), "left").select("active", "n_accepted", F.coalesce("n_vintages", F.lit(0).cast("long")).alias("n_vintages"))
 
 
 def incomplete(rows: DataFrame, fields: list[str], key: str) -> DataFrame:

@@ -85,6 +85,22 @@ def documented(rows: DataFrame) -> DataFrame:
     )
 
 
+def documented_source(rows: DataFrame, ranges: DataFrame, unknown_share: float = 0.15) -> DataFrame:
+    """N07, the rest: (source_id, check_name, failing, of) for each source of documented observations.
+
+    positional_ids: series whose identity rests on a place; unknown_units: series without a unit, where they are more than
+    ``unknown_share`` of all (else 0); outside_range: observations of a survey beyond its bounds, ranges being (source_id, low, high); a
+    source without bounds has none.
+    """
+    series = rows.groupBy("source_id", "series_id").agg(F.max("stability").alias("stability"), F.count("unit").alias("units"))
+    of_series = series.groupBy("source_id").agg(F.count("*").alias("n"), F.count_if(F.col("stability") == "positional").alias("positional"), F.count_if(F.col("units") == 0).alias("unknown"))
+    bounded = rows.join(F.broadcast(ranges), "source_id", "left").groupBy("source_id").agg(F.count("*").alias("rows"), F.count_if(~F.col("value").between(F.col("low"), F.col("high"))).alias("outside"))
+    unknown = F.when(F.col("unknown") > unknown_share * F.col("n"), F.col("unknown")).otherwise(0)
+    checks = [("positional_ids", F.col("positional"), F.col("n")), ("unknown_units", unknown, F.col("n")), ("outside_range", F.col("outside"), F.col("rows"))]
+    each = F.explode(F.array(*(F.struct(F.lit(n).alias("check_name"), f.cast("long").alias("failing"), of.cast("long").alias("of")) for n, f, of in checks))).alias("e")
+    return of_series.join(bounded, "source_id").select("source_id", each).select("source_id", "e.*")
+
+
 def archive_problems(found: DataFrame, recorded: DataFrame) -> DataFrame:
     """Recorded files (file_name, sha256) that are gone or hold other bytes, and files that no record names."""
     both = recorded.select("file_name", F.col("sha256").alias("_r")).join(found.select("file_name", F.col("sha256").alias("_f")), "file_name", "full_outer")

@@ -11,6 +11,7 @@ from ..functions.text import first_match, normalized, only_match
 UNITS = [(r"porcentaje|percent|%|tasa", "percent"), (r"indice|index", "index"), (r"usd|dolares|dollar", "usd"), (r"guaranies|pyg", "pyg")]
 SCALES = [(r"miles de millones|billion", 1e9), (r"millones|million", 1e6), (r"miles|thousand", 1e3)]
 STOCK_FLOW = [(r"saldo|stock|posicion", "stock"), (r"flujo|flow|variacion", "flow")]
+TRANSFORMATIONS = [(r"variacion interanual|year.on.year", "year_on_year"), (r"variacion mensual|month.on.month", "month_on_month"), (r"acumulad|year.to.date", "cumulative"), (r"promedio movil|moving average", "moving_average"), (r"en niveles|in levels", "level")]
 ADJUSTMENT = [(r"desestacionaliz|seasonally adjusted", "adjusted"), (r"serie original|not adjusted", "original")]
 
 
@@ -79,6 +80,11 @@ def measurement(series: DataFrame, found: DataFrame, key: str, fields: list[str]
     return series.select(key).distinct().join(one, key, "left").select(key, *shown)
 
 
+def transformation(text: Column) -> Column:
+    """How the published figure was made from the level, where just one wording says so."""
+    return only_match(text, TRANSFORMATIONS)
+
+
 def base_year(text: Column) -> Column:
     """The base year of 'base 1994', 'base = 1994' or 'ano base 1994'."""
     return F.regexp_extract(text, r"base\s*=?\s*((?:19|20)[0-9]{2})", 1).try_cast("int")

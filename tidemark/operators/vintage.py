@@ -77,13 +77,15 @@ def projections(statement: DataFrame) -> DataFrame:
 
 
 def as_of(events: DataFrame, ever_accepted: DataFrame, day, statement: bool = False) -> DataFrame:
-    """What was known on a day, over every vintage that was ever accepted; available_at decides, before ranking."""
+    """What was known on a day, over every vintage that was ever accepted; available_at decides, and what was a
+    projection when it was published is left out, both before ranking (statement: projections stay)."""
+    after = F.col("publication_date").isNotNull() & (F.col("period") > F.col("publication_date"))
     rows = events.join(F.broadcast(ever_accepted.select("vintage_id", "available_at")), "vintage_id").filter(F.col("available_at") <= F.lit(day).cast("date"))
+    rows = rows.withColumn("observation_status", F.when(after, "after_publication").otherwise("observed"))
+    rows = rows if statement else rows.filter("observation_status = 'observed'")
     order = [F.col("available_at").desc(), *newest_first()]
     ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*KEY).orderBy(*order))).filter((F.col("_rank") == 1) & ~F.col("is_deleted"))
-    after = F.col("publication_date").isNotNull() & (F.col("period") > F.col("publication_date"))
-    out = ranked.select(*KEY, "value", "vintage_id", "available_at", F.when(after, "after_publication").otherwise("observed").alias("observation_status"))
-    return out if statement else out.filter("observation_status = 'observed'")
+    return ranked.select(*KEY, "value", "vintage_id", "available_at", "observation_status")
 
 
 def catalogue(rows: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ _AN = f"an AS (SELECT 'AN_'||st AS source_sheet, f AS series, me AS period, {_V}
 def h18(s, d):
     cells = saved(S.houses(s, d), "sheets")
     entities = D.table(s, d, "nation").filter("n_nationkey <> 3").select(F.col("n_name").alias("name"), F.col("n_nationkey").cast("long").alias("entity_id"))
-    return L.entity_panel(cells, entities)
+    return L.entity_panel(cells, entities).select("source_sheet", "item", "entity", "entity_id", "period", "value")
 
 
 def h21(s, d):

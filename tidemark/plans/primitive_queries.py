@@ -149,7 +149,7 @@ _Q = {
     "A02_files_in_force": (a02, f"WITH {_FILES}, r AS (SELECT o_custkey AS source_id, sha256(CAST(min(o_orderkey) AS VARCHAR)) AS rec FROM orders WHERE o_custkey % 2 = 0 GROUP BY 1), j AS (SELECT fl.*, coalesce(rec = sha256, FALSE) AS hit FROM fl LEFT JOIN r USING (source_id)), k AS (SELECT *, rank() OVER (PARTITION BY source_id ORDER BY hit DESC, t DESC) AS k1 FROM j), tp AS (SELECT source_id, count(DISTINCT sha256) AS c, min(path) AS path FROM k WHERE k1 = 1 GROUP BY 1) SELECT source_id, CASE WHEN c = 1 THEN path END AS path, CASE WHEN c = 1 THEN 'chosen' ELSE 'tied' END AS state FROM tp"),
     "A03_replay_order": (a03, f"WITH {_FILES} SELECT source_id, sha256, path, CASE WHEN o_orderstatus <> 'P' THEN last_day(t) END AS publication_date FROM fl JOIN orders ON o_orderkey = k"),
     "A04_bundle_id": (lambda s, d: files.bundle_id(D.table(s, d, "nation").select(F.col("n_name").alias("source_id"), F.sha2("n_name", 256).alias("sha256"))), "SELECT sha256(string_agg(n_name || ':' || sha256(n_name), '|' ORDER BY n_name || ':' || sha256(n_name))) AS bundle_id, count(*) AS n_files FROM nation"),
-    "A06_extent": (lambda s, d: files.extent(D.trades(s, d)), "SELECT count(*) AS n_rows, 8 AS n_columns FROM lineitem"),
+    "A06_extent": (lambda s, d: files.extent(D.trades(s, d)), f"WITH {D.F3.strip()}, c AS (SELECT DISTINCT len(json_keys(to_json(r))) AS n_columns FROM (SELECT r FROM raw AS r LIMIT 1)) SELECT (SELECT count(*) FROM raw) AS n_rows, CAST((SELECT n_columns FROM c) AS INTEGER) AS n_columns"),
     "C01_inner": (lambda s, d: LINES(s, d).join(ORDERS(s, d), F.col("l_orderkey") == F.col("o_orderkey")).groupBy("o_orderpriority").agg(F.count("*").alias("n"), F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("quantity")), "SELECT o_orderpriority, count(*) AS n, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity FROM lineitem JOIN orders ON l_orderkey=o_orderkey GROUP BY 1"),
     "C05_semi": (lambda s, d: CUSTOMERS(s, d).join(ORDERS(s, d).filter("o_orderstatus = 'F'"), F.col("o_custkey") == F.col("c_custkey"), "left_semi").select("c_custkey", "c_nationkey"), "SELECT c_custkey, c_nationkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey=c_custkey AND o_orderstatus='F')"),
     "C06_not_exists": (lambda s, d: Q.orphans(PARTS(s, d).select("p_partkey"), LINES(s, d).filter("l_quantity > 45").select(F.col("l_partkey").alias("p_partkey")), "p_partkey"), "SELECT p_partkey FROM part WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey=p_partkey AND l_quantity>45)"),

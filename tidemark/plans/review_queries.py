@@ -137,7 +137,7 @@ def l12(s, d):
 
 
 def l14(s, d):
-    """Sheets where more than a tenth of the observations come from hidden rows 40 to 44."""
+    """Sheets where more than a twentieth of the observations come from hidden rows 40 to 44."""
     obs = _grid(s, d)[1]
     spans = _sheet_reviews(s, d).select("source_sheet", F.lit(40).alias("lo"), F.lit(44).alias("hi"))
     total = obs.groupBy("source_sheet").agg(F.count("*").alias("n"))
@@ -404,7 +404,6 @@ _Q = {
     "N07_documented_source": (n07, _N07),
     "N18_missing_reasons": (n18, f"WITH {F2}, {_LOCATED}, u AS (SELECT reason, count(*) AS n FROM lc GROUP BY 1) SELECT coalesce(u.reason, x.reason) AS reason, coalesce(n,0) AS n, CASE WHEN n IS NULL THEN 'unused' ELSE 'undeclared' END AS problem FROM u FULL JOIN (VALUES ('not_meaningful'),('blank_cell'),('series_ended')) AS x(reason) ON u.reason=x.reason WHERE n IS NULL OR x.reason IS NULL"),
     "N19_active_release": (n19, f"WITH {_DEC} SELECT arg_max(release_id, decided_at) AS active, count(*) AS n_accepted FROM dec WHERE decision='accepted'"),
-    "N23_review_register": (lambda s, d: G.contradictions(S.derived(labels(s, d)), s.createDataFrame([("stock", "pyg"), ("flow", "usd")], "stock_flow string, unit string")), f"WITH {_L}, v AS (SELECT {_DERIVED} FROM n) SELECT stock_flow, unit, count(*) AS n_series FROM v WHERE NOT coalesce((stock_flow='stock' AND unit='pyg') OR (stock_flow='flow' AND unit='usd'), FALSE) GROUP BY 1,2"),
     "N25_provenance_gaps": (lambda s, d: B.incomplete(ORDERS(s, d).select("o_orderkey", F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate")).alias("publication_date"), F.nullif("o_orderpriority", F.lit("4-NOT SPECIFIED")).alias("authority")), ["publication_date", "authority"], "o_orderkey"), "SELECT o_orderkey, 'publication_date' AS field FROM orders WHERE o_orderstatus='P' UNION ALL SELECT o_orderkey, 'authority' FROM orders WHERE o_orderpriority='4-NOT SPECIFIED'"),
     "N29_open_regions": (lambda s, d: G.region_completeness(D.grid(s, d), _regions(s)).filter("n_numbers_outside * 4 > n_cells"), f"WITH {F2}, {_OUT}, c AS (SELECT source_sheet, count(*) AS n_cells FROM cells GROUP BY 1), o AS (SELECT source_sheet, count(*) AS n_outside, count(num) AS n_numbers_outside FROM out GROUP BY 1) SELECT * FROM c JOIN o USING (source_sheet) WHERE n_numbers_outside*4>n_cells"),
     "N31_store_checks": (n31, f"WITH {F1}, {_SS} SELECT 'days_out_of_span' AS check_name, count(*) AS failing FROM orders WHERE CAST(o_orderdate AS DATE) NOT BETWEEN DATE '1990-01-01' AND DATE '2000-06-30' UNION ALL SELECT 'series_without_concept', count(DISTINCT series_id) FROM realised WHERE series_id LIKE '%:P' UNION ALL SELECT 'sheets_unreviewed', count(*) FROM ss WHERE source_sheet='AF' UNION ALL SELECT 'undeclared_status', count(*) FROM orders WHERE o_orderstatus NOT IN ('F','O')"),

@@ -6,11 +6,24 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def manifest(spark: SparkSession, registry: DataFrame, pattern: str) -> DataFrame:
-    """Registered files (source_id, file_name) found under a path, with content hash, vintage and time."""
+#: Bytes of the largest file whose content is read into a row to be hashed.
+LARGEST = 256 << 20
+
+
+def manifest(spark: SparkSession, registry: DataFrame, pattern: str, name: str = r"([^/]+)$", largest: int = LARGEST) -> DataFrame:
+    """Registered files (source_id, file_name) found under a path, with content hash, vintage and time.
+
+    ``name`` extracts from a path what the registry calls a file. Files of more than ``largest`` bytes are listed without a hash and
+    without their content being read; state tells, and it is so for registered files that aren't there.
+    """
     found = spark.read.format("binaryFile").load(pattern)
-    hashed = found.select("path", "modificationTime", "length", F.sha2("content", 256).alias("sha256"), F.element_at(F.split("path", "/"), -1).alias("file_name"))
-    return hashed.join(F.broadcast(registry), "file_name").withColumn("vintage_id", F.concat_ws(":", "source_id", F.substring("sha256", 1, 24)))
+    about = [F.col(c) for c in ("path", "modificationTime", "length")]
+    small = found.filter(F.col("length") <= largest).select(*about, F.sha2("content", 256).alias("sha256"))
+    large = found.filter(F.col("length") > largest).select(*about, F.lit(None).cast("string").alias("sha256"))
+    named = small.unionByName(large).withColumn("file_name", F.regexp_extract("path", name, 1))
+    both = named.join(F.broadcast(registry), "file_name", "right")
+    state = F.when(F.col("path").isNull(), "missing").when(F.col("sha256").isNull(), "too large").otherwise("found")
+    return both.withColumn("state", state).withColumn("vintage_id", F.when(F.col("sha256").isNotNull(), F.concat_ws(":", "source_id", F.substring("sha256", 1, 24))))
 
 
 def in_force(files: DataFrame, recorded: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -30,6 +43,12 @@ def replay_order(archive: DataFrame) -> DataFrame:
     return once.orderBy(F.col("publication_date").asc_nulls_last(), "modificationTime", "source_id")
 
 
+def replay_places(archive: DataFrame) -> DataFrame:
+    """The place of each content in its source's replay, from 1."""
+    once = archive.withColumn("_k", F.row_number().over(Window.partitionBy("source_id", "sha256").orderBy("modificationTime", "path"))).filter("_k = 1").drop("_k")
+    return once.withColumn("place", F.row_number().over(Window.partitionBy("source_id").orderBy(F.col("publication_date").asc_nulls_last(), "modificationTime", "sha256")))
+
+
 def bundle_id(files: DataFrame) -> DataFrame:
     """One hash of the sorted source:hash keys; a registry's worth of rows."""
     key = F.concat_ws(":", "source_id", "sha256")
