@@ -214,6 +214,20 @@ def test_search(spark, size):
     assert all(abs(scores.get(w[:1] + w[2:3], w[3]) - w[3]) < 1e-9 for w in wanted)
 
 
+def test_search_of_named_vectors(spark):
+    """Ids are text, copies are more than are asked for, and queries go in rounds."""
+    rng = np.random.default_rng(5)
+    rows = [(f"n{i:03d}", [float(x) for x in rng.normal(size=6)]) for i in range(90)]
+    rows += [(f"c{i:03d}", rows[0][1]) for i in range(40)]
+    table = spark.createDataFrame(rows, "name string, v array<double>").repartition(5)
+    got = sorted(map(tuple, search(table, table, top=4, rerank=200, round_bytes=6 * 8 * 50, id_col="name", vector_col="v").select("query_id", "rank", "name").collect()))
+    x, wanted = dict(rows), []
+    for q in x:
+        d = {n: sum((a - b) ** 2 for a, b in zip(x[q], x[n])) for n in x if n != q}
+        wanted += [(q, i + 1, n) for i, n in enumerate(sorted(d, key=lambda n: (d[n], n))[:4])]
+    assert got == sorted(wanted)
+
+
 def test_search_of_nothing(spark):
     table = spark.createDataFrame([(1, None)], "vec_id long, embedding array<float>")
     assert search(table, table).count() == 0

@@ -34,7 +34,10 @@ def likeness(a: str, b: str) -> float:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fingerprint) for every row; a null text is the empty text; null and repeated ids keep their rows."""
+    """(id, fingerprint) for every row; a null text is the empty text; null and repeated ids keep their rows.
+
+    An empty table gives no rows; other columns are ignored, whatever their names. Texts are digested whole. No shuffle.
+    """
 
     def digest(batches):
         for batch in small_batches(batches):
@@ -145,6 +148,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprints and class; nulls, repeats, empty texts and tables as edited_fingerprints() and same_text() say."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = saved(edited_fingerprints(docs), "fingerprints")
     return rows.join(same_text(docs, rows), ["doc_id", "fingerprint"], "left")

@@ -8,6 +8,7 @@ table entries of the query against codewords to the stored norm of the approxima
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -91,27 +92,39 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.filter("id is not null and v is not null").filter(finite & F.exists("v", lambda x: x != 0))
 
 
-def search(vectors: DataFrame, queries: DataFrame, top: int = 10, rerank: int = 800, sample: int = 8192, block: int = 65536, query_block: int = 256, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+#: Bytes of the query vectors of one round, rows that a task scores at once and queries that it scores them for.
+ROUND_BYTES, BLOCK, CHUNK = 32 << 20, 4096, 64
+
+
+def search(vectors: DataFrame, queries: DataFrame, top: int = 10, rerank: int = 800, sample: int = 8192, block: int = BLOCK, round_bytes: int = ROUND_BYTES, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, id, score): for each row of queries its ``top`` nearest others in vectors by Euclidean distance.
 
-    Codebooks are learned on at most ``sample`` rows, the first by a hash of the id; every row is encoded and every row is
-    scored for every query. A block of codes gives a query its ``rerank`` best by table sums (ties to the smaller id, so
-    copies of one vector come in id order), the best of all blocks are scored exactly, in double precision, on the
-    original vectors. Vectors that are null, zero or not finite, and null ids, take no part; a row never meets a query of its own
-    id; repeated rows of an id count once; fewer candidates than top give fewer rows; only vectors of the most
-    frequent length (of equally frequent ones the greatest) take part; an empty table gives no rows. With ``rerank`` at
-    least the number of rows every candidate is scored exactly and the result is exact. Magnitudes over 1e15 are searched
-    as 1e15 and scored as they are.
+    Codebooks are learned on at most ``sample`` rows, the first by a hash of their place; every row is encoded and every row is
+    scored for every query, where its codes lie: queries go to the tasks in rounds of at most ``round_bytes`` of vectors. A first scan
+    finds for each query a table score that at least ``rerank`` rows reach, from scores at the ranks 1, 2, 4 and so on of each
+    task, and so at most about twice as many; a second scan picks them, and they are scored exactly, in double precision,
+    on the original vectors. With ``rerank`` at least the number of rows the result is exact.
+
+    Ids are of any type that Spark sorts; ties go to the smaller id. Vectors that are null, zero or not finite, and null ids, take
+    no part; a row never meets a query of its own id; repeated rows of an id count once, by the smallest vector; fewer candidates
+    than top give fewer rows; only vectors of the most frequent length (of equally frequent ones the greatest) take part; an
+    empty table gives no rows; other columns are ignored, whatever their names. Copies of one vector beyond the top + 1 smallest ids can't be among any query's best and are
+    not scored. Magnitudes over 1e15 are searched as 1e15 and scored as they are.
     """
     spark = vectors.sparkSession
+    kind = vectors.schema[id_col].dataType.simpleString()
     rows = saved(usable(vectors, id_col, vector_col).groupBy("id").agg(F.min("v").alias("v")), "vectors")
-    kind = rows.schema["id"].dataType.simpleString()
     length = rows.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("dim")).first()
+    empty = spark.createDataFrame([], f"query_id {kind}, rank int, {id_col} {kind}, score double")
     if length is None:
-        return spark.createDataFrame([], f"query_id {kind}, rank int, {id_col} {kind}, score double")
-    rows = rows.filter(F.size("v") == length["dim"])
-    taken = rows.orderBy(F.xxhash64("id"), "id").limit(sample).collect()
+        return empty
+    # Numbers in the order of ids stand for them: the partitions are ranges of ids.
+    ordered = rows.filter(F.size("v") == length["dim"]).repartitionByRange("id").sortWithinPartitions("id")
+    rows = saved(ordered.select(F.monotonically_increasing_id().alias("row"), "id", "v"), "numbered")
+    taken = rows.orderBy(F.xxhash64("row"), "row").limit(sample).collect()
     books = spark.sparkContext.broadcast(learn(narrowed([r["v"] for r in taken])))
+    copy = F.row_number().over(Window.partitionBy("v").orderBy("row"))
+    distinct = rows.select("row", "v", copy.alias("copy")).filter(F.col("copy") <= top + 1).select("row", "v")
 
     def quantise(batches):
         for batch in batches:
@@ -119,67 +132,72 @@ def search(vectors: DataFrame, queries: DataFrame, top: int = 10, rerank: int =
                 part = batch.slice(at, 512)
                 codes = encode(narrowed(part.column("v").to_pylist()), books.value)
                 norms = (decode(codes, books.value).astype(np.float64) ** 2).sum(1).astype(np.float32)
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(norms)], names=["id", "code", "norm"])
+                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(norms)], names=["row", "code", "norm"])
+
+    codes = saved(distinct.mapInArrow(quantise, "row long, code binary, norm float"), "codes")
+    asked = saved(queries.select(F.col(id_col).alias("id")).distinct().join(rows, "id").select("row", "id", "v"), "queries")
+    n_round, last, out = max(1, round_bytes // max(8 * length["dim"], 4 * rerank)), -1, []  # a task holds rerank scores a query
+    while taken := asked.filter(F.col("row") > last).orderBy("row").limit(n_round).select("row", "v").collect():
+        last = taken[-1]["row"]
+        held = spark.sparkContext.broadcast((np.array([r["row"] for r in taken], np.int64), narrowed([r["v"] for r in taken])))
+        out.append(saved(_picked(codes, held, books, rerank, block), "picked"))
+    if not out:
+        return empty
+    found = reduce(DataFrame.unionByName, out)
+    exact = found.join(rows.select("row", "id", "v"), "row").join(asked.select(F.col("row").alias("q"), F.col("id").alias("query_id"), F.col("v").alias("w")), "q")
+    distance = F.sqrt(F.aggregate(F.zip_with("v", "w", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, b: a + b))
+    ranked = exact.select("query_id", "id", "row", distance.alias("score")).withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "row")))
+    return ranked.filter(F.col("rank") <= top).select("query_id", "rank", F.col("id").alias(id_col), "score")
 
-    codes = saved(rows.mapInArrow(quantise, f"id {kind}, code binary, norm float"), "codes")
-    blocks = max(1, -(-codes.count() // block))
 
-    # Blocks of codes of even size: ids, codes and stored norms, a few bytes a row. What a block holds changes no result.
-    def gather(batches):
-        ids, codes, norms, n = [], [], [], 0
-        for batch in batches:
-            for at in range(0, batch.num_rows, 4096):
-                part = batch.slice(at, 4096)
-                ids.append(part.column("id").to_numpy(zero_copy_only=False).astype(np.int64))
-                codes += part.column("code").to_pylist()
-                norms.append(part.column("norm").to_numpy(zero_copy_only=False))
-                n += part.num_rows
-                if n >= block:
-                    yield pa.RecordBatch.from_pydict({"ids": [np.concatenate(ids).tobytes()], "codes": [b"".join(codes)], "norms": [np.concatenate(norms).tobytes()]})
-                    ids, codes, norms, n = [], [], [], 0
-        if n:
-            yield pa.RecordBatch.from_pydict({"ids": [np.concatenate(ids).tobytes()], "codes": [b"".join(codes)], "norms": [np.concatenate(norms).tobytes()]})
-
-    coded = codes.repartition(blocks).mapInArrow(gather, "ids binary, codes binary, norms binary")
-    asked = queries.select(F.col(id_col).alias("query_id")).distinct().join(rows.withColumnRenamed("id", "query_id"), "query_id")
-    # Queries in blocks by a hash; each block of codes is copied to each block of queries, which is what has to meet.
-    query_blocks = max(1, -(-asked.count() // query_block))
-    asked = saved(asked.withColumn("q", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int")), "queries")
-    packed = asked.groupBy("q").agg(F.collect_list(F.struct("query_id", "v")).alias("queries"))
-    pairs = coded.withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))).join(packed, "q").repartition(F.col("q"), F.xxhash64("ids"))
-
-    def tables(batches):
+def _picked(codes: DataFrame, held, books, rerank: int, block: int) -> DataFrame:
+    """(q, row) for one round of queries: two scans of the codes."""
+    spark = codes.sparkSession
+    steps = [2**i for i in range(64) if 2**i < rerank] + [rerank]  # ranks whose scores a task tells
+
+    def scored(batches):
+        """Blocks of rows, each with chunks of queries and the table scores of the two."""
+        asked, vectors = held.value
+        words = books.value.words
         for batch in batches:
-            for ids, codes, norms, asked in zip(*(batch.column(c).to_pylist() for c in ("ids", "codes", "norms", "queries"))):
-                ids, norms = np.frombuffer(ids, np.int64), np.frombuffer(norms, np.float32)
-                codes = np.frombuffer(codes, np.uint8).reshape(len(ids), -1)
-                order = np.argsort(ids, kind="stable")
-                ids, norms, codes = ids[order], norms[order], codes[order]
-                out = []
-                for query in asked:
-                    table = books.value.words @ narrowed(query["v"])
-                    score = norms - 2 * sum(table[j][codes[:, j]] for j in range(codes.shape[1]))
-                    score[ids == query["query_id"]] = np.inf
-                    best = np.arange(len(ids))
-                    if len(ids) > rerank:
-                        # Ties at the edge go to smaller ids: those below it, then the first at it.
-                        edge = np.partition(score, rerank - 1)[rerank - 1]
-                        below, at = np.flatnonzero(score < edge), np.flatnonzero(score == edge)
-                        best = np.concatenate([below, at[: rerank - len(below)]])
-                    best = best[np.isfinite(score[best])]
-                    out.append((np.full(len(best), query["query_id"]), ids[best], score[best]))
-                if out:
-                    q, i, s = (np.concatenate(x) for x in zip(*out))
-                    yield pa.RecordBatch.from_arrays([pa.array(q).cast(pa.int64()), pa.array(i), pa.array(s.astype(np.float64))], names=["query_id", "id", "near"])
-
-    found = pairs.select("ids", "codes", "norms", "queries").mapInArrow(tables, "query_id long, id long, near double")
-    best = found.withColumn("r", F.row_number().over(Window.partitionBy("query_id").orderBy("near", "id"))).filter(F.col("r") <= rerank)
-    exact = best.select("query_id", "id").join(rows, "id").join(asked.select("query_id", F.col("v").alias("w")), "query_id")
-    distance = F.sqrt(F.aggregate(F.zip_with("v", "w", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, b: a + b))
-    ranked = exact.select("query_id", "id", distance.alias("score")).withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "id")))
-    return ranked.filter(F.col("rank") <= top).select(F.col("query_id").cast(kind).alias("query_id"), "rank", F.col("id").cast(kind).alias(id_col), "score")
+            for at in range(0, batch.num_rows, block):
+                part = batch.slice(at, block)
+                rows, norms = part.column("row").to_numpy(zero_copy_only=False), part.column("norm").to_numpy(zero_copy_only=False)
+                code = np.frombuffer(b"".join(part.column("code").to_pylist()), np.uint8).reshape(len(rows), -1)
+                for first in range(0, len(asked), CHUNK):
+                    tables = np.einsum("mkd,qd->mqk", words, vectors[first : first + CHUNK], optimize=True)
+                    score = norms - 2 * sum(tables[j][:, code[:, j]] for j in range(code.shape[1]))
+                    score[asked[first : first + CHUNK, None] == rows[None, :]] = np.inf  # a query doesn't find itself
+                    yield rows, first, score
+
+    def floors(batches):
+        asked = held.value[0]
+        best = np.full((len(asked), rerank), np.inf, np.float32)
+        for _, first, score in scored(batches):
+            both = np.concatenate([best[first : first + CHUNK], score], axis=1)
+            best[first : first + CHUNK] = np.partition(both, rerank - 1, axis=1)[:, :rerank]
+        best.sort(axis=1)
+        q, rank = np.repeat(asked, len(steps)), np.tile(steps, len(asked))
+        score = best[:, np.array(steps) - 1].ravel().astype(np.float64)
+        weight = np.tile(np.diff([0, *steps]), len(asked))
+        yield pa.RecordBatch.from_pydict({"q": q[score < np.inf], "bound": score[score < np.inf], "weight": pa.array(weight[score < np.inf], pa.int64())})
+
+    told = codes.mapInArrow(floors, "q long, bound double, weight long")
+    reached = F.sum("weight").over(Window.partitionBy("q").orderBy("bound"))
+    enough = told.withColumn("reached", reached).filter(F.col("reached") >= rerank).groupBy("q").agg(F.min("bound").alias("bound"))
+    least = {r["q"]: r["bound"] for r in enough.collect()}  # one for each query of the round
+    known = spark.sparkContext.broadcast(np.array([least.get(int(q), np.inf) for q in held.value[0]]))
+
+    def pick(batches):
+        asked, bound = held.value[0], known.value
+        for rows, first, score in scored(batches):
+            q, j = np.nonzero((score <= bound[first : first + CHUNK, None]) & np.isfinite(score))
+            yield pa.RecordBatch.from_arrays([pa.array(asked[first + q], pa.int64()), pa.array(rows[j], pa.int64())], names=["q", "row"])
+
+    return codes.mapInArrow(pick, "q long, row long")
 
 
 def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest others of every hundredth vector; nulls, zeros, repeats and ties as search() says."""
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     return search(vectors, vectors.filter(F.col("vec_id") % 100 == 0))

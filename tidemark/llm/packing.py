@@ -22,7 +22,11 @@ OUT = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id lon
 
 
 def encoded(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, ids): each text's ids and end_id as little-endian bytes."""
+    """(id, ids): each text's ids and end_id as little-endian bytes.
+
+    A null text is the empty one and has end_id alone; null and repeated ids keep their rows; an empty table gives none; other
+    columns are ignored. A text is encoded whole.
+    """
 
     def encode(batches):
         coder = ChunkEncoder.of(tokenizer_path)
@@ -250,6 +254,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = 2048,
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in pieces of sequences of at most 2048 tokens; nulls, repeats, empty texts and tables as pack() says."""
     import public_tokenizers
 
     return pack(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)

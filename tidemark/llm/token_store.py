@@ -221,7 +221,8 @@ def read(spark: SparkSession, path: str, found: DataFrame, window: int = 1 << 21
     """The ids of found rows, from the payload files: adds ids (binary, unsigned little-endian 32-bit).
 
     Rows of one shard are read in one task in offset order through a window, so a shard is read once, front to back.
-    No rows give none; columns of found stay as they are.
+    No rows give none; columns of found stay as they are, whatever their names but for ids; rows that repeat a place and rows with null
+    keys are read like others.
     """
     dtype = np.dtype(spark.read.parquet(f"{path}/meta").first()["dtype"])
     payload = f"{path}/payload"
