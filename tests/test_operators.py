@@ -201,3 +201,186 @@ def test_status_of_sheets(spark):
     register = spark.createDataFrame([("a", "validated")], "source_sheet string, status string")
     assert rows(M.sheet_status(sheets, register), "series_id", "status") == [("s", "unreviewed"), ("s", "validated"), ("t", "validated")]
     assert rows(M.research_gate(sheets, register), "series_id") == [("t",)]
+
+
+# Registers, layouts with dates and quarters, dimensions, kept tables and the SQL interface.
+
+
+REVIEW = ["series_id", "definition", "reviewed_by", "reviewed_at", "stock_flow", "nominal_real", "hierarchy_role", "parent_series_id", "comparability", "methodology_regime_id", "price_base_year", "scale_multiplier", "frequency"]
+
+
+def review(spark, *changes):
+    whole = dict.fromkeys(REVIEW) | {"definition": "the publisher's own words here", "reviewed_by": "a", "reviewed_at": "2024-02-01", "stock_flow": "stock", "nominal_real": "nominal", "hierarchy_role": "total", "comparability": "comparable"}
+    return spark.createDataFrame([tuple((whole | {"series_id": f"s{i}"} | c)[k] for k in REVIEW) for i, c in enumerate(changes)], ", ".join(f"{c} string" for c in REVIEW))
+
+
+def test_review_register_is_applied_whole(spark):
+    from tidemark.operators import registers as R
+
+    known = spark.createDataFrame([(f"s{i}", "monthly") for i in range(20)], "series_id string, frequency string")
+    clean = review(spark, {}, {"frequency": " monthly "}, {"hierarchy_role": "component", "parent_series_id": "s0"}, {"nominal_real": "real", "price_base_year": "1994"})
+    assert R.review_problems(clean, known).isEmpty() and R.applied_whole(clean, R.review_problems(clean, known)).count() == 4
+    faults = [
+        ({"definition": " "}, "definition is blank"), ({"reviewed_by": None}, "reviewed_by is blank"), ({"reviewed_at": "2024-13-01"}, "reviewed_at is no date"), ({"stock_flow": "both"}, "stock_flow is none of its words"),
+        ({"scale_multiplier": "many"}, "scale_multiplier is no number"), ({"definition": "short"}, "definition is too short to quote the publisher"), ({"nominal_real": "real"}, "real without price_base_year"),
+        ({"hierarchy_role": "component"}, "component without parent_series_id"), ({"comparability": "break"}, "not comparable without methodology_regime_id"), ({"series_id": "zz"}, "series_id names no series"),
+        ({"parent_series_id": "zz"}, "parent_series_id names no series"), ({"frequency": "annual"}, "frequency is another than the series has"),
+    ]
+    register = review(spark, *(c for c, _ in faults), {"series_id": "s1"})
+    problems = R.review_problems(register, known)
+    assert rows(problems, "problem") == sorted([(p,) for _, p in faults] + [("series_id stands more than once",)])
+    assert R.applied_whole(register, problems).isEmpty()
+    assert R.review_problems(register.limit(0), known).isEmpty()
+
+
+def test_continuity_needs_single_series_on_both_ends(spark):
+    from tidemark.operators import registers as R
+
+    resolved = spark.createDataFrame([("a", "A"), ("b", "B"), ("split", None), ("gone", None)], "old_id string, resolved_id string")
+    schema = "continuity_id string, concept_key string, from_series_id string, to_series_id string, relationship string, overlap_rule string, evidence string, reviewed_by string, reviewed_at string"
+    entry = lambda i, a, b, kind="continues", rule="direct_splice": (i, "k", a, b, kind, rule, "e", "r", "2024-01-01")
+    good = spark.createDataFrame([entry("1", "a", "b")], schema)
+    assert R.continuity_problems(good, resolved).isEmpty()
+    bad = spark.createDataFrame([entry("1", "a", "split"), entry("2", "gone", "b"), entry("3", "a", "new"), entry("4", "a", "a"), entry("5", "a", "b", "follows"), entry("6", "a", "b", rule="glue"), entry("6", "b", "a"), entry(None, "a", "b")], schema)
+    got = rows(R.continuity_problems(bad, resolved), "entry", "problem")
+    assert got == sorted([("1", "to_series_id names no single series"), ("2", "from_series_id names no single series"), ("3", "to_series_id names no single series"), ("4", "a series that continues itself"), ("5", "relationship is none of its words"), ("6", "overlap_rule is none of its words"), ("6", "continuity_id stands more than once"), ("", "continuity_id is blank")])
+
+
+CELL = "source_sheet string, row_id long, column_id long, text string, num double, date date"
+
+
+def sheet(spark, name, lines):
+    """Cells of rows of values: text, number or day."""
+    out = []
+    for r, line in enumerate(lines, 1):
+        for c, v in enumerate(line, 1):
+            if v is not None:
+                out.append((name, r, c, v if isinstance(v, str) else None, float(v) if isinstance(v, (int, float)) else None, v if isinstance(v, date) else None))
+    return spark.createDataFrame(out, CELL)
+
+
+def test_quarters_from_their_place(spark):
+    from tidemark.operators import grid as G
+
+    years = [None, "2001", None, None, None, None, "2002", None, None, None, None, "2003"]
+    read = lambda labels, last=("I", "II", "III", "IV"): {r["column_id"]: (r["quarter"], r["inferred"]) for r in G.quarter_axis(sheet(spark, "S", [years, [None, *labels, *last, "Total", "I", "II", "III"], ["x", *range(1, 14)]])).collect()}
+    whole = read(["I", "2", "III", "IV", "2001"])
+    assert whole[3] == (2, True) and whole[2] == (1, False) and whole[6] == (None, False) and whole[11] == (None, False)
+    assert 12 in whole and 14 in whole and 15 not in whole  # the last block has no annual column: three columns on at most
+    assert read(["I", "2", "IV", "III", "2001"])[3] == (None, False)  # the others don't agree with their places
+    assert read(["I", "2", "III", "2001", "IV"])[3] == (None, False)  # not four before the annual column
+
+
+def test_blocks_that_do_not_close(spark):
+    from tidemark.operators import grid as G
+
+    years = [None, "2001", None, None, None, None, "2002", None, None, None, None, "2003", None, None, None, None]
+    labels = [None] + ["I", "II", "III", "IV", "2001", "I", "II", "III", "IV", "2002", "I", "II", "III", "IV", "2003"]
+    close = lambda k: [f"row {k}"] + [x for y in range(3) for x in (1, 2, 3, k + y, k + y)]
+    good = sheet(spark, "good", [years, labels, *(close(k) for k in range(10))])
+    flow = sheet(spark, "flow", [years, labels, *(close(k)[:5] + [99.0] + close(k)[6:] for k in range(10))])
+    cells = good.unionByName(flow)
+    found = {r["source_sheet"]: r for r in G.quarter_closing(cells, G.quarter_axis(cells)).collect()}
+    assert (found["good"]["compared"], found["good"]["agreed"], found["good"]["reason"]) == (30, 30, None)
+    assert (found["flow"]["compared"], found["flow"]["agreed"]) == (30, 20) and found["flow"]["reason"]
+    assert {r["source_sheet"] for r in G.horizontal_year_quarter(cells).collect()} == {"good"}
+    assert G.horizontal_year_quarter(cells).count() == 150
+    assert G.quarter_axis(cells.limit(0)).isEmpty() and G.horizontal_year_quarter(cells.limit(0)).isEmpty()
+
+
+def test_columns_of_dated_sheets(spark):
+    from tidemark.operators import dated as W
+
+    months = [d(2020, m) for m in range(1, 13)] + [d(2021, m) for m in range(1, 13)]
+    lines = [["Titulo"], [None, "A", None, "Nuevo", "Nota"], [None, "alta", "baja"]]
+    lines += [[m, i, i + 0.5, i if i > 20 else None, None, None, 7 if i == 3 else None] for i, m in enumerate(months)]
+    cells = sheet(spark, "S", lines)
+    got = W.data_columns(cells, W.dated_rows(cells))
+    assert rows(got, "column_id", "why") == [(2, "dense"), (3, "dense"), (4, "dense")]
+    series = {r["series"] for r in W.vertical_dates(cells).collect()}
+    assert series == {"A — alta", "A — baja", "Nuevo — baja"}
+    assert {r["period"] for r in W.vertical_dates(cells).filter("row_id = 4").collect()} == {d(2020, 1, 31)}
+    daily = sheet(spark, "D", [[None, "x"], *([d(2020, 1, k), k] for k in range(1, 9))])
+    assert sorted(r["period"] for r in W.vertical_dates(daily).collect()) == [d(2020, 1, k) for k in range(1, 9)]
+    assert W.vertical_dates(sheet(spark, "N", [["a", 1], ["b", 2]])).isEmpty() and W.vertical_dates(cells.limit(0)).isEmpty()
+
+
+def test_dimensions_abstain(spark):
+    from tidemark.operators import dimensions as K
+
+    entries = K.rules(spark, [("flow", "title", "x", ["1"], "export", "export"), ("flow", "title", "x", ["1"], "import", "import"), ("kind", "label", "x", [], "rate", "^tasa")])
+    series = spark.createDataFrame([("a", "x", "1", "Exportaciones", "Tasa"), ("b", "x", "1", "Export e import", None), ("c", "x", "2", "Exportaciones", "la tasa"), ("d", "y", "1", "Exportaciones", "Tasa"), ("e", "x", "1", "Export", "p"), ("e", "x", "1", "Import", "p")], "series_id string, source_id string, source_sheet string, title string, label string")
+    assert rows(K.derived_dimensions(series, entries), "series_id", "dimension", "value", "basis") == [("a", "flow", "export", "published_title"), ("a", "kind", "rate", "published_label")]
+
+
+def test_kept_tables_are_rebuilt_by_key(spark):
+    from tidemark.operators.reuse import reused
+    from tidemark.sources.stored import shared_dir
+
+    path, made = shared_dir(spark, "reused"), []
+
+    def derive(inputs):
+        made.append(rows(inputs, "k"))
+        return inputs.filter("v > 0").select("k", (F.col("v") * 2).alias("w"))
+
+    def run(data, build="1"):
+        made.clear()
+        told = reused(spark.createDataFrame(data, "k string, v long"), derive, path, "k", build, buckets=2)
+        return rows(told.table, "k", "w"), (told.rebuilt, told.kept, told.removed), [x for m in made for (x,) in m]
+
+    data = [("a", 1), ("a", 2), ("b", 3), ("c", 4), (None, 9)]
+    whole = [("a", 2), ("a", 4), ("b", 6), ("c", 8)]
+    assert run(data) == (whole, (3, 0, 0), ["a", "a", "b", "c"])
+    assert run(data) == (whole, (0, 3, 0), [])
+    assert run([*data[:2], ("b", 5), *data[3:]]) == ([("a", 2), ("a", 4), ("b", 10), ("c", 8)], (1, 2, 0), ["b"])
+    assert run([("a", 1), ("a", 2), ("b", 5)]) == ([("a", 2), ("a", 4), ("b", 10)], (0, 2, 1), [])
+    assert run([("a", -1), ("b", 5)]) == ([("b", 10)], (1, 1, 0), ["a"])  # a key without rows any more
+    assert run([("b", 5)], build="2") == ([("b", 10)], (1, 0, 1), ["b"])
+    assert run([]) == ([], (0, 0, 1), [])
+
+
+def test_sql_functions(spark):
+    from tidemark import sql_functions
+
+    events = spark.createDataFrame([("a", d(2020, 1), "v1", d(2020, 2), 1.0, False), ("a", d(2020, 1), "v2", d(2020, 3), 2.0, False), ("a", d(2020, 6), "v2", d(2020, 3), 9.0, False), ("b", d(2020, 1), "v1", d(2020, 2), 5.0, False), ("b", d(2020, 1), "v2", d(2020, 3), None, True)], EVENT)
+    accepted = spark.createDataFrame([("v1", d(2020, 2)), ("v2", d(2020, 3))], "vintage_id string, available_at date")
+    resolved = spark.createDataFrame([("old", ["new"], "new"), ("split", ["x", "y"], None), ("gone", [], None)], "old_id string, candidates array<string>, resolved_id string")
+    sql_functions.create_functions(spark, events, accepted, resolved, prefix="t_")
+    for day, wanted in (("2020-02-15", [("a", 1.0), ("b", 5.0)]), ("2020-03-01", [("a", 2.0)]), ("2020-01-01", [])):
+        assert rows(spark.sql(f"SELECT * FROM t_series_as_of_date(DATE '{day}')"), "series_id", "value") == wanted
+        assert rows(V.as_of(events, accepted, day), "series_id", "value") == wanted
+    assert rows(spark.sql("SELECT * FROM t_series_statement_as_of_date(DATE '2020-03-01')"), "series_id", "value", "observation_status") == [("a", 2.0, "observed"), ("a", 9.0, "after_publication")]
+    got = spark.sql("SELECT id, t_resolve_series_id(id) AS now FROM VALUES ('old'), ('split'), ('gone'), ('unknown'), (NULL) AS t(id)").collect()
+    assert {r["id"]: r["now"] for r in got} == {"old": "new", "split": None, "gone": None, "unknown": None, None: None}
+    assert rows(spark.sql("SELECT * FROM t_resolve_series_ids('split')"), "published_series_id", "current_series_id", "candidate_count") == [("split", "x", 2), ("split", "y", 2)]
+
+
+def test_projections_do_not_hide_what_was_observed(spark):
+    """A later vintage's own projection of a period is not what a realised as-of shows, whatever it replaces."""
+    events = spark.createDataFrame([("a", d(2020, 2), "v1", d(2020, 5), 1.0, False), ("a", d(2020, 2), "v2", d(2020, 1), 2.0, False)], EVENT)
+    accepted = spark.createDataFrame([("v1", d(2020, 5)), ("v2", d(2020, 6))], "vintage_id string, available_at date")
+    assert rows(V.as_of(events, accepted, "2020-12-31"), "vintage_id", "value") == [("v1", 1.0)]
+    assert rows(V.as_of(events, accepted, "2020-12-31", statement=True), "vintage_id", "value") == [("v2", 2.0)]
+
+
+def test_only_substring(spark):
+    from tidemark.operators.publication import only_substring
+
+    texts = spark.createDataFrame([("pay ABCD and more",), ("pay ABCD ABCX",), ("no code",), ("x7",), ("",), (None,), ("pay ABCD and more",)], "t string")
+    codes = spark.createDataFrame([("ABCD",), ("ABCX",), ("x7",), ("",), (None,), ("pay ABCDE",)], "c string")
+    got = {r["t"]: (r["n_hits"], r["c"]) for r in only_substring(texts, "t", codes, "c").collect()}
+    assert got == {"pay ABCD and more": (1, "ABCD"), "pay ABCD ABCX": (2, None), "no code": (0, None), "x7": (1, "x7"), "": (0, None), None: (0, None)}
+
+
+def test_gaps_and_tails_of_templates(spark):
+    cells = sheet(spark, "S", [["m", "Total", "a"], ["2020"], ["Enero", 3, 3], ["Febrero"], ["Marzo", 4, 5], ["Abril"], ["Mayo"]])
+    kept = L.component_blocks(cells, gaps=True)
+    assert rows(kept.na.fill(-1.0), "period", "total", "components") == [(d(2020, 1, 31), 3.0, 3.0), (d(2020, 2, 29), -1.0, -1.0), (d(2020, 3, 31), 4.0, 5.0)]
+    assert rows(L.component_blocks(cells), "period") == [(d(2020, 1, 31),), (d(2020, 3, 31),)]
+
+
+def test_behaviour_drift(spark):
+    schema = "source_sheet string, content string, formula_cells long, hidden_rows long, hidden_columns long"
+    old = spark.createDataFrame([("a", "1", 5, 0, 0), ("b", "1", 5, 0, 0), ("c", "1", 5, None, 0), ("gone", "1", 1, 1, 1)], schema)
+    new = spark.createDataFrame([("a", "1", 5, 2, 1), ("b", "2", 9, 9, 9), ("c", "1", 5, 0, 0), ("new", "1", 1, 1, 1)], schema)
+    assert sorted(map(tuple, A.behaviour_drift(old, new).na.fill(-1).collect())) == [("a", "hidden_columns", 0, 1), ("a", "hidden_rows", 0, 2), ("c", "hidden_rows", -1, 0)]

@@ -24,11 +24,19 @@ def unmapped(cells: DataFrame, observations: DataFrame) -> DataFrame:
 
 
 def classified(cells: DataFrame, rules: DataFrame) -> DataFrame:
-    """The exact sheet beats the wildcard, then the smaller rectangle, then the rule's id."""
-    area = (F.col("row_to") - F.col("row_from") + 1) * (F.col("column_to") - F.col("column_from") + 1)
-    best = F.min_by(F.struct("rule_id", "classification"), F.struct(F.when(F.col("rule_sheet") == "*", 1).otherwise(0), area, "rule_id"))
-    chosen = rule_matches(cells, rules).groupBy("source_sheet", "row_id", "column_id").agg(best.alias("b"))
-    return cells.join(chosen, ["source_sheet", "row_id", "column_id"], "left").select("source_sheet", "row_id", "column_id", F.col("b.rule_id").alias("rule_id"), F.coalesce("b.classification", F.lit("unclassified")).alias("classification"))
+    """The exact sheet beats the wildcard, then the smaller rectangle, then the rule's id.
+
+    A sheet's rules travel as one array in that order (a register of a few hundred rows: broadcast), of which a cell takes the
+    first that holds it: no shuffle of cells.
+    """
+    area = ((F.col("row_to") - F.col("row_from") + 1) * (F.col("column_to") - F.col("column_from") + 1)).alias("area")
+    listed = F.sort_array(F.collect_list(F.struct(area, "rule_id", "row_from", "row_to", "column_from", "column_to", "classification")))
+    own = rules.filter("source_sheet <> '*'").groupBy("source_sheet").agg(listed.alias("_own"))
+    every = rules.filter("source_sheet = '*'").agg(listed.alias("_every"))  # one row
+    inside = lambda r: F.col("row_id").between(r["row_from"], r["row_to"]) & F.col("column_id").between(r["column_from"], r["column_to"])
+    joined = cells.join(F.broadcast(own), "source_sheet", "left").crossJoin(F.broadcast(every))
+    first = F.coalesce(F.try_element_at(F.filter("_own", inside), F.lit(1)), F.try_element_at(F.filter("_every", inside), F.lit(1)))
+    return joined.withColumn("_b", first).select("source_sheet", "row_id", "column_id", F.col("_b.rule_id").alias("rule_id"), F.coalesce("_b.classification", F.lit("unclassified")).alias("classification"))
 
 
 def reconciliation(cells: DataFrame, observations: DataFrame, rules: DataFrame) -> DataFrame:

@@ -58,16 +58,19 @@ def resolution(mapped: DataFrame) -> DataFrame:
 def closure(aliases: DataFrame) -> DataFrame:
     """All (old_id, new_id) that steps of aliases reach. Ends when a round adds nothing; a cycle ends too.
 
-    Only the pairs that the last round found are extended, by everything known, so the rounds follow the logarithm of the longest chain.
+    Each round joins what is reached with itself once and is written once, so the rounds follow the logarithm of the
+    longest chain and no round reads more than one table.
     """
-    fresh = reach = saved(aliases.select("old_id", "new_id").distinct(), "closure")
-    while not fresh.isEmpty():
-        a, b = fresh.select("old_id", F.col("new_id").alias("_via")), reach.select(F.col("old_id").alias("_via"), "new_id")
-        c, e = reach.select("old_id", F.col("new_id").alias("_via")), fresh.select(F.col("old_id").alias("_via"), "new_id")
-        step = a.join(b, "_via").unionByName(c.join(e, "_via")).select("old_id", "new_id").distinct()
-        fresh = saved(step.join(reach, ["old_id", "new_id"], "left_anti"), "closure-new")
-        reach = reach.unionByName(fresh)
-    return reach
+    reach = saved(aliases.select("old_id", "new_id").distinct(), "closure")
+    size = reach.count()
+    while True:
+        on = reach.select(F.col("old_id").alias("_via"), F.col("new_id").alias("_to"))
+        further = reach.join(on, F.col("new_id") == F.col("_via")).select("old_id", F.col("_to").alias("new_id"))
+        longer = saved(reach.unionByName(further).distinct(), "closure")
+        now = longer.count()
+        if now == size:
+            return longer
+        reach, size = longer, now
 
 
 def in_cycle(parents: DataFrame, child: str, parent: str, peels: int = 12) -> DataFrame:
