@@ -19,6 +19,9 @@ FISCAL = r"^((?:19|20)[0-9]{2})[-/]((?:19|20)[0-9]{2})$"
 # Currency names of the quotes and their codes.
 CURRENCIES = {"dolar": "USD", "real": "BRL", "peso argentino": "ARS", "euro": "EUR", "yen": "JPY", "libra esterlina": "GBP"}
 
+# How the names of the histories' sheets begin, and their currencies.
+SHEET_CURRENCIES = [("usd", "USD"), ("euro", "EUR"), ("real", "BRL"), ("peso", "ARS")]
+
 
 def _across(line: str = "column_id", *by: str) -> Window:
     return Window.partitionBy("source_sheet", *by).orderBy(line).rowsBetween(Window.unboundedPreceding, 0)
@@ -93,6 +96,39 @@ def year_blocks(cells: DataFrame) -> DataFrame:
     return joined.select("source_sheet", F.col("measure").alias("series"), P.month_end(F.col("year"), F.col("month")).alias("period"), F.col("num").alias("value"), "row_id", "column_id")
 
 
+def _year_column(cells: DataFrame) -> DataFrame:
+    """(sheet, axis, row_id, year, header_row): the fullest column of at least three rising years, the first of equals, and the row above them."""
+    fullest = year_axes(cells, "column_id", "row_id").groupBy("source_sheet").agg(F.max_by("column_id", F.struct("n", -F.col("column_id"))).alias("axis"))
+    years = cells.join(F.broadcast(fullest), "source_sheet").filter("column_id = axis").select("source_sheet", "axis", "row_id", T.year_label(F.col("text")).alias("year")).filter("year is not null")
+    return years.withColumn("header_row", F.min("row_id").over(Window.partitionBy("source_sheet")) - 1)
+
+
+def _annual(cells: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Year rows, the columns headed Compra or Venta, and one judged row for each sheet of the annual form of H14."""
+    years = _year_column(cells)
+    heads = _text(cells).join(years.select("source_sheet", "header_row").distinct(), "source_sheet").filter("row_id = header_row")
+    heads = heads.select("source_sheet", "column_id", T.normalized(F.col("text")).alias("measure")).filter("measure in ('compra', 'venta')")
+    counted = heads.groupBy("source_sheet").agg(F.count("*").alias("n"), F.count_distinct("measure").alias("kinds"))
+    code = lambda sheet: T.first_match(T.normalized(sheet), [(f"^{word}", code) for word, code in SHEET_CURRENCIES])
+    sheets = cells.select("source_sheet").distinct().withColumn("code", code(F.col("source_sheet")))
+    judged = sheets.join(years.groupBy("source_sheet").agg(F.count("*").alias("years")), "source_sheet", "left").join(counted, "source_sheet", "left")
+    reason = F.when(F.col("code").isNull(), "unsupported currency").when(F.col("years").isNull(), "no coherent year column").when((F.coalesce("n", F.lit(0)) != 2) | (F.col("kinds") != 2), "not one Compra and one Venta")
+    return years, heads, judged.withColumn("reason", reason)
+
+
+def annual_quotes(cells: DataFrame) -> DataFrame:
+    """H14, annual form: years down, one buying and one selling column, the currency in the sheet's name; annual_problems names the sheets that aren't read."""
+    years, heads, judged = _annual(cells)
+    good = judged.filter("reason is null").select("source_sheet", "code")
+    joined = _values(cells).join(heads, ["source_sheet", "column_id"]).join(years, ["source_sheet", "row_id"]).join(F.broadcast(good), "source_sheet")
+    return joined.select("source_sheet", F.concat_ws(" ", "code", "measure").alias("series"), F.make_date("year", F.lit(12), F.lit(31)).alias("period"), "value", "row_id", "column_id")
+
+
+def annual_problems(cells: DataFrame) -> DataFrame:
+    """(source_sheet, reason) of the sheets that the annual form can't be read from."""
+    return _annual(cells)[2].filter("reason is not null").select("source_sheet", "reason")
+
+
 def anchored(cells: DataFrame, anchor: str) -> DataFrame:
     """A table to the right of and below the one cell that says ``anchor``; a sheet with none or several isn't read."""
     texts = _text(cells)

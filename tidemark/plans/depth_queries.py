@@ -292,6 +292,8 @@ _Q = {
     "A01_manifest": (a01, _A01),
     "A03_replay_places": (a03_places, f"WITH {_FILES}, x AS (SELECT source_id, sha256, t, CASE WHEN o_orderstatus <> 'P' THEN last_day(t) END AS pd FROM fl JOIN orders ON o_orderkey = k) SELECT source_id, sha256, row_number() OVER (PARTITION BY source_id ORDER BY pd NULLS LAST, t, sha256) AS place FROM x"),
     "L14_behaviour_drift": (l14_drift, _L14),
+    "H14_annual_quotes": (lambda s, d: L.annual_quotes(saved(S.annual_histories(s, d), "sheets")).select(*G.OUT[:4]), "WITH li AS (SELECT l_returnflag AS f, year(l_shipdate) AS y, l_suppkey%2 AS side, CAST(l_quantity AS DECIMAL(18,2)) AS v FROM lineitem) SELECT CASE f WHEN 'N' THEN 'USD Fin Mes' ELSE 'Real fin' END AS source_sheet, CASE f WHEN 'N' THEN 'USD' ELSE 'BRL' END||CASE side WHEN 0 THEN ' compra' ELSE ' venta' END AS series, make_date(y,12,31) AS period, CAST(sum(v) AS DOUBLE) AS value FROM li WHERE f<>'A' GROUP BY f, side, y"),
+    "H14_annual_problems": (lambda s, d: L.annual_problems(saved(S.annual_histories(s, d), "sheets")), "SELECT 'Euro Fin Mes' AS source_sheet, 'not one Compra and one Venta' AS reason FROM lineitem WHERE l_returnflag='A' GROUP BY 1 UNION ALL SELECT 'Yen Fin Mes', 'unsupported currency' FROM lineitem WHERE l_returnflag='N' GROUP BY 1"),
     "H15_template_tail": (h15_tail, _H15),
     "H18_contained_names": (h18_fallback, _H18),
     "N07_ids_units_ranges": (n07_rest, _N07),

@@ -189,3 +189,16 @@ def dealings(s, d):
 def dealing_merges(s: SparkSession) -> DataFrame:
     """The merged header of DE: its group stands over the thin column too."""
     return s.createDataFrame([("DE", 5, 108, 6, 7), ("DE", 5, 108, 3, 4)], "source_sheet string, row_from long, row_to long, column_from long, column_to long")
+
+
+def annual_histories(s, d):
+    """Years down under Compra and Venta, a sheet for each flag; A's lacks Venta, and one more sheet is of a currency that no source has."""
+    li = _lines(s, d)
+    name = F.when(F.col("f") == "A", "Euro Fin Mes").when(F.col("f") == "N", "USD Fin Mes").otherwise("Real fin")
+    r, c = 5 + F.col("y") - 1990, 3 + F.col("side")
+    sides = li.filter("f <> 'A' or side = 0")
+    years = li.select("f", "y").distinct()
+    first = years.groupBy("f").agg(F.min("y").alias("y"))
+    heads = first.join(sides.select("f", "side").distinct(), "f")
+    yen = _part(years.filter("f = 'N'"), "Yen Fin Mes", r, 2, F.col("y").cast("string"))
+    return _all(_part(years, name, r, 2, F.col("y").cast("string")), _part(heads, name, r - 1, c, F.when(F.col("side") == 0, "Compra").otherwise("Venta")), _part(_sum(sides, "f", "y", "side"), name, r, c, num=F.col("v")), yen)
