@@ -384,3 +384,28 @@ def test_behaviour_drift(spark):
     old = spark.createDataFrame([("a", "1", 5, 0, 0), ("b", "1", 5, 0, 0), ("c", "1", 5, None, 0), ("gone", "1", 1, 1, 1)], schema)
     new = spark.createDataFrame([("a", "1", 5, 2, 1), ("b", "2", 9, 9, 9), ("c", "1", 5, 0, 0), ("new", "1", 1, 1, 1)], schema)
     assert sorted(map(tuple, A.behaviour_drift(old, new).na.fill(-1).collect())) == [("a", "hidden_columns", 0, 1), ("a", "hidden_rows", 0, 2), ("c", "hidden_rows", -1, 0)]
+
+
+def test_scopes_remove_what_was_saved_inside(spark):
+    from tidemark.sources import stored
+
+    held = lambda df: not spark.read.schema(df.schema).parquet(df.inputFiles()[0].rsplit("/", 1)[0]).isEmpty()
+    before = stored.saved(spark.range(3), "before")
+    with stored.scope():
+        inner = stored.saved(spark.range(4), "inner")
+        folder = inner.inputFiles()[0].rsplit("/", 1)[0]
+        with stored.scope():
+            deep = stored.saved(inner, "deep").inputFiles()[0].rsplit("/", 1)[0]
+            with stored.outside():
+                result = stored.saved(inner, "result")
+        assert spark.read.parquet(deep).isEmpty() and result.count() == 4 and inner.count() == 4
+        with stored.outside():
+            stays = stored.saved(result, "stays")
+        of_result = result.inputFiles()[0].rsplit("/", 1)[0]
+    assert all(spark.read.parquet(f).isEmpty() for f in (folder, of_result)) and held(stays) and held(before)
+    try:
+        with stored.scope():
+            lost = stored.saved(spark.range(2), "lost").inputFiles()[0].rsplit("/", 1)[0]
+            raise KeyError
+    except KeyError:
+        assert spark.read.parquet(lost).isEmpty()
