@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import kept, saved, scope
 
 #: Cells of a dimension, at most 256; and rows that a task bounds at once.
 CELLS, BLOCK = 64, 4096
@@ -112,8 +112,14 @@ def exact_search(vectors: DataFrame, queries: DataFrame, top: int = 5, scale: fl
 
     Copies of one vector beyond the top + 1 smallest ids can't be among any query's best, so they are left out of the file
     before it is scanned. The cells' inner edges come from at most ``sample`` rows and change no result. Queries go to
-    the tasks in rounds of at most ``round_bytes`` of vectors; a task holds a block of rows and ``top`` rows a query.
+    the tasks in rounds of at most ``round_bytes`` of vectors; a task holds a block of rows and ``top`` rows a query. The rows are
+    written once; what they were worked out from is removed.
     """
+    with scope():
+        return kept(_exact_search(vectors, queries, top, scale, cells, sample, id_col, vector_col, round_bytes), "exact")
+
+
+def _exact_search(vectors: DataFrame, queries: DataFrame, top: int, scale: float, cells: int, sample: int, id_col: str, vector_col: str, round_bytes: int) -> DataFrame:
     spark = vectors.sparkSession
     kind = vectors.schema[id_col].dataType.simpleString()
     rows = saved(scaled(vectors, id_col, vector_col, scale), "whole-vectors")

@@ -7,6 +7,7 @@ table entries of the query against codewords to the stored norm of the approxima
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import reduce
 
@@ -15,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import kept, saved, scope
 
 
 @dataclass
@@ -96,12 +97,12 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 ROUND_BYTES, BLOCK, CHUNK = 32 << 20, 4096, 64
 
 
-def search(vectors: DataFrame, queries: DataFrame, top: int = 10, rerank: int = 800, sample: int = 8192, block: int = BLOCK, round_bytes: int = ROUND_BYTES, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def search(vectors: DataFrame, queries: DataFrame, top: int = 10, rerank: int | None = None, sample: int = 8192, block: int = BLOCK, round_bytes: int = ROUND_BYTES, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, id, score): for each row of queries its ``top`` nearest others in vectors by Euclidean distance.
 
     Codebooks are learned on at most ``sample`` rows, the first by a hash of their place; every row is encoded and every row is
     scored for every query, where its codes lie: queries go to the tasks in rounds of at most ``round_bytes`` of vectors. A first scan
-    finds for each query a table score that at least ``rerank`` rows reach, from scores at the ranks 1, 2, 4 and so on of each
+    finds for each query a table score that at least ``rerank`` rows (where it is not given, 800 or four times the root of the number of rows, whichever is more) reach, from scores at the ranks 1, 2, 4 and so on of each
     task, and so at most about twice as many; a second scan picks them, and they are scored exactly, in double precision,
     on the original vectors. With ``rerank`` at least the number of rows the result is exact.
 
@@ -109,8 +110,14 @@ def search(vectors: DataFrame, queries: DataFrame, top: int = 10, rerank: int =
     no part; a row never meets a query of its own id; repeated rows of an id count once, by the smallest vector; fewer candidates
     than top give fewer rows; only vectors of the most frequent length (of equally frequent ones the greatest) take part; an
     empty table gives no rows; other columns are ignored, whatever their names. Copies of one vector beyond the top + 1 smallest ids can't be among any query's best and are
-    not scored. Magnitudes over 1e15 are searched as 1e15 and scored as they are.
+    not scored. Magnitudes over 1e15 are searched as 1e15 and scored as they are. The rows are written once; what they were worked
+    out from is removed.
     """
+    with scope():
+        return kept(_search(vectors, queries, top, rerank, sample, block, round_bytes, id_col, vector_col), "nearest")
+
+
+def _search(vectors: DataFrame, queries: DataFrame, top: int, rerank: int | None, sample: int, block: int, round_bytes: int, id_col: str, vector_col: str) -> DataFrame:
     spark = vectors.sparkSession
     kind = vectors.schema[id_col].dataType.simpleString()
     rows = saved(usable(vectors, id_col, vector_col).groupBy("id").agg(F.min("v").alias("v")), "vectors")
@@ -121,6 +128,7 @@ def search(vectors: DataFrame, queries: DataFrame, top: int = 10, rerank: int =
     # Numbers in the order of ids stand for them: the partitions are ranges of ids.
     ordered = rows.filter(F.size("v") == length["dim"]).repartitionByRange("id").sortWithinPartitions("id")
     rows = saved(ordered.select(F.monotonically_increasing_id().alias("row"), "id", "v"), "numbered")
+    rerank = rerank or max(800, math.ceil(4 * math.sqrt(rows.count())))
     taken = rows.orderBy(F.xxhash64("row"), "row").limit(sample).collect()
     books = spark.sparkContext.broadcast(learn(narrowed([r["v"] for r in taken])))
     copy = F.row_number().over(Window.partitionBy("v").orderBy("row"))

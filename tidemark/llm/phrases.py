@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, saved, whole_text
+from .common import documents, kept, saved, scope, whole_text
 from .runs import Numbers
 from .tokens import small_batches, texts_of
 
@@ -329,8 +329,14 @@ def collocations(docs: DataFrame, top: int = 2000, least: int = 10, share: int =
     cut; left and right are the counts of its most frequent extensions by one word that are themselves phrases (null: none).
     Phrases with 100 * left or 100 * right of at least ``share`` * a are left out. Order: score, then a, descending, then the
     phrase by its bytes. A null language is ``und``, a null or empty text has no words; ids and other columns are not
-    read; an empty table gives no rows. Whole texts are counted; products are decimals of 38 digits, exact up to counts of 10^15.
+    read; an empty table gives no rows. Whole texts are counted; products are decimals of 38 digits, exact up to counts of 10^15. The
+    rows are written once; what they were worked out from is removed.
     """
+    with scope():
+        return kept(_collocations(docs, top, least, share, lang_col, text_col, shard, bits), "collocations")
+
+
+def _collocations(docs: DataFrame, top: int, least: int, share: int, lang_col: str, text_col: str, shard: int, bits: int | None) -> DataFrame:
     words, pairs, triples = phrase_counts(docs, lang_col, text_col, least, shard, bits)
     often = saved(words.filter(F.col("f") >= least).select("lang", "code", "word", "f"), "frequent-words")
     n = words.groupBy("lang").agg(F.sum("f").alias("n"))
