@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.periods import inferred_frequency, months_between_ends
+from ..functions.periods import expected, inferred_frequency, months_between_ends
+
 
 def by_series():
     return Window.partitionBy("series_id").orderBy("period")
@@ -18,6 +19,18 @@ def gaps(rows: DataFrame, expected_step: int) -> DataFrame:
     return stepped.withColumn("step_months", step).filter(F.col("step_months") > expected_step).withColumn("missing_periods", F.floor(F.col("step_months") / expected_step).cast("int") - 1)
 
 
+def expected_grid(rows: DataFrame, months: int = 1) -> DataFrame:
+    """(series_id, period, observed) of every expected period from a series' first to its last; series of one period have none.
+
+    Each period gives itself and what is missing before the next, so the rows are read once and shuffled once, by series.
+    """
+    along = Window.partitionBy("series_id").orderBy("period")
+    placed = rows.select("series_id", "period").distinct().select("series_id", "period", F.lead("period").over(along).alias("_next"), F.count("*").over(Window.partitionBy("series_id")).alias("_n")).filter("_n > 1")
+    until = expected(F.col("period"), F.col("_next"), months)
+    own = F.when(F.col("_next").isNull(), F.array("period")).otherwise(F.slice(until, 1, F.greatest(F.size(until) - 1, F.lit(1))))
+    return placed.select("series_id", F.posexplode(own).alias("_at", "period")).select("series_id", "period", (F.col("_at") == 0).alias("observed"))
+
+
 def jumps(rows: DataFrame, times: float = 10.0, least: int = 24) -> DataFrame:
     """Changes of more than so many times the series' own median change, in series with enough changes."""
     changes = rows.select("series_id", "period", "value", F.abs(F.col("value") - F.lag("value").over(by_series())).alias("change"))

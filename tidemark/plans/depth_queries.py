@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import sql_functions
-from ..functions.periods import expected
 from ..operators import accounting as A
 from ..operators import dated as W
 from ..operators import dimensions as K
@@ -19,6 +18,7 @@ from ..operators import layouts as L
 from ..operators import publication as B
 from ..operators import quality as Q
 from ..operators import registers as R
+from ..operators import screens
 from ..operators import semantics as M
 from ..operators.reuse import reused
 from ..sources import derived as D
@@ -159,13 +159,6 @@ UNION ALL SELECT series_id, 'measure', CASE z%3 WHEN 0 THEN 'outstanding_amount'
 UNION ALL SELECT series_id, 'product', CASE WHEN even THEN b ELSE b||' Consumo interno' END, 'published_label', TRUE FROM p WHERE z%2=0"""
 
 
-def _grid_of(rows):
-    """Expected months of each series between its first and last, and whether they were observed."""
-    spans = rows.groupBy("series_id").agg(F.min("period").alias("a"), F.max("period").alias("b"), F.count("*").alias("n")).filter("n > 1")
-    grid = spans.select("series_id", F.explode(expected(F.col("a"), F.col("b"), 1)).alias("period"))
-    return grid.join(rows.select("series_id", "period", F.lit(True).alias("observed")), ["series_id", "period"], "left").na.fill({"observed": False})
-
-
 def l09_reused(s, d):
     """The grid built, built again from the same rows, and after one series has changed."""
     path, rows = shared_dir(s, "expected-grid"), saved(_realised(s, d).select("series_id", "period", "value"), "rows")
@@ -173,7 +166,7 @@ def l09_reused(s, d):
     later = rows.crossJoin(F.broadcast(first)).withColumn("value", F.when(F.col("series_id") == F.col("_first"), F.col("value") + 1).otherwise(F.col("value"))).drop("_first")
     out = []
     for run, inputs in enumerate((rows, rows, later), 1):
-        told = reused(inputs, _grid_of, path, "series_id")
+        told = reused(inputs, screens.expected_grid, path, "series_id")
         out.append(told.table.agg(F.lit(run).cast("long").alias("run"), F.lit(told.rebuilt).cast("long").alias("rebuilt"), F.lit(told.kept).cast("long").alias("kept"), F.count("*").alias("grid_rows"), F.count_if("observed").alias("observed")))
         out[-1] = saved(out[-1], "run")  # before the next run writes over the table
     return reduce(DataFrame.unionByName, out)

@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from ..functions.periods import expected, months_between_ends
+from ..functions.periods import months_between_ends
 from ..operators import quality, screens
 from ..operators import vintage as V
 from ..sources import derived as D
@@ -55,11 +55,7 @@ def a20(spark, d):
 
 def l09_grid(spark, d):
     """Expected periods of each series between its first and last, and whether they were observed."""
-    rows = _realised(spark, d)
-    spans = rows.groupBy("series_id").agg(F.min("period").alias("a"), F.max("period").alias("b"), F.count("*").alias("n")).filter("n > 1")
-    grid = spans.select("series_id", F.explode(expected(F.col("a"), F.col("b"), 1)).alias("period"))
-    seen = rows.select("series_id", "period", F.lit(True).alias("observed"))
-    return grid.join(seen, ["series_id", "period"], "left").na.fill({"observed": False})
+    return screens.expected_grid(_realised(spark, d))
 
 
 GAPS = """steps AS (SELECT series_id, period, lag(period) OVER (PARTITION BY series_id ORDER BY period) AS p FROM realised)"""
