@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import pieces, saved, whole_text
-from .tokens import ChunkEncoder, id_dtype, small_batches, term_runs, texts_of
+from .tokens import ChunkEncoder, give_back, id_dtype, small_batches, term_runs, texts_of
 
 OUT = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -81,16 +81,20 @@ class Shard:
             parts.append([x[keep].astype(np.int32) for x in (of + at, term, tf)])
             at = end
         of, term, tf = (np.concatenate(x) for x in zip(*parts))
+        del parts  # what is done with is dropped at once: a shard's postings are most of what a task holds
         self.bounds = np.searchsorted(of, np.arange(self.n + 1))
         weight = idf[term] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * self.size[of] / mean_length))
-        known, slot = np.unique(term, return_inverse=True)
-        self.slot = slot.astype(np.int32)  # per (document, term), the term's posting list
-        order = np.argsort(slot, kind="stable")
-        docs_of, weights, count = of[order], weight[order], np.bincount(slot, minlength=len(known))
+        known = np.unique(term)
+        self.slot = np.searchsorted(known, term).astype(np.int32)  # per (document, term), the term's posting list
+        del term, tf
+        count = np.bincount(self.slot, minlength=len(known))
+        order = np.argsort(self.slot, kind="stable").astype(np.int32)
+        docs_of, weights = of[order], weight[order]
+        del of, weight, order
         self.indexed = np.arange(self.n)  # documents of the index, in order
         longest = np.argsort(-count, kind="stable")[: ROWS // (8 * max(1, self.n))]
         longest = longest[count[longest] * 16 >= self.n]
-        self.row = np.full(len(known), -1)
+        self.row = np.full(len(known), -1, np.int32)
         self.row[longest] = np.arange(len(longest))
         self.rows = np.zeros((len(longest), self.n))
         whole = np.repeat(self.row, count)
@@ -205,6 +209,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = 2048,
     mean_length = max(1.0, tokens / max(1, n))
 
     def place(batches):
+        ChunkEncoder.forget()
         for batch in small_batches(batches):
             of, term, tf = term_runs([np.frombuffer(x, dtype) for x in batch.column("ids").to_pylist()])
             weight = tf * idf.value[term] / (tf + 1.2)
@@ -236,18 +241,21 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = 2048,
             return pa.RecordBatch.from_arrays([pa.array(columns[0], id_type), *(pa.array(c, pa.int64()) for c in columns[1:])], names=["id", *(f.split()[0] for f in OUT.split(", "))])
 
         keys, held, size, id_type = [], [], 0, None
-        for batch in batches:
+        for batch in small_batches(batches):
             id_type = batch.schema.field("id").type
             for key, x in zip(batch.column("id").to_pylist(), batch.column("ids").to_pylist()):
                 doc = np.frombuffer(x, dtype)
                 if held and size + len(doc) > shard_tokens:
                     yield packed(keys, held)
                     keys, held, size = [], [], 0
+                    give_back()
                 keys.append(key)
                 held.append(doc)
                 size += len(doc)
         if held:
             yield packed(keys, held)
+            keys = held = None
+        give_back()
 
     out = placed.select("id", "ids").mapInArrow(sequences, f"id {kind}, {OUT}")
     return out.withColumnRenamed("id", id_col)
