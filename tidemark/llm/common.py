@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..sources import stored
 from ..sources.stored import scope, shared_dir
 
-__all__ = ["documents", "kept", "picked", "pieces", "saved", "scope", "shared_dir", "whole_text", "without"]
+__all__ = ["documents", "kept", "modest_batches", "picked", "pieces", "saved", "scope", "shared_dir", "whole_text", "without"]
 
 
 #: Bytes of one batch between Spark and Python: a task holds a few of them on both sides, so memory stays small.
@@ -26,6 +26,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
         conf.set(key, before)
 
 
+def modest_batches(spark: SparkSession) -> None:
+    """Batches of BATCH_BYTES between Spark and Python for whatever the session works out from now on, unless it sets another size.
+
+    For results that the caller writes: an executor holds two batches for each task outside its heap, in either direction.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
     """df saved so that it outlives the scope around it, whose own tables it is made from."""
     with stored.outside():
