@@ -409,3 +409,16 @@ def test_scopes_remove_what_was_saved_inside(spark):
             raise KeyError
     except KeyError:
         assert spark.read.parquet(lost).isEmpty()
+
+
+def test_years_of_another_amount_differ_at_any_size(spark, tmp_path):
+    from datetime import datetime
+
+    from tidemark.operators import grid as G
+    from tidemark.sources import special
+
+    lines = [(1, 1, 1, ln, 4e6, 1.0, 0.0, 0.0, "N", "O", datetime(y, m, 5)) for ln in (1, 2) for y in (1995, 1996, 1997) for m in (2, 5, 8, 11)]
+    kinds = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
+    spark.createDataFrame(lines, kinds).write.parquet(f"{tmp_path}/lineitem.parquet")
+    cells = special.stocks(spark, str(tmp_path))
+    assert rows(G.quarter_closing(cells, G.quarter_axis(cells)), "compared", "agreed", "reason") == [(6, 3, "fourth quarters differ from the years that they close")]
