@@ -422,3 +422,10 @@ def test_years_of_another_amount_differ_at_any_size(spark, tmp_path):
     spark.createDataFrame(lines, kinds).write.parquet(f"{tmp_path}/lineitem.parquet")
     cells = special.stocks(spark, str(tmp_path))
     assert rows(G.quarter_closing(cells, G.quarter_axis(cells)), "compared", "agreed", "reason") == [(6, 3, "fourth quarters differ from the years that they close")]
+
+
+def test_sheets_are_laid_out_from_one_pass_over_the_lines(spark):
+    from tidemark.sources import derived, special
+
+    for source in (derived.worksheets, special.stocks, special.dealings, special.houses):
+        assert not any("lineitem" in f for f in source(spark, "/root/testdata/sf0.001").inputFiles())

@@ -11,6 +11,8 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .stored import saved
+
 VINTAGES = [("v1", date(1999, 1, 15), date(1999, 1, 1)), ("v2", date(2000, 7, 15), date(2000, 8, 1)), ("v3", date(2001, 7, 15), date(2001, 9, 1)), ("v4", date(2001, 9, 15), date(2001, 9, 1))]
 ACCEPTED = ("v1", "v2", "v3")
 RULES = [("r1", "*", 0, 1000000, 3, 5, "subtotal_or_formula"), ("r2", "AF", 0, 40, 0, 9, "header_or_label"), ("r3", "NO", 0, 1000, 3, 3, "parser_defect")]
@@ -163,12 +165,21 @@ panel AS (SELECT CAST(c_nationkey AS VARCHAR) AS codigo_entidad, o_orderstatus A
  CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS importe FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1,2,3,4)"""
 
 
+def summed_once(rows: DataFrame, name: str) -> DataFrame:
+    """rows with the sums of v by all their other columns, written once: the parts of a sheet then read these instead of the table.
+
+    Distinct rows of the other columns and sums of v, which are decimal, stay what they are.
+    """
+    return saved(rows.groupBy(*(c for c in rows.columns if c != "v")).agg(F.sum("v").alias("v")), name)
+
+
 def worksheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four layouts of one table as worksheets: years across (HY), years across and months down (YM_flag), a merged
     year header over quarters (YQ), and dates down (VD)."""
     li = table(spark, sf_dir, "lineitem").select(
         F.col("l_returnflag").alias("f"), F.year("l_shipdate").alias("y"), F.month("l_shipdate").alias("m"), F.quarter("l_shipdate").alias("q"), F.col("l_linenumber").cast("long").alias("ln"), F.col("l_quantity").cast("decimal(18,2)").alias("v")
     )
+    li = summed_once(li, "worksheet-lines")
     place = F.when(F.col("f") == "A", 0).when(F.col("f") == "N", 1).otherwise(2).cast("long")
     words = F.element_at(F.array(*(F.lit(w) for w in "Ene Feb Mar Abr May Jun Jul Ago Set Oct Nov Dic".split())), F.col("m"))
     roman = F.element_at(F.array(*(F.lit(w) for w in ("I", "II", "III", "IV"))), F.col("q"))

@@ -7,15 +7,17 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .derived import table
+from .derived import summed_once, table
 
 WORDS = "Enero Febrero Marzo Abril Mayo Junio Julio Agosto Setiembre Octubre Noviembre Diciembre".split()
 
 
 def _lines(s: SparkSession, d: str) -> DataFrame:
+    """Quantities by all that the sheets are laid out by: as many rows as days, flags, statuses, line numbers and sides make."""
     day = F.to_date("l_shipdate")
     flag = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1).otherwise(2)
-    return table(s, d, "lineitem").select(F.col("l_returnflag").alias("f"), F.col("l_linestatus").alias("st"), flag.alias("fi"), F.year(day).alias("y"), F.month(day).alias("m"), F.quarter(day).alias("q"), F.day(day).alias("d"), F.col("l_linenumber").alias("ln"), (F.col("l_suppkey") % 2).alias("side"), F.last_day(day).alias("me"), F.col("l_quantity").cast("decimal(18,2)").alias("v"))
+    lines = table(s, d, "lineitem").select(F.col("l_returnflag").alias("f"), F.col("l_linestatus").alias("st"), flag.alias("fi"), F.year(day).alias("y"), F.month(day).alias("m"), F.quarter(day).alias("q"), F.day(day).alias("d"), F.col("l_linenumber").alias("ln"), (F.col("l_suppkey") % 2).alias("side"), F.last_day(day).alias("me"), F.col("l_quantity").cast("decimal(18,2)").alias("v"))
+    return summed_once(lines, "lines")
 
 
 def _sum(rows: DataFrame, *by: str) -> DataFrame:
@@ -96,6 +98,7 @@ def houses(s, d):
     """Nations across, months and flags down; a month's date stands in its first row."""
     li = table(s, d, "lineitem").join(table(s, d, "supplier").select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
     rows = li.select(F.col("l_linestatus").alias("st"), F.col("l_returnflag").alias("f"), F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1).otherwise(2).alias("fi"), F.last_day("l_shipdate").alias("me"), (F.year("l_shipdate") * 12 + F.month("l_shipdate") - 23880).alias("k"), F.col("s_nationkey").alias("n"), F.col("l_quantity").cast("decimal(18,2)").alias("v"))
+    rows = summed_once(rows, "houses")
     named = rows.select("st", "n").distinct().join(table(s, d, "nation").select(F.col("n_nationkey").alias("n"), F.lower("n_name").alias("name")), "n")
     name, r, c = F.concat(F.lit("EP_"), "st"), 3 + F.col("k") * 4 + F.col("fi"), 3 + F.col("n")
     first = rows.groupBy("st", "k", "me").agg(F.min("fi").alias("fi"))
