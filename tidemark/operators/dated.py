@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..sources.stored import saved
 
 SHEET = "source_sheet"
 #: Rows above the data that may be headers, and the share of the dated rows that a column needs to count as dense.
@@ -136,8 +137,8 @@ def row_labels(cells: DataFrame, rows: DataFrame, columns: DataFrame) -> DataFra
 def vertical_dates(cells: DataFrame, merges: DataFrame | None = None) -> DataFrame:
     """(sheet, series, period, value, row_id, column_id, kind) of every sheet with dates down; merges are the merged header
     ranges (sheet, row_from, row_to, column_from, column_to). A sheet without a date column gives no rows."""
-    rows = dated_rows(cells)
-    columns = data_columns(cells, rows, merges)
+    rows = saved(dated_rows(cells), "dated-rows")  # both are used again and again below: one plan of all would be planned for minutes
+    columns = saved(data_columns(cells, rows, merges), "data-columns")
     values = cells.filter("num is not null").select(SHEET, "row_id", "column_id", F.col("num").alias("value"))
     joined = values.join(rows.select(SHEET, "row_id", "kind", F.col("date").alias("period"), "nth"), [SHEET, "row_id"]).join(column_labels(cells, rows, columns), [SHEET, "column_id"])
     joined = joined.join(row_labels(cells, rows, columns), [SHEET, "row_id"], "left").filter("period is not null")

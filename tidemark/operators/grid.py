@@ -194,7 +194,7 @@ EXTRACTORS = {
 
 def read_as(cells: DataFrame, mode: str) -> DataFrame:
     """The observations of the sheets, among all of them, that are of one layout."""
-    own = layouts(cells).filter(F.col("mode") == mode).select("source_sheet")
+    own = saved(layouts(cells), "layouts").filter(F.col("mode") == mode).select("source_sheet")
     return EXTRACTORS[mode](cells.join(F.broadcast(own), "source_sheet", "left_semi")).select(*OUT)
 
 
