@@ -429,3 +429,12 @@ def test_sheets_are_laid_out_from_one_pass_over_the_lines(spark):
 
     for source in (derived.worksheets, special.stocks, special.dealings, special.houses):
         assert not any("lineitem" in f for f in source(spark, "/root/testdata/sf0.001").inputFiles())
+
+
+def test_events_are_laid_out_in_one_pass(spark):
+    from tidemark.sources import special
+
+    cells = special.events(spark, "/root/testdata/sf0.001")
+    assert cells._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 1
+    # the two markets of a sheet stay apart however many lines the first has
+    assert cells.filter("text = 'Mercado O'").agg(F.min("row_id")).first()[0] > 10**9

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import periods as P
 from ..functions import text as T
+from ..sources.stored import saved
 from .grid import OUT, year_axes
 from .publication import only_substring
 
@@ -231,7 +232,10 @@ def row_events(cells: DataFrame) -> DataFrame:
     lone = (F.col("_n") == 1) & (F.col("_v") == 0) & ~header
     down = _across("row_id")
     rows = filled.select("source_sheet", "row_id", "day", F.col("_t").alias("participant"), F.last(F.when(lone, F.col("_t")), ignorenulls=True).over(down).alias("state"), F.last(F.when(header, F.col("row_id")), ignorenulls=True).over(down).alias("title_row")).filter("day is not null and title_row is not null")
-    names = texts.select("source_sheet", F.col("row_id").alias("title_row"), "column_id", T.normalized(F.col("text")).alias("measure"))
+    # Few rows are headers: only their texts are looked at again, and a small table of them is sent to the values.
+    rows = saved(rows, "event-rows")
+    titles = saved(rows.select("source_sheet", F.col("title_row").alias("row_id")).distinct(), "event-titles")
+    names = saved(texts.join(titles, ["source_sheet", "row_id"]).select("source_sheet", F.col("row_id").alias("title_row"), "column_id", T.normalized(F.col("text")).alias("measure")), "event-headers")
     joined = _values(cells).join(rows, ["source_sheet", "row_id"]).join(names, ["source_sheet", "title_row", "column_id"])
     nth = F.row_number().over(Window.partitionBy("source_sheet", "state", "day", "participant", "measure").orderBy("row_id"))
     return joined.select("source_sheet", "state", "day", "participant", "measure", "value", nth.cast("long").alias("ordinal"))

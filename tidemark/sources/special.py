@@ -122,9 +122,14 @@ def events(s, d):
     day = F.to_date("l_shipdate")
     li = table(s, d, "lineitem").select(F.concat_ws("_", F.lit("RE"), "l_returnflag", F.date_format(day, "yyyyMM")).alias("sheet"), F.col("l_linestatus").alias("st"), day.alias("day"), F.concat(F.lit("P"), F.col("l_suppkey").cast("string")).alias("who"), F.col("l_quantity").cast("double").alias("a"), F.col("l_extendedprice").cast("double").alias("b"), "l_orderkey", "l_linenumber", "l_partkey")
     placed = li.withColumn("k", F.row_number().over(Window.partitionBy("sheet", "st").orderBy("day", "who", "l_orderkey", "l_linenumber", "l_partkey", "a", "b")))
-    top = F.when(F.col("st") == "F", 0).otherwise(500000)
-    name, r = F.col("sheet"), top + 2 + F.col("k")
-    return _all(_part(placed, name, top + 1, 1, F.concat(F.lit("Mercado "), "st")), *(_part(placed, name, top + 2, i, x) for i, x in enumerate(("Fecha", "Participante", "Cantidad", "Precio"), 1)), _part(placed, name, r, 1, day=F.col("day")), _part(placed, name, r, 2, F.col("who")), _part(placed, name, r, 3, num=F.col("a")), _part(placed, name, r, 4, num=F.col("b")))
+    top = F.when(F.col("st") == "F", 0).otherwise(10**12)  # below any number of lines of the other market
+    cell = lambda r, c, text=None, num=None, day=None: F.struct(r.cast("long").alias("row_id"), F.lit(c).cast("long").alias("column_id"), F.lit(text).cast("string").alias("text"), F.lit(num).cast("double").alias("num"), F.lit(day).cast("date").alias("date"))
+    heads = F.array(cell(top + 1, 1, F.concat(F.lit("Mercado "), "st")), *(cell(top + 2, i, x) for i, x in enumerate(("Fecha", "Participante", "Cantidad", "Precio"), 1)))
+    r = top + 2 + F.col("k")
+    line = F.array(cell(r, 1, day=F.col("day")), cell(r, 2, F.col("who")), cell(r, 3, num=F.col("a")), cell(r, 4, num=F.col("b")))
+    # One pass: the first line of a sheet's market brings the cells above it too.
+    cells = placed.select(F.col("sheet").alias("source_sheet"), F.explode(F.when(F.col("k") == 1, F.concat(heads, line)).otherwise(line)).alias("c"))
+    return cells.select("source_sheet", "c.*")
 
 
 def sales(s, d):
