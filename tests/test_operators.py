@@ -438,3 +438,19 @@ def test_events_are_laid_out_in_one_pass(spark):
     assert cells._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 1
     # the two markets of a sheet stay apart however many lines the first has
     assert cells.filter("text = 'Mercado O'").agg(F.min("row_id")).first()[0] > 10**9
+
+
+def test_guarded_rows_are_numbered_without_moving_them(spark, tmp_path):
+    from tidemark.sources import files
+
+    lines = [f" a{i % 3} ;{i}" for i in range(1, 501)]
+    (tmp_path / "t.csv").write_text("k;n\n" + "\n".join(lines) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        read = files.guarded(spark, str(tmp_path), ["k", "n"])
+        assert rows(read, "source_row", "k") == [(i, f"a{i % 3}") for i in range(1, 501)]
+        assert "row_number" not in read._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    twice = read.unionByName(read.filter("source_row <= 70"))
+    assert rows(files.counted_places(twice, "k"), "k", "n_places") == [("a0", 166), ("a1", 167), ("a2", 167)]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .stored import saved
 
 #: Bytes of the largest file whose content is read into a row to be hashed.
 LARGEST = 256 << 20
@@ -58,19 +59,27 @@ def bundle_id(files: DataFrame) -> DataFrame:
 def guarded(spark: SparkSession, path: str, header: list[str], sep: str = ";") -> DataFrame:
     """Delimited files as trimmed text columns with the file and the row in it, counted from 1 below the header.
 
-    A header that differs (a byte-order mark and blanks aside) or a malformed line refuses everything. Rows are numbered
-    within each split of a file, which starts at its number of earlier rows: no task sees a whole file.
+    A header that differs (a byte-order mark and blanks aside) or a malformed line refuses everything. Rows are numbered by their
+    distance from the first row of their split of a file, which starts at its number of earlier rows: rows are neither moved nor sorted.
     """
     found = [c.strip("\ufeff ") for c in spark.read.option("sep", sep).option("header", True).csv(path).columns]
     if found != header:
         raise ValueError(f"the header is {found}, not {header}")
     schema = ", ".join(f"`{c}` string" for c in header)
     rows = spark.read.schema(schema).option("sep", sep).option("header", True).option("mode", "FAILFAST").csv(path)
-    placed = rows.select(*(F.trim(c).alias(c) for c in header), F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_id"))
-    split = Window.partitionBy("source_file", "_start").orderBy("_id")
-    sizes = placed.groupBy("source_file", "_start").agg(F.count("*").alias("_n"))
-    before = sizes.select("source_file", "_start", F.coalesce(F.sum("_n").over(Window.partitionBy("source_file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    return placed.withColumn("_k", F.row_number().over(split)).join(before, ["source_file", "_start"]).select(*header, "source_file", (F.col("_before") + F.col("_k")).alias("source_row"))
+    # A split is read by one task in its order, so its ids follow each other; they are written, so both uses see the same.
+    placed = saved(rows.select(*(F.trim(c).alias(c) for c in header), F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_id")), "guarded-rows")
+    sizes = placed.groupBy("source_file", "_start").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
+    earlier = Window.partitionBy("source_file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("source_file", "_start", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"))
+    return placed.join(F.broadcast(before), ["source_file", "_start"]).select(*header, "source_file", (F.col("_id") + F.col("_shift")).alias("source_row"))
+
+
+def counted_places(rows: DataFrame, *by: str) -> DataFrame:
+    """(by, n_places): distinct (source_file, source_row) of each group, exactly, as set bits of words of 64 neighbouring rows."""
+    word, bit = F.shiftright("source_row", 6), F.expr("shiftleft(1L, cast(source_row & 63 as int))")
+    words = rows.groupBy(*by, "source_file", word.alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    return words.groupBy(*by).agg(F.sum(F.bit_count("_bits")).cast("long").alias("n_places"))
 
 
 def direct_panel(rows: DataFrame, header: list[str], codes: list[str], **lineage: str) -> DataFrame:
