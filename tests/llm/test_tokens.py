@@ -1,9 +1,11 @@
 """Encoding, packing, the keyed store and the digest cache against whole-text encoding."""
 
+import gc
 import os
 import random
+import weakref
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -14,7 +16,7 @@ from tidemark.llm.common import shared_dir
 from tidemark.llm.packing import Shard, pack
 from tidemark.llm.token_counts import cache, token_counts
 from tidemark.llm.token_store import PerfectHash, find, get, read, write_store
-from tidemark.llm.tokens import ChunkEncoder
+from tidemark.llm.tokens import ChunkEncoder, term_runs
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -34,6 +36,43 @@ def test_chunks_equal_whole_texts(whole):
         assert np.frombuffer(coder.encode([text.encode()])[0], coder.dtype).tolist() == whole(text), repr(text)
 
 
+def test_chunks_of_a_batch_equal_whole_texts(whole):
+    """Texts are cut together: white space, Latin-1 letters, signs beside them, special strings and apostrophes at every text's ends."""
+    random.seed(7)
+    parts = [*"aZé'st 019.<\n\x0b\x0c\r\x1c\x7f\x85 ß×÷ÀÞÿºσ", "<|endoftext|>", "<|ENDOFTEXT|>", "word", "Été", "'LL"]
+    texts = ["".join(random.choice(parts) for _ in range(random.randint(0, 9))) for _ in range(3000)]
+    coder = ChunkEncoder(PATH)
+    for some in ([], [""], [" ", ""], texts):
+        assert [np.frombuffer(x, coder.dtype).tolist() for x in coder.encode([t.encode() for t in some])] == [whole(t) for t in some]
+
+
+def test_a_piece_is_read_once_whatever_stands_around_it():
+    coder, read = ChunkEncoder(PATH), []
+    tokenize = coder.tokenize
+    coder.tokenize = lambda piece: read.append(piece) or tokenize(piece)
+    coder.encode([b"Zanzibo zanzibo, ZANZIBO; (zanzibo) zanzibo-zanzibo7", b"7zanzibo."])
+    assert read.count("zanzibo") == 1 and len(read) == len(set(read))
+
+
+def test_a_forgotten_encoder_is_gone():
+    """Its memory goes back when the steps after the encoding begin, not when Python next looks for cycles."""
+    coder = weakref.ref(ChunkEncoder.of(PATH))
+    coder().encode([b"some words"])
+    gc.disable()
+    try:
+        ChunkEncoder.forget()
+        assert coder() is None
+    finally:
+        gc.enable()
+
+
+def test_term_runs_of_many_documents_and_wide_terms():
+    for docs in ([np.array([5, 3, 5], "<u2")] * 65_537, [np.array([70_000, 3, 70_000], "<u4"), np.array([65_535], "<u4")]):
+        of, term, times = term_runs(docs)
+        wanted = [(i, t, n) for i, d in enumerate(docs) for t, n in sorted(Counter(d.tolist()).items())]
+        assert list(zip(of.tolist(), term.tolist(), times.tolist())) == wanted
+
+
 def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 

@@ -31,7 +31,7 @@ def encoded(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, text
     def encode(batches):
         coder = ChunkEncoder.of(tokenizer_path)
         end = np.array([end_id], coder.dtype).tobytes()
-        for batch in small_batches(batches):
+        for batch in small_batches(batches, rows=1024):  # the more texts at once, the fewer pieces are looked up again
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([x + end for x in coder.encode(texts_of(batch))], pa.binary())], names=["id", "ids"])
         coder.rest()
 
@@ -78,27 +78,30 @@ class Shard:
         for end in [*np.flatnonzero(np.diff(np.cumsum(self.size) >> 18)) + 1, self.n]:  # about 2^18 tokens at once
             of, term, tf = term_runs(docs[at:end])
             keep = idf[term] > 0  # a term of most documents has weight 0
-            parts.append([x[keep].astype(np.int32) for x in (of + at, term, tf)])
+            of, term, tf = of[keep], term[keep], tf[keep].astype(np.int32)
+            weight = idf[term] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * self.size[of + at] / mean_length))
+            parts.append(((of + at).astype(np.int32), term.astype(np.uint16 if len(idf) <= 1 << 16 else np.int32), weight))  # 16 bits are sorted fastest
             at = end
-        of, term, tf = (np.concatenate(x) for x in zip(*parts))
-        del parts  # what is done with is dropped at once: a shard's postings are most of what a task holds
+        parts = [list(p) for p in zip(*parts)]
+        of, self.slot, weight = (np.concatenate(parts.pop(0)) for _ in range(3))
+        del parts, term, tf, keep  # what is done with is dropped at once: a shard's postings are most of what a task holds
+        # per (document, term) self.slot is the term, which is the number of its posting list
         self.bounds = np.searchsorted(of, np.arange(self.n + 1))
-        weight = idf[term] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * self.size[of] / mean_length))
-        known = np.unique(term)
-        self.slot = np.searchsorted(known, term).astype(np.int32)  # per (document, term), the term's posting list
-        del term, tf
-        count = np.bincount(self.slot, minlength=len(known))
+        count = np.bincount(self.slot, minlength=len(idf))
         order = np.argsort(self.slot, kind="stable").astype(np.int32)
         docs_of, weights = of[order], weight[order]
         del of, weight, order
         self.indexed = np.arange(self.n)  # documents of the index, in order
         longest = np.argsort(-count, kind="stable")[: ROWS // (8 * max(1, self.n))]
         longest = longest[count[longest] * 16 >= self.n]
-        self.row = np.full(len(known), -1, np.int32)
+        self.row = np.full(len(idf), -1, np.int32)
         self.row[longest] = np.arange(len(longest))
-        self.rows = np.zeros((len(longest), self.n))
+        ends = np.cumsum(count)
+        self.rows = []
+        for end, size in zip(ends[longest].tolist(), count[longest].tolist()):
+            self.rows.append(np.zeros(self.n))
+            self.rows[-1][docs_of[end - size : end]] = weights[end - size : end]
         whole = np.repeat(self.row, count)
-        self.rows[whole[whole >= 0], docs_of[whole >= 0]] = weights[whole >= 0]
         self.docs, self.weights = docs_of[whole < 0], weights[whole < 0]
         self.lists = np.concatenate([[0], np.cumsum(np.where(self.row < 0, count, 0))])
         self.unused = np.ones(self.n, bool)
@@ -108,10 +111,9 @@ class Shard:
         kept = left[self.docs]
         self.lists = np.concatenate([[0], np.cumsum(kept)])[self.lists]
         self.docs, self.weights = (np.cumsum(left) - 1)[self.docs[kept]].astype(np.int32), self.weights[kept]
-        rows = np.empty((len(self.rows), int(left.sum())))
         for i, row in enumerate(self.rows):
-            rows[i] = row[left]
-        self.rows, self.indexed = rows, self.indexed[left]
+            self.rows[i] = row[left]
+        self.indexed = self.indexed[left]
 
     def neighbours(self, seed: int, need: int | None = None) -> np.ndarray:
         """Unused documents by BM25 score for the seed's terms, best first, ties to the earlier; those without a shared term last.
@@ -125,9 +127,9 @@ class Shard:
         ends = np.cumsum(size)
         at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - size), size)
         score = np.bincount(self.docs[at], self.weights[at], len(self.indexed)).astype(np.float64, copy=False)
-        for row in self.row[slots]:
-            if row >= 0:
-                score += self.rows[row]
+        rows = self.row[slots]
+        for row in rows[rows >= 0].tolist():
+            score += self.rows[row]
         left = np.flatnonzero(self.unused[self.indexed])
         score, k = -score[left], 16
         while need is not None and k < len(left):
