@@ -32,7 +32,8 @@ def encoded(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, text
         coder = ChunkEncoder.of(tokenizer_path)
         end = np.array([end_id], coder.dtype).tobytes()
         for batch in small_batches(batches, rows=1024):  # the more texts at once, the fewer pieces are looked up again
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([x + end for x in coder.encode(texts_of(batch))], pa.binary())], names=["id", "ids"])
+            out = pa.RecordBatch.from_arrays([batch.column("id"), pa.array([x + end for x in coder.encode(texts_of(batch))], pa.binary())], names=["id", "ids"])
+            yield from (out.slice(at, 256) for at in range(0, out.num_rows, 256))
         coder.rest()
 
     rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
